@@ -1 +1,8 @@
 """Network behaviour analytics as plain DataFrame operators on Spark."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# Functions sent to Python workers travel by value: executors need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
