@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import sys
+import types
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,6 +30,11 @@ def bounded_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
+def worker_memo(name: str) -> dict:
+    """A dict that outlives a task in its Python worker; its users bound it."""
+    return vars(sys.modules.setdefault("_hostscope_memo", types.ModuleType("_hostscope_memo"))).setdefault(name, {})
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """A bijective scrambling of 64-bit values (the splitmix64 finaliser)."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)

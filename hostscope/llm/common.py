@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from pyspark import Broadcast, cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -66,3 +67,12 @@ def with_small(df: DataFrame, other: DataFrame, on, how: str, row_bytes: int, ro
 def holdout(doc_id: Column) -> Column:
     """True for the fifth of the ids whose labels must not be learnt from."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(False))
+
+
+def ship(spark: SparkSession, model) -> Broadcast:
+    """Broadcasts a fitted model, its class by value; its size must not depend on the documents."""
+    return spark.sparkContext.broadcast(cloudpickle.dumps(model))
+
+
+def shipped(model: Broadcast):
+    return cloudpickle.loads(model.value)
