@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hostscope.llm.arrays import bounded_batches, mix64, text_slices, word_hashes, word_spans
@@ -24,6 +24,8 @@ FREQUENT = 64
 #: Tokens that a map task sorts and sends at once, and tokens counted by one task.
 FLUSH_TOKENS = 2_000_000
 COUNTER_TOKENS = 1_500_000
+#: Shared tokens are counted in so many classes, to bound overlaps.
+CLASSES = 16
 #: Star rounds before all remaining pairs of different components are tested.
 STAR_ROUNDS = 3
 
@@ -257,12 +259,14 @@ def _survivors(batches):
         for i, a, b in zip(ids, at, [*at[1:], len(places)], strict=True):
             ref, n, spare = heads[part][i]
             if b - a > spare:
-                rows.append((int(ref), int(n), _six(np.sort(tokens[a:b])), signatures(tokens[a:b], count[a:b], int(spare), int(n)).view(np.int64)))
+                own = np.sort(tokens[a:b])
+                counts = np.bincount((own % np.uint64(CLASSES)).astype(np.int64), minlength=CLASSES)
+                rows.append((int(ref), int(n), b - a, counts.tolist(), _six(own), signatures(tokens[a:b], count[a:b], int(spare), int(n)).view(np.int64)))
         for x in range(0, len(rows), 512):
             some = rows[x : x + 512]
             yield pa.RecordBatch.from_arrays(
-                [pa.array([r[0] for r in some], pa.int64()), pa.array([r[1] for r in some], pa.int64()), pa.array([r[2] for r in some], pa.binary()), pa.array([r[3] for r in some], pa.list_(pa.int64()))],
-                ["ref", "n", "tokens", "signs"],
+                [pa.array([r[i] for r in some], kind) for i, kind in enumerate((pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.binary(), pa.list_(pa.int64())))],
+                ["ref", "n", "m", "counts", "tokens", "signs"],
             )
 
 
@@ -275,13 +279,21 @@ def _verify(batches):
         yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(keep, pa.bool_())], ["a", "b", "linked"])
 
 
+def _may_link(na: str, ma: str, nb: str, mb: str) -> Column:
+    """Whether two sets of so many tokens (n) and tokens that others share (m) can reach the threshold."""
+    n = F.col(na) + F.col(nb)
+    return (F.least(ma, mb) * (100 + PERCENT) >= n * PERCENT) & (F.least(na, nb) * 100 >= F.greatest(na, nb) * PERCENT)
+
+
 def _linked(pairs: DataFrame, docs: DataFrame) -> DataFrame:
-    """The pairs (a, b) that pass the exact test, written."""
-    a = docs.select(F.col("ref").alias("a"), F.col("n").alias("na"), F.col("tokens").alias("ta"))
-    b = docs.select(F.col("ref").alias("b"), F.col("n").alias("nb"), F.col("tokens").alias("tb"))
-    sizes = (F.col("na") * 100 >= F.col("nb") * PERCENT) & (F.col("nb") * 100 >= F.col("na") * PERCENT)
-    tested = pairs.join(a, "a").join(b, "b").where(sizes).mapInArrow(_verify, "a long, b long, linked boolean")
-    return written(tested.where("linked").select("a", "b"), "links")
+    """The pairs (a, b) that pass the exact test, written. Counts by class of token exclude most others before tokens are read."""
+    narrow = docs.select("ref", "n", "counts")
+    a = narrow.select(F.col("ref").alias("a"), F.col("n").alias("na"), F.col("counts").alias("ca"))
+    b = narrow.select(F.col("ref").alias("b"), F.col("n").alias("nb"), F.col("counts").alias("cb"))
+    most = sum((F.least(F.get("ca", F.lit(k)), F.get("cb", F.lit(k))) for k in range(1, CLASSES)), F.least(F.get("ca", F.lit(0)), F.get("cb", F.lit(0))))
+    able = pairs.join(a, "a").join(b, "b").where(most * (100 + PERCENT) >= (F.col("na") + F.col("nb")) * PERCENT).select("a", "b", "na", "nb")
+    able = able.join(docs.select(F.col("ref").alias("a"), F.col("tokens").alias("ta")), "a").join(docs.select(F.col("ref").alias("b"), F.col("tokens").alias("tb")), "b")
+    return written(able.mapInArrow(_verify, "a long, b long, linked boolean").where("linked").select("a", "b"), "links")
 
 
 def links(docs: DataFrame, tokens: int, text_col: str = "text") -> tuple[DataFrame, DataFrame]:
@@ -292,37 +304,39 @@ def links(docs: DataFrame, tokens: int, text_col: str = "text") -> tuple[DataFra
     flushes = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-tokens // FLUSH_TOKENS))
     sent = docs.select(F.col(text_col).cast("string").alias("text")).mapInArrow(_send_tokens(bits), _BLOB_SQL)
     told = sent.repartition(parts, F.col("to")).mapInArrow(_count_tokens(bits), _BLOB_SQL)
-    found = told.repartition(flushes, F.col("to")).mapInArrow(_survivors, "ref long, n long, tokens binary, signs array<long>")
+    found = told.repartition(flushes, F.col("to")).mapInArrow(_survivors, "ref long, n long, m long, counts array<int>, tokens binary, signs array<long>")
     held = written(found.dropDuplicates(["ref"]), "ngram-docs")
-    posts = written(held.select("ref", "n", F.explode("signs").alias("sign")), "ngram-signs")
-    sets = held.select("ref", "n", "tokens")
+    posts = written(held.select("ref", "n", "m", F.explode("signs").alias("sign")), "ngram-signs")
     found, tested, roots = None, None, None
     for nth in range(STAR_ROUNDS + 1):
         if roots is None:
             left = posts.withColumn("root", F.col("ref"))
         else:
             left = posts.join(roots, "ref", "left").withColumn("root", F.coalesce("root", "ref"))
-        order = F.struct(F.xxhash64("ref", F.lit(nth)).alias("h"), "ref", "root", "n")
-        groups = left.groupBy("sign").agg(F.min(order).alias("lead"), F.min("root").alias("_a"), F.max("root").alias("_b"), F.count(F.lit(1)).alias("_m")).where("_a <> _b")
+        # The smallest document of a group is nearest to what all of it share; later leaders are chosen by hash.
+        first = F.col("n") if nth == 0 else F.xxhash64("ref", F.lit(nth))
+        lead = F.min(F.struct(first.alias("h"), "ref", "root", "n", "m")).alias("lead")
+        groups = left.groupBy("sign").agg(lead, F.min("root").alias("_a"), F.max("root").alias("_b"), F.count(F.lit(1)).alias("_m"), F.bit_xor(F.xxhash64("ref")).alias("_x"), F.bit_xor(F.xxhash64("ref", F.lit(7))).alias("_y"))
+        # Signatures of the same documents say the same; one of them is enough.
+        groups = groups.where("_a <> _b").groupBy("_x", "_y", "_m").agg(F.min(F.struct("sign", "lead")).alias("_g")).select("_g.sign", "_g.lead")
         if nth < STAR_ROUNDS:
-            star = left.join(groups.select("sign", "lead"), "sign").where("root <> lead.root").select(F.least("ref", "lead.ref").alias("a"), F.greatest("ref", "lead.ref").alias("b"))
-            pairs = star.distinct()
+            pairs = left.join(groups, "sign").where((F.col("root") != F.col("lead.root")) & _may_link("n", "m", "lead.n", "lead.m"))
+            pairs = pairs.select(F.least("ref", "lead.ref").alias("a"), F.greatest("ref", "lead.ref").alias("b")).distinct()
         else:
             left = written(left.join(groups.select("sign"), "sign", "left_semi"), "ngram-left")
             a, b = left.alias("a"), left.alias("b")
-            fits = (F.col("a.ref") < F.col("b.ref")) & (F.col("a.root") != F.col("b.root")) & (F.col("a.n") * 100 >= F.col("b.n") * PERCENT) & (F.col("b.n") * 100 >= F.col("a.n") * PERCENT)
+            fits = (F.col("a.ref") < F.col("b.ref")) & (F.col("a.root") != F.col("b.root")) & _may_link("a.n", "a.m", "b.n", "b.m")
             pairs = a.join(b, (F.col("a.sign") == F.col("b.sign")) & fits).select(F.col("a.ref").alias("a"), F.col("b.ref").alias("b")).distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = written(pairs, "ngram-pairs")
         if pairs.isEmpty():
-            break
-        tested = pairs if tested is None else tested.unionByName(pairs)
-        new = _linked(pairs, sets)
-        found = new if found is None else found.unionByName(new)
-        if nth < STAR_ROUNDS and new.isEmpty() and roots is not None:
             continue
-        roots = components(found)
+        tested = pairs if tested is None else tested.unionByName(pairs)
+        new = _linked(pairs, held)
+        if not new.isEmpty():
+            found = new if found is None else found.unionByName(new)
+            roots = components(found)
     if found is None:
         found = spark.createDataFrame([], "a long, b long")
         roots = spark.createDataFrame([], "ref long, root long")

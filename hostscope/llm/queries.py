@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hostscope.llm import dedup, langid, mixing, ngram_join, pieces, quality, sharding, token_store, toxicity
+from hostscope.llm import dedup, langid, lm, mixing, ngram_join, pieces, quality, sharding, token_store, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -36,6 +36,10 @@ def op6_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.write_and_read(table(spark, sf_dir, "documents"))
 
 
+def op7_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score(table(spark, sf_dir, "documents"))
+
+
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(spark, sf_dir, "documents"))
 
@@ -48,5 +52,11 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def queries() -> dict:
-    return {name: f for name, f in globals().items() if name.startswith("op") and name[2].isdigit()}
+    return {name: f for name, f in globals().items() if name == "pipeline" or name.startswith("op") and name[2].isdigit()}
