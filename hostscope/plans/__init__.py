@@ -1 +1,6 @@
+"""Named queries over the driver's tables, with equivalent SQL."""
 
+from hostscope.plans import slice_queries  # noqa: F401
+from hostscope.plans.registry import QUERIES, SQL
+
+__all__ = ["QUERIES", "SQL"]
