@@ -59,11 +59,11 @@ def drain(stream: DataFrame, out: str, checkpoint: str, sink: Callable[[DataFram
     (writer.foreachBatch(sink).start() if sink else writer.format("parquet").option("path", out).start()).awaitTermination()
 
 
-def with_sentinel(spark: SparkSession, sessions: DataFrame, path: str, after_days: int = 2) -> DataFrame:
-    """Writes sessions and, in a later file, one far-off session whose time closes all windows; returns their stream."""
+def with_sentinel(spark: SparkSession, sessions: DataFrame, path: str, after_days: int = 60) -> DataFrame:
+    """Writes sessions and, in a later file, three far-off sessions whose times close all windows; returns their stream."""
     sessions.write.mode("append").parquet(path)
     last = sessions.orderBy(F.desc("event_start")).limit(1)
-    for k in (1, 2):
+    for k in (1, 2, 3):
         late = last.withColumns({"event_start": F.timestamp_add("DAY", F.lit(k * after_days), F.col("event_start")), "event_end": F.timestamp_add("DAY", F.lit(k * after_days), F.col("event_end")), "session_id": F.lit(-k).cast("long")})
         late.coalesce(1).write.mode("append").parquet(path)
     return spark.readStream.schema(sessions.schema).option("maxFilesPerTrigger", 1).option("latestFirst", "false").parquet(path)
