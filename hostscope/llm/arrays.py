@@ -51,7 +51,7 @@ def powers(n: int) -> np.ndarray:
     return _powers
 
 
-def text_slices(batch: pa.RecordBatch, column: str = "text") -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+def text_slices(batch: pa.RecordBatch, column: str = "text", size: int = SLICE_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first row, end row, bytes, offsets) of consecutive rows of a batch; a null text is empty."""
     text = batch.column(column)
     if text.null_count:
@@ -62,7 +62,7 @@ def text_slices(batch: pa.RecordBatch, column: str = "text") -> Iterator[tuple[i
     data = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
     at = 0
     while at < len(text):
-        end = max(at + 1, int(np.searchsorted(offsets, offsets[at] + SLICE_BYTES, "right")) - 1)
+        end = max(at + 1, int(np.searchsorted(offsets, offsets[at] + size, "right")) - 1)
         yield at, end, data[offsets[at] : offsets[end]], offsets[at : end + 1] - offsets[at]
         at = end
 

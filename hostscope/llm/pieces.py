@@ -162,13 +162,16 @@ class Pieces:
 
     def encode(self, texts: list[str | None], cache: dict[bytes, bytes]) -> list[np.ndarray]:
         split = [CHUNK.findall(b" " + t.encode()) if t else [] for t in texts]
-        new = list({c for chunks in split for c in chunks if c not in cache})
-        if len(cache) + len(new) > CACHE_CHUNKS:
-            cache.clear()
-            new = list({c for chunks in split for c in chunks})
+        met = {c for chunks in split for c in chunks}
+        new, found = list(met.difference(cache)), {}
         for x in range(0, len(new), 50_000):
-            cache.update(zip(new[x : x + 50_000], self.encode_chunks(new[x : x + 50_000]), strict=True))
-        return [np.frombuffer(b"".join(map(cache.__getitem__, chunks)), "<i4") for chunks in split]
+            found.update(zip(new[x : x + 50_000], self.encode_chunks(new[x : x + 50_000]), strict=True))
+        if len(cache) + len(found) <= CACHE_CHUNKS:
+            cache.update(found)
+            known = cache
+        else:  # a full memory holds what was frequent enough to be met early
+            known = {c: found[c] if c in found else cache[c] for c in met}
+        return [np.frombuffer(b"".join(map(known.__getitem__, chunks)), "<i4") for chunks in split]
 
     def decode(self, ids) -> str:
         """The text of ids; a leading space is the one that encoding put there."""

@@ -60,3 +60,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict:
     return {name: f for name, f in globals().items() if name == "pipeline" or name.startswith("op") and name[2].isdigit()}
+
+
+def oracle_sql() -> dict:
+    return {}
