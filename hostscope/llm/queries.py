@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hostscope.llm import dedup, langid, lm, mixing, ngram_join, pieces, quality, sharding, token_store, toxicity
+from hostscope.llm import dedup, langid, lm, mixing, ngram_join, oracles, pieces, quality, sharding, token_store, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -62,5 +62,4 @@ def queries() -> dict:
     return {name: f for name, f in globals().items() if name == "pipeline" or name.startswith("op") and name[2].isdigit()}
 
 
-def oracle_sql() -> dict:
-    return {}
+oracle_sql = oracles.oracle_sql
