@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import hashlib
 import os
-import re
 
 import numpy as np
 import pyarrow as pa
@@ -12,7 +11,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from hostscope.llm.arrays import bounded_batches, worker_memo
+from hostscope.llm.arrays import bounded_batches, text_slices, word_hashes, worker_memo
 from hostscope.llm.common import new_dir, with_small
 
 TOKENIZER = "word_bpe_49k.json"
@@ -20,14 +19,9 @@ END_ID = 1
 #: A chunk ends where the low CUT_BITS bits of a hash of the last WINDOW ids are zero, or after LONGEST ids.
 WINDOW, CUT_BITS, LONGEST = 8, 8, 1024
 GEAR = np.random.default_rng(20240131).integers(0, 1 << 32, 1 << 16, dtype=np.uint32)
-CACHE_WORDS = 1_000_000
-
-#: Texts of these characters only are split into words here; their words are the tokenizer's own pre-tokens.
-#: All others, and texts that may hold a special token, are encoded whole.
-PLAIN = re.compile(r"[\t-\r\x20-\x7e¡-įı-ſ]*")
-_LETTER, _NUMBER = "a-zªµºß-öø-ſ", "0-9²³¹¼-¾"
-#: Fixed value: the word pattern that the tokenizer file states, for plain characters in lower case.
-WORD = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTER}]+|[{_NUMBER}]|[^\s{_LETTER}{_NUMBER}]+")
+CACHE_WORDS = 1_200_000
+#: Bytes of texts encoded at once.
+SLICE_BYTES = 4 << 20
 
 POLY = np.uint64(0xEDB88320)
 
@@ -40,7 +34,8 @@ class Encoder:
         from tokenizers import Tokenizer
 
         memo = worker_memo(f"words {path}")
-        self.cache, self.tokenizer = memo.setdefault("cache", {}), memo.get("tokenizer") or memo.setdefault("tokenizer", Tokenizer.from_file(path))
+        self.cache = memo.setdefault("cache", {})
+        self.tokenizer = memo.get("tokenizer") or memo.setdefault("tokenizer", Tokenizer.from_file(path))
         vocab = self.tokenizer.get_vocab()
         self.kind = np.dtype("<u2" if len(vocab) <= 1 << 16 else "<u4")
         self.last = np.zeros(max(vocab.values()) + 1, bool)  # ids that end a word
@@ -51,34 +46,93 @@ class Encoder:
 
     def _words(self, words: list[str]) -> list[bytes]:
         """Ids of single words, encoded together and cut behind each word's last id."""
-        ids = np.array(self.tokenizer.encode(" ".join(words), add_special_tokens=False).ids, self.kind)
+        ids = np.array(self.tokenizer.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, self.kind)
         ends = np.flatnonzero(self.last[ids]) + 1
         if len(ends) != len(words):
             return self._library(words)
         raw, ends = ids.tobytes(), (ends * self.kind.itemsize).tolist()
         return [raw[a:b] for a, b in zip([0, *ends[:-1]], ends, strict=True)]
 
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        out: list = [b""] * len(texts)
-        split, whole = {}, []
-        for i, t in enumerate(texts):
-            if t and "<|" not in t and PLAIN.fullmatch(t):
-                split[i] = WORD.findall(t.lower())
-            elif t:
-                whole.append(i)
-        for i, ids in zip(whole, self._library([texts[i] for i in whole]), strict=True):
-            out[i] = ids
-        new = list({w for words in split.values() for w in words}.difference(self.cache))
-        if len(self.cache) + len(new) > CACHE_WORDS:
-            self.cache.clear()
-            new = list({w for words in split.values() for w in words})
+    def encode(self, data: np.ndarray, offsets: np.ndarray) -> list[bytes]:
+        """The ids of each text (UTF-8 bytes between offsets)."""
+        data, starts, ends, first, plain = plain_words(data, offsets)
+        raw = data.tobytes()
+        h = word_hashes(data, starts, ends)
+        names, one, back = np.unique(h, return_index=True, return_inverse=True)
+        keys = names.tolist()
+        new = [i for i, k in enumerate(keys) if k not in self.cache]
+        found = {}
         for x in range(0, len(new), 20_000):
-            self.cache.update(zip(new[x : x + 20_000], self._words(new[x : x + 20_000]), strict=True))
-        for i, words in split.items():
-            out[i] = b"".join(map(self.cache.__getitem__, words))
+            some = new[x : x + 20_000]
+            at = one[some]
+            words = [raw[a:b].decode() for a, b in zip(starts[at].tolist(), ends[at].tolist(), strict=True)]
+            found.update(zip([keys[i] for i in some], self._words(words), strict=True))
+        if len(self.cache) + len(found) <= CACHE_WORDS:
+            self.cache.update(found)
+            ids = [self.cache[k] for k in keys]
+        else:  # a full memory holds what was frequent enough to be met early
+            ids = [found[k] if k in found else self.cache[k] for k in keys]
+        flat = np.frombuffer(b"".join(ids), self.kind)
+        size = np.array([len(x) for x in ids], np.int64) // self.kind.itemsize
+        begin = (np.cumsum(size) - size)[back]
+        many = size[back]
+        after = np.cumsum(many)
+        tokens = flat[np.arange(int(after[-1]) if len(after) else 0) + np.repeat(begin - (after - many), many)].tobytes()
+        cuts = np.concatenate(([0], after))[first] * self.kind.itemsize
+        out = [tokens[a:b] for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)]
+        odd = np.flatnonzero(~plain).tolist()
+        for i, got in zip(odd, self._library([raw_text(data, offsets, i) for i in odd]), strict=True):
+            out[i] = got
         return out
 
 
+_LETTER, _DIGIT, _OTHER = 1, 2, 3
+_CLASS = np.full(256, _OTHER, np.uint8)
+_CLASS[[*range(65, 91), *range(97, 123), *range(128, 256)]] = _LETTER
+_CLASS[48:58] = _DIGIT
+_CLASS[[32, *range(9, 14)]] = 0
+#: Bytes that a plain text does not hold: controls, the apostrophe, and leads of characters beyond U+00FF or of U+0080 to U+00BF.
+_ODD = np.zeros(256, bool)
+_ODD[[*range(9), *range(14, 32), 39, 127, 192, 193, 194, *range(196, 256)]] = True
+
+
+def raw_text(data: np.ndarray, offsets: np.ndarray, i: int) -> str:
+    return data[offsets[i] : offsets[i + 1]].tobytes().decode()
+
+
+def plain_words(data: np.ndarray, offsets: np.ndarray):
+    """(data in lower case, starts, ends, each text's first word, plain): the tokenizer's words of plain texts.
+
+    In a text of ASCII and of letters up to U+00FF, without apostrophes, words are runs of letters, single digits and
+    runs of other marks. Texts with anything else, or with what may be a special token, are not plain and get no words.
+    """
+    n = len(offsets) - 1
+    if not len(data):
+        return data, np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(n + 1, np.int64), np.ones(n, bool)
+    after = np.append(data[1:], np.uint8(0))
+    odd = _ODD[data]
+    odd |= (data == 60) & (after == 124)
+    odd |= (data == 195) & ((after == 0x97) | (after == 0xB7))
+    at = np.flatnonzero(odd)
+    plain = np.ones(n, bool)
+    plain[np.searchsorted(offsets, at, "right") - 1] = False
+    upper = np.zeros(len(data), bool)
+    upper[1:] = (data[:-1] == 195) & (data[1:] < 0x9F)
+    kind = _CLASS[data]
+    low = np.where(upper | (data >= 65) & (data <= 90), data + np.uint8(32), data)
+    if not plain.all():
+        keep = np.repeat(plain, np.diff(offsets))
+        kind = np.where(keep, kind, 0)
+        low = np.where(keep, low, data)
+    turn = np.ones(len(data) + 1, bool)
+    turn[1:-1] = (kind[1:] != kind[:-1]) | (kind[1:] == _DIGIT)
+    turn[offsets] = True
+    inside = kind != 0
+    starts = np.flatnonzero(inside & turn[:-1])
+    ends = np.flatnonzero(inside & turn[1:]) + 1
+    return low, starts, ends, np.searchsorted(starts, offsets), plain
+
+
 def chunk_ends(ids: np.ndarray, starts: np.ndarray) -> np.ndarray:
     """Ends of all chunks of consecutive documents (starts: of each document, none empty)."""
     g = GEAR[ids & 0xFFFF]
@@ -125,9 +179,9 @@ def _encode(path: str):
         wide = encoder.kind.itemsize
         end_id = np.array([END_ID], encoder.kind).tobytes()
         for batch in batches:
-            for x in range(0, len(batch), 512):
-                some = batch.slice(x, 512)
-                raw = [r + end_id for r in encoder.encode(some.column("text").to_pylist())]
+            for at, end, data, offsets in text_slices(batch, size=SLICE_BYTES):
+                some = batch.slice(at, end - at)
+                raw = [r + end_id for r in encoder.encode(data, offsets)]
                 sizes = np.array([len(r) // wide for r in raw])
                 blob = b"".join(raw)
                 ids = np.frombuffer(blob, encoder.kind)
