@@ -40,9 +40,7 @@ def _held(digests: DataFrame, path: str, files_per_batch: int) -> DataFrame:
         for k, v in before.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
     empty = digests.groupBy("text_sha256").agg(F.max(F.struct("doc_id", "locator")).alias("keep"), F.count(F.lit(1)).alias("group_size")).withColumn("batch", F.lit(0))
-    if digests.isEmpty():
-        return empty
-    states = spark.read.schema(empty.schema).parquet(out)
+    states = empty if digests.isEmpty() else spark.read.schema(empty.schema).parquet(out)
     if states.select("batch").distinct().count() > 1:
         last = states.groupBy("text_sha256").agg(F.max(F.struct("batch", "group_size", "keep")).alias("_last"))
         states = last.select("text_sha256", "_last.keep", "_last.group_size")
