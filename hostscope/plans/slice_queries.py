@@ -362,3 +362,33 @@ def set_union_by_name(spark, d):
     c = cleaned(spark, d)
     a = c.select(F.lit("outbound").alias("role"), "session_id", "source_port")
     return a.unionByName(c.select(F.lit("inbound").alias("role"), "session_id"), allowMissingColumns=True).groupBy("role").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(f"WITH {MACHINES} SELECT count(*) AS source_rows, count(*) AS written_rows FROM machines")
+def src_snapshot_manifest(spark, d):
+    """A snapshot written by month, read back and counted against its source."""
+    from hostscope.sources.scratch import scratch_dir
+
+    snapshot = readers.inventory_snapshot(machines(spark, d), "2024-01")
+    return sinks.snapshot_with_manifest(snapshot, scratch_dir(spark, "snapshot"), ["snapshot_month"]).select("source_rows", "written_rows")
+
+
+@query(f"WITH {ROLES} SELECT 'host' AS published, role, count(DISTINCT host_ip) AS n FROM roles GROUP BY ALL UNION ALL SELECT 'segment', role, count(DISTINCT {SEGMENT.format(ip='host_ip')}) FROM roles GROUP BY ALL")
+def snk_publish(spark, d):
+    """Two tables of one publication under the same partitions, read back."""
+    from hostscope.sources.scratch import scratch_dir
+
+    base = scratch_dir(spark, "publication")
+    r = sl.role_views(cleaned(spark, d))
+    tables = {"host": r.select("host_ip", "role").distinct(), "segment": r.select(net.segment_id(F.col("host_ip")).alias("segment_id"), "role").distinct()}
+    sinks.publish(tables, base, ["role"])
+    out = [spark.read.parquet(f"{base}/{k}").select(F.lit(k).alias("published"), "role") for k in tables]
+    return out[0].unionByName(out[1]).groupBy("published", "role").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("SELECT 'b1' AS batch_id, 'ingestion' AS source_mode, strftime(min(ts), '%Y-%m-%d') AS first_day, count(*) AS n FROM events")
+def snk_run_provenance(spark, d):
+    found = readers.read_first_available(spark, [("ingestion", f"{d}/events.parquet")])
+    days = found.groupBy("source_mode").agg(F.date_format(F.min("ts"), "yyyy-MM-dd").alias("first_day"), F.count(F.lit(1)).alias("n"))
+    record = sinks.run_provenance(spark, "b1", "ingestion", "first source has rows", "2024-01-01", "2024-01-31", f"{d}/events.parquet")
+    return record.select("batch_id", "source_mode").join(days, "source_mode")
