@@ -15,7 +15,8 @@ from hostscope.plans.base_sql import ANCHOR, CLEAN, LONG_WINDOWS, PAIRS, ROLES,
 from hostscope.plans.registry import query
 from hostscope.sources import readers
 from hostscope.sources import sinks
-from hostscope.sources.sessions import PORT_SETS, REQUIRED, machines, sessions, table
+from hostscope.sources.scratch import scratch_dir
+from hostscope.sources.sessions import PORT_SETS, machines, sessions, table
 
 t = net.as_text
 
@@ -98,8 +99,6 @@ def src_batch_paths(spark, d):
 @query("SELECT o_orderpriority AS day_key, count(*) AS n FROM orders GROUP BY ALL")
 def snk_partitioned_write(spark, d):
     """Written twice (the second time over itself), read back: replacement leaves every row once."""
-    from hostscope.sources.scratch import scratch_dir
-
     path = scratch_dir(spark, "orders-out")
     o = table(spark, d, "orders").withColumn("day_key", F.col("o_orderpriority"))
     sinks.write_partitioned(o, path, ["day_key"])
@@ -367,8 +366,6 @@ def set_union_by_name(spark, d):
 @query(f"WITH {MACHINES} SELECT count(*) AS source_rows, count(*) AS written_rows FROM machines")
 def src_snapshot_manifest(spark, d):
     """A snapshot written by month, read back and counted against its source."""
-    from hostscope.sources.scratch import scratch_dir
-
     snapshot = readers.inventory_snapshot(machines(spark, d), "2024-01")
     return sinks.snapshot_with_manifest(snapshot, scratch_dir(spark, "snapshot"), ["snapshot_month"]).select("source_rows", "written_rows")
 
@@ -376,8 +373,6 @@ def src_snapshot_manifest(spark, d):
 @query(f"WITH {ROLES} SELECT 'host' AS published, role, count(DISTINCT host_ip) AS n FROM roles GROUP BY ALL UNION ALL SELECT 'segment', role, count(DISTINCT {SEGMENT.format(ip='host_ip')}) FROM roles GROUP BY ALL")
 def snk_publish(spark, d):
     """Two tables of one publication under the same partitions, read back."""
-    from hostscope.sources.scratch import scratch_dir
-
     base = scratch_dir(spark, "publication")
     r = sl.role_views(cleaned(spark, d))
     tables = {"host": r.select("host_ip", "role").distinct(), "segment": r.select(net.segment_id(F.col("host_ip")).alias("segment_id"), "role").distinct()}
