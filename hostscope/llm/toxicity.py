@@ -2,23 +2,25 @@
 
 from __future__ import annotations
 
-import heapq
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hostscope.llm.arrays import SPACES, bounded_batches, mix64, text_slices, word_hashes, word_spans
+from hostscope.llm.arrays import SPACES, bounded_batches, mix64, text_slices, tidy, word_hashes, word_spans
 from hostscope.llm.common import holdout, ship, shipped
 
 #: The classifier is fitted on at most about so many labelled rows of each class.
 EXAMPLES_PER_CLASS = 4000
 #: Terms that set the classes apart, chosen on those rows.
-TERMS = 4096
-LEAST_DF = 3
+TERMS = 1024
+LEAST_DF = 4
+#: A term must depart from chance by this much (chi-square), and so large a share of the rows that hold it must be toxic.
+LEAST_CHI, LEAST_PURITY = 12.0, 0.8
 NEIGHBOURS = 15
 BLOCK = 64
+#: Blocks opened before the k-th cosine is known.
+OPENED = 8
 #: Beginnings of words (bytes) that are terms beside the word itself.
 PREFIXES = (4, 5, 6, 7, 8)
 #: Votes of neighbours count by cosine to this power; the prior has the weight of one vote at PRIOR_COSINE.
@@ -106,31 +108,41 @@ class BlockMaxIndex:
     def nearest(self, terms: np.ndarray, weights: np.ndarray, k: int, skip: int = -1) -> list[tuple[float, int]]:
         """The k examples of greatest cosine above 0, greatest first; ties go to the lower number. Exact.
 
-        Blocks are opened from the greatest upper bound (sum of weight times block maximum) down, until no bound left
-        can reach the k-th cosine found.
+        The blocks of greatest upper bound (sum of weight times block maximum) are opened first; then all whose bound
+        reaches the k-th cosine found. No other block can hold a nearer example.
         """
-        pieces = [(w, np.arange(self.first[t], self.first[t + 1])) for t, w in zip(terms, weights, strict=True)]
-        bound = np.zeros(self.blocks, np.float64)
-        for w, at in pieces:
-            bound[self.block[at]] += float(w) * self.most[at]
-        best: list[tuple[float, int]] = []
-        for b in np.argsort(-bound, kind="stable"):
-            if bound[b] <= 0 or len(best) == k and bound[b] + 1e-6 < best[0][0]:
-                break
-            cosine = np.zeros(BLOCK)
-            for w, at in pieces:
-                j = at[0] + np.searchsorted(self.block[at], b) if len(at) else 0
-                if len(at) and j <= at[-1] and self.block[j] == b:
-                    cosine[self.example[self.start[j] : self.stop[j]] - b * BLOCK] += float(w) * self.weight[self.start[j] : self.stop[j]]
-            for i in np.flatnonzero(cosine > 0):
-                one = (round(float(cosine[i]), 9), -int(b * BLOCK + i))
-                if one[1] == -skip and skip >= 0:
-                    continue
-                if len(best) < k:
-                    heapq.heappush(best, one)
-                elif one > best[0]:
-                    heapq.heapreplace(best, one)
-        return [(c, -i) for c, i in sorted(best, reverse=True)]
+        entry, of = _spans(self.first[terms], self.first[terms + 1])
+        if not len(entry):
+            return []
+        w = weights[of].astype(np.float64)
+        bound = np.bincount(self.block[entry], w * self.most[entry], self.blocks)
+        first = np.zeros(self.blocks, bool)
+        first[np.argpartition(-bound, min(OPENED, self.blocks - 1))[:OPENED]] = True
+        cosine = self._score(entry, w, first)
+        if skip >= 0:
+            cosine[skip] = 0
+        least = np.partition(cosine, -k)[-k] if len(cosine) > k else 0.0
+        rest = (bound + 1e-6 >= max(least, 1e-12)) & ~first
+        if rest.any():
+            cosine += self._score(entry, w, rest)
+            if skip >= 0:
+                cosine[skip] = 0
+        cosine = np.round(cosine, 9)
+        some = np.flatnonzero(cosine > 0)
+        best = some[np.lexsort((some, -cosine[some]))[:k]]
+        return [(float(cosine[i]), int(i)) for i in best]
+
+    def _score(self, entry: np.ndarray, w: np.ndarray, opened: np.ndarray) -> np.ndarray:
+        on = opened[self.block[entry]]
+        at, of = _spans(self.start[entry[on]], self.stop[entry[on]])
+        return np.bincount(self.example[at], w[on][of] * self.weight[at], self.n)
+
+
+def _spans(start: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All whole numbers of the ranges [start, stop), and the range of each."""
+    many = stop - start
+    of = np.repeat(np.arange(len(many)), many)
+    return np.arange(len(of)) + np.repeat(start - (np.cumsum(many) - many), many), of
 
 
 def vote(near: list[tuple[float, int]], labels: np.ndarray, worth: np.ndarray, prior: float) -> float:
@@ -214,7 +226,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     pick = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < F.when(F.col("toxic") == 1, share[1]).otherwise(share[0]) * 1_000_000
     chosen = known.where(pick)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text")).join(F.broadcast(chosen), "doc_id")
-    sums = rows.select("text", "toxic").mapInArrow(_frequencies, "term long, df long, bad long").groupBy("term").agg(F.sum("df").alias("df"), F.sum("bad").alias("bad"))
+    sums = rows.select("text", "toxic").mapInArrow(tidy(_frequencies), "term long, df long, bad long").groupBy("term").agg(F.sum("df").alias("df"), F.sum("bad").alias("bad"))
     n = {r[0]: r[1] for r in rows.groupBy("toxic").count().collect()}
     n_bad, n_all = n.get(1, 0), sum(n.values())
     if not n_bad or n_bad == n_all:
@@ -222,14 +234,15 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     p = n_bad / n_all
     excess = F.col("bad") - F.col("df") * p
     chi = excess * excess * n_all / (F.col("df") * (n_all - F.col("df")) * p * (1 - p))
-    top = sums.where((F.col("df") >= LEAST_DF) & (F.col("df") < n_all) & (excess > 0)).select("term", "df", chi.alias("chi")).where("chi > 10")
+    pure = F.col("bad") >= F.col("df") * (p + LEAST_PURITY * (1 - p))
+    top = sums.where((F.col("df") >= LEAST_DF) & (F.col("df") < n_all) & (excess > 0) & pure).select("term", "df", chi.alias("chi")).where(F.col("chi") > LEAST_CHI)
     top = top.orderBy(F.desc("chi"), "term").limit(TERMS).collect()
     if not top:
         return None
     pairs = sorted((r[0] & (1 << 64) - 1, r[1]) for r in top)
     vocabulary = np.array([x[0] for x in pairs], np.uint64)
     idf = np.log((1 + n_all) / (1 + np.array([x[1] for x in pairs]))) + 1
-    got = sorted(map(tuple, rows.mapInArrow(_example_vectors(vocabulary, idf), "doc_id long, toxic int, terms array<long>, weights array<float>").collect()))
+    got = sorted(map(tuple, rows.mapInArrow(tidy(_example_vectors(vocabulary, idf)), "doc_id long, toxic int, terms array<long>, weights array<float>").collect()))
     ids, label = [r[0] for r in got], np.array([r[1] for r in got], np.float64)
     vectors = [(np.array(r[2], np.int64), np.array(r[3], np.float32)) for r in got]
     index = BlockMaxIndex(vectors, len(vocabulary))
@@ -254,5 +267,5 @@ def score(docs: DataFrame, labels: DataFrame, model=None, id_col: str = "doc_id"
     held = holdout(F.col("doc_id"))
     if model is None:
         return rows.select("doc_id", held.alias("held_out"), F.lit(0.0).alias("score"), F.lit(0).alias("predicted"), F.array().cast("array<bigint>").alias("evidence"), F.array().cast("array<double>").alias("cosines"))
-    out = rows.mapInArrow(_score(ship(spark, model)), "doc_id long, score double, evidence array<long>, cosines array<double>")
+    out = rows.mapInArrow(tidy(_score(ship(spark, model))), "doc_id long, score double, evidence array<long>, cosines array<double>")
     return out.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "evidence", "cosines")
