@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hostscope.llm.arrays import BYTE_VALUES, LOWER, bounded_batches, mix64, powers, text_slices, word_hashes, word_spans
+from hostscope.llm.arrays import BYTE_VALUES, LOWER, bounded_batches, mix64, powers, text_slices, tidy, word_hashes, word_spans
 from hostscope.llm.common import holdout
 
 #: Chains end with a text and after so many words.
@@ -213,7 +213,7 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
         return None
     rate = F.element_at(F.create_map(*[x for k, n in counts.items() for x in (F.lit(k), F.lit(min(1.0, chains_per_lang / (4 * n))))]), F.col("lang"))
     chosen = rows.where(F.pmod(F.xxhash64("text"), F.lit(1_000_000)) < rate * 1_000_000)
-    sample = chosen.select("lang", "text").mapInArrow(_sample_chains, "lang string, ord long, words binary")
+    sample = chosen.select("lang", "text").mapInArrow(tidy(_sample_chains), "lang string, ord long, words binary")
     got: dict[str, list] = {}
     for lang, _, raw in sorted(map(tuple, sample.collect()), key=lambda r: (r[0], r[1], bytes(r[2]))):
         if len(held := got.setdefault(lang, [])) < chains_per_lang:
@@ -238,5 +238,5 @@ def identify(docs: DataFrame, model=None, id_col: str = "doc_id", text_col: str
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     if model is None:
         return rows.select("doc_id", held.alias("held_out"), F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"))
-    out = rows.mapInArrow(_predictor(model), "doc_id long, lang_pred string, score double")
+    out = rows.mapInArrow(tidy(_predictor(model)), "doc_id long, lang_pred string, score double")
     return out.select("doc_id", held.alias("held_out"), "lang_pred", "score")

@@ -11,7 +11,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hostscope.llm.arrays import bounded_batches, mix64, text_slices, word_hashes, word_spans
+from hostscope.llm.arrays import bounded_batches, mix64, text_slices, tidy, word_hashes, word_spans
 from hostscope.llm.common import written
 from hostscope.llm.components import components
 
@@ -25,7 +25,7 @@ FREQUENT = 64
 FLUSH_TOKENS = 2_000_000
 COUNTER_TOKENS = 1_500_000
 #: Shared tokens are counted in so many classes, to bound overlaps.
-CLASSES = 16
+CLASSES = 32
 #: Star rounds before all remaining pairs of different components are tested.
 STAR_ROUNDS = 3
 
@@ -169,6 +169,8 @@ def _count_tokens(bits: int):
         many = np.diff(np.append(new, len(tokens)))
         count = np.repeat(np.where(np.isin(tokens[new], hot), FREQUENT, np.minimum(many, FREQUENT)), many)
         shared = count > 1
+        if not shared.any():
+            return []
         tokens, places, parts, count = tokens[shared], places[shared], parts[shared], count[shared]
         order = np.argsort(parts, kind="stable")
         tokens, places, parts, count = tokens[order], places[order], parts[order], count[order]
@@ -285,15 +287,19 @@ def _may_link(na: str, ma: str, nb: str, mb: str) -> Column:
     return (F.least(ma, mb) * (100 + PERCENT) >= n * PERCENT) & (F.least(na, nb) * 100 >= F.greatest(na, nb) * PERCENT)
 
 
+def _most(ca: str, cb: str) -> Column:
+    """The most tokens that two sets can share, from their counts by class."""
+    return sum((F.least(F.get(ca, F.lit(k)), F.get(cb, F.lit(k))) for k in range(1, CLASSES)), F.least(F.get(ca, F.lit(0)), F.get(cb, F.lit(0))))
+
+
 def _linked(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     """The pairs (a, b) that pass the exact test, written. Counts by class of token exclude most others before tokens are read."""
     narrow = docs.select("ref", "n", "counts")
     a = narrow.select(F.col("ref").alias("a"), F.col("n").alias("na"), F.col("counts").alias("ca"))
     b = narrow.select(F.col("ref").alias("b"), F.col("n").alias("nb"), F.col("counts").alias("cb"))
-    most = sum((F.least(F.get("ca", F.lit(k)), F.get("cb", F.lit(k))) for k in range(1, CLASSES)), F.least(F.get("ca", F.lit(0)), F.get("cb", F.lit(0))))
-    able = pairs.join(a, "a").join(b, "b").where(most * (100 + PERCENT) >= (F.col("na") + F.col("nb")) * PERCENT).select("a", "b", "na", "nb")
+    able = pairs.join(a, "a").join(b, "b").where(_most("ca", "cb") * (100 + PERCENT) >= (F.col("na") + F.col("nb")) * PERCENT).select("a", "b", "na", "nb")
     able = able.join(docs.select(F.col("ref").alias("a"), F.col("tokens").alias("ta")), "a").join(docs.select(F.col("ref").alias("b"), F.col("tokens").alias("tb")), "b")
-    return written(able.mapInArrow(_verify, "a long, b long, linked boolean").where("linked").select("a", "b"), "links")
+    return written(able.mapInArrow(tidy(_verify), "a long, b long, linked boolean").where("linked").select("a", "b"), "links")
 
 
 def links(docs: DataFrame, tokens: int, text_col: str = "text") -> tuple[DataFrame, DataFrame]:
@@ -302,9 +308,9 @@ def links(docs: DataFrame, tokens: int, text_col: str = "text") -> tuple[DataFra
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-tokens // COUNTER_TOKENS))
     bits = min(20, max(8, (4 * parts - 1).bit_length()))
     flushes = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-tokens // FLUSH_TOKENS))
-    sent = docs.select(F.col(text_col).cast("string").alias("text")).mapInArrow(_send_tokens(bits), _BLOB_SQL)
-    told = sent.repartition(parts, F.col("to")).mapInArrow(_count_tokens(bits), _BLOB_SQL)
-    found = told.repartition(flushes, F.col("to")).mapInArrow(_survivors, "ref long, n long, m long, counts array<int>, tokens binary, signs array<long>")
+    sent = docs.select(F.col(text_col).cast("string").alias("text")).mapInArrow(tidy(_send_tokens(bits)), _BLOB_SQL)
+    told = sent.repartition(parts, F.col("to")).mapInArrow(tidy(_count_tokens(bits)), _BLOB_SQL)
+    found = told.repartition(flushes, F.col("to")).mapInArrow(tidy(_survivors), "ref long, n long, m long, counts array<int>, tokens binary, signs array<long>")
     held = written(found.dropDuplicates(["ref"]), "ngram-docs")
     posts = written(held.select("ref", "n", "m", F.explode("signs").alias("sign")), "ngram-signs")
     found, tested, roots = None, None, None
@@ -361,7 +367,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     spark = docs.sparkSession
     bounded_batches(spark)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    table = written(rows.mapInArrow(_documents, "doc_id long, n_shingles long, ref long"), "ngram-sets")
+    table = written(rows.mapInArrow(tidy(_documents), "doc_id long, n_shingles long, ref long"), "ngram-sets")
     tokens = table.agg(F.sum("n_shingles")).first()[0] or 0
     _, roots = links(rows, int(tokens))
     least = table.where("n_shingles > 0").groupBy("ref").agg(F.min("doc_id").alias("_id"))

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hostscope.llm.arrays import bounded_batches, worker_memo
+from hostscope.llm.arrays import bounded_batches, tidy, worker_memo
 from hostscope.llm.common import ship, shipped
 
 MODEL = "piece_bpe_32k.model"
@@ -19,7 +19,7 @@ MARK = "▁"
 #: A chunk is a run of spaces and the word after it; pieces hold the space mark only at their start, so none crosses.
 CHUNK = re.compile(rb" *[^ ]+| +")
 #: Chunks whose ids a task remembers; it starts anew beyond that.
-CACHE_CHUNKS = 1_000_000
+CACHE_CHUNKS = 300_000
 
 
 class DoubleArray:
@@ -164,8 +164,8 @@ class Pieces:
         split = [CHUNK.findall(b" " + t.encode()) if t else [] for t in texts]
         met = {c for chunks in split for c in chunks}
         new, found = list(met.difference(cache)), {}
-        for x in range(0, len(new), 50_000):
-            found.update(zip(new[x : x + 50_000], self.encode_chunks(new[x : x + 50_000]), strict=True))
+        for x in range(0, len(new), 10_000):
+            found.update(zip(new[x : x + 10_000], self.encode_chunks(new[x : x + 10_000]), strict=True))
         if len(cache) + len(found) <= CACHE_CHUNKS:
             cache.update(found)
             known = cache
@@ -211,4 +211,4 @@ def encode_documents(docs: DataFrame, path: str | None = None, id_col: str = "do
     bounded_batches(spark)
     model = ship(spark, Pieces.from_file(path or public_tokenizers.path(MODEL)))
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(_run(model), "doc_id long, n_tokens long, ids array<int>, round_trip boolean")
+    return rows.mapInArrow(tidy(_run(model)), "doc_id long, n_tokens long, ids array<int>, round_trip boolean")

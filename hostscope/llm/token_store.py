@@ -11,7 +11,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from hostscope.llm.arrays import bounded_batches, text_slices, word_hashes, worker_memo
+from hostscope.llm.arrays import bounded_batches, text_slices, tidy, word_hashes, worker_memo
 from hostscope.llm.common import new_dir, with_small
 
 TOKENIZER = "word_bpe_49k.json"
@@ -230,8 +230,8 @@ def write(docs: DataFrame, path: str | None = None, id_col: str = "doc_id", text
     path = path or public_tokenizers.path(TOKENIZER)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
-    encoded = rows.mapInArrow(_encode(path), _ROWS_SQL).repartition(parts, "address")
-    encoded.mapInArrow(_store, _ROWS_SQL).write.option("compression", "zstd").partitionBy("kind").parquet(f"{store}/raw")
+    encoded = rows.mapInArrow(tidy(_encode(path)), _ROWS_SQL).repartition(parts, "address")
+    encoded.mapInArrow(tidy(_store), _ROWS_SQL).write.option("compression", "zstd").partitionBy("kind").parquet(f"{store}/raw")
     raw = spark.read.schema(_ROWS_SQL).parquet(f"{store}/raw")
     recipes = raw.where("kind = 'recipe'").select("doc_id", "n_tokens", "payload", "root")
     ordered = recipes.repartitionByRange(parts, F.asc_nulls_first("doc_id"), "root").sortWithinPartitions(F.asc_nulls_first("doc_id"), "root")
@@ -304,11 +304,11 @@ def _roots(batches):
 def read(spark, store: str, wide: str = "<u2") -> DataFrame:
     """Reads a store back: doc_id, start, n_tokens, ids_crc32 for every recipe; raises if anything does not fit."""
     raw = spark.read.schema(_ROWS_SQL).parquet(f"{store}/raw")
-    chunks = raw.where("kind = 'chunk'").select("address", "part", "n_tokens", "payload").mapInArrow(_checked(wide), "address binary, part long, n_chunk long, crc long")
+    chunks = raw.where("kind = 'chunk'").select("address", "part", "n_tokens", "payload").mapInArrow(tidy(_checked(wide)), "address binary, part long, n_chunk long, crc long")
     checked = f"{store}/checked-{os.urandom(8).hex()}"
     chunks.write.parquet(checked)  # without payloads; used twice below
     chunks = spark.read.schema("address binary, part long, n_chunk long, crc long").parquet(checked)
-    found = chunks.groupBy("part").agg(F.collect_list("address").alias("addresses")).mapInArrow(_roots, "part long, found binary")
+    found = chunks.groupBy("part").agg(F.collect_list("address").alias("addresses")).mapInArrow(tidy(_roots), "part long, found binary")
     manifest = raw.where("kind = 'manifest' and n_tokens > 0").select("part", "root")
     if not manifest.join(found, "part", "full").where("root is null or found is null or root <> found").isEmpty():
         raise ValueError("a part of the store does not have its manifest's root")
@@ -317,7 +317,7 @@ def read(spark, store: str, wide: str = "<u2") -> DataFrame:
     lines = recipes.select("nth", F.posexplode(F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.substring(F.col("payload"), i * 16 + 1, F.lit(16)))).alias("i", "address"))
     joined = lines.join(chunks.drop("part"), "address", "left")
     by_doc = joined.groupBy("nth").agg(F.collect_list(F.struct("i", F.coalesce("n_chunk", F.lit(-1)).alias("n_chunk"), F.coalesce("crc", F.lit(0)).alias("crc"), "address")).alias("chunks"))
-    sums = by_doc.join(recipes.select("nth", "doc_id", "n_tokens", "root"), "nth").mapInArrow(_rebuilt(_shifts(LONGEST)), "nth long, ids_crc32 long")
+    sums = by_doc.join(recipes.select("nth", "doc_id", "n_tokens", "root"), "nth").mapInArrow(tidy(_rebuilt(_shifts(LONGEST))), "nth long, ids_crc32 long")
     totals = recipes.groupBy("part").agg(F.sum("n_tokens").alias("_n"))
     before = totals.select("part", F.coalesce(F.sum("_n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_start"))
     inside = Window.partitionBy("part").orderBy("nth").rowsBetween(Window.unboundedPreceding, -1)
