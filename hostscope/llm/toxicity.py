@@ -1,26 +1,25 @@
-"""Toxicity by the nearest labelled examples: exact TF-IDF cosine over a block-max inverted index."""
+"""Toxicity by the nearest labelled examples: exact TF-IDF cosine of whole texts over an index of all their terms."""
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hostscope.llm.arrays import SPACES, bounded_batches, mix64, text_slices, tidy, word_hashes, word_spans
-from hostscope.llm.common import holdout, ship, shipped
+from hostscope.llm.common import holdout, ship, shipped, written
 
 #: The classifier is fitted on at most about so many labelled rows of each class.
 EXAMPLES_PER_CLASS = 4000
-#: Terms that set the classes apart, chosen on those rows.
-TERMS = 1024
-LEAST_DF = 4
-#: A term must depart from chance by this much (chi-square), and so large a share of the rows that hold it must be toxic.
-LEAST_CHI, LEAST_PURITY = 12.0, 0.8
 NEIGHBOURS = 15
-BLOCK = 64
-#: Blocks opened before the k-th cosine is known.
-OPENED = 8
+#: Terms in more than this share of the examples are kept as a dense matrix, the others as postings.
+DENSE_SHARE = 0.08
+#: Texts whose cosines with all examples are held at once.
+AT_ONCE = 256
 #: Beginnings of words (bytes) that are terms beside the word itself.
 PREFIXES = (4, 5, 6, 7, 8)
 #: Votes of neighbours count by cosine to this power; the prior has the weight of one vote at PRIOR_COSINE.
@@ -61,81 +60,122 @@ def terms(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return np.repeat(doc, wide), rows[at], np.repeat(count, wide)
 
 
-def _frequencies(batches):
+def counted(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct terms of some texts, sorted; and (text, place of the term, 1 + log count), once a text and term, by text."""
+    doc, term, count = terms(data, offsets)
+    found, back = np.unique(term, return_inverse=True)
+    pairs, back = np.unique(doc * max(len(found), 1) + back, return_inverse=True)
+    doc, place = pairs // max(len(found), 1), pairs % max(len(found), 1)
+    return found, doc, place, 1 + np.log(np.maximum(np.bincount(back, count, len(pairs)), 1))
+
+
+def _lookup(vocabulary: np.ndarray, found: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of terms in a sorted vocabulary, and which of them it holds."""
+    place = np.minimum(np.searchsorted(vocabulary, found), len(vocabulary) - 1)
+    return place, vocabulary[place] == found
+
+
+def _example_terms(batches):
     for batch in batches:
-        label = np.array(batch.column("toxic").to_pylist(), np.int64)
+        ids, label = batch.column("doc_id").to_pylist(), batch.column("toxic").to_pylist()
         for at, end, data, offsets in text_slices(batch):
-            doc, term, _ = terms(data, offsets)
-            pairs = np.unique(np.stack([term, doc.astype(np.uint64)]), axis=1) if len(doc) else np.zeros((2, 0), np.uint64)
-            found, back = np.unique(pairs[0], return_inverse=True)
-            bad = np.bincount(back, label[at:end][pairs[1].astype(np.int64)], len(found)).astype(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64), pa.int64()), pa.array(np.bincount(back, minlength=len(found)), pa.int64()), pa.array(bad, pa.int64())], ["term", "df", "bad"])
+            found, doc, place, tf = counted(data, offsets)
+            cuts = np.searchsorted(doc, np.arange(end - at + 1))
+            spans = list(zip(cuts[:-1], cuts[1:], strict=True))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(ids[at:end], pa.int64()), pa.array(label[at:end], pa.int32()), pa.array([found[place[a:b]].tobytes() for a, b in spans], pa.binary()), pa.array([tf[a:b].astype(np.float32).tobytes() for a, b in spans], pa.binary())],
+                ["doc_id", "toxic", "terms", "tf"],
+            )
 
 
-def _vectors(vocabulary: np.ndarray, idf: np.ndarray, data: np.ndarray, offsets: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Unit TF-IDF vectors over a sorted vocabulary: (terms, weights) of each text; empty where no term occurs."""
-    doc, term, count = terms(data, offsets)
-    place = np.minimum(np.searchsorted(vocabulary, term), len(vocabulary) - 1)
-    known = vocabulary[place] == term
-    n = len(offsets) - 1
-    pairs, back = np.unique(doc[known] * len(vocabulary) + place[known], return_inverse=True)
-    tf = np.bincount(back, count[known], len(pairs))
-    doc, place = pairs // len(vocabulary), pairs % len(vocabulary)
-    weight = (1 + np.log(np.maximum(tf, 1))) * idf[place]
-    norm = np.sqrt(np.bincount(doc, weight * weight, n))
-    weight = (weight / norm[doc] if len(doc) else weight).astype(np.float32)
-    cuts = np.searchsorted(doc, np.arange(n + 1))
-    return [(place[a:b], weight[a:b]) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
-
-
-class BlockMaxIndex:
-    """Postings of examples by term, in blocks of examples, with the greatest weight of each (term, block)."""
+def _frequencies(model):
+    """Documents of this task, and how many of them hold each term of the vocabulary."""
+
+    def run(batches):
+        vocabulary = shipped(model)
+        df, n = np.zeros(len(vocabulary), np.int64), 0
+        for batch in batches:
+            n += batch.num_rows
+            for *_, data, offsets in text_slices(batch):
+                found, _, place, _ = counted(data, offsets)
+                at, known = _lookup(vocabulary, found)
+                df[at[known]] += np.bincount(place, minlength=len(found))[known]
+        if n:
+            yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId()], pa.int64()), pa.array([n], pa.int64()), pa.array([df.tobytes()], pa.binary())], ["task", "n", "df"])
+
+    return run
+
+
+def _summed(batches):
+    total, n = None, 0
+    for batch in batches:
+        for more, raw in zip(batch.column("n").to_pylist(), batch.column("df").to_pylist(), strict=True):
+            df = np.frombuffer(raw, np.int64)
+            total, n = df if total is None else total + df, n + more
+    if n:
+        yield pa.RecordBatch.from_arrays([pa.array([0], pa.int64()), pa.array([n], pa.int64()), pa.array([total.tobytes()], pa.binary())], ["task", "n", "df"])
+
+
+class ExampleIndex:
+    """All terms of the examples: a dense matrix of the frequent ones, postings of the others."""
 
     def __init__(self, vectors: list[tuple[np.ndarray, np.ndarray]], n_terms: int):
-        self.n, self.blocks = len(vectors), -(-max(len(vectors), 1) // BLOCK)
-        example = np.repeat(np.arange(self.n), [len(v[0]) for v in vectors])
+        self.n = len(vectors)
+        example = np.repeat(np.arange(self.n, dtype=np.int32), [len(v[0]) for v in vectors])
         term = np.concatenate([v[0] for v in vectors]) if vectors else np.zeros(0, np.int64)
         weight = np.concatenate([v[1] for v in vectors]) if vectors else np.zeros(0, np.float32)
-        order = np.lexsort((example, term))
+        order = np.argsort(term, kind="stable").astype(np.int32)
         self.example, self.weight = example[order], weight[order]
-        key = term[order] * self.blocks + self.example // BLOCK
-        new = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1]))) if len(key) else np.zeros(0, np.int64)
-        self.start, self.stop = new, np.append(new[1:], len(key))  # of each (term, block)
-        self.block = key[new] % self.blocks
-        self.most = np.maximum.reduceat(self.weight, new) if len(new) else np.zeros(0, np.float32)
-        self.first = np.searchsorted(key[new] // self.blocks, np.arange(n_terms + 1))
+        self.first = np.concatenate(([0], np.cumsum(np.bincount(term, minlength=n_terms))))
+        frequent = np.flatnonzero(np.diff(self.first) > max(DENSE_SHARE * self.n, 1))
+        self.column = np.full(n_terms, -1, np.int32)
+        self.column[frequent] = np.arange(len(frequent))
+        self._dense = None
+
+    def __getstate__(self):
+        return vars(self) | {"_dense": None}
+
+    @property
+    def dense(self) -> np.ndarray:
+        if self._dense is None:
+            frequent = np.flatnonzero(self.column >= 0)
+            self._dense = np.zeros((len(frequent), self.n))
+            at, of = _spans(self.first[frequent], self.first[frequent + 1])
+            self._dense[of, self.example[at]] = self.weight[at]
+        return self._dense
+
+    def nearest_of(self, text: np.ndarray, terms: np.ndarray, weights: np.ndarray, n: int, k: int, skip: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(text, example, cosine) of the k examples of greatest cosine above 0 of each of n texts. Exact.
+
+        By text, greatest first; ties go to the lower number. skip: an example that each text does not see, or -1.
+        """
+        column = self.column[terms]
+        on = column >= 0
+        query = np.zeros((n, len(self.dense)))
+        query[text[on], column[on]] = weights[on]
+        cosine = query @ self.dense
+        rare, own = terms[~on], text[~on]
+        at, of = _spans(self.first[rare], self.first[rare + 1])
+        flat = np.bincount(own[of] * self.n + self.example[at], weights[~on][of] * self.weight[at], n * self.n)
+        cosine += flat.reshape(n, self.n)
+        if skip is not None:
+            some = np.flatnonzero(skip >= 0)
+            cosine[some, skip[some]] = 0
+        least = np.partition(cosine, -k, axis=1)[:, -k] if self.n > k else np.zeros(n)
+        of, example = np.nonzero(cosine >= np.maximum(least - 2e-9, 1e-9)[:, None])
+        found = np.round(cosine[of, example], 9)
+        order = np.lexsort((example, -found, of))
+        of, example, found = of[order], example[order], found[order]
+        best = np.arange(len(of)) - np.searchsorted(of, of) < k
+        return of[best], example[best], found[best]
 
     def nearest(self, terms: np.ndarray, weights: np.ndarray, k: int, skip: int = -1) -> list[tuple[float, int]]:
-        """The k examples of greatest cosine above 0, greatest first; ties go to the lower number. Exact.
+        """The same of one text: (cosine, example)."""
+        _, example, cosine = self.nearest_of(np.zeros(len(terms), np.int64), np.asarray(terms), np.asarray(weights, np.float64), 1, k, np.array([skip]))
+        return [(float(c), int(i)) for c, i in zip(cosine, example, strict=True)]
 
-        The blocks of greatest upper bound (sum of weight times block maximum) are opened first; then all whose bound
-        reaches the k-th cosine found. No other block can hold a nearer example.
-        """
-        entry, of = _spans(self.first[terms], self.first[terms + 1])
-        if not len(entry):
-            return []
-        w = weights[of].astype(np.float64)
-        bound = np.bincount(self.block[entry], w * self.most[entry], self.blocks)
-        first = np.zeros(self.blocks, bool)
-        first[np.argpartition(-bound, min(OPENED, self.blocks - 1))[:OPENED]] = True
-        cosine = self._score(entry, w, first)
-        if skip >= 0:
-            cosine[skip] = 0
-        least = np.partition(cosine, -k)[-k] if len(cosine) > k else 0.0
-        rest = (bound + 1e-6 >= max(least, 1e-12)) & ~first
-        if rest.any():
-            cosine += self._score(entry, w, rest)
-            if skip >= 0:
-                cosine[skip] = 0
-        cosine = np.round(cosine, 9)
-        some = np.flatnonzero(cosine > 0)
-        best = some[np.lexsort((some, -cosine[some]))[:k]]
-        return [(float(cosine[i]), int(i)) for i in best]
-
-    def _score(self, entry: np.ndarray, w: np.ndarray, opened: np.ndarray) -> np.ndarray:
-        on = opened[self.block[entry]]
-        at, of = _spans(self.start[entry[on]], self.stop[entry[on]])
-        return np.bincount(self.example[at], w[on][of] * self.weight[at], self.n)
+
+BlockMaxIndex = ExampleIndex
 
 
 def _spans(start: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -145,15 +185,10 @@ def _spans(start: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return np.arange(len(of)) + np.repeat(start - (np.cumsum(many) - many), many), of
 
 
-def vote(near: list[tuple[float, int]], labels: np.ndarray, worth: np.ndarray, prior: float) -> float:
-    """The share of toxic neighbours, each weighing its cosine to a power times its worth, with a prior vote."""
-    own = PRIOR_COSINE**POWER
-    total, bad = own, own * prior
-    for c, i in near:
-        w = c**POWER * worth[i]
-        total += w
-        bad += w * labels[i]
-    return bad / total
+def votes(text: np.ndarray, example: np.ndarray, cosine: np.ndarray, n: int, labels: np.ndarray, worth: np.ndarray, prior: float) -> np.ndarray:
+    """Each text's share of toxic neighbours, each weighing its cosine to a power times its worth, with a prior vote."""
+    own, w = PRIOR_COSINE**POWER, cosine**POWER * worth[example]
+    return (np.bincount(text, w * labels[example], n) + own * prior) / (np.bincount(text, w, n) + own)
 
 
 def calibrate(raw: np.ndarray, label: np.ndarray, worth: np.ndarray) -> tuple[float, float]:
@@ -172,37 +207,68 @@ def calibrate(raw: np.ndarray, label: np.ndarray, worth: np.ndarray) -> tuple[fl
     return max(a, 1e-3), b
 
 
-def _example_vectors(vocabulary, idf):
+def _lists(values: np.ndarray, owner: np.ndarray, n: int, kind: pa.DataType) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array(np.searchsorted(owner, np.arange(n + 1)), pa.int32()), pa.array(values, kind))
+
+
+def _search(model, skip: bool = False):
+    """The nearest examples of each text by its known terms, the square of their norm, and its terms in no example."""
+
     def run(batches):
+        vocabulary, idf, index, ids = shipped(model)
+        number = {d: i for i, d in enumerate(ids)} if skip else {}
         for batch in batches:
-            ids, label = batch.column("doc_id").to_pylist(), batch.column("toxic").to_pylist()
+            docs = batch.column("doc_id").to_pylist()
             for at, end, data, offsets in text_slices(batch):
-                v = _vectors(vocabulary, idf, data, offsets)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(ids[at:end], pa.int64()), pa.array(label[at:end], pa.int32()), pa.array([x[0].tolist() for x in v], pa.list_(pa.int64())), pa.array([x[1].tolist() for x in v], pa.list_(pa.float32()))],
-                    ["doc_id", "toxic", "terms", "weights"],
-                )
+                for a in range(0, end - at, AT_ONCE):
+                    b = min(a + AT_ONCE, end - at)
+                    n = b - a
+                    found, doc, place, tf = counted(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
+                    where, known = _lookup(vocabulary, found)
+                    on = known[place]
+                    text, term = doc[on], where[place[on]]
+                    weight = tf[on] * idf[term]
+                    inner = np.bincount(text, weight * weight, n)
+                    not_seen = np.array([number.get(d, -1) for d in docs[at + a : at + b]], np.int64) if skip else None
+                    of, example, cosine = index.nearest_of(text, term, weight / np.sqrt(inner)[text], n, NEIGHBOURS, not_seen)
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            pa.array(docs[at + a : at + b], pa.int64()),
+                            pa.array(inner, pa.float64()),
+                            _lists(example, of, n, pa.int32()),
+                            _lists(cosine, of, n, pa.float64()),
+                            _lists(found[place[~on]].view(np.int64), doc[~on], n, pa.int64()),
+                            _lists(tf[~on].astype(np.float32), doc[~on], n, pa.float32()),
+                        ],
+                        ["doc_id", "inner", "near", "cosine", "other", "other_tf"],
+                    )
 
     return run
 
 
-def _score(model):
-    def run(batches):
-        vocabulary, idf, index, ids, labels, worth, prior, (slope, offset) = shipped(model)
+_FOUND = "doc_id long, inner double, near array<int>, cosine array<double>, other array<long>, other_tf array<float>"
+
+
+def _flat(column: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
+    many = np.array(column.value_lengths().to_pylist(), np.int64)
+    return np.repeat(np.arange(len(many)), many), column.flatten().to_numpy(zero_copy_only=False)
 
-        def final(raw: float) -> float:
-            return float(1 / (1 + np.exp(-np.clip(slope * np.log(raw / (1 - raw)) + offset, -30, 30))))
 
+def _final(model):
+    """Scores from the nearest examples; outer: the square of the norm that a text's other terms add."""
+
+    def run(batches):
+        ids, labels, worth, prior, (slope, offset) = shipped(model)
         for batch in batches:
-            score, evidence, cosines = [], [], []
-            for *_, data, offsets in text_slices(batch):
-                for t, w in _vectors(vocabulary, idf, data, offsets):
-                    near = index.nearest(t, w, NEIGHBOURS) if len(t) else []
-                    score.append(final(min(max(vote(near, labels, worth, prior), 1e-4), 1 - 1e-4)))
-                    evidence.append([ids[i] for _, i in near[:5]])
-                    cosines.append([c for c, _ in near[:5]])
+            n = batch.num_rows
+            text, example = _flat(batch.column("near"))
+            inner, outer = batch.column("inner").to_numpy(zero_copy_only=False), batch.column("outer").to_numpy(zero_copy_only=False)
+            cosine = _flat(batch.column("cosine"))[1] * np.sqrt(inner[text] / (inner + outer)[text])
+            raw = np.clip(votes(text, example, cosine, n, labels, worth, prior), 1e-4, 1 - 1e-4)
+            score = 1 / (1 + np.exp(-np.clip(slope * np.log(raw / (1 - raw)) + offset, -30, 30)))
+            shown = np.arange(len(text)) - np.searchsorted(text, text) < 5
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(score, pa.float64()), pa.array(evidence, pa.list_(pa.int64())), pa.array(cosines, pa.list_(pa.float64()))],
+                [batch.column("doc_id"), pa.array(score, pa.float64()), _lists(ids[example[shown]], text[shown], n, pa.int64()), _lists(cosine[shown], text[shown], n, pa.float64())],
                 ["doc_id", "score", "evidence", "cosines"],
             )
 
@@ -213,9 +279,10 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     """Vocabulary, index, labels and calibration from at most about per_class learnable rows of each class.
 
     Rows are chosen by a hash of their id at a rate from the class's count, so the sample does not grow with the table.
-    Terms are those whose share of toxic rows departs most from the whole sample's (chi-square). None without both
-    classes.
+    The index holds all terms of these rows; their document frequencies are counted over all documents. None without
+    both classes.
     """
+    spark = docs.sparkSession
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     known = labels.where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("toxic").alias("toxic"))
     known = known.where(~holdout(F.col("doc_id")))
@@ -225,40 +292,48 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     share = {k: min(1.0, per_class / n) for k, n in counts.items()}
     pick = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < F.when(F.col("toxic") == 1, share[1]).otherwise(share[0]) * 1_000_000
     chosen = known.where(pick)
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text")).join(F.broadcast(chosen), "doc_id")
-    sums = rows.select("text", "toxic").mapInArrow(tidy(_frequencies), "term long, df long, bad long").groupBy("term").agg(F.sum("df").alias("df"), F.sum("bad").alias("bad"))
-    n = {r[0]: r[1] for r in rows.groupBy("toxic").count().collect()}
-    n_bad, n_all = n.get(1, 0), sum(n.values())
-    if not n_bad or n_bad == n_all:
+    rows = written(docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text")).join(F.broadcast(chosen), "doc_id"), "toxicity-examples")
+    parts = rows.mapInArrow(tidy(_example_terms), "doc_id long, toxic int, terms binary, tf binary").toLocalIterator()  # less at once than collect
+    got = sorted(map(tuple, parts))
+    ids, label = np.array([r[0] for r in got], np.int64), np.array([r[1] for r in got], np.float64)
+    if not len(got) or label.min() == label.max():
         return None
-    p = n_bad / n_all
-    excess = F.col("bad") - F.col("df") * p
-    chi = excess * excess * n_all / (F.col("df") * (n_all - F.col("df")) * p * (1 - p))
-    pure = F.col("bad") >= F.col("df") * (p + LEAST_PURITY * (1 - p))
-    top = sums.where((F.col("df") >= LEAST_DF) & (F.col("df") < n_all) & (excess > 0) & pure).select("term", "df", chi.alias("chi")).where(F.col("chi") > LEAST_CHI)
-    top = top.orderBy(F.desc("chi"), "term").limit(TERMS).collect()
-    if not top:
+    hashes, tfs = [np.frombuffer(r[2], np.uint64) for r in got], [np.frombuffer(r[3], np.float32) for r in got]
+    vocabulary = np.unique(np.concatenate(hashes))
+    if not len(vocabulary):
         return None
-    pairs = sorted((r[0] & (1 << 64) - 1, r[1]) for r in top)
-    vocabulary = np.array([x[0] for x in pairs], np.uint64)
-    idf = np.log((1 + n_all) / (1 + np.array([x[1] for x in pairs]))) + 1
-    got = sorted(map(tuple, rows.mapInArrow(tidy(_example_vectors(vocabulary, idf)), "doc_id long, toxic int, terms array<long>, weights array<float>").collect()))
-    ids, label = [r[0] for r in got], np.array([r[1] for r in got], np.float64)
-    vectors = [(np.array(r[2], np.int64), np.array(r[3], np.float32)) for r in got]
-    index = BlockMaxIndex(vectors, len(vocabulary))
+    places = [np.searchsorted(vocabulary, h).astype(np.int32) for h in hashes]
+    del got, hashes
+    texts = docs.select(text.alias("text"))
+    kind = "task long, n long, df binary"
+    groups = max(1, math.isqrt(texts.rdd.getNumPartitions()))
+    sums = texts.mapInArrow(tidy(_frequencies(ship(spark, vocabulary))), kind).repartition(groups, F.col("task")).mapInArrow(tidy(_summed), kind).collect()
+    n_all, df = sum(r[1] for r in sums), sum(np.frombuffer(r[2], np.int64) for r in sums)
+    idf = np.log((1 + n_all) / (1 + df)) + 1
+    vectors = []
+    for place, tf in zip(places, tfs, strict=True):
+        w = tf * idf[place]
+        vectors.append((place, (w / np.sqrt(np.sum(w * w))).astype(np.float32)))
+    index = ExampleIndex(vectors, len(vocabulary))
+    del places, tfs, vectors
+    searched = ship(spark, (vocabulary, idf, index, ids))
     worth = np.where(label == 1, 1 / share[1], 1 / share[0])
     worth /= worth.mean()
     prior = float(np.sum(worth * label) / np.sum(worth))
-    raw = np.array([vote(index.nearest(t, w, NEIGHBOURS, skip=i), label, worth, prior) for i, (t, w) in enumerate(vectors)])
-    return vocabulary, idf, index, ids, label, worth, prior, calibrate(raw, label, worth)
+    near = {r[0]: (r[1], r[2]) for r in rows.mapInArrow(tidy(_search(searched, skip=True)), _FOUND).select("doc_id", "near", "cosine").collect()}
+    of = np.repeat(np.arange(len(ids)), [len(near[d][0]) for d in ids.tolist()])
+    example, cosine = (np.concatenate([np.array(near[d][j], kind) for d in ids.tolist()]) for j, kind in ((0, np.int64), (1, np.float64)))
+    raw = votes(of, example, cosine, len(ids), label, worth, prior)
+    return searched, ship(spark, (ids, label, worth, prior, calibrate(raw, label, worth))), n_all
 
 
 def score(docs: DataFrame, labels: DataFrame, model=None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The toxicity of every document: doc_id, held_out, score, predicted, evidence, cosines.
 
-    evidence: ids of the nearest labelled examples, nearest first, with their cosines. Null, blank and termless texts
-    have no neighbours and get the calibrated prior; without learnable examples of both classes all scores are 0;
-    repeated rows score alike; an empty table gives an empty result; other columns are ignored.
+    Cosines are those of whole texts: terms that no example holds count in a text's norm, by their document frequency
+    over all documents. evidence: ids of the nearest labelled examples, nearest first, with their cosines. Null, blank
+    and termless texts have no neighbours and get the calibrated prior; without learnable examples of both classes all
+    scores are 0; repeated rows score alike; an empty table gives an empty result; other columns are ignored.
     """
     spark = docs.sparkSession
     bounded_batches(spark)
@@ -267,5 +342,11 @@ def score(docs: DataFrame, labels: DataFrame, model=None, id_col: str = "doc_id"
     held = holdout(F.col("doc_id"))
     if model is None:
         return rows.select("doc_id", held.alias("held_out"), F.lit(0.0).alias("score"), F.lit(0).alias("predicted"), F.array().cast("array<bigint>").alias("evidence"), F.array().cast("array<double>").alias("cosines"))
-    out = rows.mapInArrow(tidy(_score(ship(spark, model))), "doc_id long, score double, evidence array<long>, cosines array<double>")
+    searched, judged, n = model
+    found = written(rows.mapInArrow(tidy(_search(searched)), _FOUND).withColumn("row", F.monotonically_increasing_id()), "toxicity")
+    pairs = found.select("row", F.explode(F.arrays_zip("other", "other_tf")).alias("pair")).select("row", F.col("pair.other").alias("term"), F.col("pair.other_tf").cast("double").alias("tf"))
+    weight = F.col("tf") * (F.log(F.lit(1.0 + n) / (F.col("df") + 1)) + 1)
+    outer = pairs.join(pairs.groupBy("term").agg(F.count("*").alias("df")), "term").groupBy("row").agg(F.sum(weight * weight).alias("outer"))
+    whole = found.select("row", "doc_id", "inner", "near", "cosine").join(outer, "row", "left").select("doc_id", "inner", "near", "cosine", F.coalesce("outer", F.lit(0.0)).alias("outer"))
+    out = whole.mapInArrow(tidy(_final(judged)), "doc_id long, score double, evidence array<long>, cosines array<double>")
     return out.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "evidence", "cosines")

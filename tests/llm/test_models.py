@@ -292,6 +292,32 @@ def test_toxicity(spark, make, odd):
     assert toxicity.score(make([]), labels).count() == 0
 
 
+def test_toxicity_cosines_are_of_whole_texts(spark, make):
+    rng = np.random.default_rng(1)
+    texts = [" ".join([f"w{k}" for k in rng.integers(0, 80, 20)] + (["badword"] if i % 5 == 0 else []) + [f"only{i}"]) for i in range(300)]
+    labels = spark.createDataFrame([(i, int(i % 5 == 0)) for i in range(200)], "doc_id long, toxic int")
+    bags = []
+    for t in texts:
+        data = np.frombuffer(t.encode(), np.uint8)
+        _, term, count = toxicity.terms(data, np.array([0, len(data)]))
+        bag = defaultdict(int)
+        for h, c in zip(term.tolist(), count.tolist(), strict=True):
+            bag[h] += c
+        bags.append(bag)
+    df = defaultdict(int)
+    for bag in bags:
+        for h in bag:
+            df[h] += 1
+    weights = [{h: (1 + np.log(c)) * (np.log(301 / (1 + df[h])) + 1) for h, c in bag.items()} for bag in bags]
+    norm = [np.sqrt(sum(w * w for w in x.values())) for x in weights]
+    out = {r.doc_id: r for r in toxicity.score(make(list(enumerate(texts))), labels).collect()}
+    learnt = [i for i in range(200) if not out[i].held_out]
+    for i in range(0, 300, 7):
+        want = {j: sum(w * weights[j].get(h, 0) for h, w in weights[i].items()) / norm[i] / norm[j] for j in learnt}
+        assert out[i].cosines == pytest.approx(sorted(want.values())[::-1][:5], abs=1e-6)
+        assert out[i].cosines == pytest.approx([want[j] for j in out[i].evidence], abs=1e-6)
+
+
 def test_lm_prefers_what_it_has_seen(make):
     rng = np.random.default_rng(0)
     words = [f"w{k}" for k in range(30)]
