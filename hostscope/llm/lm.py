@@ -1,4 +1,4 @@
-"""Document scores by masked pseudo-likelihood of a bidirectional window network, trained in numpy."""
+"""Document scores by masked pseudo-likelihood: a bidirectional window network over classes, all words by count."""
 
 from __future__ import annotations
 
@@ -11,11 +11,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hostscope.llm.arrays import bounded_batches, text_slices, tidy, word_hashes, word_spans
-from hostscope.llm.common import ship, shipped
+from hostscope.llm.common import ship, shipped, written
 
 #: Classes of tokens: one for the edge of a text, the most frequent words, and tails of all other words by hash.
 HEAD, TAILS = 191, 64
 CLASSES = 1 + HEAD + TAILS
+#: At most so many of the most frequent words are sent to all tasks with their counts; the others' are joined.
+SENT_WORDS = 1 << 18
 #: Words seen on each side, width of a word's vector and of the hidden layer.
 SIDE, WIDTH, HIDDEN = 2, 12, 24
 #: Each round trains on one in STRIDE positions of every text, other positions each time.
@@ -31,11 +33,42 @@ def _counts(batches):
             yield pa.RecordBatch.from_arrays([pa.array(word.view(np.int64), pa.int64()), pa.array(n, pa.int64())], ["word", "n"])
 
 
-def vocabulary(docs: DataFrame) -> np.ndarray:
-    """The HEAD most frequent words of the whole corpus (hashes, sorted)."""
-    sums = docs.select("text").mapInArrow(tidy(_counts), "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
+def vocabulary(docs: DataFrame) -> tuple[np.ndarray, DataFrame]:
+    """The HEAD most frequent words of the whole corpus (hashes, sorted); and the counts of all words: word, n."""
+    sums = written(docs.select("text").mapInArrow(tidy(_counts), "word long, n long").groupBy("word").agg(F.sum("n").alias("n")), "lm-words")
     top = sums.orderBy(F.desc("n"), "word").limit(HEAD).collect()
-    return np.sort(np.array([r[0] & (1 << 64) - 1 for r in top], np.uint64))
+    return np.sort(np.array([r[0] & (1 << 64) - 1 for r in top], np.uint64)), sums
+
+
+def _tail(word):
+    """The tail of a word's hash as Spark holds it (signed)."""
+    return word.bitwiseAND(F.lit(TAILS - 1))
+
+
+def within_tails(head: np.ndarray, sums: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """What p(word | class) needs: distinct words and all tokens of each tail; the most frequent words and their counts.
+
+    A head word is the only one of its class. In a tail of N tokens and T words (at least 1), a word of n tokens has
+    n / (N + T), and all words that the corpus does not hold have T / (N + T) together.
+    """
+    own = head.view(np.int64).tolist()
+    rest = sums.where(~F.col("word").isin(own)) if own else sums
+    kinds, tokens = np.ones(TAILS), np.zeros(TAILS)
+    for r in rest.groupBy(_tail(F.col("word")).alias("tail")).agg(F.count("*").alias("kinds"), F.sum("n").alias("tokens")).collect():
+        kinds[r.tail], tokens[r.tail] = r.kinds, r.tokens
+    level = F.floor(F.log2("n") * 8)
+    least, many = None, 0
+    for r in sorted(rest.groupBy(level.alias("level")).agg(F.count("*").alias("words"), F.min("n").alias("least")).collect(), key=lambda r: -r.level):
+        many += r.words
+        if many > SENT_WORDS:
+            break
+        least = r.least
+    if least is None:
+        return kinds, tokens, np.zeros(0, np.uint64), np.zeros(0)
+    sent = rest.where(F.col("n") >= least).toArrow()
+    word, n = sent.column("word").to_numpy().view(np.uint64), sent.column("n").to_numpy().astype(np.float64)
+    order = np.argsort(word)
+    return kinds, tokens, word[order], n[order]
 
 
 def classes(head: np.ndarray, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -133,15 +166,15 @@ def _mean(batches):
         yield pa.RecordBatch.from_arrays([pa.array([0], pa.int64()), pa.array([seen], pa.int64()), pa.array([(total / seen).astype(np.float32).tobytes()], pa.binary())], ["task", "seen", "weights"])
 
 
-def fit(docs: DataFrame, text_col: str = "text") -> tuple[np.ndarray, list[np.ndarray]]:
-    """Trains on positions of every text: in each round every task trains from the common weights, then all are averaged.
+def fit(docs: DataFrame, text_col: str = "text") -> tuple[np.ndarray, list[np.ndarray], DataFrame]:
+    """Head words, weights and the counts of all words. Trains on positions of every text: in each round every task trains from the common weights, then all are averaged.
 
     Copies are averaged in about the square root of their number of tasks first, so the driver gets few of them.
     """
     spark = docs.sparkSession
     bounded_batches(spark)
     texts = docs.select(F.col(text_col).cast("string").alias("text"))
-    head, weights = vocabulary(texts), start_weights()
+    (head, sums), weights = vocabulary(texts), start_weights()
     kind = "task long, seen long, weights binary"
     groups = max(1, math.isqrt(texts.rdd.getNumPartitions()))
     for nth in range(ROUNDS):
@@ -152,22 +185,45 @@ def fit(docs: DataFrame, text_col: str = "text") -> tuple[np.ndarray, list[np.nd
         flat = sum(np.frombuffer(r[2], np.float32).astype(np.float64) * r[1] for r in got) / sum(r[1] for r in got)
         cuts = np.cumsum([x.size for x in weights])[:-1]
         weights = [x.astype(np.float32).reshape(y.shape) for x, y in zip(np.split(flat, cuts), weights, strict=True)]
-    return head, weights
+    return head, weights, sums
+
+
+def _listed(values: np.ndarray, owner: np.ndarray, n: int, kind: pa.DataType) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array(np.searchsorted(owner, np.arange(n + 1)), pa.int32()), pa.array(values, kind))
 
 
 def _scorer(model):
+    """Sums of log p(class | both sides), and of log p(word | class) but for the counts of words that were not sent."""
+
     def run(batches):
-        head, w = shipped(model)
+        head, w, (kinds, tokens_of, sent, sent_n) = shipped(model)
+        whole = np.log(tokens_of + kinds)
         for batch in batches:
-            n, total = [], []
+            ids = batch.column("doc_id")
             for at, end, data, offsets in text_slices(batch):
                 tokens, begin = classes(head, data, offsets)
                 inside = np.flatnonzero(tokens)
                 logs = log_probabilities(w, tokens, inside).astype(np.float64)
                 text = np.searchsorted(begin, inside, "right") - 1
-                n += np.bincount(text, minlength=end - at).tolist()
-                total += np.bincount(text, logs, end - at).tolist()
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(total, pa.float64())], ["doc_id", "n_tokens", "log_prob"])
+                n = np.bincount(text, minlength=end - at)
+                starts, ends, _ = word_spans(data, offsets)
+                tail = tokens[inside] > HEAD
+                words, back = np.unique(word_hashes(data, starts[tail], ends[tail], lower=True), return_inverse=True)
+                add = -whole[(words % np.uint64(TAILS)).astype(np.int64)]
+                rare = np.ones(len(words), bool)
+                if len(sent):
+                    place = np.minimum(np.searchsorted(sent, words), len(sent) - 1)
+                    rare = sent[place] != words
+                    add += np.where(rare, 0.0, np.log(sent_n[place]))
+                logs[tail] += add[back]
+                total = np.bincount(text, logs, end - at)
+                open_ = rare[back]
+                pairs, times = np.unique(text[tail][open_] * max(len(words), 1) + back[open_], return_counts=True)
+                owner, word = pairs // max(len(words), 1), words[pairs % max(len(words), 1)].view(np.int64)
+                yield pa.RecordBatch.from_arrays(
+                    [ids.slice(at, end - at), pa.array(n, pa.int64()), pa.array(total, pa.float64()), _listed(word, owner, end - at, pa.int64()), _listed(times, owner, end - at, pa.int64())],
+                    ["doc_id", "n_tokens", "log_prob", "word", "times"],
+                )
 
     return run
 
@@ -175,12 +231,19 @@ def _scorer(model):
 def score(docs: DataFrame, model=None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The masked pseudo-likelihood of every document: doc_id, n_tokens, log_prob (sum), mean_log_prob.
 
-    Every word of the whole text is predicted from the two words on either side. Null or blank text has no tokens, sum
-    0 and a null mean; repeated rows score alike; an empty table gives an empty result; other columns are ignored.
+    Every word of the whole text is predicted from the two words on either side: its class by the network, the word in
+    its class by the counts of all words of the corpus. Null or blank text has no tokens, sum 0 and a null mean;
+    repeated rows score alike; an empty table gives an empty result; other columns are ignored.
     """
     spark = docs.sparkSession
     bounded_batches(spark)
-    model = model or fit(docs, text_col)
+    head, weights, sums = model or fit(docs, text_col)
+    kinds, *rest = within_tails(head, sums)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    out = rows.mapInArrow(tidy(_scorer(ship(spark, model))), "doc_id long, n_tokens long, log_prob double")
+    kind = "doc_id long, n_tokens long, log_prob double, word array<long>, times array<long>"
+    found = written(rows.mapInArrow(tidy(_scorer(ship(spark, (head, weights, (kinds, *rest))))), kind).withColumn("row", F.monotonically_increasing_id()), "lm-scores")
+    pairs = found.select("row", F.explode(F.arrays_zip("word", "times")).alias("pair")).select("row", F.col("pair.word").alias("word"), F.col("pair.times").alias("times"))
+    unseen = F.element_at(F.array(*[F.lit(float(k)) for k in kinds]), (_tail(F.col("word")) + 1).cast("int"))
+    more = pairs.join(sums, "word", "left").groupBy("row").agg(F.sum(F.col("times") * F.log(F.coalesce(F.col("n").cast("double"), unseen))).alias("more"))
+    out = found.select("row", "doc_id", "n_tokens", "log_prob").join(more, "row", "left").select("doc_id", "n_tokens", (F.col("log_prob") + F.coalesce("more", F.lit(0.0))).alias("log_prob"))
     return out.withColumn("mean_log_prob", F.when(F.col("n_tokens") > 0, F.col("log_prob") / F.col("n_tokens")))

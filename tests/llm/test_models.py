@@ -331,6 +331,20 @@ def test_lm_prefers_what_it_has_seen(make):
     assert lm.score(make([])).count() == 0
 
 
+@pytest.mark.parametrize("sent", [0, 1 << 18])
+def test_lm_tells_words_of_a_class_apart(make, monkeypatch, sent):
+    monkeypatch.setattr(lm, "SENT_WORDS", sent)
+    words = [f"w{k}" for k in range(2000)]
+    tail = lambda w: int(word_hashes(np.frombuffer(w.encode(), np.uint8), np.array([0]), np.array([len(w)]), lower=True)[0]) % lm.TAILS
+    one = [w for w in words if tail(w) == 0]
+    rows = [(i, " ".join([f"h{k}" for k in range(lm.HEAD)] * 20)) for i in range(2)] + [(9, " ".join([one[0]] * 9 + one[1:] + [w for w in words if w not in one]))]
+    model = lm.fit(make(rows))
+    new = next(w for k in range(10_000) if tail(w := f"new{k}") == 0)
+    got = {r.doc_id: r.log_prob for r in lm.score(make([(1, one[0]), (2, one[1]), (3, new), (4, f"{one[0]} {one[1]}"), (4, None)]), model).collect() if r.n_tokens == 1}
+    assert got[1] - got[2] == pytest.approx(np.log(9), abs=1e-6)
+    assert got[3] - got[2] == pytest.approx(np.log(len(one)), abs=1e-6)
+
+
 def test_lm_probabilities_add_up():
     w = lm.start_weights()
     tokens = np.array([0, 0, 5, 9, 0, 0])
