@@ -20,8 +20,8 @@ CLASSES = 1 + HEAD + TAILS
 SENT_WORDS = 1 << 18
 #: Words seen on each side, width of a word's vector and of the hidden layer.
 SIDE, WIDTH, HIDDEN = 2, 12, 24
-#: Each round trains on one in STRIDE positions of every text, other positions each time.
-ROUNDS, STRIDE, STEP = 3, 24, 512
+#: Each round trains on one in ROUNDS positions of every text, other positions each time: all of them once in the end.
+ROUNDS, STEP = 3, 512
 RATE = 0.05
 
 
@@ -128,13 +128,21 @@ def train_on(w: list[np.ndarray], sums: list[np.ndarray], tokens: np.ndarray, at
         p[np.arange(len(some)), tokens[some]] -= 1
         p /= len(some)
         dh = (p @ w[3].T) * (1 - h * h)
-        grads = [np.zeros_like(w[0]), x.T @ dh, dh.sum(axis=0), h.T @ p, p.sum(axis=0)]
-        np.add.at(grads[0], around.ravel(), (dh @ w[1].T).reshape(-1, WIDTH))
+        cells = (around.reshape(-1, 1) * WIDTH + np.arange(WIDTH)).ravel()
+        vectors = np.bincount(cells, (dh @ w[1].T).ravel(), w[0].size).reshape(w[0].shape).astype(np.float32)
+        grads = [vectors, x.T @ dh, dh.sum(axis=0), h.T @ p, p.sum(axis=0)]
         for weight, total, g in zip(w, sums, grads, strict=True):
             total += g * g
             weight -= RATE * g / np.sqrt(total)
 
 
+def positions(tokens: np.ndarray, begin: np.ndarray, nth: int) -> np.ndarray:
+    """The places that a round trains on, counted from each text's own beginning."""
+    inside = np.flatnonzero(tokens)
+    text = np.searchsorted(begin, inside, "right") - 1
+    return inside[(inside - begin[text] + text) % ROUNDS == nth]
+
+
 def _train(model, nth: int):
     """Each task trains a copy on its texts; texts are taken in the order they come."""
 
@@ -144,8 +152,7 @@ def _train(model, nth: int):
         for batch in batches:
             for *_, data, offsets in text_slices(batch):
                 tokens, begin = classes(head, data, offsets)
-                inside = np.flatnonzero(tokens)
-                at = inside[(inside + nth * (STRIDE // ROUNDS)) % STRIDE == 0]
+                at = positions(tokens, begin, nth)
                 train_on(w, sums, tokens, at)
                 seen += len(at)
         if seen:
@@ -167,7 +174,7 @@ def _mean(batches):
 
 
 def fit(docs: DataFrame, text_col: str = "text") -> tuple[np.ndarray, list[np.ndarray], DataFrame]:
-    """Head words, weights and the counts of all words. Trains on positions of every text: in each round every task trains from the common weights, then all are averaged.
+    """Head words, weights and the counts of all words. Trains on every position of every text once: in each round every task trains from the common weights, then all are averaged.
 
     Copies are averaged in about the square root of their number of tasks first, so the driver gets few of them.
     """

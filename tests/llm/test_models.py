@@ -345,6 +345,14 @@ def test_lm_tells_words_of_a_class_apart(make, monkeypatch, sent):
     assert got[3] - got[2] == pytest.approx(np.log(len(one)), abs=1e-6)
 
 
+def test_lm_trains_on_every_position():
+    texts = [b"one", b"two words", b"", b"a b c d e f g h i j k"]
+    offsets = np.concatenate(([0], np.cumsum([len(t) for t in texts])))
+    tokens, begin = lm.classes(np.zeros(0, np.uint64), np.frombuffer(b"".join(texts), np.uint8), offsets)
+    at = np.concatenate([lm.positions(tokens, begin, nth) for nth in range(lm.ROUNDS)])
+    assert sorted(at.tolist()) == np.flatnonzero(tokens).tolist()
+
+
 def test_lm_probabilities_add_up():
     w = lm.start_weights()
     tokens = np.array([0, 0, 5, 9, 0, 0])
