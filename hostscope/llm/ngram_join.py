@@ -26,8 +26,8 @@ FLUSH_TOKENS = 2_000_000
 COUNTER_TOKENS = 1_500_000
 #: Shared tokens are counted in so many classes, to bound overlaps.
 CLASSES = 32
-#: Star rounds before all remaining pairs of different components are tested.
-STAR_ROUNDS = 3
+#: Two sets link if they differ in at most this share of the sum of their sizes: _NARROW / _WIDE.
+_WIDE, _NARROW = 100 + PERCENT, 100 - PERCENT
 
 _MULT = [mix64(np.array([k + 1], np.uint64))[0] | np.uint64(1) for k in range(SHINGLE + 1)]
 
@@ -53,10 +53,14 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray) -> Iterator[np.ndarray]:
             yield np.zeros(0, np.uint64)
 
 
-def set_id(s: np.ndarray) -> int:
-    """A 63-bit name of a set; equal sets share it."""
-    total = np.add.reduce(mix64(s ^ np.uint64(0x9E3779B97F4A7C15)), keepdims=True) + np.array([len(s)], np.uint64)
-    return int(mix64(total)[0] >> np.uint64(1))
+#: Fixed values that make the two halves of a set's name differ.
+_HALVES = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
+
+
+def set_id(s: np.ndarray) -> bytes:
+    """A 128-bit name of a set; equal sets share it."""
+    halves = [mix64(np.add.reduce(mix64(s ^ salt), keepdims=True) + np.array([len(s)], np.uint64)) for salt in _HALVES]
+    return np.concatenate(halves).tobytes()
 
 
 def _documents(batches):
@@ -66,7 +70,7 @@ def _documents(batches):
             for s in shingle_sets(data, offsets):
                 n.append(len(s))
                 ref.append(set_id(s))
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(ref, pa.int64())], ["doc_id", "n_shingles", "ref"])
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(ref, pa.binary())], ["doc_id", "n_shingles", "ref"])
 
 
 _BLOB = pa.schema([("to", pa.int64()), ("kind", pa.int32()), ("part", pa.int64()), ("payload", pa.binary())])
@@ -103,7 +107,7 @@ def _read_pairs(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
 def _send_tokens(bits: int):
     """Map side: a flush of documents becomes one blob of (token, document) for each of 2**bits counters."""
 
-    def flush(part: int, sets: list[np.ndarray], heads: list[tuple]) -> pa.RecordBatch:
+    def flush(part: int, sets: list[np.ndarray], heads: list[tuple], names: list[bytes]) -> pa.RecordBatch:
         tokens = np.concatenate(sets)
         places = np.repeat(np.arange(len(sets), dtype=np.uint16), [len(s) for s in sets])
         order = np.argsort(tokens, kind="stable")
@@ -111,7 +115,7 @@ def _send_tokens(bits: int):
         new = np.flatnonzero(np.concatenate(([True], tokens[1:] != tokens[:-1])))
         many = np.diff(np.append(new, len(tokens)))
         frequent = np.repeat(many >= FREQUENT, many)
-        rows = [(part, HEADER, part, np.array(heads, np.int64).tobytes())]
+        rows = [(part, HEADER, part, np.array(heads, np.int64).tobytes() + b"".join(names))]
         if frequent.any():
             rows.append((part, FREQUENT_TOKENS, part, _pairs_blob(tokens[frequent], places[frequent])))
         # Counters hear of a frequent token once, so that its documents elsewhere are told the same.
@@ -119,16 +123,16 @@ def _send_tokens(bits: int):
         tokens, places = tokens[~frequent], places[~frequent]
         shift = np.uint64(TOKEN_BITS - bits)
         low = np.uint64((1 << (TOKEN_BITS - bits)) - 1)
-        edges = np.arange((1 << bits) + 1, dtype=np.uint64) << shift
-        a, b = np.searchsorted(tokens, edges), np.searchsorted(hot, edges)
-        for k in range(1 << bits):
-            if a[k + 1] > a[k] or b[k + 1] > b[k]:
-                own = hot[b[k] : b[k + 1]] & low
-                rows.append((k, TOKENS, part, np.uint32(len(own)).tobytes() + own.tobytes() + _pairs_blob(tokens[a[k] : a[k + 1]] & low, places[a[k] : a[k + 1]])))
+        counters = np.union1d(tokens >> shift, hot >> shift)  # those that this flush has something for
+        a, b = np.searchsorted(tokens, counters << shift), np.searchsorted(hot, counters << shift)
+        a, b = np.append(a, len(tokens)), np.append(b, len(hot))
+        for i, k in enumerate(counters.tolist()):
+            own = hot[b[i] : b[i + 1]] & low
+            rows.append((k, TOKENS, part, np.uint32(len(own)).tobytes() + own.tobytes() + _pairs_blob(tokens[a[i] : a[i + 1]] & low, places[a[i] : a[i + 1]])))
         return _blobs(rows)
 
     def run(batches):
-        part, sets, heads, known, held = TaskContext.get().partitionId() << 24, [], [], set(), 0
+        part, sets, heads, names, known, held = TaskContext.get().partitionId() << 24, [], [], [], set(), 0
         for batch in batches:
             for *_, data, offsets in text_slices(batch):
                 for s in shingle_sets(data, offsets):
@@ -137,13 +141,14 @@ def _send_tokens(bits: int):
                     own = np.unique(s >> np.uint64(64 - TOKEN_BITS))
                     known.add(ref)
                     sets.append(own)
-                    heads.append((ref, len(s), len(own) - len(s) * (100 - PERCENT) // 100 - 1))
+                    names.append(ref)
+                    heads.append((len(s), len(own) - len(s) * (100 - PERCENT) // 100 - 1))
                     held += len(own)
                     if held >= FLUSH_TOKENS or len(sets) == 65_535:
-                        yield flush(part, sets, heads)
-                        part, sets, heads, known, held = part + 1, [], [], set(), 0
+                        yield flush(part, sets, heads, names)
+                        part, sets, heads, names, known, held = part + 1, [], [], [], set(), 0
         if sets:
-            yield flush(part, sets, heads)
+            yield flush(part, sets, heads, names)
 
     return run
 
@@ -247,7 +252,7 @@ def _survivors(batches):
     for batch in batches:
         for kind, part, raw in zip(*(batch.column(c).to_pylist() for c in ("kind", "part", "payload")), strict=True):
             if kind == HEADER:
-                heads[part] = np.frombuffer(raw, np.int64).reshape(-1, 3)
+                heads[part] = np.frombuffer(raw[: len(raw) // 2], np.int64).reshape(-1, 2), raw[len(raw) // 2 :]
             else:
                 t, p = _read_pairs(raw)
                 c = np.full(len(t), FREQUENT, np.uint8) if kind == FREQUENT_TOKENS else np.frombuffer(raw[-len(t) :], np.uint8)
@@ -259,16 +264,18 @@ def _survivors(batches):
         ids, at = np.unique(places, return_index=True)
         rows = []
         for i, a, b in zip(ids, at, [*at[1:], len(places)], strict=True):
-            ref, n, spare = heads[part][i]
+            n, spare = heads[part][0][i]
             if b - a > spare:
+                ref = heads[part][1][16 * int(i) : 16 * int(i) + 16]
                 own = np.sort(tokens[a:b])
                 counts = np.bincount((own % np.uint64(CLASSES)).astype(np.int64), minlength=CLASSES)
-                rows.append((int(ref), int(n), b - a, counts.tolist(), _six(own), signatures(tokens[a:b], count[a:b], int(spare), int(n)).view(np.int64)))
+                central = float(count[a:b].sum()) / float(n)
+                rows.append((ref, int(n), b - a, central, counts.tolist(), _six(own), signatures(tokens[a:b], count[a:b], int(spare), int(n)).view(np.int64)))
         for x in range(0, len(rows), 512):
             some = rows[x : x + 512]
             yield pa.RecordBatch.from_arrays(
-                [pa.array([r[i] for r in some], kind) for i, kind in enumerate((pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.binary(), pa.list_(pa.int64())))],
-                ["ref", "n", "m", "counts", "tokens", "signs"],
+                [pa.array([r[i] for r in some], kind) for i, kind in enumerate((pa.binary(), pa.int64(), pa.int64(), pa.float64(), pa.list_(pa.int32()), pa.binary(), pa.list_(pa.int64())))],
+                ["ref", "n", "m", "central", "counts", "tokens", "signs"],
             )
 
 
@@ -281,12 +288,6 @@ def _verify(batches):
         yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(keep, pa.bool_())], ["a", "b", "linked"])
 
 
-def _may_link(na: str, ma: str, nb: str, mb: str) -> Column:
-    """Whether two sets of so many tokens (n) and tokens that others share (m) can reach the threshold."""
-    n = F.col(na) + F.col(nb)
-    return (F.least(ma, mb) * (100 + PERCENT) >= n * PERCENT) & (F.least(na, nb) * 100 >= F.greatest(na, nb) * PERCENT)
-
-
 def _most(ca: str, cb: str) -> Column:
     """The most tokens that two sets can share, from their counts by class."""
     return sum((F.least(F.get(ca, F.lit(k)), F.get(cb, F.lit(k))) for k in range(1, CLASSES)), F.least(F.get(ca, F.lit(0)), F.get(cb, F.lit(0))))
@@ -299,53 +300,90 @@ def _linked(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     b = narrow.select(F.col("ref").alias("b"), F.col("n").alias("nb"), F.col("counts").alias("cb"))
     able = pairs.join(a, "a").join(b, "b").where(_most("ca", "cb") * (100 + PERCENT) >= (F.col("na") + F.col("nb")) * PERCENT).select("a", "b", "na", "nb")
     able = able.join(docs.select(F.col("ref").alias("a"), F.col("tokens").alias("ta")), "a").join(docs.select(F.col("ref").alias("b"), F.col("tokens").alias("tb")), "b")
-    return written(able.mapInArrow(tidy(_verify), "a long, b long, linked boolean").where("linked").select("a", "b"), "links")
+    return written(able.mapInArrow(tidy(_verify), "a binary, b binary, linked boolean").where("linked").select("a", "b"), "links")
+
+
+def _distance(batches):
+    """How far a set is from its group's centre: the size of their difference."""
+    for batch in batches:
+        d = []
+        for n, t, c in zip(*(batch.column(k).to_pylist() for k in ("n", "tokens", "center_tokens")), strict=True):
+            d.append(n + len(c) // 6 - 2 * len(np.intersect1d(_from_six(t), _from_six(c), assume_unique=True)))
+        yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in ("center", "ref", "n")), pa.array(d, pa.int64())], ["center", "ref", "n", "d"])
+
+
+def _differences(batches):
+    """The tokens in which a set differs from its group's centre, as far as its prefix goes; at: how many follow, itself included.
+
+    Tokens beyond the centre come before tokens of the centre that the set lacks, each by value; tokens that no other
+    set has would come first and are left out.
+    """
+    for batch in batches:
+        out = {k: [] for k in ("center", "ref", "n", "v", "outer", "root", "token", "at")}
+        columns = ("center", "ref", "n", "v", "outer", "root", "m", "d", "least", "tokens", "center_tokens")
+        for center, ref, n, v, outer, root, m, d, least, t, c in zip(*(batch.column(k).to_pylist() for k in columns), strict=True):
+            t, c = _from_six(t), _from_six(c)
+            both = np.concatenate((np.setdiff1d(t, c, assume_unique=True), np.setdiff1d(c, t, assume_unique=True)))
+            prefix = both[: max(0, d - max(1, least) + 1 - (n - m))]
+            for k, x in zip(("center", "ref", "n", "v", "outer", "root"), (center, ref, n, v, outer, root), strict=True):
+                out[k] += [x] * len(prefix)
+            out["token"] += prefix.tolist()
+            out["at"] += range(len(both), len(both) - len(prefix), -1)
+        kinds = (pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.bool_(), pa.binary(), pa.int64(), pa.int64())
+        yield pa.RecordBatch.from_arrays([pa.array(x, kind) for x, kind in zip(out.values(), kinds, strict=True)], list(out))
+
+
+def _with_tokens(rows: DataFrame, held: DataFrame) -> DataFrame:
+    """Rows (center, ref) with the shared tokens of both."""
+    own = held.select("ref", "m", "tokens")
+    return rows.join(own, "ref").join(held.select(F.col("ref").alias("center"), F.col("tokens").alias("center_tokens")), "center")
 
 
 def links(docs: DataFrame, tokens: int, text_col: str = "text") -> tuple[DataFrame, DataFrame]:
-    """(links, components) between sets: enough links to connect each component, and (ref, root) of the linked sets."""
+    """(links, components) between sets: enough links to connect each component, and (ref, root) of the linked sets.
+
+    Sets of one signature have its most common set C as centre (the tokens of C that any other set has). With d(A) the
+    size of A's difference from C, sets A and B differ in d(A) + d(B) - 2 s tokens, s being how many of these
+    differences they share, and link if that is at most (|A| + |B|) / 7 (for 75 %). With v(A) = 7 d(A) - |A| this reads
+    v(A) + v(B) <= 14 s. So
+    * pairs with v(A) + v(B) <= 0 link; all of a centre's are connected by links to its set of least v, made at once;
+    * any other pair shares at least (v(A) + v(B)) / 14 differences, and one of the two has no link to the set of least
+      v: such pairs are sought by (centre, token of the difference) within prefixes of the differences, and tested.
+    Groups whose sets all have one component already are not looked at again. No pair is left out.
+    """
     spark = docs.sparkSession
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-tokens // COUNTER_TOKENS))
-    bits = min(20, max(8, (4 * parts - 1).bit_length()))
+    bits = min(26, max(8, (4 * parts - 1).bit_length()))
     flushes = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-tokens // FLUSH_TOKENS))
     sent = docs.select(F.col(text_col).cast("string").alias("text")).mapInArrow(tidy(_send_tokens(bits)), _BLOB_SQL)
     told = sent.repartition(parts, F.col("to")).mapInArrow(tidy(_count_tokens(bits)), _BLOB_SQL)
-    found = told.repartition(flushes, F.col("to")).mapInArrow(tidy(_survivors), "ref long, n long, m long, counts array<int>, tokens binary, signs array<long>")
+    found = told.repartition(flushes, F.col("to")).mapInArrow(tidy(_survivors), "ref binary, n long, m long, central double, counts array<int>, tokens binary, signs array<long>")
     held = written(found.dropDuplicates(["ref"]), "ngram-docs")
-    posts = written(held.select("ref", "n", "m", F.explode("signs").alias("sign")), "ngram-signs")
-    found, tested, roots = None, None, None
-    for nth in range(STAR_ROUNDS + 1):
-        if roots is None:
-            left = posts.withColumn("root", F.col("ref"))
-        else:
-            left = posts.join(roots, "ref", "left").withColumn("root", F.coalesce("root", "ref"))
-        # The smallest document of a group is nearest to what all of it share; later leaders are chosen by hash.
-        first = F.col("n") if nth == 0 else F.xxhash64("ref", F.lit(nth))
-        lead = F.min(F.struct(first.alias("h"), "ref", "root", "n", "m")).alias("lead")
-        groups = left.groupBy("sign").agg(lead, F.min("root").alias("_a"), F.max("root").alias("_b"), F.count(F.lit(1)).alias("_m"), F.bit_xor(F.xxhash64("ref")).alias("_x"), F.bit_xor(F.xxhash64("ref", F.lit(7))).alias("_y"))
-        # Signatures of the same documents say the same; one of them is enough.
-        groups = groups.where("_a <> _b").groupBy("_x", "_y", "_m").agg(F.min(F.struct("sign", "lead")).alias("_g")).select("_g.sign", "_g.lead")
-        if nth < STAR_ROUNDS:
-            pairs = left.join(groups, "sign").where((F.col("root") != F.col("lead.root")) & _may_link("n", "m", "lead.n", "lead.m"))
-            pairs = pairs.select(F.least("ref", "lead.ref").alias("a"), F.greatest("ref", "lead.ref").alias("b")).distinct()
-        else:
-            left = written(left.join(groups.select("sign"), "sign", "left_semi"), "ngram-left")
-            a, b = left.alias("a"), left.alias("b")
-            fits = (F.col("a.ref") < F.col("b.ref")) & (F.col("a.root") != F.col("b.root")) & _may_link("a.n", "a.m", "b.n", "b.m")
-            pairs = a.join(b, (F.col("a.sign") == F.col("b.sign")) & fits).select(F.col("a.ref").alias("a"), F.col("b.ref").alias("b")).distinct()
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = written(pairs, "ngram-pairs")
-        if pairs.isEmpty():
-            continue
-        tested = pairs if tested is None else tested.unionByName(pairs)
-        new = _linked(pairs, held)
-        if not new.isEmpty():
-            found = new if found is None else found.unionByName(new)
-            roots = components(found)
-    if found is None:
-        found = spark.createDataFrame([], "a long, b long")
-        roots = spark.createDataFrame([], "ref long, root long")
+    posts = held.select("ref", "n", "central", F.explode("signs").alias("sign"))
+    groups = posts.groupBy("sign").agg(F.max(F.struct("central", "ref")).alias("c"), F.count(F.lit(1)).alias("many")).where("many > 1").select("sign", F.col("c.ref").alias("center"))
+    members = posts.join(groups, "sign").select("center", "ref", "n").distinct()
+    near = _with_tokens(members, held).mapInArrow(tidy(_distance), "center binary, ref binary, n long, d long")
+    near = written(near.withColumn("v", _WIDE * F.col("d") - _NARROW * F.col("n")), "ngram-members")
+    least = near.groupBy("center").agg(F.min(F.struct("v", "ref")).alias("z")).select("center", F.col("z.v").alias("z_v"), F.col("z.ref").alias("z_ref"))
+    near = near.join(least, "center")
+    found = written(near.where((F.col("v") + F.col("z_v") <= 0) & (F.col("ref") != F.col("z_ref"))).select(F.least("ref", "z_ref").alias("a"), F.greatest("ref", "z_ref").alias("b")).distinct(), "links")
+    roots = components(found)
+    near = near.join(roots, "ref", "left").select("center", "ref", "n", "d", "v", "z_v", F.coalesce("root", "ref").alias("root"), (F.col("v") + F.col("z_v") > 0).alias("outer"))
+    # The least v of a set that a centre's least set doesn't link with bounds what any pair of the group must share.
+    open_ = near.groupBy("center").agg(F.min("root").alias("r"), F.max("root").alias("s"), F.min(F.when(F.col("outer"), F.col("v"))).alias("o_v")).where("r <> s")
+    share = F.ceil((F.col("v") + F.when(F.col("outer"), F.col("z_v")).otherwise(F.col("o_v"))) / (2 * _WIDE))
+    left = near.join(open_.select("center", "o_v"), "center").where(F.col("outer") | (_WIDE * F.col("d") + _NARROW * F.col("n") >= F.col("o_v"))).withColumn("least", share)
+    left = written(left.select("center", "ref", "n", "d", "v", "root", "outer", "least"), "ngram-left")
+    kind = "center binary, ref binary, n long, v long, outer boolean, root binary, token long, at long"
+    signed = written(_with_tokens(left, held).mapInArrow(tidy(_differences), kind), "ngram-differences")
+    a, b = signed.where("outer").alias("a"), signed.alias("b")
+    able = (F.col("a.root") != F.col("b.root")) & (~F.col("b.outer") | (F.col("a.ref") < F.col("b.ref"))) & (2 * _WIDE * F.least("a.at", "b.at") >= F.col("a.v") + F.col("b.v"))
+    pairs = a.join(b, (F.col("a.center") == F.col("b.center")) & (F.col("a.token") == F.col("b.token")) & able)
+    pairs = written(pairs.select(F.least("a.ref", "b.ref").alias("a"), F.greatest("a.ref", "b.ref").alias("b")).distinct(), "ngram-pairs")
+    more = _linked(pairs, held)
+    if not more.isEmpty():
+        found = found.unionByName(more)
+        roots = components(found)
     return found, roots
 
 
@@ -356,18 +394,17 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     fewer words form one shingle). Equal sets are collapsed to one ``ref``. The rest goes by token-combination
     prefixes: documents are told how many others share each of their tokens, those whose prefix has no shared token
     drop out, and prefixes are signed with single rare tokens or pairs of frequent ones. Documents with a common
-    signature are compared with one leader first and only with documents of other components later, so a group of near
-    copies is not expanded into all its pairs; every pair of different components with a common signature is tested
-    in the end, so no link between components is lost.
+    signature are compared with one central document first; what differs from it then extends the combination, so
+    neither a group of near copies nor one hot passage is expanded into all its pairs (see ``links``).
 
     Null or blank text has an empty set, links with nothing and is its own component; null ids are ignored in the
     least id; rows with equal id and text are one document; an empty table gives an empty result; other columns are
-    ignored. Sets and tokens are compared by hashes of 63 and 48 bits.
+    ignored. Sets and tokens are compared by hashes of 128 and 48 bits.
     """
     spark = docs.sparkSession
     bounded_batches(spark)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    table = written(rows.mapInArrow(tidy(_documents), "doc_id long, n_shingles long, ref long"), "ngram-sets")
+    table = written(rows.mapInArrow(tidy(_documents), "doc_id long, n_shingles long, ref binary"), "ngram-sets")
     tokens = table.agg(F.sum("n_shingles")).first()[0] or 0
     _, roots = links(rows, int(tokens))
     least = table.where("n_shingles > 0").groupBy("ref").agg(F.min("doc_id").alias("_id"))

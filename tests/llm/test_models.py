@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from hostscope.llm import components, langid, lm, ngram_join, pieces, queries, token_store, toxicity
+from hostscope.llm import common, components, langid, lm, ngram_join, pieces, queries, token_store, toxicity
 from hostscope.llm.arrays import word_hashes, word_spans
 
 PIECES = [("<unk>", 0.0, "unknown"), ("<s>", 0.0, "control"), *[(f"<0x{b:02X}>", -100.0, "byte") for b in range(256)], ("▁", -4.0, "normal"), ("▁▁", -5.0, "normal"), ("a", -3.0, "normal"), ("b", -3.5, "normal"), ("ab", -4.1, "normal"), ("▁a", -2.5, "normal"), ("abab", -7.0, "normal"), ("é", -6.0, "normal")]
@@ -126,6 +126,52 @@ def test_ngram_join_finds_all_components(make, monkeypatch, frequent):
     assert out == brute_components(rows)
 
 
+@pytest.mark.parametrize("seed", [11, 12])
+def test_ngram_join_of_a_cluster_without_its_original(make, monkeypatch, seed):
+    """Copies of one text that differ from it so much that some link with each other and others don't."""
+    monkeypatch.setattr(ngram_join, "FREQUENT", 8)
+    rng = np.random.default_rng(seed)
+    base, rows = [f"w{k}" for k in rng.integers(0, 500, 100)], []
+    for i in range(150):
+        now = list(base) + [f"t{k}" for k in rng.integers(0, 30, int(rng.integers(0, 12)))]
+        for _ in range(int(rng.integers(1, 5))):
+            now[int(rng.integers(0, 100))] = f"e{int(rng.integers(0, 3))}"
+        rows.append((i, " ".join(now)))
+    want = brute_components(rows)
+    assert 1 < len({root for _, root in want.values()}) < 150
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.near_duplicates(make(rows).repartition(3)).collect()} == want
+
+
+def test_ngram_join_tests_pairs_in_proportion_to_its_groups(make, monkeypatch):
+    """One passage in all documents and one large group of near copies: pairs follow the documents, not their square."""
+    tested = []
+
+    def counted(df, what):
+        out = common.written(df, what)
+        if what in ("ngram-pairs", "ngram-members"):
+            tested.append(out.count())
+        return out
+
+    monkeypatch.setattr(ngram_join, "written", counted)
+    made = []
+    for n in (300, 1200):
+        rng = np.random.default_rng(n)
+        word = lambda k: [f"v{x}" for x in rng.integers(0, 10**6, k)]  # noqa: E731, B023
+        passage, base, rows = word(60), word(140), []
+        for i in range(n):
+            rows.append((2 * i, " ".join(passage + word(int(rng.integers(5, 60))))))
+            near = list(base)
+            for _ in range(int(rng.integers(0, 6))):
+                near[int(rng.integers(0, 140))] = word(1)[0]
+            rows.append((2 * i + 1, " ".join(near)))
+        tested.clear()
+        out = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.near_duplicates(make(rows)).collect()}
+        if n == 300:
+            assert out == brute_components(rows)
+        made.append(sum(tested))
+    assert made[1] < 8 * made[0] and made[1] < 20 * 2400
+
+
 def test_ngram_join_of_odd_tables(make, odd):
     assert ngram_join.near_duplicates(make([])).count() == 0
     out = ngram_join.near_duplicates(make(odd)).collect()
