@@ -1,4 +1,4 @@
-"""Toxicity by the nearest labelled examples: exact TF-IDF cosine of whole texts over an index of all their terms."""
+"""Toxicity by the nearest labelled examples: exact TF-IDF cosine over a block-max index of all their terms."""
 
 from __future__ import annotations
 
@@ -10,63 +10,48 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hostscope.llm.arrays import SPACES, bounded_batches, mix64, text_slices, tidy, word_hashes, word_spans
+from hostscope.llm.arrays import SPACES, bounded_batches, text_slices, tidy, word_hashes, word_spans
 from hostscope.llm.common import holdout, ship, shipped, written
 
 #: The classifier is fitted on at most about so many labelled rows of each class.
 EXAMPLES_PER_CLASS = 4000
-NEIGHBOURS = 15
-#: Terms in more than this share of the examples are kept as a dense matrix, the others as postings.
-DENSE_SHARE = 0.08
-#: Texts whose cosines with all examples are held at once.
+NEIGHBOURS = 32
+#: Terms in more than this share of the examples are kept as a matrix with maxima by block, the others as postings.
+DENSE_SHARE = 0.05
+#: Examples in a block, and blocks that each text looks into before bounds decide.
+BLOCK, FIRST_BLOCKS = 64, 3
+#: Texts searched at once.
 AT_ONCE = 256
-#: Beginnings of words (bytes) that are terms beside the word itself.
-PREFIXES = (4, 5, 6, 7, 8)
+#: Pseudo-examples that draw a term's relevance to 1.
+SMOOTH = 10.0
 #: Votes of neighbours count by cosine to this power; the prior has the weight of one vote at PRIOR_COSINE.
-POWER = 2.0
+POWER = 1.0
 PRIOR_COSINE = 0.3
 
 _EDGE = SPACES.copy()
 _EDGE[[*range(33, 48), *range(58, 65), *range(91, 97), *range(123, 127)]] = True
 
 
-def terms(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(text, term, count) of whole texts: words (A-Z lower-cased, ASCII marks at both ends cut) and their beginnings."""
+def counted(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct terms of some whole texts, sorted; and (text, place of the term, 1 + log count), once a text and term, by text.
+
+    A term is a word (A-Z lower-cased, up to eight ASCII marks at each end cut), named by a 64-bit hash.
+    """
     starts, ends, first = word_spans(data, offsets)
     text = np.repeat(np.arange(len(offsets) - 1), np.diff(first))
     edge = np.concatenate((_EDGE[data], [True]))
     for _ in range(8):  # a mark at a time
-        cut = edge[starts] & (starts < ends)
-        starts = starts + cut
-        cut = (starts < ends) & edge[ends - 1]
-        ends = ends - cut
+        front, back = edge[starts] & (starts < ends), edge[ends - 1]
+        if not (front.any() or back.any()):
+            break
+        starts = starts + front
+        ends = ends - (back & (starts < ends))
     on = starts < ends
-    starts, ends, text = starts[on], ends[on], text[on]
-    words = word_hashes(data, starts, ends, lower=True)
-    uniq, one, back = np.unique(words, return_index=True, return_inverse=True)
-    starts, ends = starts[one], ends[one]
-    rows, owner = [uniq], [np.arange(len(uniq))]
-    for k in PREFIXES:
-        long = np.flatnonzero(ends - starts > k)
-        rows.append(mix64(word_hashes(data, starts[long], starts[long] + k, lower=True) + np.uint64(k)))
-        owner.append(long)
-    rows, owner = np.concatenate(rows), np.concatenate(owner)
-    order = np.argsort(owner, kind="stable")
-    rows, many = rows[order], np.bincount(owner, minlength=len(uniq))
-    pairs, count = np.unique(text * max(len(uniq), 1) + back, return_counts=True)
-    doc, word = pairs // max(len(uniq), 1), pairs % max(len(uniq), 1)
-    wide = many[word]
-    at = np.arange(int(wide.sum())) - np.repeat(np.cumsum(wide) - wide, wide) + np.repeat((np.cumsum(many) - many)[word], wide)
-    return np.repeat(doc, wide), rows[at], np.repeat(count, wide)
-
-
-def counted(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """The distinct terms of some texts, sorted; and (text, place of the term, 1 + log count), once a text and term, by text."""
-    doc, term, count = terms(data, offsets)
-    found, back = np.unique(term, return_inverse=True)
-    pairs, back = np.unique(doc * max(len(found), 1) + back, return_inverse=True)
-    doc, place = pairs // max(len(found), 1), pairs % max(len(found), 1)
-    return found, doc, place, 1 + np.log(np.maximum(np.bincount(back, count, len(pairs)), 1))
+    if not on.all():
+        starts, ends, text = starts[on], ends[on], text[on]
+    found, back = np.unique(word_hashes(data, starts, ends, lower=True), return_inverse=True)
+    pairs, count = np.unique(text * max(len(found), 1) + back, return_counts=True)
+    return found, pairs // max(len(found), 1), pairs % max(len(found), 1), 1 + np.log(np.maximum(count, 1))
 
 
 def _lookup(vocabulary: np.ndarray, found: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -116,54 +101,92 @@ def _summed(batches):
         yield pa.RecordBatch.from_arrays([pa.array([0], pa.int64()), pa.array([n], pa.int64()), pa.array([total.tobytes()], pa.binary())], ["task", "n", "df"])
 
 
-class ExampleIndex:
-    """All terms of the examples: a dense matrix of the frequent ones, postings of the others."""
+class BlockMaxIndex:
+    """Weighted terms of the examples: postings of the rarer terms; a matrix of the frequent ones, with maxima by block.
+
+    Examples with alike frequent terms stand in one block, so that the maxima of a block say much about its examples.
+    """
 
     def __init__(self, vectors: list[tuple[np.ndarray, np.ndarray]], n_terms: int):
         self.n = len(vectors)
-        example = np.repeat(np.arange(self.n, dtype=np.int32), [len(v[0]) for v in vectors])
-        term = np.concatenate([v[0] for v in vectors]) if vectors else np.zeros(0, np.int64)
-        weight = np.concatenate([v[1] for v in vectors]) if vectors else np.zeros(0, np.float32)
-        order = np.argsort(term, kind="stable").astype(np.int32)
-        self.example, self.weight = example[order], weight[order]
-        self.first = np.concatenate(([0], np.cumsum(np.bincount(term, minlength=n_terms))))
-        frequent = np.flatnonzero(np.diff(self.first) > max(DENSE_SHARE * self.n, 1))
+        example = np.repeat(np.arange(self.n), [len(v[0]) for v in vectors])
+        term = np.concatenate([v[0] for v in vectors]).astype(np.int64) if vectors else np.zeros(0, np.int64)
+        weight = np.concatenate([v[1] for v in vectors]).astype(np.float32) if vectors else np.zeros(0, np.float32)
+        frequent = np.flatnonzero(np.bincount(term, minlength=n_terms) > max(DENSE_SHARE * self.n, 1))
         self.column = np.full(n_terms, -1, np.int32)
         self.column[frequent] = np.arange(len(frequent))
-        self._dense = None
+        strongest, most = np.zeros(self.n, np.int64), np.zeros(self.n, np.float32)
+        dense = np.flatnonzero(self.column[term] >= 0)
+        by_weight = dense[np.argsort(weight[dense], kind="stable")]
+        strongest[example[by_weight]], most[example[by_weight]] = self.column[term[by_weight]], weight[by_weight]
+        #: number: the example at each place of the index; place: the other way round.
+        self.number = np.lexsort((most, strongest))
+        self.place = np.empty(self.n, np.int64)
+        self.place[self.number] = np.arange(self.n)
+        order = np.lexsort((self.place[example], term))
+        self.at, self.weight = self.place[example[order]].astype(np.int32), weight[order]
+        self.first = np.concatenate(([0], np.cumsum(np.bincount(term, minlength=n_terms))))
+        self._dense = self._most = None
 
     def __getstate__(self):
-        return vars(self) | {"_dense": None}
+        return vars(self) | {"_dense": None, "_most": None}
 
-    @property
-    def dense(self) -> np.ndarray:
+    def _matrices(self) -> tuple[np.ndarray, np.ndarray]:
+        """Weights of the frequent terms by place, filled up to whole blocks; and the greatest of each block."""
         if self._dense is None:
             frequent = np.flatnonzero(self.column >= 0)
-            self._dense = np.zeros((len(frequent), self.n))
+            blocks = -(-max(self.n, 1) // BLOCK)
+            dense = np.zeros((len(frequent), blocks * BLOCK), np.float32)
             at, of = _spans(self.first[frequent], self.first[frequent + 1])
-            self._dense[of, self.example[at]] = self.weight[at]
-        return self._dense
+            dense[of, self.at[at]] = self.weight[at]
+            self._most = dense.reshape(len(frequent), blocks, BLOCK).max(axis=2)
+            self._dense = dense
+        return self._dense, self._most
 
     def nearest_of(self, text: np.ndarray, terms: np.ndarray, weights: np.ndarray, n: int, k: int, skip: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(text, example, cosine) of the k examples of greatest cosine above 0 of each of n texts. Exact.
 
-        By text, greatest first; ties go to the lower number. skip: an example that each text does not see, or -1.
+        Rarer terms are added up from their postings. A block's frequent terms are looked up only if their maxima and
+        the block's best sum so far can still reach the k-th best cosine known, that is, after the FIRST_BLOCKS blocks of
+        greatest bound. By text, greatest first; cosines are compared at 6 decimals, ties go to the lower number.
+        skip: an example that each text does not see, or -1.
         """
+        dense, most = self._matrices()
+        width, blocks = dense.shape[1], most.shape[1]
         column = self.column[terms]
         on = column >= 0
-        query = np.zeros((n, len(self.dense)))
+        query = np.zeros((n, len(dense)), np.float32)
         query[text[on], column[on]] = weights[on]
-        cosine = query @ self.dense
         rare, own = terms[~on], text[~on]
         at, of = _spans(self.first[rare], self.first[rare + 1])
-        flat = np.bincount(own[of] * self.n + self.example[at], weights[~on][of] * self.weight[at], n * self.n)
-        cosine += flat.reshape(n, self.n)
+        cosine = np.bincount(own[of] * width + self.at[at], weights[~on][of] * self.weight[at], n * width).astype(np.float64, copy=False).reshape(n, blocks, BLOCK)
+        bound = cosine.max(axis=2) + query @ most + 1e-5
+        unseen = np.ones((n, blocks), bool)
+        lead = np.argpartition(-bound, min(FIRST_BLOCKS, blocks) - 1, axis=1)[:, :FIRST_BLOCKS]
+
+        def look(which: np.ndarray) -> None:
+            for b in np.flatnonzero(which.any(axis=0)):
+                some = np.flatnonzero(which[:, b])
+                cosine[some, b] += query[some] @ dense[:, b * BLOCK : (b + 1) * BLOCK]
+            unseen[which] = False
+
+        chosen = np.zeros((n, blocks), bool)
+        np.put_along_axis(chosen, lead, True, axis=1)
+        look(chosen)
+        flat = cosine.reshape(n, width)
         if skip is not None:
             some = np.flatnonzero(skip >= 0)
-            cosine[some, skip[some]] = 0
-        least = np.partition(cosine, -k, axis=1)[:, -k] if self.n > k else np.zeros(n)
-        of, example = np.nonzero(cosine >= np.maximum(least - 2e-9, 1e-9)[:, None])
-        found = np.round(cosine[of, example], 9)
+            flat[some, self.place[skip[some]]] = -1
+        # Sums so far bound all cosines from below, so the k-th greatest of them bounds the k-th best cosine.
+        least = np.partition(flat, -k, axis=1)[:, -k] if width > k else np.zeros(n)
+        look(unseen & (bound >= np.maximum(least, 0)[:, None]))
+        if skip is not None:
+            flat[some, self.place[skip[some]]] = -1
+        flat[np.repeat(unseen, BLOCK, axis=1)] = -1
+        np.round(flat, 6, out=flat)
+        least = np.partition(flat, -k, axis=1)[:, -k] if width > k else np.zeros(n)
+        of, place = np.nonzero((flat >= least[:, None]) & (flat > 0))
+        example, found = self.number[place], flat[of, place]
         order = np.lexsort((example, -found, of))
         of, example, found = of[order], example[order], found[order]
         best = np.arange(len(of)) - np.searchsorted(of, of) < k
@@ -175,9 +198,6 @@ class ExampleIndex:
         return [(float(c), int(i)) for c, i in zip(cosine, example, strict=True)]
 
 
-BlockMaxIndex = ExampleIndex
-
-
 def _spans(start: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """All whole numbers of the ranges [start, stop), and the range of each."""
     many = stop - start
@@ -185,6 +205,12 @@ def _spans(start: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return np.arange(len(of)) + np.repeat(start - (np.cumsum(many) - many), many), of
 
 
+def relevance(toxic: np.ndarray, clean: np.ndarray, n_toxic: int, n_clean: int) -> np.ndarray:
+    """A weight of 1 or so for most terms, and more the likelier a term is in toxic than in clean examples (tf-idf-rf)."""
+    p = n_toxic / (n_toxic + n_clean)
+    return np.log2(1 + (toxic + SMOOTH * p) / n_toxic / ((clean + SMOOTH * (1 - p)) / n_clean))
+
+
 def votes(text: np.ndarray, example: np.ndarray, cosine: np.ndarray, n: int, labels: np.ndarray, worth: np.ndarray, prior: float) -> np.ndarray:
     """Each text's share of toxic neighbours, each weighing its cosine to a power times its worth, with a prior vote."""
     own, w = PRIOR_COSINE**POWER, cosine**POWER * worth[example]
@@ -211,76 +237,60 @@ def _lists(values: np.ndarray, owner: np.ndarray, n: int, kind: pa.DataType) ->
     return pa.ListArray.from_arrays(pa.array(np.searchsorted(owner, np.arange(n + 1)), pa.int32()), pa.array(values, kind))
 
 
-def _search(model, skip: bool = False):
-    """The nearest examples of each text by its known terms, the square of their norm, and its terms in no example."""
+def _nearest(batch, model, skip: bool):
+    """(ids, texts so many, text, example, cosine) of pieces of a batch: the nearest examples of each text."""
+    vocabulary, weigh, index, ids = model
+    number = {d: i for i, d in enumerate(ids.tolist())} if skip else {}
+    docs = batch.column("doc_id").to_pylist()
+    for at, end, data, offsets in text_slices(batch):
+        for a in range(0, end - at, AT_ONCE):
+            b = min(a + AT_ONCE, end - at)
+            found, doc, place, tf = counted(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
+            where, known = _lookup(vocabulary, found)
+            on = known[place]
+            text, term = doc[on], where[place[on]]
+            weight = tf[on] * weigh[term]
+            norm = np.sqrt(np.bincount(text, weight * weight, b - a))
+            own = docs[at + a : at + b]
+            not_seen = np.array([number.get(d, -1) for d in own], np.int64) if skip else None
+            yield own, b - a, *index.nearest_of(text, term, weight / norm[text], b - a, NEIGHBOURS, not_seen)
+
+
+def _left_out(model):
+    """Of each example, the nearest other examples."""
 
     def run(batches):
-        vocabulary, idf, index, ids = shipped(model)
-        number = {d: i for i, d in enumerate(ids)} if skip else {}
+        model_ = shipped(model)
         for batch in batches:
-            docs = batch.column("doc_id").to_pylist()
-            for at, end, data, offsets in text_slices(batch):
-                for a in range(0, end - at, AT_ONCE):
-                    b = min(a + AT_ONCE, end - at)
-                    n = b - a
-                    found, doc, place, tf = counted(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
-                    where, known = _lookup(vocabulary, found)
-                    on = known[place]
-                    text, term = doc[on], where[place[on]]
-                    weight = tf[on] * idf[term]
-                    inner = np.bincount(text, weight * weight, n)
-                    not_seen = np.array([number.get(d, -1) for d in docs[at + a : at + b]], np.int64) if skip else None
-                    of, example, cosine = index.nearest_of(text, term, weight / np.sqrt(inner)[text], n, NEIGHBOURS, not_seen)
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array(docs[at + a : at + b], pa.int64()),
-                            pa.array(inner, pa.float64()),
-                            _lists(example, of, n, pa.int32()),
-                            _lists(cosine, of, n, pa.float64()),
-                            _lists(found[place[~on]].view(np.int64), doc[~on], n, pa.int64()),
-                            _lists(tf[~on].astype(np.float32), doc[~on], n, pa.float32()),
-                        ],
-                        ["doc_id", "inner", "near", "cosine", "other", "other_tf"],
-                    )
+            for own, n, text, example, cosine in _nearest(batch, model_, True):
+                yield pa.RecordBatch.from_arrays([pa.array(own, pa.int64()), _lists(example, text, n, pa.int32()), _lists(cosine, text, n, pa.float64())], ["doc_id", "near", "cosine"])
 
     return run
 
 
-_FOUND = "doc_id long, inner double, near array<int>, cosine array<double>, other array<long>, other_tf array<float>"
-
-
-def _flat(column: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
-    many = np.array(column.value_lengths().to_pylist(), np.int64)
-    return np.repeat(np.arange(len(many)), many), column.flatten().to_numpy(zero_copy_only=False)
-
-
-def _final(model):
-    """Scores from the nearest examples; outer: the square of the norm that a text's other terms add."""
-
+def _scored(model, judged):
     def run(batches):
-        ids, labels, worth, prior, (slope, offset) = shipped(model)
+        model_, (labels, worth, prior, (slope, offset)) = shipped(model), judged
+        ids = model_[3]
         for batch in batches:
-            n = batch.num_rows
-            text, example = _flat(batch.column("near"))
-            inner, outer = batch.column("inner").to_numpy(zero_copy_only=False), batch.column("outer").to_numpy(zero_copy_only=False)
-            cosine = _flat(batch.column("cosine"))[1] * np.sqrt(inner[text] / (inner + outer)[text])
-            raw = np.clip(votes(text, example, cosine, n, labels, worth, prior), 1e-4, 1 - 1e-4)
-            score = 1 / (1 + np.exp(-np.clip(slope * np.log(raw / (1 - raw)) + offset, -30, 30)))
-            shown = np.arange(len(text)) - np.searchsorted(text, text) < 5
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(score, pa.float64()), _lists(ids[example[shown]], text[shown], n, pa.int64()), _lists(cosine[shown], text[shown], n, pa.float64())],
-                ["doc_id", "score", "evidence", "cosines"],
-            )
+            for own, n, text, example, cosine in _nearest(batch, model_, False):
+                raw = np.clip(votes(text, example, cosine, n, labels, worth, prior), 1e-4, 1 - 1e-4)
+                score = 1 / (1 + np.exp(-np.clip(slope * np.log(raw / (1 - raw)) + offset, -30, 30)))
+                shown = np.arange(len(text)) - np.searchsorted(text, text) < 5
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(own, pa.int64()), pa.array(score, pa.float64()), _lists(ids[example[shown]], text[shown], n, pa.int64()), _lists(cosine[shown], text[shown], n, pa.float64())],
+                    ["doc_id", "score", "evidence", "cosines"],
+                )
 
     return run
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", per_class: int = EXAMPLES_PER_CLASS):
-    """Vocabulary, index, labels and calibration from at most about per_class learnable rows of each class.
+    """Vocabulary, weights, index, labels and calibration from at most about per_class learnable rows of each class.
 
     Rows are chosen by a hash of their id at a rate from the class's count, so the sample does not grow with the table.
-    The index holds all terms of these rows; their document frequencies are counted over all documents. None without
-    both classes.
+    The index holds all terms of these rows. A term weighs its idf, from document frequencies over all documents, times
+    its relevance to the label. None without both classes.
     """
     spark = docs.sparkSession
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
@@ -294,11 +304,12 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     chosen = known.where(pick)
     rows = written(docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text")).join(F.broadcast(chosen), "doc_id"), "toxicity-examples")
     parts = rows.mapInArrow(tidy(_example_terms), "doc_id long, toxic int, terms binary, tf binary").toLocalIterator()  # less at once than collect
-    got = sorted(map(tuple, parts))
-    ids, label = np.array([r[0] for r in got], np.int64), np.array([r[1] for r in got], np.float64)
-    if not len(got) or label.min() == label.max():
+    got = {r[0]: r[1:] for r in parts}  # rows of one id count once
+    ids = np.array(sorted(got), np.int64)
+    label = np.array([got[d][0] for d in ids.tolist()], np.float64)
+    if not len(ids) or label.min() == label.max():
         return None
-    hashes, tfs = [np.frombuffer(r[2], np.uint64) for r in got], [np.frombuffer(r[3], np.float32) for r in got]
+    hashes, tfs = [np.frombuffer(got[d][1], np.uint64) for d in ids.tolist()], [np.frombuffer(got[d][2], np.float32) for d in ids.tolist()]
     vocabulary = np.unique(np.concatenate(hashes))
     if not len(vocabulary):
         return None
@@ -307,33 +318,38 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     texts = docs.select(text.alias("text"))
     kind = "task long, n long, df binary"
     groups = max(1, math.isqrt(texts.rdd.getNumPartitions()))
-    sums = texts.mapInArrow(tidy(_frequencies(ship(spark, vocabulary))), kind).repartition(groups, F.col("task")).mapInArrow(tidy(_summed), kind).collect()
-    n_all, df = sum(r[1] for r in sums), sum(np.frombuffer(r[2], np.int64) for r in sums)
-    idf = np.log((1 + n_all) / (1 + df)) + 1
+    sums = texts.mapInArrow(tidy(_frequencies(ship(spark, vocabulary))), kind).repartition(groups, F.col("task")).mapInArrow(tidy(_summed), kind).toLocalIterator()
+    n_all, df = 0, np.zeros(len(vocabulary), np.int64)
+    for r in sums:
+        n_all, df = n_all + r[1], df + np.frombuffer(r[2], np.int64)
+    held = [np.bincount(np.concatenate([p for p, y in zip(places, label, strict=True) if y == side]), minlength=len(vocabulary)) for side in (1, 0)]
+    weigh = (np.log((1 + n_all) / (1 + df)) + 1) * relevance(*held, int(label.sum()), int((1 - label).sum()))
     vectors = []
     for place, tf in zip(places, tfs, strict=True):
-        w = tf * idf[place]
+        w = tf * weigh[place]
         vectors.append((place, (w / np.sqrt(np.sum(w * w))).astype(np.float32)))
-    index = ExampleIndex(vectors, len(vocabulary))
+    index = BlockMaxIndex(vectors, len(vocabulary))
     del places, tfs, vectors
-    searched = ship(spark, (vocabulary, idf, index, ids))
+    searched = ship(spark, (vocabulary, weigh, index, ids))
     worth = np.where(label == 1, 1 / share[1], 1 / share[0])
     worth /= worth.mean()
     prior = float(np.sum(worth * label) / np.sum(worth))
-    near = {r[0]: (r[1], r[2]) for r in rows.mapInArrow(tidy(_search(searched, skip=True)), _FOUND).select("doc_id", "near", "cosine").collect()}
+    near = {r[0]: (r[1], r[2]) for r in rows.mapInArrow(tidy(_left_out(searched)), "doc_id long, near array<int>, cosine array<double>").toLocalIterator()}
     of = np.repeat(np.arange(len(ids)), [len(near[d][0]) for d in ids.tolist()])
     example, cosine = (np.concatenate([np.array(near[d][j], kind) for d in ids.tolist()]) for j, kind in ((0, np.int64), (1, np.float64)))
     raw = votes(of, example, cosine, len(ids), label, worth, prior)
-    return searched, ship(spark, (ids, label, worth, prior, calibrate(raw, label, worth))), n_all
+    return searched, (label, worth, prior, calibrate(raw, label, worth))
 
 
 def score(docs: DataFrame, labels: DataFrame, model=None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The toxicity of every document: doc_id, held_out, score, predicted, evidence, cosines.
 
-    Cosines are those of whole texts: terms that no example holds count in a text's norm, by their document frequency
-    over all documents. evidence: ids of the nearest labelled examples, nearest first, with their cosines. Null, blank
-    and termless texts have no neighbours and get the calibrated prior; without learnable examples of both classes all
-    scores are 0; repeated rows score alike; an empty table gives an empty result; other columns are ignored.
+    Vectors are of whole texts, over all terms of the labelled examples; terms that no example holds are outside of the
+    space. The 32 nearest examples vote by their cosine, calibrated on examples that do not see themselves. evidence:
+    ids of the five nearest labelled examples, nearest first, with their cosines. Null, blank and termless texts, and
+    those without a term of any example, have no neighbours and get the calibrated prior; without learnable examples of
+    both classes all scores are 0; of rows with one id and different texts one is the example; repeated rows score
+    alike; ties go to the lower id; an empty table gives an empty result; other columns are ignored.
     """
     spark = docs.sparkSession
     bounded_batches(spark)
@@ -342,11 +358,5 @@ def score(docs: DataFrame, labels: DataFrame, model=None, id_col: str = "doc_id"
     held = holdout(F.col("doc_id"))
     if model is None:
         return rows.select("doc_id", held.alias("held_out"), F.lit(0.0).alias("score"), F.lit(0).alias("predicted"), F.array().cast("array<bigint>").alias("evidence"), F.array().cast("array<double>").alias("cosines"))
-    searched, judged, n = model
-    found = written(rows.mapInArrow(tidy(_search(searched)), _FOUND).withColumn("row", F.monotonically_increasing_id()), "toxicity")
-    pairs = found.select("row", F.explode(F.arrays_zip("other", "other_tf")).alias("pair")).select("row", F.col("pair.other").alias("term"), F.col("pair.other_tf").cast("double").alias("tf"))
-    weight = F.col("tf") * (F.log(F.lit(1.0 + n) / (F.col("df") + 1)) + 1)
-    outer = pairs.join(pairs.groupBy("term").agg(F.count("*").alias("df")), "term").groupBy("row").agg(F.sum(weight * weight).alias("outer"))
-    whole = found.select("row", "doc_id", "inner", "near", "cosine").join(outer, "row", "left").select("doc_id", "inner", "near", "cosine", F.coalesce("outer", F.lit(0.0)).alias("outer"))
-    out = whole.mapInArrow(tidy(_final(judged)), "doc_id long, score double, evidence array<long>, cosines array<double>")
+    out = rows.mapInArrow(tidy(_scored(*model)), "doc_id long, score double, evidence array<long>, cosines array<double>")
     return out.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "evidence", "cosines")

@@ -338,30 +338,64 @@ def test_toxicity(spark, make, odd):
     assert toxicity.score(make([]), labels).count() == 0
 
 
-def test_toxicity_cosines_are_of_whole_texts(spark, make):
+def test_toxicity_neighbours_and_votes_by_brute_force(spark, make):
+    """Weights, cosines, nearest examples and raw votes of whole texts, recomputed with dictionaries."""
     rng = np.random.default_rng(1)
-    texts = [" ".join([f"w{k}" for k in rng.integers(0, 80, 20)] + (["badword"] if i % 5 == 0 else []) + [f"only{i}"]) for i in range(300)]
+    texts = [" ".join([f"w{k}" for k in rng.integers(0, 80, 20)] + (["Badword!"] if i % 5 == 0 else []) + [f"only{i}"]) for i in range(300)]
     labels = spark.createDataFrame([(i, int(i % 5 == 0)) for i in range(200)], "doc_id long, toxic int")
     bags = []
     for t in texts:
-        data = np.frombuffer(t.encode(), np.uint8)
-        _, term, count = toxicity.terms(data, np.array([0, len(data)]))
         bag = defaultdict(int)
-        for h, c in zip(term.tolist(), count.tolist(), strict=True):
-            bag[h] += c
+        for w in t.lower().split():
+            bag[w.strip("!")] += 1
         bags.append(bag)
-    df = defaultdict(int)
-    for bag in bags:
-        for h in bag:
-            df[h] += 1
-    weights = [{h: (1 + np.log(c)) * (np.log(301 / (1 + df[h])) + 1) for h, c in bag.items()} for bag in bags]
-    norm = [np.sqrt(sum(w * w for w in x.values())) for x in weights]
-    out = {r.doc_id: r for r in toxicity.score(make(list(enumerate(texts))), labels).collect()}
-    learnt = [i for i in range(200) if not out[i].held_out]
+    learnt = [i for i in range(200) if zlib.crc32(str(i).encode()) % 5]
+    n1 = sum(i % 5 == 0 for i in learnt)
+    n0, p = len(learnt) - n1, n1 / len(learnt)
+
+    def weight(w):
+        df = sum(w in bag for bag in bags)
+        a, c = sum(w in bags[i] for i in learnt if i % 5 == 0), sum(w in bags[i] for i in learnt if i % 5)
+        lift = (a + 10 * p) / n1 / ((c + 10 * (1 - p)) / n0)
+        return (np.log(301 / (1 + df)) + 1) * np.log2(1 + lift) if a + c else 0
+
+    weigh = {w: weight(w) for w in {w for bag in bags for w in bag}}
+    vectors = [{w: (1 + np.log(c)) * weigh[w] for w, c in bag.items()} for bag in bags]
+    norm = [np.sqrt(sum(w * w for w in x.values())) for x in vectors]
+    model = toxicity.fit(make(list(enumerate(texts))), labels)
+    out = {r.doc_id: r for r in toxicity.score(make(list(enumerate(texts))), labels, model).collect()}
+    _, worth, prior, (slope, offset) = model[1]
     for i in range(0, 300, 7):
-        want = {j: sum(w * weights[j].get(h, 0) for h, w in weights[i].items()) / norm[i] / norm[j] for j in learnt}
-        assert out[i].cosines == pytest.approx(sorted(want.values())[::-1][:5], abs=1e-6)
-        assert out[i].cosines == pytest.approx([want[j] for j in out[i].evidence], abs=1e-6)
+        want = {j: sum(w * vectors[j].get(h, 0) for h, w in vectors[i].items()) / norm[i] / norm[j] for j in learnt}
+        best = sorted(want.items(), key=lambda x: (-round(x[1], 6), x[0]))[: toxicity.NEIGHBOURS]
+        assert out[i].cosines == pytest.approx([c for _, c in best[:5]], abs=2e-5)
+        assert out[i].cosines == pytest.approx([want[j] for j in out[i].evidence], abs=2e-5)
+        own = toxicity.PRIOR_COSINE
+        raw = (sum(c for j, c in best if j % 5 == 0) + own * prior) / (sum(c for _, c in best) + own)
+        assert worth == pytest.approx(1) and prior == pytest.approx(p)
+        assert out[i].score == pytest.approx(1 / (1 + np.exp(-(slope * np.log(raw / (1 - raw)) + offset))), abs=1e-3)
+
+
+def test_toxicity_query_on_held_out_documents(spark):
+    sf = "/root/testdata/sf0.1"
+    out = queries.op10_toxicity(spark, sf).join(queries.table(spark, sf, "labels"), "doc_id", "left").select("held_out", "toxic", "predicted", "score", F.size("evidence").alias("near")).collect()
+    held = [r for r in out if r.held_out and r.toxic is not None]
+    assert np.mean([r.predicted for r in held if r.toxic == 1]) >= 0.87
+    assert np.mean([r.predicted for r in held if r.toxic == 0]) <= 0.005
+    assert np.mean([(r.score - r.toxic) ** 2 for r in held]) <= 0.02
+    assert np.mean([r.near > 0 for r in out]) >= 0.95
+
+
+def test_toxicity_of_odd_rows_under_a_fitted_index(spark, make, odd):
+    labels = spark.createDataFrame([(r[0], int(r[0] % 3 == 0)) for r in odd if r[0] is not None and r[0] >= 100] + [(6, 1)], "doc_id long, toxic int")
+    out = toxicity.score(make(odd), labels).collect()
+    assert sorted(str(r.doc_id) for r in out) == sorted(str(r[0]) for r in odd)
+    got = defaultdict(list)
+    for r in out:
+        assert 0 <= r.score <= 1
+        got[r.doc_id].append(r)
+    assert all(not got[k][0].evidence and got[k][0].score == got[1][0].score for k in (1, 2, 3, 10))
+    assert got[6][0] == got[6][1] and got[5][0].score == got[6][0].score and got[4][0].evidence and not got[None][0].held_out
 
 
 def test_lm_prefers_what_it_has_seen(make):
