@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -9,6 +10,13 @@ from pyspark.sql import SparkSession
 
 
 def scratch_dir(spark: SparkSession, what: str) -> str:
-    """A fresh folder under the shared checkpoint folder, or under a temporary one of a local run without it."""
+    """A fresh folder under spark.checkpoint.dir, which all executors share.
+
+    Where that is unset: under a temporary folder if all runs in one process, else an error.
+    """
     shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    return f"{(shared or 'file://' + tempfile.mkdtemp(prefix='spark-')).rstrip('/')}/{what}-{uuid.uuid4().hex}"
+    if not shared:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        shared = "file://" + tempfile.mkdtemp(prefix="spark-")
+    return f"{shared.rstrip('/')}/{what}-{uuid.uuid4().hex}"
