@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -9,6 +10,8 @@ from pyspark import Broadcast, cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from hostscope.llm.arrays import worker_memo
+
 #: White space that separates words; a word is a run of anything else.
 SPACE = " \t\n\x0b\x0c\r"
 WORD_RE = r"[^\x20\x09-\x0D]+"
@@ -19,13 +22,13 @@ BROADCAST_BYTES = 48 << 20
 
 _own_dir: dict[str, str] = {}
 
-
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: spark.checkpoint.dir, or one of our own where that is unset (tests)."""
+    """The folder that all executors share: spark.checkpoint.dir. Where it is unset, a temporary one if all runs in one process (tests), else an error."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not named:
-        app = spark.sparkContext.applicationId
-        named = _own_dir.setdefault(app, "file://" + tempfile.mkdtemp(prefix="spark-"))
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        named = _own_dir.setdefault(spark.sparkContext.applicationId, "file://" + tempfile.mkdtemp(prefix="spark-"))
     return named.rstrip("/")
 
 
@@ -69,10 +72,16 @@ def holdout(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
-def ship(spark: SparkSession, model) -> Broadcast:
+def ship(spark: SparkSession, model) -> tuple[str, Broadcast]:
     """Broadcasts a fitted model, its class by value; its size must not depend on the documents."""
-    return spark.sparkContext.broadcast(cloudpickle.dumps(model))
+    return uuid.uuid4().hex, spark.sparkContext.broadcast(cloudpickle.dumps(model))
 
 
-def shipped(model: Broadcast):
-    return cloudpickle.loads(model.value)
+def shipped(model: tuple[str, Broadcast]):
+    """The model, loaded once in each worker; the one that the worker had before goes."""
+    held = worker_memo("model")
+    key, sent = model
+    if key not in held:
+        held.clear()
+        held[key] = cloudpickle.loads(sent.value)
+    return held[key]

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hostscope.llm.arrays import BYTE_VALUES, LOWER, bounded_batches, mix64, powers, text_slices, tidy, word_hashes, word_spans
-from hostscope.llm.common import holdout
+from hostscope.llm.common import holdout, ship, shipped
 
 #: Chains end with a text and after so many words.
 CHAIN = 64
@@ -166,9 +166,8 @@ def _sample_chains(batches):
 
 
 def _predictor(model):
-    langs, weights, trans, begin = model
-
     def run(batches):
+        langs, weights, trans, begin = shipped(model)
         for batch in batches:
             pred, score = [], []
             for at, end, data, offsets in text_slices(batch):
@@ -238,5 +237,5 @@ def identify(docs: DataFrame, model=None, id_col: str = "doc_id", text_col: str
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     if model is None:
         return rows.select("doc_id", held.alias("held_out"), F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"))
-    out = rows.mapInArrow(tidy(_predictor(model)), "doc_id long, lang_pred string, score double")
+    out = rows.mapInArrow(tidy(_predictor(ship(docs.sparkSession, model))), "doc_id long, lang_pred string, score double")
     return out.select("doc_id", held.alias("held_out"), "lang_pred", "score")

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hostscope.llm.arrays import bounded_batches, tidy, worker_memo
+from hostscope.llm.arrays import bounded_batches, tidy
 from hostscope.llm.common import ship, shipped
 
 MODEL = "piece_bpe_32k.model"
@@ -18,8 +18,8 @@ UNKNOWN_PENALTY = 10.0
 MARK = "▁"
 #: A chunk is a run of spaces and the word after it; pieces hold the space mark only at their start, so none crosses.
 CHUNK = re.compile(rb" *[^ ]+| +")
-#: Chunks whose ids a task remembers; it starts anew beyond that.
-CACHE_CHUNKS = 300_000
+#: Bytes of chunks and ids that a task remembers; what it meets beyond that is encoded again.
+CACHE_BYTES = 12 << 20
 
 
 class DoubleArray:
@@ -160,14 +160,16 @@ class Pieces:
         raw = flat.astype("<i4").tobytes()
         return [raw[a:b] for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)]
 
-    def encode(self, texts: list[str | None], cache: dict[bytes, bytes]) -> list[np.ndarray]:
+    def encode(self, texts: list[str | None], cache: dict) -> list[np.ndarray]:
         split = [CHUNK.findall(b" " + t.encode()) if t else [] for t in texts]
         met = {c for chunks in split for c in chunks}
         new, found = list(met.difference(cache)), {}
         for x in range(0, len(new), 10_000):
             found.update(zip(new[x : x + 10_000], self.encode_chunks(new[x : x + 10_000]), strict=True))
-        if len(cache) + len(found) <= CACHE_CHUNKS:
+        held = cache.setdefault(b"", 0) + sum(map(len, found)) + sum(map(len, found.values()))
+        if held <= CACHE_BYTES:
             cache.update(found)
+            cache[b""] = held  # no chunk is empty
             known = cache
         else:  # a full memory holds what was frequent enough to be met early
             known = {c: found[c] if c in found else cache[c] for c in met}
@@ -180,7 +182,7 @@ class Pieces:
 
 def _run(model):
     def run(batches):
-        pieces, cache = shipped(model), worker_memo("chunks")
+        pieces, cache = shipped(model), {}
         for batch in batches:
             for x in range(0, len(batch), 256):
                 some = batch.slice(x, 256)
