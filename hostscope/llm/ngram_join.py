@@ -365,14 +365,14 @@ def links(docs: DataFrame, tokens: int, text_col: str = "text") -> tuple[DataFra
     near = _with_tokens(members, held).mapInArrow(tidy(_distance), "center binary, ref binary, n long, d long")
     near = written(near.withColumn("v", _WIDE * F.col("d") - _NARROW * F.col("n")), "ngram-members")
     least = near.groupBy("center").agg(F.min(F.struct("v", "ref")).alias("z")).select("center", F.col("z.v").alias("z_v"), F.col("z.ref").alias("z_ref"))
-    near = near.join(least, "center")
+    near = near.join(written(least, "ngram-least"), "center")  # written, so that a hot centre's rows can be split in the join
     found = written(near.where((F.col("v") + F.col("z_v") <= 0) & (F.col("ref") != F.col("z_ref"))).select(F.least("ref", "z_ref").alias("a"), F.greatest("ref", "z_ref").alias("b")).distinct(), "links")
     roots = components(found)
     near = near.join(roots, "ref", "left").select("center", "ref", "n", "d", "v", "z_v", F.coalesce("root", "ref").alias("root"), (F.col("v") + F.col("z_v") > 0).alias("outer"))
     # The least v of a set that a centre's least set doesn't link with bounds what any pair of the group must share.
     open_ = near.groupBy("center").agg(F.min("root").alias("r"), F.max("root").alias("s"), F.min(F.when(F.col("outer"), F.col("v"))).alias("o_v")).where("r <> s")
     share = F.ceil((F.col("v") + F.when(F.col("outer"), F.col("z_v")).otherwise(F.col("o_v"))) / (2 * _WIDE))
-    left = near.join(open_.select("center", "o_v"), "center").where(F.col("outer") | (_WIDE * F.col("d") + _NARROW * F.col("n") >= F.col("o_v"))).withColumn("least", share)
+    left = near.join(written(open_.select("center", "o_v"), "ngram-open"), "center").where(F.col("outer") | (_WIDE * F.col("d") + _NARROW * F.col("n") >= F.col("o_v"))).withColumn("least", share)
     left = written(left.select("center", "ref", "n", "d", "v", "root", "outer", "least"), "ngram-left")
     kind = "center binary, ref binary, n long, v long, outer boolean, root binary, token long, at long"
     signed = written(_with_tokens(left, held).mapInArrow(tidy(_differences), kind), "ngram-differences")
