@@ -422,22 +422,106 @@ def test_lm_tells_words_of_a_class_apart(make, monkeypatch, sent):
     new = next(w for k in range(10_000) if tail(w := f"new{k}") == 0)
     got = {r.doc_id: r.log_prob for r in lm.score(make([(1, one[0]), (2, one[1]), (3, new), (4, f"{one[0]} {one[1]}"), (4, None)]), model).collect() if r.n_tokens == 1}
     assert got[1] - got[2] == pytest.approx(np.log(9), abs=1e-6)
-    assert got[3] - got[2] == pytest.approx(np.log(len(one)), abs=1e-6)
+    raw = np.frombuffer(new.encode(), np.uint8)
+    spelt = model[0].spelt(raw, np.array([0]), np.array([len(raw)]))[0]
+    assert got[3] - got[2] == pytest.approx(np.log(len(one)) + spelt, abs=1e-6)
+
+
+def lm_rows(seed=3, n=120):
+    rng = np.random.default_rng(seed)
+    rare = lambda k: [f"r{x}" for x in rng.integers(0, 10**7, k)]
+    rows = [(i, " ".join([f"w{x}" for x in rng.zipf(1.3, 30) % 900] + rare(8))) for i in range(n)]
+    return rows + [(1000 + i, t) for i, t in rows[:20]] + [(2000, None), (2001, ""), (2002, "Only"), (5, rows[5][1]), (2003, " ".join(f"w{x}" for x in rng.zipf(1.3, 20_000) % 900))]
+
+
+@pytest.mark.parametrize("sent", [0, 1 << 18])
+def test_lm_scores_by_brute_force(make, monkeypatch, sent):
+    """Class and word probabilities of every token recomputed one at a time from the fitted weights and plain counts."""
+    from collections import Counter
+
+    monkeypatch.setattr(lm, "SENT_WORDS", sent)
+    monkeypatch.setattr(lm, "SHARD_WORDS", 2000)
+    rows = lm_rows()
+    docs = make(rows)
+    head, w, _ = lm.fit(docs)
+    got = defaultdict(list)
+    for r in lm.score(docs).collect():
+        got[r.doc_id].append(r)
+    lower = lambda t: [x.lower() for x in (t or "").split()]
+    h = lambda x: int(word_hashes(np.frombuffer(x.encode(), np.uint8), np.array([0]), np.array([len(x)]))[0])
+    count = Counter(x for _, t in rows for x in lower(t))
+    rank = {int(x): 1 + int(r) for x, r in zip(head.words, head.rank, strict=True)}
+    kind = {x: rank.get(h(x), 1 + lm.HEAD + h(x) % lm.TAILS) for x in count}
+    types, tokens = Counter(), Counter()
+    for x, n in count.items():
+        types[kind[x]] += 1
+        tokens[kind[x]] += n
+
+    def softmax(z):
+        return np.exp(z - z.max()) / np.exp(z - z.max()).sum()
+
+    for i, t in rows[:30] + rows[-5:-1]:
+        ws = lower(t)
+        c = [0, 0, *[kind[x] for x in ws], 0, 0]
+        mine, my_tail = Counter(ws), Counter(kind[x] for x in ws)
+        total = 0.0
+        for k, x in enumerate(ws, 2):
+            hidden = np.tanh(np.concatenate([w[0][c[k + d]] for d in (-2, -1, 1, 2)]) @ w[1] + w[2])
+            g, m = divmod(c[k], lm.GROUP)
+            total += np.log(softmax(hidden @ w[3] + w[4])[g] * softmax(hidden @ w[5][g] + w[6][g])[m])
+            if c[k] > lm.HEAD:
+                left = count[x] - mine[x]
+                whole = tokens[c[k]] - my_tail[c[k]] + types[c[k]]
+                total += np.log(left if left else types[c[k]] * np.exp(sum(head.spell[b] for b in x.encode()) + head.end)) - np.log(whole)
+        r = got[i][0]
+        assert (r.n_tokens, r.log_prob) == (len(ws), pytest.approx(total, rel=1e-4, abs=1e-3))
+    assert got[5][0].log_prob == pytest.approx(got[5][1].log_prob, abs=1e-4) and got[2000][0].mean_log_prob is None
+
+
+def test_lm_scores_do_not_depend_on_the_layout(make, monkeypatch):
+    monkeypatch.setattr(lm, "SHARD_WORDS", 3000)
+    docs = make(lm_rows())
+    a, b = ({(r.doc_id, r.n_tokens): r.mean_log_prob for r in lm.score(docs.repartition(k)).collect()} for k in (2, 7))
+    assert a.keys() == b.keys()
+    assert all(a[k] == pytest.approx(b[k], abs=1e-6) for k in a)
+
+
+def test_lm_tells_what_occurs_twice(make):
+    rows = lm_rows(7, 300)
+    out = {r.doc_id: r.mean_log_prob for r in lm.score(make(rows)).collect()}
+    twice, once = [out[i] for i in range(20) if i != 5], [out[i] for i in range(20, 300)]
+    assert min(twice) > np.quantile(once, 0.9)
 
 
 def test_lm_trains_on_every_position():
-    texts = [b"one", b"two words", b"", b"a b c d e f g h i j k"]
-    offsets = np.concatenate(([0], np.cumsum([len(t) for t in texts])))
-    tokens, begin = lm.classes(np.zeros(0, np.uint64), np.frombuffer(b"".join(texts), np.uint8), offsets)
-    at = np.concatenate([lm.positions(tokens, begin, nth) for nth in range(lm.ROUNDS)])
+    tokens = np.array([0, 0, 5, 9, 7, 0, 0, 0, 0, 8, 0, 0], np.uint8)
+    at = np.concatenate([np.flatnonzero(tokens)[nth :: lm.ROUNDS] for nth in range(lm.ROUNDS)])
     assert sorted(at.tolist()) == np.flatnonzero(tokens).tolist()
 
 
+def test_lm_gradients_are_those_of_the_loss(monkeypatch):
+    """A step without history moves each weight by the sign and size that finite differences give."""
+    rng = np.random.default_rng(0)
+    w = [x + rng.normal(0, 0.3, x.shape).astype(np.float32) for x in lm.start_weights()]
+    tokens = np.array([0, 0, 5, 9, 200, 17, 5, 0, 0], np.uint8)
+    at = np.flatnonzero(tokens)
+    monkeypatch.setattr(lm, "RATE", 1e-3)
+    start, sums = [x.astype(np.float64) for x in w], [np.full(x.shape, 1e-12) for x in w]
+    moved = [x.copy() for x in start]
+    lm.train_on(moved, sums, tokens, at)
+    for k, index in ((0, (9, 3)), (1, (20, 4)), (2, (5,)), (3, (7, 12)), (4, (0,)), (5, (12, 3, 8)), (6, (1, 1))):
+        loss = []
+        for e in (1e-3, -1e-3):
+            v = [x.copy() for x in start]
+            v[k][index] += e
+            loss.append(-float(lm.log_probabilities(v, tokens, at).astype(np.float64).mean()))
+        assert np.sqrt(sums[k][index]) == pytest.approx(abs(loss[0] - loss[1]) / 2e-3, rel=0.05, abs=2e-4)
+
+
 def test_lm_probabilities_add_up():
     w = lm.start_weights()
-    tokens = np.array([0, 0, 5, 9, 0, 0])
-    total = sum(np.exp(lm.log_probabilities(w, np.array([0, 0, c, 9, 0, 0]), np.array([2]))[0]) for c in range(lm.CLASSES))
-    assert total == pytest.approx(1, abs=1e-4) and len(tokens) == 6
+    total = sum(np.exp(lm.log_probabilities(w, np.array([0, 0, c, 9, 0, 0], np.uint8), np.array([2]))[0]) for c in range(lm.CLASSES))
+    assert total == pytest.approx(1, abs=1e-4)
 
 
 def test_pipeline(spark, sf):
