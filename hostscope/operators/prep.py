@@ -41,10 +41,11 @@ def key_coverage(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> DataFrame:
     return out.withColumn("coverage", F.when(F.col("keys_a") > 0, F.col("keys_both") / F.col("keys_a")).otherwise(0.0))
 
 
-def fit_scaling(df: DataFrame, features: Sequence[str], exact: bool = True, accuracy: int = 10_000) -> DataFrame:
+def fit_scaling(df: DataFrame, features: Sequence[str], exact: bool = False, accuracy: int = 10_000) -> DataFrame:
     """metric, median, iqr, mad of every feature: long form, one aggregate for quantiles and one for the MAD.
 
-    With approximate quantiles partial aggregation keeps one sketch a feature and task, so features are not gathered.
+    Quantiles are sketches, one a feature and task, off by at most a share of 1 / accuracy in rank; exact quantiles
+    (for small tables) hold all distinct values of a feature in one task.
     """
     q = (lambda c, p: F.percentile(c, p)) if exact else (lambda c, p: F.percentile_approx(c, p, accuracy))
     long = long_metrics(df.select(*features), features).where("value is not null and not isnan(value)")
@@ -125,10 +126,14 @@ def top_half(importance: DataFrame, score: str = "importance", name: str = "metr
     return importance.withColumn("rank", rank).withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy(F.lit(0)))).where(F.col("rank") <= F.floor((F.col("_n") + 1) / 2)).drop("_n")
 
 
-def score_metrics(train: DataFrame, valid: DataFrame, score: str = "score", level: float = 0.95) -> DataFrame:
-    """One row: median shift over spread ("drift"), the training threshold, alert rates and their difference."""
-    a = train.agg(F.percentile(score, 0.5).alias("_mt"), F.stddev_pop(score).alias("_sd"), F.percentile(score, level).alias("threshold"))
-    b = valid.agg(F.percentile(score, 0.5).alias("_mv"))
+def score_metrics(train: DataFrame, valid: DataFrame, score: str = "score", level: float = 0.95, exact: bool = False, accuracy: int = 10_000) -> DataFrame:
+    """One row: median shift over spread ("drift"), the training threshold, alert rates and their difference.
+
+    Quantiles are sketches unless exact ones (for small tables) are asked for.
+    """
+    q = (lambda p: F.percentile(score, p)) if exact else (lambda p: F.percentile_approx(score, p, accuracy))
+    a = train.agg(q(0.5).alias("_mt"), F.stddev_pop(score).alias("_sd"), q(level).alias("threshold"))
+    b = valid.agg(q(0.5).alias("_mv"))
     both = a.crossJoin(F.broadcast(b))
     rate = lambda df, name: df.crossJoin(F.broadcast(a.select("threshold"))).agg(F.avg(F.when(F.col(score) > F.col("threshold"), 1.0).otherwise(0.0)).alias(name))
     out = both.crossJoin(rate(valid, "alert_rate")).crossJoin(rate(train, "_train_rate"))
@@ -152,9 +157,12 @@ def input_profile(df: DataFrame, keys: Sequence[str], ts: str, least_rows: int,
 
 
 def scored_in_windows(windows: DataFrame, predictions: DataFrame, ts: str = "window_end_ts") -> DataFrame:
-    """Predictions in each evaluation window [start, end); windows without any count 0."""
+    """Predictions in each evaluation window [start, end); windows without any count 0.
+
+    Predictions are counted by time first. A window meets only the days that it spans, so neither side needs a broadcast.
+    """
+    by_time = predictions.groupBy(ts).agg(F.count(F.lit(1)).alias("_n")).withColumn("_day", F.to_date(ts))
+    days = windows.where("start_ts < end_ts").withColumn("_day", F.explode(F.sequence(F.to_date("start_ts"), F.to_date("end_ts"))))
     hit = (F.col(ts) >= F.col("start_ts")) & (F.col(ts) < F.col("end_ts"))
-    # Windows are few; the predictions are counted by time first.
-    by_time = predictions.groupBy(ts).agg(F.count(F.lit(1)).alias("_n"))
-    found = by_time.join(F.broadcast(windows), hit).groupBy("window_id").agg(F.sum("_n").alias("records"))
+    found = by_time.join(days, "_day").where(hit).groupBy("window_id").agg(F.sum("_n").alias("records"))
     return windows.join(found, "window_id", "left").select("window_id", F.coalesce("records", F.lit(0)).alias("records"))

@@ -13,9 +13,16 @@ from hostscope.functions.net import window_floor
 def merge_ranges(ranges: DataFrame, by: Sequence[str] = ("family",), start: str = "start_ts", end: str = "end_ts") -> DataFrame:
     """Touching and overlapping ranges of a family as one; empty and reversed ranges go.
 
-    Gaps and islands: a range that begins after the greatest end so far begins an island.
+    Distinct ranges are merged inside each family and day of start first, so a large family is spread over its days;
+    only what is left of each day is merged over the family.
     """
-    ok = ranges.where(F.col(start) < F.col(end))
+    ok = ranges.where(F.col(start) < F.col(end)).select(*by, start, end).distinct()
+    inside = _islands(ok.withColumn("_day", F.to_date(start)), [*by, "_day"], start, end).drop("_day")
+    return _islands(inside, by, start, end)
+
+
+def _islands(ok: DataFrame, by: Sequence[str], start: str, end: str) -> DataFrame:
+    """Gaps and islands: a range that begins after the greatest end so far begins an island."""
     order = Window.partitionBy(*by).orderBy(start, end)
     reach = F.max(end).over(order.rowsBetween(Window.unboundedPreceding, -1))
     islands = ok.withColumn("_new", F.when(reach.isNull() | (F.col(start) > reach), 1).otherwise(0))
@@ -154,6 +161,15 @@ def history_envelope(windows: DataFrame, lookback_hours: int = 24, horizon_days:
 
 
 def overlapping_windows(windows: DataFrame) -> DataFrame:
-    """Windows that are reversed or begin before the one before ends."""
-    before = F.lag("end_ts").over(Window.partitionBy("family").orderBy("start_ts", "end_ts"))
-    return windows.withColumn("previous_end_ts", before).where("start_ts >= end_ts or start_ts < previous_end_ts")
+    """Windows that are reversed or begin before the one before ends.
+
+    The window before is sought inside the family and day; the first of a day follows the last of the days before, of
+    which a family has few.
+    """
+    day = windows.withColumn("_day", F.to_date("start_ts"))
+    last = day.groupBy("family", "_day").agg(F.max(F.struct("start_ts", "end_ts")).alias("_last"))
+    last = last.select("family", "_day", F.lag("_last.end_ts").over(Window.partitionBy("family").orderBy("_day")).alias("_before"))
+    before = F.lag("end_ts").over(Window.partitionBy("family", "_day").orderBy("start_ts", "end_ts"))
+    out = day.withColumn("_prev", before).alias("w").join(last.alias("l"), F.col("w.family").eqNullSafe(F.col("l.family")) & F.col("w._day").eqNullSafe(F.col("l._day")))
+    out = out.select("w.*", F.coalesce("_prev", "_before").alias("previous_end_ts")).drop("_day", "_prev")
+    return out.where("start_ts >= end_ts or start_ts < previous_end_ts")

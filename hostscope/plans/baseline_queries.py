@@ -224,7 +224,9 @@ def jon_duplicate_keys(spark, d):
     return dv.duplicate_keys(daily(spark, d), ["host_ip", "role"])
 
 
-@query("SELECT 'sessions_cnt' AS metric UNION ALL SELECT 'duration_sum'")
+@query(f"WITH {counters(60)} SELECT host_ip, role, 'sessions_cnt' AS metric, count(*) AS slices, sum(sessions_cnt)::DOUBLE AS total FROM slices GROUP BY ALL UNION ALL SELECT host_ip, role, 'duration_sum', count(*), sum(duration_sum)::DOUBLE FROM slices GROUP BY ALL")
 def prj_metric_selection(spark, d):
-    names = bl.metric_lists(slice_table(spark, d).columns, ["sessions_cnt", "no_such_metric"], ["duration_sum", "sessions_cnt"])
-    return slice_table(spark, d).limit(1).select(F.explode(F.array(*map(F.lit, names))).alias("metric"))
+    """The default and configured metrics that the slices hold, of every slice, summed by host."""
+    s = slice_table(spark, d)
+    names = bl.metric_lists(s.columns, ["sessions_cnt", "no_such_metric"], ["duration_sum", "sessions_cnt"])
+    return bl.long_metrics(s.select("host_ip", "role", *names), names).groupBy("host_ip", "role", "metric").agg(F.count(F.lit(1)).alias("slices"), F.sum("value").alias("total"))

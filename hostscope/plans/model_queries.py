@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hostscope.functions import net
+from hostscope.operators import baselines as bl
 from hostscope.operators import forest
 from hostscope.operators import prep
 from hostscope.operators import quality as q
@@ -31,14 +32,13 @@ def jon_feature_inputs(spark, d):
     return out.groupBy(F.col("k").alias("l_orderkey")).agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("l_quantity"), 6).alias("quantity"), F.round(F.sum("o_totalprice"), 2).alias("total"))
 
 
-@query("SELECT l_orderkey, l_linenumber, l_quantity / 50 AS score, l_discount FROM lineitem")
+@query("WITH p AS (SELECT l_orderkey, l_linenumber, max(l_quantity) / 50 AS score, max(l_tax) AS l_tax FROM lineitem GROUP BY ALL), f AS (SELECT l_orderkey, l_linenumber, min(l_discount) AS l_discount FROM lineitem WHERE l_linenumber < 5 GROUP BY ALL) SELECT * FROM p JOIN f USING (l_orderkey, l_linenumber)")
 def jon_predictions(spark, d):
-    """A prediction's own columns win over the features' of the same name. (Keys repeat in a few lines: those are joined once.)"""
-    f = features(spark, d).withColumn("_r", F.xxhash64(*KEYS, *FEATURES, "l_shipdate", "l_returnflag"))
-    n = F.monotonically_increasing_id()
-    f = f.withColumn("row_id", n)
-    p = f.select("row_id", *KEYS, (F.col("l_quantity") / 50).alias("score"))
-    return prep.join_predictions(p, f.select("row_id", "l_orderkey", "l_discount"), ["row_id"]).select(*KEYS, "score", "l_discount")
+    """Predictions joined with features on their keys, each key once; a prediction's own columns win over the features' of the same name."""
+    f = features(spark, d)
+    p = f.groupBy(*KEYS).agg((F.max("l_quantity") / 50).alias("score"), F.max("l_tax").alias("l_tax"))
+    own = f.where("l_linenumber < 5").groupBy(*KEYS).agg(F.min("l_discount").alias("l_discount"), F.min("l_tax").alias("l_tax"))
+    return prep.join_predictions(p, own, KEYS)
 
 
 @query("WITH a AS (SELECT DISTINCT o_orderkey AS k FROM orders), b AS (SELECT DISTINCT l_orderkey AS k FROM lineitem WHERE l_discount > 0.05) SELECT (SELECT count(*) FROM a)::BIGINT AS keys_a, (SELECT count(*) FROM b)::BIGINT AS keys_b, (SELECT count(*) FROM a JOIN b USING (k))::BIGINT AS keys_both, (SELECT count(*) FROM a JOIN b USING (k)) / (SELECT count(*) FROM a) AS coverage")
@@ -53,14 +53,14 @@ def _scaling_sql() -> str:
 
 @query(f"WITH {_scaling_sql()} SELECT metric, round(median, 6) AS median, round(iqr, 6) AS iqr, round(mad, 6) AS mad FROM sc")
 def mlp_fit_scaling(spark, d):
-    s = prep.fit_scaling(features(spark, d), FEATURES)
+    s = prep.fit_scaling(features(spark, d), FEATURES, exact=True)
     return s.select("metric", *[F.round(c, 6).alias(c) for c in ("median", "iqr", "mad")])
 
 
 @query(f"WITH {_scaling_sql()} SELECT l_orderkey, l_linenumber, {', '.join(f'''round(greatest(least(({f} - (SELECT median FROM sc WHERE metric = '{f}')) / ((SELECT CASE WHEN mad > 0 THEN mad WHEN iqr > 0 THEN iqr ELSE 1.0 END FROM sc WHERE metric = '{f}') + 1e-6), 6.0), -6.0), 5) AS {f}''' for f in FEATURES)} FROM lineitem")
 def mlp_apply_scaling(spark, d):
     f = features(spark, d).select(*KEYS, *FEATURES)
-    out = prep.apply_scaling(f, prep.fit_scaling(f, FEATURES), FEATURES)
+    out = prep.apply_scaling(f, prep.fit_scaling(f, FEATURES, exact=True), FEATURES)
     return out.select(*KEYS, *[F.round(c, 5).alias(c) for c in FEATURES])
 
 
@@ -112,7 +112,7 @@ _SM = f"{_SC}, m AS (SELECT abs((SELECT quantile_cont(score, 0.5) FROM s WHERE N
 def _metrics(spark, d):
     s = table(spark, d, "lineitem").select(F.col("l_shipdate").alias("ts"), F.col("l_extendedprice").alias("score"))
     cut = F.lit("1999-01-01 00:00:00").cast("timestamp_ntz")
-    return prep.score_metrics(s.where(F.col("ts") < cut), s.where(F.col("ts") >= cut))
+    return prep.score_metrics(s.where(F.col("ts") < cut), s.where(F.col("ts") >= cut), exact=True)
 
 
 @query(f"WITH {_SM} SELECT round(drift, 6) AS drift, round(threshold, 6) AS threshold, round(alert_rate, 6) AS alert_rate, round(alert_delta, 6) AS alert_delta FROM m")
@@ -137,11 +137,13 @@ def agg_scored_in_windows(spark, d):
     return prep.scored_in_windows(w, features(spark, d), "l_shipdate")
 
 
-@query("SELECT kind, count(*) AS n FROM (SELECT unnest(['feature', 'feature', 'feature', 'feature', 'feature', 'feature', 'metadata', 'metadata', 'metadata', 'metadata']) AS kind FROM region) GROUP BY ALL")
+@query(" UNION ALL ".join(f"SELECT l_orderkey, '{f}' AS feature, count({x}) AS n, round(sum({x}), 4) AS total FROM lineitem GROUP BY ALL" for f, x in (*((f, f) for f in FEATURES), ("price_copy", "l_extendedprice * 2"), ("constant", "1.0"))))
 def prj_split_columns(spark, d):
-    meta, feats = q.split_columns(features(spark, d), KEYS)
-    rows = F.explode(F.array(*[F.lit("metadata")] * len(meta), *[F.lit("feature")] * len(feats))).alias("kind")
-    return table(spark, d, "region").select(rows).groupBy("kind").agg(F.count(F.lit(1)).alias("n"))
+    """The feature columns of every row in long form, by order; metadata columns stay out."""
+    f = features(spark, d)
+    _, feats = q.split_columns(f, KEYS)
+    long = bl.long_metrics(f.select("l_orderkey", *feats), feats)
+    return long.groupBy("l_orderkey", F.col("metric").alias("feature")).agg(F.count("value").alias("n"), F.round(F.sum("value"), 4).alias("total"))
 
 
 @query("SELECT event_id, CASE event_id % 4 WHEN 0 THEN 0.0 WHEN 1 THEN event_id / 10 WHEN 2 THEN event_id / 10 ELSE event_id END::DOUBLE AS prediction FROM events")

@@ -8,15 +8,19 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
-def write_partitioned(df: DataFrame, path: str, by: Sequence[str] = (), mode: str = "overwrite", dynamic: bool = True, files_per_partition: int = 1, records_per_file: int = 5_000_000) -> int:
+def write_partitioned(df: DataFrame, path: str, by: Sequence[str] = (), mode: str = "overwrite", dynamic: bool = True, files_per_partition: int | None = None, records_per_file: int = 5_000_000) -> int:
     """Writes Parquet, replacing only the partitions present (dynamic overwrite), and returns the rows written.
 
-    Rows are dealt out by the partition columns and a salt, so one day is not one task; files are bounded in rows.
+    Rows are dealt out by the partition columns and a salt as wide as the largest partition needs (counted first, unless
+    files_per_partition says it), so one large day is not one task; files are bounded in rows.
     """
     check_columns(df, by)
     seen = Observation()
     out = df.observe(seen, F.count(F.lit(1)).alias("n"))
     if by:
+        if files_per_partition is None:
+            most = df.groupBy(*by).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
+            files_per_partition = max(1, -(-most // records_per_file))
         salt = F.pmod(F.xxhash64(*[c for c in df.columns if c not in by] or [F.lit(0)]), F.lit(files_per_partition))
         out = out.repartition(*by, salt).sortWithinPartitions(*by)
     writer = out.write.mode(mode).option("maxRecordsPerFile", records_per_file).option("partitionOverwriteMode", "dynamic" if dynamic else "static")
