@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hostscope.llm.common import new_dir, with_small
@@ -19,6 +20,18 @@ STATE = {
 FILES_PER_BATCH = 2000
 
 
+def _locator(docs: DataFrame) -> Column:
+    """Where a row's content lies: file and row number of a Parquet table, else the row's number in this run's digests."""
+    place = F.concat_ws("#", "_metadata.file_path", "_metadata.row_index")
+    try:
+        if "_metadata" not in docs.columns:
+            docs.select(place).schema  # noqa: B018
+            return place
+    except AnalysisException:
+        pass
+    return F.monotonically_increasing_id().cast("string")
+
+
 def _held(digests: DataFrame, path: str, files_per_batch: int) -> DataFrame:
     """Streams the written digests through keyed state; a row for each digest with what its state holds at the end."""
     spark, out = digests.sparkSession, new_dir(digests.sparkSession, "dedup-state")
@@ -51,16 +64,16 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """Groups rows whose texts are equal byte for byte; the row with the largest id stays.
 
     Returns doc_id, keep_id, group_size, kept, text_sha256, keep_locator for every row. A stream keeps, for each digest
-    and without expiry, the largest id, its locator (file) and the count in RocksDB state. Digests met twice are hits:
+    and without expiry, the largest id, its locator (file and row number) and the count in RocksDB state. Digests met twice are hits:
     the whole texts of the hits are read again and compared through their least and greatest text, which partial
     aggregation merges before the shuffle, so a group with a third of all rows moves one row a task. Should a digest
     hold different texts, its rows are grouped by text instead. Null text counts as empty; null ids lose to any id;
-    rows equal in id and text are one document and get equal answers; an empty table gives an empty result; other
+    of rows equal in id and text, the one of the greatest locator is kept; an empty table gives an empty result; other
     columns are ignored.
     """
     spark = docs.sparkSession
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    read = docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("_text"), F.substring_index(F.input_file_name(), "/", -1).alias("locator"))
+    read = docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("_text"), _locator(docs).alias("locator"))
     read = read.withColumn("text_sha256", F.sha2(F.col("_text"), 256))
     path = new_dir(spark, "dedup-digests")
     (narrow := read.select("doc_id", "text_sha256", "locator")).write.parquet(path)
@@ -78,9 +91,10 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         again = again.select("text_sha256", "doc_id", "locator", F.col("_k.doc_id").alias("keep_id"), "group_size", F.col("_k.locator").alias("keep_locator"))
         out = out.join(differ, "text_sha256", "left_anti").unionByName(again)
     single = F.col("group_size").isNull()
+    first = F.col("locator").eqNullSafe(F.col("keep_locator"))
     keep_id = F.when(single, F.col("doc_id")).otherwise(F.col("keep_id"))
     return out.select(
         "doc_id", keep_id.alias("keep_id"), F.coalesce("group_size", F.lit(1)).cast("long").alias("group_size"),
-        F.col("doc_id").eqNullSafe(keep_id).alias("kept"), "text_sha256",
+        (single | F.col("doc_id").eqNullSafe(keep_id) & first).alias("kept"), "text_sha256",
         F.when(single, F.col("locator")).otherwise(F.col("keep_locator")).alias("keep_locator"),
     )

@@ -58,8 +58,8 @@ def quality_sql() -> str:
  pos AS (SELECT doc_id, unnest(range(1, len(ws) - 1)) AS i, ws FROM w WHERE len(ws) >= 4), tri AS (SELECT doc_id, i, ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2] AS g FROM pos),
  rep AS (SELECT doc_id, i FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, g) AS c FROM tri) WHERE c > 1), cov AS (SELECT doc_id, count(DISTINCT i + k) AS n_repeat_words FROM rep, range(3) x(k) GROUP BY 1),
  ln AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS l FROM w), dl AS (SELECT doc_id, count(*) - count(DISTINCT l) AS n_dup_lines FROM ln WHERE regexp_matches(l, '[^\\x20\\x09-\\x0D]') GROUP BY 1),
- s0 AS (SELECT w.doc_id, stratum, CAST(len(ws) AS BIGINT) AS n_words, CAST(length(array_to_string(ws, '')) AS BIGINT) AS word_chars, CAST(len(regexp_extract_all(text, '[#*$%&|<>]')) AS BIGINT) AS n_symbols, coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words FROM w LEFT JOIN cov USING (doc_id) LEFT JOIN dl USING (doc_id)),
- s AS (SELECT *, n_words < {quality.MIN_WORDS} OR n_repeat_words * 100 > n_words * {quality.REPEAT_PERCENT} AS base_failed FROM s0), lab AS (SELECT doc_id FROM labels GROUP BY 1 HAVING min(quality) = 1), good AS (SELECT * FROM s WHERE NOT base_failed AND doc_id IN (SELECT doc_id FROM lab)),
+ s0 AS (SELECT w.doc_id, stratum, text, CAST(len(ws) AS BIGINT) AS n_words, CAST(length(array_to_string(ws, '')) AS BIGINT) AS word_chars, CAST(len(regexp_extract_all(text, '[#*$%&|<>]')) AS BIGINT) AS n_symbols, coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words FROM w LEFT JOIN cov USING (doc_id) LEFT JOIN dl USING (doc_id)),
+ s AS (SELECT *, n_words < {quality.MIN_WORDS} OR n_repeat_words * 100 > n_words * {quality.REPEAT_PERCENT} AS base_failed FROM s0), lab AS (SELECT doc_id FROM labels GROUP BY 1 HAVING min(quality) = 1), good AS (SELECT DISTINCT ON (stratum, text) * FROM s WHERE NOT base_failed AND doc_id IN (SELECT doc_id FROM lab)),
  grid AS ({grid}), alpha AS (SELECT {1 - quality.CONFIDENCE} / (count(DISTINCT stratum) * {len(quality.RULES)}) AS a FROM good), tests AS (SELECT *, {tail} <= (SELECT a FROM alpha) AS safe FROM grid),
  upto AS (SELECT *, bool_and(safe) OVER (PARTITION BY stratum, rule ORDER BY nth ROWS UNBOUNDED PRECEDING) AS ok FROM tests), best AS (SELECT stratum, rule, min(cut) AS cut FROM upto WHERE ok GROUP BY ALL)
  SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND NOT ({over}) AS kept FROM s"""

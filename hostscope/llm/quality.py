@@ -7,7 +7,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from hostscope.llm.common import WORD_RE, let, words, written
+from hostscope.llm.common import WORD_RE, let, with_small, words, written
 
 MIN_WORDS = 50
 REPEAT_PERCENT = 50
@@ -50,7 +50,7 @@ def repeated_words(w: Column) -> Column:
 
 
 def signals(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", stratum_col: str = "lang") -> DataFrame:
-    """Counts over each whole text: doc_id, stratum, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words."""
+    """Counts over each whole text: doc_id, stratum, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, text_key (a hash)."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     stratum = F.coalesce(F.col(stratum_col).cast("string"), F.lit("")) if stratum_col in docs.columns else F.lit("")
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), stratum.alias("stratum"), text.alias("_text"))
@@ -60,9 +60,9 @@ def signals(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", str
     ))
     rows = rows.select(
         "doc_id", "stratum", counts.alias("_c"), F.regexp_count("_text", F.lit("[#*$%&|<>]")).cast("long").alias("n_symbols"),
-        let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("n_dup_lines"),
+        let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("n_dup_lines"), F.xxhash64("_text").alias("text_key"),
     )
-    return rows.select("doc_id", "stratum", "_c.n_words", "_c.word_chars", "n_symbols", "n_dup_lines", "_c.n_repeat_words")
+    return rows.select("doc_id", "stratum", "_c.n_words", "_c.word_chars", "n_symbols", "n_dup_lines", "_c.n_repeat_words", "text_key")
 
 
 def _rate(name: str) -> Column:
@@ -100,7 +100,8 @@ def binomial_tail(k: Column, n: Column, p: float) -> Column:
 def cutoffs(holdout: DataFrame, rules: dict = RULES, risk: float = RISK, confidence: float = CONFIDENCE) -> DataFrame:
     """The strictest safe cutoff of each rule in each stratum: stratum and a column a rule (null: the rule stays off).
 
-    holdout: the signals of documents known to be good that pass the base rules. A cutoff is safe if the exact
+    holdout: the signals of documents known to be good that pass the base rules, each text once (copies are no
+    independent draws). A cutoff is safe if the exact
     (Clopper-Pearson) upper bound of its false-rejection rate is at most risk / rules, that is, if so few rejections
     have a binomial tail probability of at most (1 - confidence) / (rules * strata) (Bonferroni). The cutoffs of a rule
     are tried from loose to strict up to the first unsafe one, which needs no further correction. A row a stratum.
@@ -126,13 +127,16 @@ def quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col
     good; null or other ids do nothing; several labels of an id count as their least). Signals are computed once, in
     one pass over the whole texts without a shuffle, and written; only these numbers meet the labels. Null or blank
     text has no words and fails the base rules; a null stratum is the stratum ''; strata without enough good labels
-    reject nothing beyond the base rules; repeated rows are judged alike; empty tables give an empty result.
+    reject nothing beyond the base rules; repeated rows are judged alike and count once in the holdout, as do equal
+    texts; the risk is that of good documents that pass the base rules; empty tables give an empty result; other
+    columns are ignored.
     """
     rows = written(signals(docs, id_col, text_col, stratum_col).withColumn("base_failed", base_failed()), "quality")
     good = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").alias("_q")).groupBy("doc_id").agg(F.min("_q").alias("_q")).where("_q = 1")
-    cuts = cutoffs(rows.where(~F.col("base_failed")).join(good, "doc_id", "left_semi"), **how)
+    known = rows.where(~F.col("base_failed")).join(good, "doc_id", "left_semi").dropDuplicates(["stratum", "text_key"])
+    cuts = written(cutoffs(known, **how), "quality-cutoffs")
     names = how.get("rules", RULES)
     over = F.lit(False)
     for r in names:
         over = over | F.coalesce(_rate(r) > F.col(f"cut_{r}"), F.lit(False))
-    return rows.join(cuts, "stratum", "left").select(*rows.columns, "n_holdout", *[f"cut_{r}" for r in names], (~F.col("base_failed") & ~over).alias("kept"))
+    return with_small(rows, cuts, "stratum", "left", 500).select(*[c for c in rows.columns if c != "text_key"], "n_holdout", *[f"cut_{r}" for r in names], (~F.col("base_failed") & ~over).alias("kept"))
