@@ -40,7 +40,8 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Null counts as empty text; a null id stays only if its text has no other; of rows equal in id and text one stays,
     the least by its other columns; an empty table stays empty; other columns pass through.
     """
-    found = written(dedup.exact_dedup(docs).select("doc_id", "kept", "text_sha256"), "pipeline-exact")
+    found = dedup.exact_dedup(docs).select("doc_id", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256")
+    found = written(found, "pipeline-exact")
     kept = _keep(docs, found)
     twice = written(found.where("kept").groupBy("doc_id", "text_sha256").count().where("count > 1").select("doc_id").distinct(), "pipeline-twice")
     if twice.isEmpty():
