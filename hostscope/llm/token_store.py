@@ -228,6 +228,8 @@ def write(docs: DataFrame, path: str | None = None, id_col: str = "doc_id", text
     bounded_batches(spark)
     store = store or new_dir(spark, "token-store")
     path = path or public_tokenizers.path(TOKENIZER)
+    if os.path.basename(path) != TOKENIZER:
+        raise ValueError(f"words are split as {TOKENIZER} does; no other vocabulary file is known here")
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
     encoded = rows.mapInArrow(tidy(_encode(path)), _ROWS_SQL).repartition(parts, "address")
@@ -287,10 +289,13 @@ def _rebuilt(shifts: np.ndarray):
             for r, p in zip(rows, parts, strict=True):
                 if merkle_root([c[3] for c in p]) != r["root"] or sum(c[1] for c in p) != r["n_tokens"]:
                     raise ValueError(f"document {r['doc_id']} can't be rebuilt from its chunks")
-            for j in range(max(map(len, parts), default=0)):
-                on = np.array([i for i, p in enumerate(parts) if len(p) > j])
-                n = np.array([parts[i][j][1] for i in on])
-                crc[on] = crc_times(shifts[n], crc[on]) ^ np.array([parts[i][j][2] for i in on], np.uint64)
+            many = np.array([len(p) for p in parts], np.int64)
+            first, by_length = np.cumsum(many) - many, np.argsort(-many, kind="stable")
+            n, own = (np.array([c[k] for p in parts for c in p], kind) for k, kind in ((1, np.int64), (2, np.uint64)))
+            for j in range(int(many.max()) if len(many) else 0):
+                on = by_length[: np.searchsorted(-many[by_length], -j)]  # those with more than j chunks
+                at = first[on] + j
+                crc[on] = crc_times(shifts[n[at]], crc[on]) ^ own[at]
             yield pa.RecordBatch.from_arrays([pa.array([r["nth"] for r in rows], pa.int64()), pa.array(crc.astype(np.int64), pa.int64())], ["nth", "ids_crc32"])
 
     return run

@@ -241,6 +241,11 @@ def test_store_holds_chunks_once_and_notices_damage(spark, make):
         token_store.read(spark, bad + "2").count()
 
 
+def test_store_refuses_other_vocabularies(make):
+    with pytest.raises(ValueError, match="vocabulary"):
+        token_store.write(make([(1, "a")]), path="/somewhere/other.json")
+
+
 def test_chunks_follow_content():
     ids = np.random.default_rng(0).integers(0, 40_000, 20_000).astype(np.uint16)
     cut = lambda x: {x[a:b].tobytes() for a, b in zip([0, *e[:-1]], e, strict=True)} if (e := token_store.chunk_ends(x, np.array([0]))).size else set()
