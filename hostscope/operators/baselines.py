@@ -111,14 +111,14 @@ def host_flags(support: DataFrame, machines: DataFrame, prefixes: Sequence[str],
     return out.select(*keys, "machine_name", full.cast("int").alias("is_full_history"), short.cast("int").alias("is_non_persistent_machine"), (~full | short).cast("int").alias("is_cold_start"))
 
 
-def pair_rarity(pairs: DataFrame, days: int, rare: int = 2, lookback: DataFrame | None = None) -> DataFrame:
+def pair_rarity(pairs: DataFrame, days: int, rare: int = 2, lookback: DataFrame | None = None, by: Sequence[str] = ()) -> DataFrame:
     """Rarity of (host, peer, port) and (segment, peer, port), in one GROUPING SETS aggregate; ``level`` tells them apart.
 
     Columns: seen count, last seen, active days, daily average, score 1 / (1 + n), rare flag, and new flag (absent from
-    the look-back, where one is given).
+    the look-back, where one is given). ``by`` names further keys, such as the horizon.
     """
-    view = pairs.select(F.col("src_ip").alias("host_ip"), "segment_id", "dst_ip", "dst_port", "sessions_cnt", "event_ts")
-    sets = view.groupingSets([["host_ip", "dst_ip", "dst_port"], ["segment_id", "dst_ip", "dst_port"]], "host_ip", "segment_id", "dst_ip", "dst_port")
+    view = pairs.select(F.col("src_ip").alias("host_ip"), "segment_id", "dst_ip", "dst_port", *by, "sessions_cnt", "event_ts")
+    sets = view.groupingSets([["host_ip", "dst_ip", "dst_port", *by], ["segment_id", "dst_ip", "dst_port", *by]], "host_ip", "segment_id", "dst_ip", "dst_port", *by)
     out = sets.agg(
         F.sum("sessions_cnt").alias("pair_seen_count"), F.max("event_ts").alias("pair_last_seen_ts"), F.count_distinct(F.to_date("event_ts")).alias("active_days"), F.grouping("host_ip").alias("_g"),
     )

@@ -44,16 +44,21 @@ def grow_tree(x: np.ndarray, rng: np.random.Generator) -> dict[str, list]:
 
 
 def fit(df: DataFrame, features: Sequence[str], key: str, trees: int = 100, sample: int = 256, seed: int = 0) -> DataFrame:
-    """The trees, a row each. A tree's rows are those with the least hashes of (key, tree): exactly ``sample`` of them.
+    """The trees, a row each. A tree's rows are the ``sample`` with the least hashes of those drawn for it (fewer if fewer are).
 
-    Every row meets each tree with a chance from the row count, so each tree's group stays small whatever the table;
-    a group is cut to the sample inside its task.
+    Twice the sample is drawn for a tree on average, so its group stays small whatever the table. In a large table one
+    hash of a row decides which single tree it serves, if any; only small tables offer each row to every tree.
     """
     n = df.count()
     rate = min(1.0, 2.0 * sample / max(n, 1))
     filled = [F.coalesce(F.col(f).cast("double"), F.lit(0.0)).alias(f) for f in features]
-    rows = df.select(F.col(key).alias("_key"), *filled).withColumn("tree_id", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
-    rows = rows.withColumn("_h", F.xxhash64("_key", "tree_id", F.lit(seed))).where(F.pmod(F.col("_h"), F.lit(1 << 30)) < int(rate * (1 << 30)) + 1)
+    rows = df.select(F.col(key).alias("_key"), *filled)
+    if rate * trees <= 1:
+        slots = int(1 / rate)
+        rows = rows.withColumn("tree_id", F.pmod(F.xxhash64("_key", F.lit(seed)), F.lit(slots)).cast("int")).where(F.col("tree_id") < trees).withColumn("_h", F.xxhash64("_key", "tree_id", F.lit(seed)))
+    else:
+        rows = rows.withColumn("tree_id", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
+        rows = rows.withColumn("_h", F.xxhash64("_key", "tree_id", F.lit(seed))).where(F.pmod(F.col("_h"), F.lit(1 << 30)) < int(rate * (1 << 30)) + 1)
 
     def grow(group: pd.DataFrame) -> pd.DataFrame:
         some = group.sort_values("_h").head(sample)
@@ -102,9 +107,11 @@ def score_batches(df: DataFrame, score: Callable[[pd.DataFrame], np.ndarray], id
 def permutation_impact(df: DataFrame, score: Callable[[pd.DataFrame], np.ndarray], features: Sequence[str], key: str, seed: int = 0) -> DataFrame:
     """(metric, impact): mean absolute change of the score when one feature takes another row's value.
 
-    The other row is the next in an order hashed from the key, found inside hashed buckets, so no feature is gathered.
+    The other row is the next in an order hashed from the key, found inside hashed buckets of some ten thousand rows, so
+    no feature is gathered.
     """
-    base = df.select(F.col(key), *features).withColumn("_b", F.pmod(F.xxhash64(key, F.lit(seed)), F.lit(64)))
+    buckets = max(64, df.count() // 10_000)
+    base = df.select(F.col(key), *features).withColumn("_b", F.pmod(F.xxhash64(key, F.lit(seed)), F.lit(buckets)))
     ring = Window.partitionBy("_b").orderBy(F.xxhash64(key, F.lit(seed + 1)))
     moved = base.select("*", *[F.coalesce(F.lead(f).over(ring), F.col(f)).alias(f"_m_{f}") for f in features])
 

@@ -156,6 +156,14 @@ def input_profile(df: DataFrame, keys: Sequence[str], ts: str, least_rows: int,
     })
 
 
+def window_overlap(a: DataFrame, b: DataFrame, least_rows: int, window: str = "window_label") -> DataFrame:
+    """Rows of each window in two inputs, whether both have it, and whether both have enough. One aggregate over a union."""
+    u = a.select(window, F.lit(0).alias("_i")).unionByName(b.select(window, F.lit(1).alias("_i")))
+    out = u.groupBy(window).agg(F.count_if(F.col("_i") == 0).alias("rows_a"), F.count_if(F.col("_i") == 1).alias("rows_b"))
+    fewest = F.least("rows_a", "rows_b")
+    return out.withColumns({"overlaps": (fewest > 0).cast("int"), "enough": (fewest >= least_rows).cast("int")})
+
+
 def scored_in_windows(windows: DataFrame, predictions: DataFrame, ts: str = "window_end_ts") -> DataFrame:
     """Predictions in each evaluation window [start, end); windows without any count 0.
 

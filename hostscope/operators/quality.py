@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -83,6 +84,11 @@ def rejected_casts(df: DataFrame, schema: T.StructType) -> DataFrame:
     return df.agg(*[F.count_if(F.col(f.name).isNotNull() & F.col(f.name).try_cast(f.dataType).isNull()).alias(f.name) for f in schema])
 
 
+def union_all(tables: Sequence[DataFrame]) -> DataFrame:
+    """Tables united by column name; a column that one lacks is null in its rows."""
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tables)
+
+
 def rename_legacy(df: DataFrame, shims: Mapping[str, str]) -> DataFrame:
     """Renames old columns whose new name is not there yet."""
     return df.withColumnsRenamed({a: b for a, b in shims.items() if a in df.columns and b not in df.columns})

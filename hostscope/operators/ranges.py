@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from hostscope.functions.net import window_floor
+from hostscope.sources.scratch import written
 
 
 def merge_ranges(ranges: DataFrame, by: Sequence[str] = ("family",), start: str = "start_ts", end: str = "end_ts") -> DataFrame:
@@ -106,18 +107,41 @@ def difference(prior: DataFrame, current: DataFrame, keys: Sequence[str]) -> Dat
     return both.agg(F.count_if(F.col("_p").isNull()).alias("newly_missing"), F.count_if(F.col("_c").isNull()).alias("resolved")).withColumn("changed", (F.col("newly_missing") + F.col("resolved") > 0).cast("int"))
 
 
-def family_plan(merged: DataFrame, dependencies: DataFrame, requested: Sequence[str]) -> DataFrame:
+def family_plan(merged: DataFrame, dependencies: Mapping[str, Sequence[str]], requested: Sequence[str]) -> DataFrame:
     """For each family: its ranges, whether to rebuild it, and why: requested, a dependency of one requested, or not.
 
-    dependencies: (family, needs).
+    dependencies: what each family needs; what is needed may need others in turn. Cycles do no harm.
     """
-    spark = merged.sparkSession
-    asked = spark.createDataFrame([(f,) for f in requested], "family string").withColumn("_asked", F.lit(1))
-    needed = dependencies.join(asked, "family").select(F.col("needs").alias("family")).distinct().withColumn("_needed", F.lit(1))
+    needed, todo = set(), list(requested)
+    while todo:
+        new = [n for n in dependencies.get(todo.pop(), ()) if n not in needed]
+        needed.update(new)
+        todo.extend(new)
+    family = F.col("family")
+    reason = F.when(family.isin(*requested), "requested").when(family.isin(*needed), "dependency").otherwise("not_requested")
     counts = merged.groupBy("family").agg(F.count(F.lit(1)).alias("ranges"))
-    out = counts.join(asked, "family", "left").join(needed, "family", "left")
-    reason = F.when(F.col("_asked") == 1, "requested").when(F.col("_needed") == 1, "dependency").otherwise("not_requested")
-    return out.select("family", "ranges", (F.col("_asked").isNotNull() | F.col("_needed").isNotNull()).cast("int").alias("execute"), reason.alias("reason"))
+    return counts.withColumn("reason", reason).withColumn("execute", (F.col("reason") != "not_requested").cast("int"))
+
+
+def latest_version(parameters: DataFrame, job: str, preferred: str | None = None) -> DataFrame:
+    """(project_name, version): the preferred version where a project has it, else its last by (updated_at, name).
+
+    parameters: (project_name, job_name_version "job#version", updated_at).
+    """
+    own = parameters.where(F.col("job_name_version").startswith(f"{job}#"))
+    version = F.substring_index("job_name_version", "#", -1)
+    first = (version == preferred if preferred else F.lit(False)).alias("_first")
+    last = own.groupBy("project_name").agg(F.max(F.struct(first, "updated_at", "job_name_version")).alias("_m"))
+    return last.select("project_name", F.substring_index("_m.job_name_version", "#", -1).alias("version"))
+
+
+def numbered(df: DataFrame, order: Sequence[str], name: str = "place") -> DataFrame:
+    """Rows with their place from 1 in an order: ranges of the order are written sorted, then counted and numbered apart."""
+    parts = written(df.repartitionByRange(*order).withColumn("_part", F.spark_partition_id()), "numbered")
+    before = F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))  # a row a partition
+    sizes = parts.groupBy("_part").agg(F.count(F.lit(1)).alias("_n")).select("_part", F.coalesce(before, F.lit(0)).alias("_before"))
+    place = F.row_number().over(Window.partitionBy("_part").orderBy(*order)) + F.col("_before")
+    return parts.join(F.broadcast(sizes), "_part").withColumn(name, place).drop("_part", "_before")
 
 
 def readiness(missing: DataFrame, families: Sequence[str]) -> DataFrame:

@@ -105,26 +105,33 @@ def pair_context(rows: DataFrame, keys: Sequence[str] = SLICE_KEYS) -> DataFrame
     return out.withColumn("pair_key", F.concat_ws("|", "host_ip", "peer_ip", F.col("peer_port").cast("string")))
 
 
-def shape(pairs: DataFrame, rows: DataFrame, keys: Sequence[str] = SLICE_KEYS, short_sec: float = 1.0) -> DataFrame:
+def shape(rows: DataFrame, keys: Sequence[str] = SLICE_KEYS, short_sec: float = 1.0) -> DataFrame:
     """Breadth and shape of a slice: distinct peers, ports and segments, entropies, top shares, zero replies, short sessions.
 
-    Entropies (natural logs) and shares come from counts by peer and by port, which are aggregated first.
+    Rows are counted by peer, by port and by segment in one GROUPING SETS aggregate; a second one rolls those up.
     """
-    def by(item: str, name: str) -> DataFrame:
-        part = rows.groupBy(*keys, item).agg(F.count(F.lit(1)).alias("_n"), F.sum(F.coalesce("bytes_sent", F.lit(0.0))).alias("_b"))
-        n, b = F.sum("_n"), F.sum("_b")
+    items = {"peer_ip": F.col("peer_ip"), "peer_port": F.col("peer_port"), "_segment": segment_id(F.col("peer_ip"))}
+    view = rows.select(*keys, *[c.alias(i) for i, c in items.items()], "bytes_sent", "bytes_recv", "duration_sec")
+    parts = view.groupingSets([[*keys, i] for i in items], *keys, *items).agg(
+        F.count(F.lit(1)).alias("_n"), F.sum(F.coalesce("bytes_sent", F.lit(0.0))).alias("_b"), F.count_if(F.coalesce("bytes_recv", F.lit(0.0)) == 0).alias("_zero"),
+        F.count_if(F.col("duration_sec") < short_sec).alias("_short"), *[F.grouping(i).alias(f"_not_{i}") for i in items],
+    )
+
+    def of(item: str, c: Column) -> Column:
+        return F.when(F.col(f"_not_{item}") == 0, c)
+
+    def by(item: str) -> list[Column]:
+        n, b = F.sum(of(item, F.col("_n"))), F.sum(of(item, F.col("_b")))
         # -sum p ln p with p = n / N is ln N - sum(n ln n) / N
-        return part.groupBy(*keys).agg(
-            F.count_if(F.col(item).isNotNull()).alias(f"{name}_nunique"), (F.log(n) - F.sum(F.col("_n") * F.log("_n")) / n).alias(f"{name}_entropy"),
-            (F.max("_n") / n).alias(f"top1_{name}_sessions_share"), F.when(b > 0, F.max("_b") / b).otherwise(0.0).alias(f"top1_{name}_bytes_share"),
-        )
-
-    segments = rows.select(*keys, segment_id(F.col("peer_ip")).alias("_s")).distinct().groupBy(*keys).agg(F.count(F.lit(1)).alias("peer_segment_nunique"))
-    counters = rows.groupBy(*keys).agg(
-        F.count_if(F.coalesce("bytes_recv", F.lit(0.0)) == 0).alias("zero_reply_cnt"), F.count_if(F.col("duration_sec") < short_sec).alias("short_session_cnt"),
+        return [
+            F.count(of(item, F.col(item))).alias(f"{item}_nunique"), (F.log(n) - F.sum(of(item, F.col("_n") * F.log("_n"))) / n).alias(f"{item}_entropy"),
+            (F.max(of(item, F.col("_n"))) / n).alias(f"top1_{item}_sessions_share"), F.when(b > 0, F.max(of(item, F.col("_b"))) / b).otherwise(0.0).alias(f"top1_{item}_bytes_share"),
+        ]
+
+    return parts.groupBy(*keys).agg(
+        *by("peer_ip"), *by("peer_port"), F.count(of("_segment", F.lit(1))).alias("peer_segment_nunique"),
+        F.sum(of("_segment", F.col("_zero"))).alias("zero_reply_cnt"), F.sum(of("_segment", F.col("_short"))).alias("short_session_cnt"),
     )
-    on = list(keys)
-    return by("peer_ip", "peer_ip").join(by("peer_port", "peer_port"), on).join(segments, on).join(counters, on)
 
 
 def pair_counts(df: DataFrame, minutes: int = 15) -> DataFrame:

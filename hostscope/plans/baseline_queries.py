@@ -8,13 +8,16 @@ from pyspark.sql import functions as F
 from hostscope.functions import net
 from hostscope.operators import baselines as bl
 from hostscope.operators import deviation as dv
+from hostscope.operators import quality as q
 from hostscope.operators import slices as sl
 from hostscope.plans.base_sql import SEGMENT, counters
 from hostscope.plans.registry import query
 from hostscope.plans.slice_queries import MACHINES, slice_table, t
+from hostscope.sources import sinks
+from hostscope.sources.scratch import scratch_dir, written
 from hostscope.sources.sessions import machines, sessions
 
-METRICS = ["sessions_cnt", "bytes_sent_sum", "duration_sum"]
+METRICS = ["sessions_cnt", "bytes_sent_sum", "duration_sum", "bytes_recv_sum", "admin_port_sessions_cnt"]
 REFERENCE = "2024-01-31 00:00:00"
 HOST = ["host_ip", "role", "time_band"]
 SEGMENT_KEYS = ["segment_id", "role", "time_band"]
@@ -34,8 +37,8 @@ BASE = counters(60) + f""", base AS (SELECT host_ip, role, slice_start_ts, slice
 
 
 def _weights_sql() -> str:
-    meds = ", ".join(f"quantile_cont({m}::DOUBLE, 0.5) AS med_{m}" for m in METRICS)
-    mads = ", ".join(f"quantile_cont(abs({m} - med_{m})::DOUBLE, 0.5) AS mad_{m}" for m in METRICS)
+    meds = ", ".join(f"quantile_disc({m}::DOUBLE, 0.5) AS med_{m}" for m in METRICS)
+    mads = ", ".join(f"quantile_disc(abs({m} - med_{m})::DOUBLE, 0.5) AS mad_{m}" for m in METRICS)
     z = ", ".join(f"abs(({m} - med_{m}) / (mad_{m} + 1e-6))" for m in METRICS)
     return BASE + f""", med AS (SELECT segment_id, role, time_band, baseline_horizon, {meds} FROM inh GROUP BY ALL), dev AS (SELECT * FROM inh JOIN med USING (segment_id, role, time_band, baseline_horizon)),
  mad AS (SELECT segment_id, role, time_band, baseline_horizon, {mads} FROM dev GROUP BY ALL), w AS (SELECT *, greatest({z}) AS max_abs_z, CASE WHEN greatest({z}) > 6.0 THEN 0.2 ELSE 1.0 END AS anomaly_weight FROM dev JOIN mad USING (segment_id, role, time_band, baseline_horizon))"""
@@ -45,14 +48,15 @@ WEIGHTS = _weights_sql()
 
 
 def weighted(spark: SparkSession, d: str) -> DataFrame:
-    rows = bl.in_horizons(daily(spark, d), bl.horizon_bounds(spark, REFERENCE))
-    return bl.anomaly_weights(rows, METRICS, keys=[*SEGMENT_KEYS, "baseline_horizon"], exact=True)
+    """Windows of the horizons with their weights; slices are written first, so that sessions are read once."""
+    rows = bl.in_horizons(written(daily(spark, d), "slices"), bl.horizon_bounds(spark, REFERENCE))
+    return bl.anomaly_weights(rows, METRICS, keys=[*SEGMENT_KEYS, "baseline_horizon"])
 
 
 def _stats_sql(keys: list[str], name: str) -> str:
     k = ", ".join(keys)
-    one = lambda m: f"""SELECT {k}, baseline_horizon, '{m}' AS metric, quantile_cont({m}::DOUBLE, 0.5) FILTER (anomaly_weight >= 1) AS median, quantile_cont({m}::DOUBLE, 0.25) FILTER (anomaly_weight >= 1) AS p25, quantile_cont({m}::DOUBLE, 0.75) FILTER (anomaly_weight >= 1) AS p75,
- quantile_cont({m}::DOUBLE, 0.95) FILTER (anomaly_weight >= 1) AS p95, quantile_cont({m}::DOUBLE, 0.99) FILTER (anomaly_weight >= 1) AS p99, count({m}) AS support_count FROM w GROUP BY ALL"""
+    one = lambda m: f"""SELECT {k}, baseline_horizon, '{m}' AS metric, quantile_disc({m}::DOUBLE, 0.5) FILTER (anomaly_weight >= 1) AS median, quantile_disc({m}::DOUBLE, 0.25) FILTER (anomaly_weight >= 1) AS p25, quantile_disc({m}::DOUBLE, 0.75) FILTER (anomaly_weight >= 1) AS p75,
+ quantile_disc({m}::DOUBLE, 0.95) FILTER (anomaly_weight >= 1) AS p95, quantile_disc({m}::DOUBLE, 0.99) FILTER (anomaly_weight >= 1) AS p99, count({m}) AS support_count FROM w GROUP BY ALL"""
     return f", {name} AS (SELECT *, p75 - p25 AS iqr, (p75 - p25) / 1.349 AS mad, CAST(support_count < {SUPPORT} AS INTEGER) AS is_cold_start FROM (" + " UNION ALL ".join(map(one, METRICS)) + "))"
 
 
@@ -77,12 +81,12 @@ def agg_anomaly_weights(spark, d):
 
 @query(f"WITH {WEIGHTS}{HOSTS} SELECT * EXCLUDE (median, p25, p75, p95, p99, iqr, mad), {_R} FROM hosts")
 def agg_host_baselines(spark, d):
-    return _rounded(bl.baselines(weighted(spark, d), METRICS, HOST, SUPPORT, exact=True))
+    return _rounded(bl.baselines(weighted(spark, d), METRICS, HOST, SUPPORT))
 
 
 @query(f"WITH {WEIGHTS}{SEGMENTS} SELECT * EXCLUDE (median, p25, p75, p95, p99, iqr, mad), {_R} FROM segments")
 def agg_segment_baselines(spark, d):
-    return _rounded(bl.baselines(weighted(spark, d), METRICS, SEGMENT_KEYS, SUPPORT, exact=True))
+    return _rounded(bl.baselines(weighted(spark, d), METRICS, SEGMENT_KEYS, SUPPORT))
 
 
 _PAIR = f""", pc AS (SELECT source_ip AS src_ip, destination_ip AS dst_ip, destination_port AS dst_port, {SEGMENT.format(ip='source_ip')} AS segment_id, event_start, date_trunc('hour', event_start) AS h FROM sessions WHERE destination_port > 0 AND event_name = 'TRAFFIC'),
@@ -113,7 +117,7 @@ FLAGS = f""", {MACHINES}, names AS (SELECT ip_address AS host_ip, min(machine_na
 
 
 def host_stats(spark, d):
-    return bl.baselines(weighted(spark, d), METRICS, HOST, SUPPORT, exact=True)
+    return bl.baselines(weighted(spark, d), METRICS, HOST, SUPPORT)
 
 
 def flags(spark, d, stats=None):
@@ -147,11 +151,12 @@ ROUTE_SQL = WEIGHTS + HOSTS + SEGMENTS + FLAGS + ROUTED
 
 
 def routed(spark: SparkSession, d: str) -> DataFrame:
-    w = weighted(spark, d)
-    hosts, segments = (bl.baselines(w, METRICS, k, SUPPORT, exact=True) for k in (HOST, SEGMENT_KEYS))
+    """Baselines are learned from written windows and written themselves; the same windows are then routed."""
+    w = written(weighted(spark, d), "windows")
+    hosts, segments = (written(bl.baselines(w, METRICS, k, SUPPORT), "baselines") for k in (HOST, SEGMENT_KEYS))
     keys = [*HOST, "baseline_horizon"]
     seg = [*SEGMENT_KEYS, "baseline_horizon"]
-    rows = bl.in_horizons(daily(spark, d), bl.horizon_bounds(spark, REFERENCE)).drop("baseline_start_ts", "baseline_end_ts")
+    rows = w.drop("baseline_start_ts", "baseline_end_ts", "max_abs_z", "anomaly_weight")
     return dv.route_baselines(rows, flags(spark, d, hosts), bl.wide_baselines(hosts, keys, METRICS, _STAT), bl.wide_baselines(segments, seg, METRICS, _STAT), METRICS, ["host_ip", "baseline_horizon"], keys, seg, _STAT)
 
 
@@ -186,27 +191,37 @@ def dev_tail_excess(spark, d):
     return _rounded(routed(spark, d).select("host_ip", "role", "baseline_horizon", t("slice_start_ts").alias("slice_start"), *dv.tail_columns(_M)))
 
 
-_GROUPS = {"core_anomaly": ["sessions_cnt"], "exfiltration": ["bytes_sent_sum", "duration_sum"]}
+_GROUPS = {
+    "core_anomaly": ["sessions_cnt", "bytes_sent_sum", "bytes_recv_sum"], "beacon": ["sessions_cnt", "duration_sum"],
+    "exfiltration": ["bytes_sent_sum"], "lateral_movement": ["admin_port_sessions_cnt"],
+}
+_SCORES = {g: "greatest(" + ", ".join(f"abs({_z(m)})" for m in ms) + ")" for g, ms in _GROUPS.items()}
+_SCORE_NAMES = [*[f"{g}_score" for g in _GROUPS], *[f"{g}_indicator" for g in _GROUPS if g != "core_anomaly"]]
 
 
-@query(f"""WITH {ROUTE_SQL}, z AS (SELECT *, abs({_z('sessions_cnt')}) AS a, abs({_z('bytes_sent_sum')}) AS b, abs({_z('duration_sum')}) AS c FROM routed)
- SELECT {_KEY}, round(a, 6) AS core_anomaly_score, round(greatest(b, c), 6) AS exfiltration_score, round(greatest(b, c), 6) AS exfiltration_indicator, CAST(time_band <> 'work' AND a >= 3 AS INTEGER) AS is_time_band_violation FROM z""")
+@query(f"""WITH {ROUTE_SQL}, z AS (SELECT *, {', '.join(f"{e} AS {g}_score" for g, e in _SCORES.items())} FROM routed)
+ SELECT {_KEY}, {', '.join(f"round({n.replace('_indicator', '_score')}, 6) AS {n}" for n in _SCORE_NAMES)}, CAST(time_band <> 'work' AND core_anomaly_score >= 3 AS INTEGER) AS is_time_band_violation FROM z""")
 def dev_scores(spark, d):
     out = dv.scores(dv.transforms(routed(spark, d), METRICS, ["z_mad"]), _GROUPS)
     out = out.withColumn("is_time_band_violation", dv.time_band_violation(F.col("time_band"), F.col("core_anomaly_score")))
-    return _rounded(out.select("host_ip", "role", "baseline_horizon", t("slice_start_ts").alias("slice_start"), "core_anomaly_score", "exfiltration_score", "exfiltration_indicator", "is_time_band_violation"))
+    return _rounded(out.select("host_ip", "role", "baseline_horizon", t("slice_start_ts").alias("slice_start"), *_SCORE_NAMES, "is_time_band_violation"))
 
 
-@query(f"""WITH {BASE}{_PAIR}, cur AS (SELECT src_ip AS host_ip, segment_id, dst_ip, dst_port, h AS slice_start_ts, count(*) AS n FROM pc WHERE h < TIMESTAMP '2024-01-16' GROUP BY ALL), hr AS (SELECT * FROM rare WHERE level = 'host'), sr AS (SELECT * FROM rare WHERE level = 'segment')
- SELECT c.host_ip, c.dst_ip, c.dst_port, strftime(slice_start_ts, '%Y-%m-%d %H:%M:%S') AS slice_start, coalesce(hr.pair_seen_count, sr.pair_seen_count, 0) AS pair_seen_count, round(1 / (1 + coalesce(hr.pair_seen_count, sr.pair_seen_count, 0)), 6) AS pair_rarity_score,
- CASE WHEN hr.pair_seen_count IS NOT NULL THEN 'host' WHEN sr.pair_seen_count IS NOT NULL THEN 'segment' ELSE 'none' END AS pair_rarity_source, CAST(coalesce(hr.pair_seen_count, sr.pair_seen_count, 0) <= 2 AS INTEGER) AS has_rare_pair
- FROM cur c LEFT JOIN hr ON c.host_ip = hr.host_ip AND c.dst_ip = hr.dst_ip AND c.dst_port = hr.dst_port LEFT JOIN sr ON c.segment_id = sr.segment_id AND c.dst_ip = sr.dst_ip AND c.dst_port = sr.dst_port""")
+@query(f"""WITH {BASE}{_PAIR}, cur AS (SELECT src_ip AS host_ip, segment_id, dst_ip, dst_port, h AS slice_start_ts, count(*) AS n FROM pc WHERE h < TIMESTAMP '2024-01-16' GROUP BY ALL), hr AS (SELECT * FROM rare WHERE level = 'host'), sr AS (SELECT * FROM rare WHERE level = 'segment'),
+ out_now AS (SELECT * FROM base WHERE role = 'outbound'), q AS (SELECT segment_id, quantile_disc({_M}::DOUBLE, 0.5) AS {_M}_median, quantile_disc({_M}::DOUBLE, 0.75) - quantile_disc({_M}::DOUBLE, 0.25) AS {_M}_iqr, (quantile_disc({_M}::DOUBLE, 0.75) - quantile_disc({_M}::DOUBLE, 0.25)) / 1.349 AS {_M}_mad FROM out_now GROUP BY 1),
+ hz AS (SELECT host_ip, slice_start_ts, {_z(_M)} AS z FROM out_now JOIN q USING (segment_id)), seen AS (SELECT c.*, z, coalesce(hr.pair_seen_count, sr.pair_seen_count, 0) AS pair_seen_count, CASE WHEN hr.pair_seen_count IS NOT NULL THEN 'host' WHEN sr.pair_seen_count IS NOT NULL THEN 'segment' ELSE 'none' END AS pair_rarity_source
+ FROM cur c JOIN hz ON hz.host_ip = c.host_ip AND hz.slice_start_ts = c.slice_start_ts LEFT JOIN hr ON c.host_ip = hr.host_ip AND c.dst_ip = hr.dst_ip AND c.dst_port = hr.dst_port LEFT JOIN sr ON c.segment_id = sr.segment_id AND c.dst_ip = sr.dst_ip AND c.dst_port = sr.dst_port)
+ SELECT host_ip, dst_ip, dst_port, strftime(slice_start_ts, '%Y-%m-%d %H:%M:%S') AS slice_start, pair_seen_count, round(1 / (1 + pair_seen_count), 6) AS pair_rarity_score, pair_rarity_source, CAST(pair_seen_count <= 2 AS INTEGER) AS has_rare_pair, round(z / (1 + pair_seen_count), 5) AS {_M}_rarity_weighted_z FROM seen""")
 def jon_pair_rarity(spark, d):
+    """Pairs of a host with its z of sent bytes against its segment, weighted by how rare the pair is."""
     old, new = _pairs(spark, d)
     rarity = bl.pair_rarity(new, 15)
-    now = old.select(F.col("src_ip").alias("host_ip"), "segment_id", "dst_ip", "dst_port", "slice_start_ts", F.lit(0.0).alias("m_z_mad"))
-    out = dv.rarity_weighted(dv.attach_rarity(now, rarity.where("level = 'host'"), rarity.where("level = 'segment'")), "m")
-    return out.select("host_ip", "dst_ip", "dst_port", t("slice_start_ts").alias("slice_start"), "pair_seen_count", F.round("pair_rarity_score", 6).alias("pair_rarity_score"), "pair_rarity_source", "has_rare_pair")
+    hosts = written(daily(spark, d).where("role = 'outbound'"), "slices")
+    stats = bl.wide_baselines(bl.baselines(hosts, [_M], ["segment_id"], SUPPORT), ["segment_id"], [_M], _STAT)
+    z = dv.transforms(hosts.join(stats, "segment_id"), [_M], ["z_mad"]).select("host_ip", "slice_start_ts", f"{_M}_z_mad")
+    now = old.select(F.col("src_ip").alias("host_ip"), "segment_id", "dst_ip", "dst_port", "slice_start_ts").join(z, ["host_ip", "slice_start_ts"])
+    out = dv.rarity_weighted(dv.attach_rarity(now, rarity.where("level = 'host'"), rarity.where("level = 'segment'")), _M)
+    return out.select("host_ip", "dst_ip", "dst_port", t("slice_start_ts").alias("slice_start"), "pair_seen_count", F.round("pair_rarity_score", 6).alias("pair_rarity_score"), "pair_rarity_source", "has_rare_pair", F.round(f"{_M}_rarity_weighted_z", 5).alias(f"{_M}_rarity_weighted_z"))
 
 
 @query(f"""WITH {BASE}{_PAIR}, hosts_now AS (SELECT host_ip, slice_start_ts, sum(sessions_cnt) AS s FROM base WHERE role = 'outbound' GROUP BY ALL), prs AS (SELECT src_ip AS host_ip, h AS slice_start_ts, dst_ip, dst_port, count(*) AS n FROM pc GROUP BY ALL)
@@ -230,3 +245,65 @@ def prj_metric_selection(spark, d):
     s = slice_table(spark, d)
     names = bl.metric_lists(s.columns, ["sessions_cnt", "no_such_metric"], ["duration_sum", "sessions_cnt"])
     return bl.long_metrics(s.select("host_ip", "role", *names), names).groupBy("host_ip", "role", "metric").agg(F.count(F.lit(1)).alias("slices"), F.sum("value").alias("total"))
+
+
+_PUBLISHED = f""", phost AS (SELECT src_ip, dst_ip, dst_port, baseline_horizon FROM pc JOIN horizons ON h + INTERVAL 1 HOUR >= baseline_start_ts AND h + INTERVAL 1 HOUR < baseline_end_ts GROUP BY ALL),
+ pseg AS (SELECT segment_id, dst_ip, dst_port, baseline_horizon FROM pc JOIN horizons ON h + INTERVAL 1 HOUR >= baseline_start_ts AND h + INTERVAL 1 HOUR < baseline_end_ts GROUP BY ALL)"""
+
+
+@query(f"""WITH {WEIGHTS}{HOSTS}{SEGMENTS}{FLAGS}{_PAIR}{_PUBLISHED}, n AS (SELECT 'host' AS published, baseline_horizon, count(*) AS "rows" FROM hosts GROUP BY ALL UNION ALL SELECT 'segment', baseline_horizon, count(*) FROM segments GROUP BY ALL
+ UNION ALL SELECT 'ip_metadata', baseline_horizon, count(*) FROM flags GROUP BY ALL UNION ALL SELECT 'pair_host', baseline_horizon, count(*) FROM phost GROUP BY ALL UNION ALL SELECT 'pair_segment', baseline_horizon, count(*) FROM pseg GROUP BY ALL)
+ SELECT n.*, strftime(baseline_start_ts, '%Y-%m-%d %H:%M:%S') AS baseline_start, strftime(baseline_end_ts, '%Y-%m-%d %H:%M:%S') AS baseline_end, 'replay' AS run_mode FROM n JOIN horizons USING (baseline_horizon)""")
+def snk_publish(spark, d):
+    """The five tables of a publication under (version, horizon, month), then their metadata; all read back.
+
+    Schemas are given on reading, since a folder named 30d would be taken for a number.
+    """
+    base, bounds = scratch_dir(spark, "publication"), bl.horizon_bounds(spark, REFERENCE)
+    w = written(weighted(spark, d), "windows")
+    hosts = written(bl.baselines(w, METRICS, HOST, SUPPORT), "baselines")
+    pairs = bl.in_horizons(sl.pair_counts(sessions(spark, d), 60), bounds, "slice_end_ts")
+    rarity = written(bl.pair_rarity(pairs, 30, by=["baseline_horizon"]), "rarity")
+    tables = {
+        "host": hosts, "segment": bl.baselines(w, METRICS, SEGMENT_KEYS, SUPPORT), "ip_metadata": flags(spark, d, hosts),
+        "pair_host": rarity.where("level = 'host'").drop("segment_id"), "pair_segment": rarity.where("level = 'segment'").drop("host_ip"),
+    }
+    stamped = {k: v.withColumns({"feature_spec_version": F.lit("v1"), "baseline_month": F.lit(REFERENCE[:7])}) for k, v in tables.items()}
+    sinks.publish(stamped, base, ["feature_spec_version", "baseline_horizon", "baseline_month"], sinks.publication_metadata(bounds, "replay", REFERENCE))
+    meta = spark.read.parquet(f"{base}/metadata").select("baseline_horizon", t("baseline_start_ts").alias("baseline_start"), t("baseline_end_ts").alias("baseline_end"), "run_mode")
+    back = q.union_all([spark.read.schema(v.schema).parquet(f"{base}/{k}").select(F.lit(k).alias("published"), "baseline_horizon") for k, v in stamped.items()])
+    return back.groupBy("published", "baseline_horizon").agg(F.count(F.lit(1)).alias("rows")).join(meta, "baseline_horizon")
+
+
+@query(f"WITH {BASE} SELECT baseline_horizon, strftime(min(window_end_ts), '%Y-%m-%d %H:%M:%S') AS baseline_start, strftime(max(window_end_ts), '%Y-%m-%d %H:%M:%S') AS baseline_end, 'replay' AS run_mode, '{REFERENCE}' AS created_ts FROM inh GROUP BY ALL")
+def snk_publication_metadata(spark, d):
+    """The bounds of the windows that a publication's horizons hold."""
+    rows = bl.in_horizons(daily(spark, d), bl.horizon_bounds(spark, REFERENCE))
+    held = rows.groupBy("baseline_horizon").agg(F.min("window_end_ts").alias("baseline_start_ts"), F.max("window_end_ts").alias("baseline_end_ts"))
+    meta = sinks.publication_metadata(held, "replay", REFERENCE)
+    return meta.select("baseline_horizon", t("baseline_start_ts").alias("baseline_start"), t("baseline_end_ts").alias("baseline_end"), "run_mode", t("created_ts").alias("created_ts"))
+
+
+_ALL_STATS = ", ".join(f"count({s}) AS {s}" for s in dv.STATISTICS)
+
+
+@query(f"WITH {WEIGHTS}{HOSTS} SELECT baseline_horizon, {_ALL_STATS} FROM hosts WHERE metric = '{_M}' GROUP BY ALL")
+def dev_baseline_contract(spark, d):
+    """Wide baselines that pass the column contract: how many hosts have each statistic."""
+    stats = written(bl.baselines(weighted(spark, d), METRICS, HOST, SUPPORT), "baselines")
+    wide = bl.wide_baselines(stats, [*HOST, "baseline_horizon"], METRICS)
+    dv.check_statistics(wide.columns, METRICS)
+    return wide.groupBy("baseline_horizon").agg(*[F.count(f"{_M}_{s}").alias(s) for s in dv.STATISTICS])
+
+
+@query(f"WITH {WEIGHTS}{HOSTS}{SEGMENTS}, {MACHINES} SELECT (SELECT count(*) FROM hosts)::BIGINT AS hosts, (SELECT count(*) FROM segments)::BIGINT AS segments, (SELECT count(*) FROM machines)::BIGINT AS machines, (SELECT count(*) FROM (SELECT 1 FROM hosts GROUP BY host_ip, role, time_band, baseline_horizon, metric HAVING count(*) > 1))::BIGINT AS repeated_keys")
+def jon_input_guard(spark, d):
+    """Inputs of routing that pass its guards: the agreed join keys, rows in each table, no key twice."""
+    w = written(weighted(spark, d), "windows")
+    hosts, segments = (written(bl.baselines(w, METRICS, k, SUPPORT), "baselines") for k in (HOST, SEGMENT_KEYS))
+    names, keys = machines(spark, d), [*HOST, "baseline_horizon"]
+    dv.check_keys([c for c in hosts.columns if c in keys], keys)
+    dv.require_rows(hosts=hosts, segments=segments, machines=names)
+    one = lambda df, name: df.agg(F.count(F.lit(1)).alias(name))
+    counts = one(hosts, "hosts").crossJoin(one(segments, "segments")).crossJoin(one(names, "machines"))
+    return counts.crossJoin(one(dv.duplicate_keys(hosts, [*keys, "metric"]), "repeated_keys"))

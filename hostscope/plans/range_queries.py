@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from hostscope.operators import prep
 from hostscope.operators import ranges as rg
 from hostscope.plans.base_sql import SESSIONS
 from hostscope.plans.registry import query
@@ -103,21 +104,48 @@ def set_manifest_difference(spark, d):
     return rg.difference(r.where("start_ts < TIMESTAMP '2024-01-20'"), r.where("start_ts >= TIMESTAMP '2024-01-12'"), ["family", "start_ts"])
 
 
-@query("SELECT DISTINCT l_returnflag AS label FROM lineitem WHERE l_linestatus = 'F' INTERSECT SELECT l_returnflag FROM lineitem WHERE l_linestatus = 'O'")
+_BOTH = "w AS (SELECT l_suppkey AS window_label, count(*) FILTER (l_linestatus = 'F') AS rows_a, count(*) FILTER (l_linestatus = 'O') AS rows_b FROM lineitem GROUP BY 1)"
+
+
+def _two_inputs(spark: SparkSession, d: str) -> list[DataFrame]:
+    li = table(spark, d, "lineitem").withColumnRenamed("l_suppkey", "window_label")
+    return [li.where(F.col("l_linestatus") == s) for s in "FO"]
+
+
+@query(f"WITH {_BOTH} SELECT window_label FROM w WHERE rows_a > 0 AND rows_b > 0")
 def set_intersection(spark, d):
-    li = table(spark, d, "lineitem").select(F.col("l_returnflag").alias("label"), "l_linestatus")
-    return li.where("l_linestatus = 'F'").select("label").intersect(li.where("l_linestatus = 'O'").select("label"))
+    return prep.window_overlap(*_two_inputs(spark, d), 1).where("overlaps = 1").select("window_label")
+
+
+@query(f"WITH {_BOTH} SELECT *, CAST(rows_a > 0 AND rows_b > 0 AS INTEGER) AS overlaps, CAST(least(rows_a, rows_b) >= 30 AS INTEGER) AS enough FROM w WHERE rows_a + rows_b > 0")
+def agg_window_overlap(spark, d):
+    return prep.window_overlap(*_two_inputs(spark, d), 30)
 
 
-@query("SELECT DISTINCT l_returnflag, l_linestatus FROM lineitem")
+@query("SELECT l_suppkey, l_returnflag, l_orderkey, l_linenumber, l_partkey FROM lineitem QUALIFY row_number() OVER (PARTITION BY l_suppkey, l_returnflag ORDER BY l_orderkey DESC, l_linenumber DESC, l_partkey DESC) = 1")
 def set_distinct(spark, d):
-    return table(spark, d, "lineitem").dropDuplicates(["l_returnflag", "l_linestatus"]).select("l_returnflag", "l_linestatus")
+    """One row a key subset, the same one in every run."""
+    li = table(spark, d, "lineitem").select("l_suppkey", "l_returnflag", "l_orderkey", "l_linenumber", "l_partkey")
+    return rg.latest(li, ["l_suppkey", "l_returnflag"], ["l_orderkey", "l_linenumber"])
 
 
-@query(f"""WITH {MERGED} SELECT family, count(*) AS ranges, CAST(family IN ('click', 'view') AS INTEGER) AS execute, CASE WHEN family = 'click' THEN 'requested' WHEN family = 'view' THEN 'dependency' ELSE 'not_requested' END AS reason FROM merged GROUP BY ALL""")
+_VERSIONS = "v AS (SELECT 'p' || o_custkey AS project_name, 'params#v' || (o_orderkey % 7) AS job_name_version, o_orderdate::DATE AS updated_at FROM orders WHERE o_orderstatus <> 'P')"
+
+
+@query(f"WITH {_VERSIONS}, r AS (SELECT project_name, job_name_version, row_number() OVER (PARTITION BY project_name ORDER BY job_name_version = 'params#v3' DESC, updated_at DESC, job_name_version DESC) AS a, row_number() OVER (PARTITION BY project_name ORDER BY updated_at DESC, job_name_version DESC) AS b FROM v) SELECT project_name, replace(max(job_name_version) FILTER (a = 1), 'params#', '') AS preferred, replace(max(job_name_version) FILTER (b = 1), 'params#', '') AS latest FROM r GROUP BY ALL")
+def win_latest_version(spark, d):
+    """The version of each project, with and without a preferred one; rows of other jobs don't count."""
+    o = table(spark, d, "orders")
+    name = F.concat(F.when(F.col("o_orderstatus") == "P", "other").otherwise("params"), F.lit("#v"), (F.col("o_orderkey") % 7).cast("string"))
+    v = o.select(F.concat(F.lit("p"), F.col("o_custkey").cast("string")).alias("project_name"), name.alias("job_name_version"), F.to_date("o_orderdate").alias("updated_at"))
+    a = rg.latest_version(v, "params", "v3").withColumnRenamed("version", "preferred")
+    return a.join(rg.latest_version(v, "params").withColumnRenamed("version", "latest"), "project_name")
+
+
+@query(f"""WITH {MERGED} SELECT family, count(*) AS ranges, CAST(family IN ('click', 'view', 'signup') AS INTEGER) AS execute, CASE WHEN family = 'click' THEN 'requested' WHEN family IN ('view', 'signup') THEN 'dependency' ELSE 'not_requested' END AS reason FROM merged GROUP BY ALL""")
 def set_family_plan(spark, d):
-    needs = spark.createDataFrame([("click", "view"), ("purchase", "signup")], "family string, needs string")
-    return rg.family_plan(rg.merge_ranges(family_ranges(spark, d)), needs, ["click"])
+    """What click needs needs signup in turn."""
+    return rg.family_plan(rg.merge_ranges(family_ranges(spark, d)), {"click": ["view"], "view": ["signup"], "purchase": ["error"]}, ["click"])
 
 
 @query(f"WITH {MERGED}, want AS (SELECT * FROM (VALUES ('click'), ('error'), ('none')) v(family)) SELECT want.family, count(start_ts) AS missing_ranges, CASE WHEN count(start_ts) = 0 THEN 'READY' ELSE 'MISSING_DEPENDENCIES' END AS verdict FROM want LEFT JOIN merged USING (family) GROUP BY ALL")
@@ -165,6 +193,4 @@ def mlp_overlapping_windows(spark, d):
 
 @query("SELECT machine_name, row_number() OVER (ORDER BY machine_name) AS place FROM (SELECT DISTINCT CASE WHEN user_id % 5 = 0 THEN 'VDI-' ELSE 'server-' END || user_id AS machine_name FROM events)")
 def ord_deterministic(spark, d):
-    from pyspark.sql import Window
-
-    return machines(spark, d).select("machine_name").distinct().select("machine_name", F.row_number().over(Window.orderBy("machine_name")).cast("long").alias("place")).orderBy("machine_name")
+    return rg.numbered(machines(spark, d).select("machine_name").distinct(), ["machine_name"]).orderBy("machine_name")

@@ -16,7 +16,7 @@ from hostscope.plans.registry import query
 from hostscope.sources import readers
 from hostscope.sources import sinks
 from hostscope.sources.scratch import scratch_dir
-from hostscope.sources.sessions import PORT_SETS, machines, sessions, table
+from hostscope.sources.sessions import PORT_SETS, SESSION_SCHEMA, machines, sessions, table
 
 t = net.as_text
 
@@ -44,6 +44,16 @@ def src_sessions(spark, d):
     return s.select("session_id", "source_ip", "destination_ip", "destination_port", t("event_start").alias("event_start"), t("event_end").alias("event_end"), "source_bytes", "destination_bytes", "event_action", "event_reason", "event_name", "network_transport")
 
 
+@query(f"WITH {SESSIONS} SELECT session_id, source_ip, source_bytes, {text('event_start')} AS event_start FROM sessions")
+def src_json_lines(spark, d):
+    """Sessions written as gzipped JSON Lines and read under the contract, four columns of them."""
+    path = scratch_dir(spark, "json-lines")
+    s = sessions(spark, d)
+    s.write.option("compression", "gzip").json(path)
+    out = readers.read_jsonlines(spark, path, SESSION_SCHEMA, ["session_id", "source_ip", "source_bytes", "event_start"])
+    return out.withColumn("event_start", t("event_start"))
+
+
 @query("SELECT event_type, count(*) AS n, round(sum(value), 6) AS total FROM events GROUP BY ALL")
 def src_merged_scan(spark, d):
     return readers.read_merged(spark, f"{d}/events.parquet").groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("value"), 6).alias("total"))
@@ -111,18 +121,18 @@ def snk_layout(spark, d):
     return sessions(spark, d).select(*sinks.layout_columns(F.col("event_start"), F.lit("b1"))).groupBy("dt", "hh", "run_no", "batch_id").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query(f"WITH {SESSIONS} SELECT strftime(event_start, '%Y-%m-%d') AS dt, network_transport, count(*) AS \"rows\", count(*) FILTER (destination_bytes IS NULL) AS broken FROM sessions GROUP BY ALL")
+def snk_partition_contract(spark, d):
+    """What a partitioned write would hold, partition by partition, with the rows that break its contract."""
+    s = sessions(spark, d).withColumn("dt", F.date_format("event_start", "yyyy-MM-dd"))
+    return sinks.partition_contract(s, ["dt", "network_transport"], ["session_id", "destination_bytes"])
+
+
 @query(f"WITH {SESSIONS} SELECT count(*) AS broken FROM sessions WHERE destination_bytes IS NULL")
 def snk_null_keys(spark, d):
     return sinks.null_keys(sessions(spark, d), ["session_id", "destination_bytes"]).agg(F.count(F.lit(1)).alias("broken"))
 
 
-@query("SELECT strftime(min(ts), '%Y-%m-%d') AS first_day, 'replay' AS run_mode, '2024-02-01 00:00:00' AS created_ts FROM events")
-def snk_publication_metadata(spark, d):
-    meta = sinks.publication_metadata(spark, "2024-01-01 00:00:00", "2024-01-31 00:00:00", "replay", "2024-02-01 00:00:00")
-    days = table(spark, d, "events").agg(F.date_format(F.min("ts"), "yyyy-MM-dd").alias("first_day"))
-    return days.crossJoin(F.broadcast(meta)).select("first_day", "run_mode", t("created_ts").alias("created_ts"))
-
-
 @query("""WITH o AS (SELECT o_custkey AS batch_id, min(o_orderkey) AS first_key, 'NEW' AS status, 1 AS status_seq FROM orders WHERE o_custkey % 2 = 0 GROUP BY 1),
  n AS (SELECT o_custkey AS batch_id, max(o_orderkey) AS first_key, 'DONE' AS status, CASE WHEN o_custkey % 3 = 0 THEN 0 ELSE 2 END AS status_seq FROM orders WHERE o_custkey % 4 < 2 GROUP BY 1)
  SELECT batch_id, coalesce(o.first_key, n.first_key) AS first_key, CASE WHEN coalesce(n.status_seq, -1) > coalesce(o.status_seq, -1) THEN n.status ELSE o.status END AS status, CAST(greatest(o.status_seq, n.status_seq) AS INTEGER) AS status_seq FROM o FULL JOIN n USING (batch_id)""")
@@ -202,6 +212,15 @@ def prj_time_context(spark, d):
     return sessions(spark, d).select("session_id", *net.time_context(F.col("event_start"), zone), net.time_band(F.col("event_start"), zone).alias("time_band"))
 
 
+@query(f"""WITH {SESSIONS}, b AS (SELECT session_id, CASE WHEN event_action = 'alert' THEN 'night' END AS own, CASE WHEN session_id % 3 = 0 THEN session_id % 2 END AS working, CASE WHEN session_id % 5 = 0 THEN minute(event_start) % 24 END AS h, hour(event_start) AS t FROM sessions)
+ SELECT session_id, coalesce(own, CASE WHEN working = 1 THEN 'work' END, {', '.join(f"CASE WHEN {c} >= 7 AND {c} < 17 THEN 'work' WHEN {c} >= 17 AND {c} < 22 THEN 'off' WHEN {c} IS NOT NULL THEN 'night' END" for c in 'ht')}) AS time_band FROM b""")
+def prj_time_bands(spark, d):
+    """All four sources of a band, some rows having each: their own band, a working-hours flag, an hour, the time."""
+    i = F.col("session_id")
+    own, working = F.when(F.col("event_action") == "alert", "night"), F.when(i % 3 == 0, i % 2)
+    return sessions(spark, d).select("session_id", net.time_band(F.col("event_start"), existing=own, working=working, hour=F.when(i % 5 == 0, F.minute("event_start") % 24)).alias("time_band"))
+
+
 @query(f"WITH {SESSIONS} SELECT event_action, count(*) AS \"rows\" FROM sessions WHERE event_action NOT IN ('allow', 'drop') GROUP BY ALL")
 def prj_invalid_values(spark, d):
     return q.invalid_values(sessions(spark, d), "event_action", ["allow", "drop"])
@@ -273,7 +292,7 @@ def _shape_sql() -> str:
 @query(_shape_sql())
 def agg_shape(spark, d):
     r = role_rows(spark, d, 43200)
-    out = sl.shape(sl.pair_context(r), r)
+    out = sl.shape(r)
     doubles = [c for c, k in out.dtypes if k == "double"]
     return out.select(*[F.round(c, 6).alias(c) if c in doubles else F.col(c) for c in out.columns if not c.startswith("slice_")], t("slice_start_ts").alias("slice_start"))
 
@@ -356,11 +375,11 @@ def agg_high_risk_segments(spark, d):
     return nov.high_risk_segments(pairs, ["172.16.3.0/24", "10.0.2.0/24"], ("host_ip", "window_label"))
 
 
-@query(f"WITH {ROLES} SELECT role, count(*) AS n FROM roles GROUP BY ALL")
+@query(f"WITH {ROLES} SELECT role, count(*) AS n, count(source_port) FILTER (role = 'outbound') AS ports FROM roles GROUP BY ALL")
 def set_union_by_name(spark, d):
     c = cleaned(spark, d)
-    a = c.select(F.lit("outbound").alias("role"), "session_id", "source_port")
-    return a.unionByName(c.select(F.lit("inbound").alias("role"), "session_id"), allowMissingColumns=True).groupBy("role").agg(F.count(F.lit(1)).alias("n"))
+    a, b = c.select(F.lit("outbound").alias("role"), "session_id", "source_port"), c.select(F.lit("inbound").alias("role"), "session_id")
+    return q.union_all([a, b]).groupBy("role").agg(F.count(F.lit(1)).alias("n"), F.count("source_port").alias("ports"))
 
 
 @query(f"WITH {MACHINES} SELECT count(*) AS source_rows, count(*) AS written_rows FROM machines")
@@ -370,17 +389,6 @@ def src_snapshot_manifest(spark, d):
     return sinks.snapshot_with_manifest(snapshot, scratch_dir(spark, "snapshot"), ["snapshot_month"]).select("source_rows", "written_rows")
 
 
-@query(f"WITH {ROLES} SELECT 'host' AS published, role, count(DISTINCT host_ip) AS n FROM roles GROUP BY ALL UNION ALL SELECT 'segment', role, count(DISTINCT {SEGMENT.format(ip='host_ip')}) FROM roles GROUP BY ALL")
-def snk_publish(spark, d):
-    """Two tables of one publication under the same partitions, read back."""
-    base = scratch_dir(spark, "publication")
-    r = sl.role_views(cleaned(spark, d))
-    tables = {"host": r.select("host_ip", "role").distinct(), "segment": r.select(net.segment_id(F.col("host_ip")).alias("segment_id"), "role").distinct()}
-    sinks.publish(tables, base, ["role"])
-    out = [spark.read.parquet(f"{base}/{k}").select(F.lit(k).alias("published"), "role") for k in tables]
-    return out[0].unionByName(out[1]).groupBy("published", "role").agg(F.count(F.lit(1)).alias("n"))
-
-
 @query("SELECT 'b1' AS batch_id, 'ingestion' AS source_mode, strftime(min(ts), '%Y-%m-%d') AS first_day, count(*) AS n FROM events")
 def snk_run_provenance(spark, d):
     found = readers.read_first_available(spark, [("ingestion", f"{d}/events.parquet")])

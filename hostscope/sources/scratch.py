@@ -6,7 +6,7 @@ import re
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def scratch_dir(spark: SparkSession, what: str) -> str:
@@ -20,3 +20,10 @@ def scratch_dir(spark: SparkSession, what: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         shared = "file://" + tempfile.mkdtemp(prefix="spark-")
     return f"{shared.rstrip('/')}/{what}-{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame, what: str) -> DataFrame:
+    """The table, written to a fresh shared folder and read back: computed once, and its lineage ends there."""
+    path = scratch_dir(df.sparkSession, what)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)

@@ -42,22 +42,32 @@ def null_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.where(broken)
 
 
+def partition_contract(df: DataFrame, by: Sequence[str], keys: Sequence[str]) -> DataFrame:
+    """Rows of each partition and those with a null partition column or key; raises if a column is missing at all."""
+    check_columns(df, [*by, *keys])
+    broken = F.lit(False)
+    for c in [*by, *keys]:
+        broken = broken | F.col(c).isNull()
+    return df.groupBy(*by).agg(F.count(F.lit(1)).alias("rows"), F.count_if(broken).alias("broken"))
+
+
 def layout_columns(ts: Column, run: Column) -> list[Column]:
     """Partition columns of a batch output: dt, hh, run_no (quarter of the hour) and batch_id."""
     return [F.date_format(ts, "yyyy-MM-dd").alias("dt"), F.date_format(ts, "HH").alias("hh"), (F.floor(F.minute(ts) / 15) + 1).cast("int").alias("run_no"), run.alias("batch_id")]
 
 
-def publish(tables: dict[str, DataFrame], base: str, by: Sequence[str]) -> dict[str, int]:
-    """Several tables of one publication, each under its own name with the same partitions."""
-    return {name: write_partitioned(df, f"{base}/{name}", by) for name, df in tables.items()}
+def publish(tables: dict[str, DataFrame], base: str, by: Sequence[str], metadata: DataFrame | None = None) -> dict[str, int]:
+    """Several tables of one publication, each under its own name with the same partitions.
 
+    Metadata is written last, so a reader that finds it finds whole tables.
+    """
+    counts = {name: write_partitioned(df, f"{base}/{name}", by) for name, df in tables.items()}
+    return counts if metadata is None else counts | {"metadata": write_partitioned(metadata, f"{base}/metadata")}
 
-def publication_metadata(spark: SparkSession, start: str, end: str, mode: str, reference: str) -> DataFrame:
-    """One row on a publication: bounds, run mode, and a creation time that is the reference time."""
-    return spark.range(1).select(
-        F.lit(start).cast("timestamp").alias("baseline_start_ts"), F.lit(end).cast("timestamp").alias("baseline_end_ts"),
-        F.lit(mode).alias("run_mode"), F.lit(reference).cast("timestamp").alias("created_ts"),
-    )
+
+def publication_metadata(bounds: DataFrame, mode: str, reference: str) -> DataFrame:
+    """Bounds of a publication with its run mode, and a creation time that is the reference time."""
+    return bounds.withColumns({"run_mode": F.lit(mode), "created_ts": F.lit(reference).cast("timestamp")})
 
 
 def run_provenance(spark: SparkSession, batch_id: str, mode: str, reason: str, start: str, end: str, path: str) -> DataFrame:
