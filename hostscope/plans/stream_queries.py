@@ -11,45 +11,71 @@ from hostscope.sources.scratch import scratch_dir
 from hostscope.sources.sessions import sessions
 from hostscope.streaming import sessions as st
 
-_LAST = "2024-02-01 00:00:00"
+#: Arrivals of the month, each drained before the next comes.
+CUTS = ("2024-01-11", "2024-01-21")
 
 
-def _stream(spark, d):
+def _source(spark, d, path, files: int | None = None):
+    stream = spark.readStream.schema(sessions(spark, d).schema)
+    return (stream.option("maxFilesPerTrigger", files) if files else stream).parquet(path)
+
+
+def _replayed(spark, d, build, closing: int = 1):
+    """What a stream with the usual lateness emits for sessions that arrive in parts by time.
+
+    Far-off sessions at the end, one for each stateful operator, close all windows; the windows that they open are left
+    out by their own times.
+    """
     base = scratch_dir(spark, "sessions")
-    return base, st.with_sentinel(spark, sessions(spark, d).repartitionByRange(2, "event_start"), f"{base}/in")
+    s = sessions(spark, d)
+    cut = F.lit(CUTS[0]).cast("timestamp")
+    for part in (F.col("event_start") < cut, F.col("event_start") >= cut):
+        s.where(part).write.mode("append").parquet(f"{base}/in")
+        st.drain(build(_source(spark, d, f"{base}/in")), f"{base}/out", f"{base}/check")
+    last = s.orderBy(F.desc("event_start")).limit(1)
+    for k in range(1, closing + 1):
+        moved = {c: F.timestamp_add("DAY", F.lit(60 * k), F.col(c)) for c in ("event_start", "event_end")}
+        last.withColumns(moved).write.mode("append").parquet(f"{base}/in")
+    st.drain(build(_source(spark, d, f"{base}/in", 1)), f"{base}/out", f"{base}/check")
+    return spark.read.parquet(f"{base}/out").join(F.broadcast(s.agg(F.max("event_start").alias("last"))), F.col("window.start") <= F.col("last"))
 
 
 @query(f"WITH {counters(15)} SELECT host_ip, role, strftime(slice_start_ts, '%Y-%m-%d %H:%M:%S') AS slice_start, sessions_cnt, bytes_sent_sum, drop_cnt FROM slices")
 def str_slices(spark, d):
-    base, stream = _stream(spark, d)
-    st.drain(st.slice_stream(stream, "40 days"), f"{base}/out", f"{base}/check")
-    out = spark.read.parquet(f"{base}/out").where(F.col("window.start") < F.lit(_LAST).cast("timestamp"))
-    return out.select("host_ip", "role", t("window.start").alias("slice_start"), "sessions_cnt", "bytes_sent_sum", "drop_cnt")
+    return _replayed(spark, d, st.slice_stream).select("host_ip", "role", t("window.start").alias("slice_start"), "sessions_cnt", "bytes_sent_sum", "drop_cnt")
 
 
 @query(f"""WITH {counters(15)}, w AS (SELECT host_ip, role, time_bucket(INTERVAL 15 MINUTES, slice_start_ts) - to_minutes(15 * k) AS ws, sessions_cnt, bytes_sent_sum FROM slices, range(4) r(k))
  SELECT host_ip, role, strftime(ws, '%Y-%m-%d %H:%M:%S') AS window_start, sum(sessions_cnt)::BIGINT AS sessions_cnt, sum(bytes_sent_sum) AS bytes_sent_sum FROM w GROUP BY ALL""")
 def str_sliding(spark, d):
-    base, stream = _stream(spark, d)
-    st.drain(st.sliding_stream(st.slice_stream(stream, "40 days")), f"{base}/out", f"{base}/check")
-    out = spark.read.parquet(f"{base}/out").where(F.col("window.start") < F.lit(_LAST).cast("timestamp"))
+    out = _replayed(spark, d, lambda s: st.sliding_stream(st.slice_stream(s)), closing=2)
     return out.select("host_ip", "role", t("window.start").alias("window_start"), "sessions_cnt", "bytes_sent_sum")
 
 
 @query("SELECT strftime(ts, '%Y-%m-%d') AS dt, count(*) AS n FROM events GROUP BY ALL")
 def str_publication(spark, d):
-    """Published by batch; a second run from the start replays all batches and leaves each row once."""
+    """Published by mini-batch (an input file); a second run cuts the input otherwise and leaves each row once."""
     base = scratch_dir(spark, "publish")
-    sessions(spark, d).write.parquet(f"{base}/in")
-    for run in range(2):
-        stream = st.without_replays(spark.readStream.schema(sessions(spark, d).schema).parquet(f"{base}/in"), "40 days").withColumn("dt", F.date_format("event_start", "yyyy-MM-dd"))
+    sessions(spark, d).repartitionByRange(4, "event_start").write.parquet(f"{base}/in")
+    for run, files in enumerate((None, 1)):
+        named = _source(spark, d, f"{base}/in", files).select("*", F.col("_metadata.file_name").alias("mini_batch_id"))
+        stream = st.without_replays(named, "40 days").withColumn("dt", F.date_format("event_start", "yyyy-MM-dd"))
         st.drain(stream, "", f"{base}/check{run}", st.publisher(f"{base}/out"))
     return spark.read.parquet(f"{base}/out").groupBy(F.col("dt").cast("string").alias("dt")).agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("SELECT strftime(time_bucket(INTERVAL 15 MINUTES, ts), '%Y-%m-%d %H:%M:%S') AS slice_start, count(*) AS late_rows FROM events WHERE ts < TIMESTAMP '2024-01-15' GROUP BY ALL")
+@query(f"""WITH arrived AS (SELECT ts, {' + '.join(f"CAST(ts >= TIMESTAMP '{c}' OR (event_id % 20 = 0 AND ts >= TIMESTAMP '{c}' - INTERVAL 8 DAYS) AS INTEGER)" for c in CUTS)} AS part FROM events), seen AS (SELECT part, max(ts) AS seen FROM arrived GROUP BY 1)
+ SELECT strftime(time_bucket(INTERVAL 15 MINUTES, ts), '%Y-%m-%d %H:%M:%S') AS slice_start, count(*) AS late_rows FROM arrived a WHERE ts < (SELECT max(seen) FROM seen s WHERE s.part < a.part) - INTERVAL 10 MINUTES GROUP BY ALL""")
 def str_late_rows(spark, d):
-    _, late = st.split_late(sessions(spark, d), "2024-01-15 00:00:00")
+    """Every twentieth session of the eight days before a cut arrives after it: its row goes to the side output."""
+    base = scratch_dir(spark, "late")
+    s, at = sessions(spark, d), F.col("event_start")
+    delayed = F.when(F.col("session_id") % 20 == 0, F.expr("INTERVAL 8 DAYS")).otherwise(F.expr("INTERVAL 0 DAYS"))
+    part = sum((F.when(at >= F.lit(c).cast("timestamp") - delayed, 1).otherwise(0) for c in CUTS), F.lit(0))
+    for n in range(len(CUTS) + 1):
+        s.where(part == n).write.mode("append").parquet(f"{base}/in")
+        st.drain(_source(spark, d, f"{base}/in"), "", f"{base}/check", st.late_splitter(f"{base}/out"))
+    late = spark.read.parquet(f"{base}/out/rows").where("late = 1")
     return st.late_counts(late).select(t("slice_start_ts").alias("slice_start"), "late_rows")
 
 

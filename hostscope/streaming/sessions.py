@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from hostscope.operators.quality import clean
@@ -28,18 +28,41 @@ def sliding_stream(slices: DataFrame, length: str = "1 hour", step: str = "15 mi
     )
 
 
-def publisher(path: str, by: str = "dt") -> Callable[[DataFrame, int], None]:
-    """A foreachBatch sink that writes each batch under its number and replaces it when it is replayed."""
-    def write(batch: DataFrame, n: int) -> None:
-        batch.withColumn("batch", F.lit(n)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch", by).parquet(path)
+def publisher(path: str, by: Sequence[str] = ("mini_batch_id", "dt")) -> Callable[[DataFrame, int], None]:
+    """A foreachBatch sink that replaces the partitions it brings.
+
+    The first partition column names the mini-batch that a row came with, so a replay leaves each row once, even one
+    from a new checkpoint that cuts the input otherwise (a mini-batch always comes whole).
+    """
+    def write(batch: DataFrame, _: int) -> None:
+        batch.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path)
 
     return write
 
 
-def split_late(batch: DataFrame, seen_until: str, ts: str = "event_start") -> tuple[DataFrame, DataFrame]:
-    """(on time, late): rows before the point that slices have been published up to are late."""
-    cut = F.lit(seen_until).cast("timestamp")
-    return batch.where(F.col(ts) >= cut), batch.where(F.col(ts) < cut)
+def split_late(batch: DataFrame, seen_until: Column, lateness: str = LATENESS, ts: str = "event_start") -> DataFrame:
+    """The batch with ``late``: 1 for rows before the published point, which is the greatest time seen less the lateness."""
+    return batch.withColumn("late", F.coalesce(F.col(ts) < seen_until - F.expr(f"INTERVAL {lateness}"), F.lit(False)).cast("int"))
+
+
+def late_splitter(path: str, lateness: str = LATENESS, ts: str = "event_start") -> Callable[[DataFrame, int], None]:
+    """A foreachBatch sink that writes rows under (batch, late); late rows are a side output, not lost.
+
+    The greatest time of each batch is kept beside it. A replayed batch compares with the batches before it only, and
+    replaces what it wrote, so it splits its rows the same way again.
+    """
+    def write(batch: DataFrame, n: int) -> None:
+        spark = batch.sparkSession
+        seen = None
+        if n:
+            seen = spark.read.schema("seen timestamp, batch long").parquet(f"{path}/seen").where(F.col("batch") < n).agg(F.max("seen")).first()[0]
+        here = Observation()
+        out = split_late(batch, F.lit(seen).cast("timestamp"), lateness, ts).observe(here, F.max(ts).alias("seen"))
+        replace = lambda df: df.withColumn("batch", F.lit(n).cast("long")).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        replace(out).partitionBy("batch", "late").parquet(f"{path}/rows")
+        replace(spark.createDataFrame([(here.get["seen"],)], "seen timestamp")).partitionBy("batch").parquet(f"{path}/seen")
+
+    return write
 
 
 def late_counts(late: DataFrame, minutes: int = 15, ts: str = "event_start") -> DataFrame:
@@ -57,13 +80,3 @@ def drain(stream: DataFrame, out: str, checkpoint: str, sink: Callable[[DataFram
     """Runs a stream over all input that is there and stops; append mode into Parquet, or a batch sink."""
     writer = stream.writeStream.outputMode("append").option("checkpointLocation", checkpoint).trigger(availableNow=True)
     (writer.foreachBatch(sink).start() if sink else writer.format("parquet").option("path", out).start()).awaitTermination()
-
-
-def with_sentinel(spark: SparkSession, sessions: DataFrame, path: str, after_days: int = 60) -> DataFrame:
-    """Writes sessions and, in a later file, three far-off sessions whose times close all windows; returns their stream."""
-    sessions.write.mode("append").parquet(path)
-    last = sessions.orderBy(F.desc("event_start")).limit(1)
-    for k in (1, 2, 3):
-        late = last.withColumns({"event_start": F.timestamp_add("DAY", F.lit(k * after_days), F.col("event_start")), "event_end": F.timestamp_add("DAY", F.lit(k * after_days), F.col("event_end")), "session_id": F.lit(-k).cast("long")})
-        late.coalesce(1).write.mode("append").parquet(path)
-    return spark.readStream.schema(sessions.schema).option("maxFilesPerTrigger", 1).option("latestFirst", "false").parquet(path)
