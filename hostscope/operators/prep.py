@@ -101,16 +101,17 @@ def prune_correlated(df: DataFrame, features: Sequence[str], most: float = 0.95)
 def stable_features(df: DataFrame, features: Sequence[str], score: str, key: str, runs: int = 10, share: float = 0.6, top: float = 0.5) -> DataFrame:
     """(metric, picked, keep): features whose |r| with the score is in the top half of enough bootstrap runs.
 
-    A run weighs each row by a Poisson draw hashed from its key, so runs repeat and the rows are read once.
+    A run weighs each row by a Poisson draw from the MD5 of its key and the run, so runs repeat and the rows are read once.
     """
     def weight(run: int) -> Column:
-        u = F.pmod(F.xxhash64(F.col(key), F.lit(run)), F.lit(1 << 30)) / float(1 << 30)
+        u = F.conv(F.substring(F.md5(F.concat_ws("|", F.col(key), F.lit(run))), 1, 8), 16, 10).cast("double") / float(1 << 32)
         return sum((F.when(u >= c, 1.0).otherwise(0.0) for c in (0.367879, 0.735759, 0.919699, 0.981012)), F.lit(0.0))
 
-    long = long_metrics(df.select(key, score, *features), features).where("value is not null")
+    drawn = df.select(score, *features, F.array(*[weight(run) for run in range(runs)]).alias("_w"))
+    long = long_metrics(drawn, features).where("value is not null")
     per = []
     for run in range(runs):
-        w, x, y = weight(run), F.col("value"), F.col(score)
+        w, x, y = F.get("_w", F.lit(run)), F.col("value"), F.col(score)
         per.append(F.struct(F.lit(run).alias("run"), F.sum(w).alias("n"), F.sum(w * x).alias("x"), F.sum(w * y).alias("y"), F.sum(w * x * x).alias("xx"), F.sum(w * y * y).alias("yy"), F.sum(w * x * y).alias("xy")))
     sums = long.groupBy("metric").agg(F.array(*per).alias("_s")).select("metric", F.inline("_s"))
     spread = F.sqrt(F.greatest(F.col("xx") - F.col("x") * F.col("x") / F.col("n"), F.lit(0.0)) * F.greatest(F.col("yy") - F.col("y") * F.col("y") / F.col("n"), F.lit(0.0)))

@@ -93,9 +93,20 @@ def mlp_prune_correlated(spark, d):
     return f.groupBy("l_returnflag").agg(F.count(F.lit(1)).alias("n")).select("l_returnflag", F.explode(F.array(*map(F.lit, kept))).alias("feature"), "n")
 
 
-@query()
+_DRAWN = f"""b AS (SELECT {', '.join(FEATURES)}, l_extendedprice / 1000 + l_quantity AS score, concat_ws('|', l_orderkey, l_linenumber, strftime(l_shipdate, '%Y-%m-%d')) AS id FROM lineitem),
+ u AS (SELECT b.*, run, CAST('0x' || substr(md5(id || '|' || run), 1, 8) AS BIGINT) / 4294967296.0 AS u FROM b, range(10) r(run)), w AS (SELECT *, CASE WHEN u >= 0.981012 THEN 4 WHEN u >= 0.919699 THEN 3 WHEN u >= 0.735759 THEN 2 WHEN u >= 0.367879 THEN 1 ELSE 0 END AS w FROM u)"""
+
+
+def _stable_sql() -> str:
+    one = lambda f: f"SELECT '{f}' AS metric, run, sum(w) AS n, sum(w * {f}) AS x, sum(w * score) AS y, sum(w * {f} * {f}) AS xx, sum(w * score * score) AS yy, sum(w * {f} * score) AS xy FROM w WHERE {f} IS NOT NULL GROUP BY run"
+    return f"""WITH {_DRAWN}, s AS ({' UNION ALL '.join(map(one, FEATURES))}), r AS (SELECT metric, run, abs((xy - x * y / n) / sqrt((xx - x * x / n) * (yy - y * y / n))) AS r FROM s),
+ k AS (SELECT *, row_number() OVER (PARTITION BY run ORDER BY r DESC, metric) AS k FROM r) SELECT metric, count(*) FILTER (k <= 2) / 10 AS picked, CAST(count(*) FILTER (k <= 2) / 10 >= 0.6 AS INTEGER) AS keep FROM k GROUP BY metric"""
+
+
+@query(_stable_sql())
 def mlp_stable_features(spark, d):
-    f = features(spark, d).withColumn("score", F.col("l_extendedprice") / 1000 + F.col("l_quantity")).withColumn("id", F.xxhash64(*KEYS, "l_shipdate"))
+    key = F.concat_ws("|", *KEYS, F.date_format("l_shipdate", "yyyy-MM-dd"))
+    f = features(spark, d).withColumn("score", F.col("l_extendedprice") / 1000 + F.col("l_quantity")).withColumn("id", key)
     return prep.stable_features(f, FEATURES, "score", "id")
 
 

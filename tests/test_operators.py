@@ -232,3 +232,57 @@ def test_forest_finds_the_outlier_and_scores_each_row_once(spark):
 def test_forest_split_keeps_children_apart():
     tree = forest.grow_tree(np.arange(16.0).reshape(-1, 1), np.random.default_rng(0))
     assert tree["size"][0] == 16 and sum(s for s, f in zip(tree["size"], tree["feature"]) if f < 0) == 16
+
+
+def test_family_plan_follows_dependencies_of_dependencies(spark):
+    merged = spark.createDataFrame([(f, "2024-01-01", "2024-01-02") for f in "abcd"], "family string, start_ts string, end_ts string")
+    out = {r.family: (r.execute, r.reason) for r in rg.family_plan(merged, {"a": ["b"], "b": ["c"], "c": ["a"], "d": ["a"]}, ["a"]).collect()}
+    assert out == {"a": (1, "requested"), "b": (1, "dependency"), "c": (1, "dependency"), "d": (0, "not_requested")}
+
+
+def test_numbered_orders_across_partitions(spark):
+    df = spark.range(1000).select((F.col("id") * 7919 % 1000).alias("v"))
+    assert all(r.v + 1 == r.place for r in rg.numbered(df, ["v"]).collect())
+    assert rg.numbered(df.limit(0), ["v"]).count() == 0
+
+
+def test_latest_version_prefers_and_falls_back(spark):
+    rows = [("p", "params#v1", "2024-01-01"), ("p", "params#v2", "2024-01-02"), ("q", "params#v1", "2024-01-01"), ("q", "other#v9", "2024-02-01"), ("p", "params#v3", None)]
+    df = spark.createDataFrame(rows, "project_name string, job_name_version string, updated_at string")
+    pick = lambda *a: {r.project_name: r.version for r in rg.latest_version(df, "params", *a).collect()}
+    assert pick() == {"p": "v2", "q": "v1"} and pick("v3") == {"p": "v3", "q": "v1"}
+
+
+def test_routing_reads_sessions_once(spark, sf):
+    from hostscope.plans.baseline_queries import routed
+
+    plan = routed(spark, sf)._jdf.queryExecution().optimizedPlan().toString()
+    assert "regexp_extract(props" not in plan  # sessions come from events' props; the machines' names don't
+
+
+def test_late_rows_are_split_the_same_when_a_batch_is_replayed(spark, tmp_path):
+    from hostscope.streaming import sessions as st
+
+    out = f"file://{tmp_path}/out"
+    sink = st.late_splitter(out)
+    rows = lambda *times: spark.createDataFrame([(t,) for t in times], "t string").select(F.col("t").cast("timestamp").alias("event_start"))
+    first, second = rows("2024-01-01 10:00:00", "2024-01-01 11:00:00"), rows("2024-01-01 10:49:59", "2024-01-01 10:50:00", None, "2024-01-01 12:00:00")
+    for batch, n in ((first, 0), (second, 1), (second, 1), (first, 0)):
+        sink(batch, n)
+    back = spark.read.parquet(f"{out}/rows")
+    assert back.count() == 6 and [str(r.event_start) for r in back.where("late = 1").collect()] == ["2024-01-01 10:49:59"]
+
+
+def test_forest_samples_large_tables_without_offering_each_row_to_each_tree(spark):
+    df = spark.range(5000).select("id", F.rand(1).alias("x"))
+    trees = forest.fit(df, ["x"], "id", trees=8, sample=64)
+    sizes = [r["size"][0] for r in trees.collect()]
+    assert len(sizes) == 8 and min(sizes) > 40 and max(sizes) == 64
+    assert "Generate" not in trees._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_partition_contract(spark):
+    df = spark.createDataFrame([("a", 1), ("a", None), (None, 1)], "dt string, k int")
+    assert {(r.dt, r.rows, r.broken) for r in sinks.partition_contract(df, ["dt"], ["k"]).collect()} == {("a", 2, 1), (None, 1, 1)}
+    with pytest.raises(ValueError, match="missing"):
+        sinks.partition_contract(df, ["missing"], ["k"])
