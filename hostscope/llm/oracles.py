@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from hostscope.llm import mixing, ngram_join, quality, sharding
+from hostscope.llm import fim, mixing, ngram_join, quality, sharding, vector_codes
 
 WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
@@ -76,5 +76,33 @@ def ngram_sql() -> str:
  SELECT n.doc_id, n.n AS n_shingles, min(r.root) AS component_id FROM n JOIN r ON r.id = n.doc_id GROUP BY ALL"""
 
 
+def vector_sql() -> str:
+    """Every round as two steps over the parts of all vectors: the nearest entry of sixteen, then floored means."""
+    v = vector_codes
+    apart = "list_sum(list_transform(range(len(x.q)), lambda i: (x.q[CAST(i + 1 AS BIGINT)] - c.q[CAST(i + 1 AS BIGINT)]) * (x.q[CAST(i + 1 AS BIGINT)] - c.q[CAST(i + 1 AS BIGINT)])))"
+    ctes = [f"""k AS MATERIALIZED (SELECT vec_id, label, list_transform(embedding, lambda x: CAST(floor({v.SCALE}::DOUBLE * x) AS BIGINT)) AS q FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)""",
+            f"x AS MATERIALIZED (SELECT vec_id, label, p, q[p * len(q) // {v.PARTS} + 1 : (p + 1) * len(q) // {v.PARTS}] AS q FROM k, range({v.PARTS}) t(p))",
+            f"c0 AS MATERIALIZED (SELECT p, row_number() OVER (PARTITION BY p ORDER BY vec_id) - 1 AS e, q FROM x WHERE vec_id IN (SELECT vec_id FROM k ORDER BY vec_id LIMIT {v.ENTRIES}))"]
+    for r in range(v.ROUNDS + 1):
+        ctes.append(f"a{r} AS MATERIALIZED (SELECT vec_id, label, p, q, s.d AS d, s.e AS e FROM (SELECT x.vec_id, x.label, x.p, x.q, min({{'d': {apart}, 'e': c.e}}) AS s FROM x JOIN c{r} c ON c.p = x.p GROUP BY ALL))")
+        if r < v.ROUNDS:
+            ctes.append(f"""m{r} AS (SELECT p, e, i, CAST(sum(q[i]) AS HUGEINT) AS s, count(*) AS n FROM (SELECT p, e, q, unnest(range(1, len(q) + 1)) AS i FROM a{r}) GROUP BY ALL),
+ u{r} AS (SELECT p, e, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY i) AS q FROM m{r} GROUP BY ALL), c{r + 1} AS MATERIALIZED (SELECT p, e, coalesce(u.q, c.q) AS q FROM c{r} c LEFT JOIN u{r} u USING (p, e))""")
+    n = v.ROUNDS
+    return f"""WITH {", ".join(ctes)}, h AS (SELECT sha256(string_agg(array_to_string(q, ','), ',' ORDER BY p, e)) AS h FROM c{n}),
+ o AS (SELECT vec_id, label, string_agg(printf('%02x', e), '' ORDER BY p) AS code, CAST(sum(d) AS BIGINT) AS error FROM a{n} GROUP BY ALL)
+ SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, h AS codebooks_sha256 FROM o, h"""
+
+
+def fim_sql() -> str:
+    p, s, m = fim.PREFIX, fim.SUFFIX, fim.MIDDLE
+    h = lambda k: f"CAST('0x' || substr(g, {8 * k - 7}, 8) AS BIGINT)"
+    return f"""WITH d AS (SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '{fim.UNIT.replace(chr(92) + "n", chr(10))}') AS u, sha256('{fim.SEED}:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS g FROM documents),
+ e AS (SELECT doc_id, t, u, CAST(len(u) AS BIGINT) AS n, {h(1)} % (len(u) + 1) AS x, {h(2)} % (len(u) + 1) AS y, t = '' OR contains(t, '{p}') OR contains(t, '{s}') OR contains(t, '{m}') OR {h(3)} % 100 >= {fim.RATE} AS plain, {h(4)} % 100 < {fim.SPM} AS spm FROM d),
+ c AS (SELECT doc_id, t, n, CASE WHEN plain THEN 'plain' WHEN spm THEN 'spm' ELSE 'psm' END AS form, array_to_string(u[1 : least(x, y)], '') AS a, array_to_string(u[least(x, y) + 1 : greatest(x, y)], '') AS b, array_to_string(u[greatest(x, y) + 1 :], '') AS z FROM e),
+ o AS (SELECT *, CASE form WHEN 'plain' THEN t WHEN 'spm' THEN '{s}' || z || '{p}' || a || '{m}' || b ELSE '{p}' || a || '{s}' || z || '{m}' || b END AS output FROM c)
+ SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN CAST(length(a) AS BIGINT) END AS prefix_chars, CASE WHEN form <> 'plain' THEN CAST(length(b) AS BIGINT) END AS middle_chars, sha256(output) AS output_sha256, sha256(CASE WHEN form = 'plain' THEN output ELSE a || b || z END) AS restored_sha256 FROM o"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_sharding": sharding_sql(), "op3_quality_rules": quality_sql(), "op4_ngram_join": ngram_sql(), "op5_mixing": mixing_sql(), "op9_exact_dedup": dedup_sql()}
+    return {"op1_sharding": sharding_sql(), "op3_quality_rules": quality_sql(), "op4_ngram_join": ngram_sql(), "op5_mixing": mixing_sql(), "op9_exact_dedup": dedup_sql(), "op12_vector_codes": vector_sql(), "op13_fill_in_middle": fim_sql()}
