@@ -191,7 +191,7 @@ def compress(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embeddi
     width = first[0] if first else 0
     books = train(kept, width, entries, parts, rounds) if first else []
     if not first:
-        return kept.selectExpr("vec_id", "label", "string(null) code", "long(null) error", "long(null) label_error"), books
+        return kept.selectExpr("vec_id", "label", "string(null) code", "bigint(null) error", "bigint(null) label_error"), books
     coded = written(kept.mapInArrow(tidy(_codes(books, width)), f"vec_id long, label {kind}, code string, error long"), "codes")
     most = F.lit(Decimal((1 << 63) - 1))
     whole = F.sum(F.col("error").cast("decimal(38,0)"))
