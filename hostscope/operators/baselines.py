@@ -8,6 +8,9 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from hostscope.operators import selection
+from hostscope.sources.scratch import written
+
 HOST_KEYS = ("host_ip", "role", "window_label", "time_band")
 SEGMENT_KEYS = ("segment_id", "role", "window_label", "time_band")
 MIN_SUPPORT = 50
@@ -39,8 +42,14 @@ def in_horizons(df: DataFrame, bounds: DataFrame, ts: str = "window_end_ts") ->
     return df.join(F.broadcast(bounds), (F.col(ts) >= F.col("baseline_start_ts")) & (F.col(ts) < F.col("baseline_end_ts")))
 
 
-def _quantile(c: Column, levels, exact: bool, accuracy: int = 10_000) -> Column:
-    return F.percentile(c, levels) if exact else F.percentile_approx(c, levels, accuracy)
+def _exact_middles(df: DataFrame, metrics: Sequence[str], keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """Medians and MADs of each key as columns _med_ and _mad_, by exact selection: one metric's group may be of any size."""
+    on = [*keys, "metric"]
+    long = long_metrics(df.select(*keys, *metrics), metrics)
+    middle = written(selection.quantiles(long, on, [0.5]).select(*on, F.get("q", F.lit(0)).alias("median")), "middles")
+    mad = selection.median_deviation(long, on, middle)
+    wide = lambda d, c, name: d.groupBy(*keys).agg(*[F.max(F.when(F.col("metric") == m, F.col(c))).alias(f"{name}{m}") for m in metrics])
+    return wide(middle, "median", "_med_"), wide(mad, "mad", "_mad_")
 
 
 def anomaly_weights(df: DataFrame, metrics: Sequence[str], z_max: float = 6.0, low: float = 0.2, keys: Sequence[str] = SEGMENT_KEYS, exact: bool = False, eps: float = 1e-6) -> DataFrame:
@@ -49,9 +58,13 @@ def anomaly_weights(df: DataFrame, metrics: Sequence[str], z_max: float = 6.0, l
     Median and true MAD come from two aggregates joined back; their rows number segments, not hosts.
     """
     on = list(keys)
-    middle = df.groupBy(*on).agg(*[_quantile(F.col(m), 0.5, exact).alias(f"_med_{m}") for m in metrics])
-    off = df.join(middle, on)
-    mad = off.groupBy(*on).agg(*[_quantile(F.abs(F.col(m) - F.col(f"_med_{m}")), 0.5, exact).alias(f"_mad_{m}") for m in metrics])
+    if exact:
+        middle, mad = _exact_middles(df, metrics, on)
+        off = df.join(middle, on)
+    else:
+        middle = df.groupBy(*on).agg(*[F.percentile_approx(m, 0.5, 10_000).alias(f"_med_{m}") for m in metrics])
+        off = df.join(middle, on)
+        mad = off.groupBy(*on).agg(*[F.percentile_approx(F.abs(F.col(m) - F.col(f"_med_{m}")), 0.5, 10_000).alias(f"_mad_{m}") for m in metrics])
     joined = off.join(mad, on)
     z = [F.abs((F.col(m) - F.col(f"_med_{m}")) / (F.col(f"_mad_{m}") + eps)) for m in metrics]
     out = joined.withColumn("max_abs_z", F.array_max(F.array(*z)))
@@ -73,7 +86,14 @@ def baselines(df: DataFrame, metrics: Sequence[str], keys: Sequence[str], min_su
     """
     clean = F.when(F.col("anomaly_weight") >= 1, F.col("value")) if "anomaly_weight" in df.columns else F.col("value")
     horizon = ["baseline_horizon"] if "baseline_horizon" in df.columns else []
-    stats = long_metrics(df, metrics).groupBy(*keys, *horizon, "metric").agg(_quantile(clean, [0.25, 0.5, 0.75, 0.95, 0.99], exact).alias("_q"), F.count("value").alias("support_count"))
+    long, on, levels = long_metrics(df, metrics), [*keys, *horizon, "metric"], [0.25, 0.5, 0.75, 0.95, 0.99]
+    if exact:
+        picked = selection.quantiles(long.withColumn("value", clean), on, levels, "_q")
+        same = [F.col(f"a.{k}").eqNullSafe(F.col(f"b.{k}")) for k in on]
+        support = long.groupBy(*on).agg(F.count("value").alias("support_count"))
+        stats = support.alias("a").join(picked.alias("b"), same, "left").select("a.*", "b._q")
+    else:
+        stats = long.groupBy(*on).agg(F.percentile_approx(clean, levels, 10_000).alias("_q"), F.count("value").alias("support_count"))
     q = lambda i: F.get("_q", F.lit(i))
     iqr = q(2) - q(0)
     return stats.select(
@@ -119,8 +139,11 @@ def pair_rarity(pairs: DataFrame, days: int, rare: int = 2, lookback: DataFrame
     """
     view = pairs.select(F.col("src_ip").alias("host_ip"), "segment_id", "dst_ip", "dst_port", *by, "sessions_cnt", "event_ts")
     sets = view.groupingSets([["host_ip", "dst_ip", "dst_port", *by], ["segment_id", "dst_ip", "dst_port", *by]], "host_ip", "segment_id", "dst_ip", "dst_port", *by)
+    # a bit a day: no two of up to 64 consecutive days share one
+    day = F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(F.datediff("event_ts", F.lit("1970-01-01")), F.lit(64)))
+    active = F.bit_count(F.bit_or(day)) if days <= 64 else F.count_distinct(F.to_date("event_ts"))
     out = sets.agg(
-        F.sum("sessions_cnt").alias("pair_seen_count"), F.max("event_ts").alias("pair_last_seen_ts"), F.count_distinct(F.to_date("event_ts")).alias("active_days"), F.grouping("host_ip").alias("_g"),
+        F.sum("sessions_cnt").alias("pair_seen_count"), F.max("event_ts").alias("pair_last_seen_ts"), active.cast("long").alias("active_days"), F.grouping("host_ip").alias("_g"),
     )
     out = out.withColumns({
         "level": F.when(F.col("_g") == 0, "host").otherwise("segment"), "pair_daily_avg": F.col("pair_seen_count") / days,

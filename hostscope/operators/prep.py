@@ -8,7 +8,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from hostscope.operators import gram, selection
 from hostscope.operators.baselines import long_metrics
+from hostscope.sources.scratch import written
 
 
 def join_inputs(inputs: Sequence[tuple[str, DataFrame, bool]], keys: Sequence[str]) -> DataFrame:
@@ -41,18 +43,15 @@ def key_coverage(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> DataFrame:
     return out.withColumn("coverage", F.when(F.col("keys_a") > 0, F.col("keys_both") / F.col("keys_a")).otherwise(0.0))
 
 
-def fit_scaling(df: DataFrame, features: Sequence[str], exact: bool = False, accuracy: int = 10_000) -> DataFrame:
-    """metric, median, iqr, mad of every feature: long form, one aggregate for quantiles and one for the MAD.
+def fit_scaling(df: DataFrame, features: Sequence[str]) -> DataFrame:
+    """metric, median, iqr, mad of every feature, exactly, in long form.
 
-    Quantiles are sketches, one a feature and task, off by at most a share of 1 / accuracy in rank; exact quantiles
-    (for small tables) hold all distinct values of a feature in one task.
+    Quantiles and the MAD are selected within brackets (see ``selection``), so no task holds a feature.
     """
-    q = (lambda c, p: F.percentile(c, p)) if exact else (lambda c, p: F.percentile_approx(c, p, accuracy))
-    long = long_metrics(df.select(*features), features).where("value is not null and not isnan(value)")
-    middle = long.groupBy("metric").agg(q(F.col("value"), [0.25, 0.5, 0.75]).alias("_q"))
-    middle = middle.select("metric", F.get("_q", F.lit(1)).alias("median"), (F.get("_q", F.lit(2)) - F.get("_q", F.lit(0))).alias("iqr"))
-    mad = long.join(F.broadcast(middle), "metric").groupBy("metric").agg(q(F.abs(F.col("value") - F.col("median")), 0.5).alias("mad"))
-    return middle.join(mad, "metric")
+    long = long_metrics(df.select(*features), features)
+    middle = selection.quantiles(long, ["metric"], [0.25, 0.5, 0.75]).select("metric", F.get("q", F.lit(1)).alias("median"), (F.get("q", F.lit(2)) - F.get("q", F.lit(0))).alias("iqr"))
+    middle = written(middle, "scaling")
+    return middle.join(selection.median_deviation(long, ["metric"], middle), "metric")
 
 
 def apply_scaling(df: DataFrame, scaling: DataFrame, features: Sequence[str], z_max: float = 6.0, impute: str = "none", constant: float = 0.0, eps: float = 1e-6) -> DataFrame:
@@ -82,20 +81,20 @@ def varying_features(df: DataFrame, features: Sequence[str], least: float = 1e-9
 
 
 def correlations(df: DataFrame, features: Sequence[str]) -> DataFrame:
-    """(a, b, r) for all pairs of features in order, from one aggregate over the rows."""
-    pairs = [(i, j) for j in range(len(features)) for i in range(j)]
-    one = df.agg(*[F.corr(features[i], features[j]).alias(f"c{i}_{j}") for i, j in pairs])
-    return one.select(F.inline(F.array(*[F.struct(F.lit(features[i]).alias("a"), F.lit(features[j]).alias("b"), F.col(f"c{i}_{j}").alias("r")) for i, j in pairs])))
+    """(a, b, r) for all pairs of features in order, over the rows that have both; null where one doesn't vary."""
+    names = F.array(*map(F.lit, features))
+    pairs = gram.correlations(df, features)
+    return pairs.select(F.get(names, "i").alias("a"), F.get(names, "j").alias("b"), "r")
 
 
 def prune_correlated(df: DataFrame, features: Sequence[str], most: float = 0.95) -> list[str]:
-    """Keeps a feature if no kept one before it has a greater |r|; runs one job, then works on features only."""
-    r = {(x["a"], x["b"]): x["r"] for x in correlations(df, features).collect()}
-    kept: list[str] = []
-    for f in features:
-        if all(abs(r.get((k, f)) or 0.0) <= most for k in kept):
-            kept.append(f)
-    return kept
+    """Keeps a feature if no kept one before it has a greater |r|; the driver gets the pairs beyond that only."""
+    close = {(x["i"], x["j"]) for x in gram.correlations(df, features).where(F.abs("r") > most).select("i", "j").collect()}
+    kept: list[int] = []
+    for j in range(len(features)):
+        if not any((i, j) in close for i in kept):
+            kept.append(j)
+    return [features[j] for j in kept]
 
 
 def stable_features(df: DataFrame, features: Sequence[str], score: str, key: str, runs: int = 10, share: float = 0.6, top: float = 0.5) -> DataFrame:
@@ -127,19 +126,23 @@ def top_half(importance: DataFrame, score: str = "importance", name: str = "metr
     return importance.withColumn("rank", rank).withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy(F.lit(0)))).where(F.col("rank") <= F.floor((F.col("_n") + 1) / 2)).drop("_n")
 
 
-def score_metrics(train: DataFrame, valid: DataFrame, score: str = "score", level: float = 0.95, exact: bool = False, accuracy: int = 10_000) -> DataFrame:
+def score_metrics(train: DataFrame, valid: DataFrame, score: str = "score", level: float = 0.95) -> DataFrame:
     """One row: median shift over spread ("drift"), the training threshold, alert rates and their difference.
 
-    Quantiles are sketches unless exact ones (for small tables) are asked for.
+    Quantiles are exact selections; spread and rates are one aggregate. A NaN counts as null: it is in the rates'
+    denominators only.
     """
-    q = (lambda p: F.percentile(score, p)) if exact else (lambda p: F.percentile_approx(score, p, accuracy))
-    a = train.agg(q(0.5).alias("_mt"), F.stddev_pop(score).alias("_sd"), q(level).alias("threshold"))
-    b = valid.agg(q(0.5).alias("_mv"))
-    both = a.crossJoin(F.broadcast(b))
-    rate = lambda df, name: df.crossJoin(F.broadcast(a.select("threshold"))).agg(F.avg(F.when(F.col(score) > F.col("threshold"), 1.0).otherwise(0.0)).alias(name))
-    out = both.crossJoin(rate(valid, "alert_rate")).crossJoin(rate(train, "_train_rate"))
+    x = F.col(score).cast("double")
+    part = lambda df, k: df.select(F.lit(k).alias("part"), F.when(~F.isnan(x), x).alias("value"))
+    both = part(train, "train").unionByName(part(valid, "valid"))
+    of = lambda k, c: F.max(F.when(F.col("part") == k, c))
+    q = selection.quantiles(both, ["part"], [0.5, level])
+    marks = written(q.agg(of("train", F.get("q", F.lit(0))).alias("_mt"), of("valid", F.get("q", F.lit(0))).alias("_mv"), of("train", F.get("q", F.lit(1))).alias("threshold")), "marks")
+    rate = lambda k: F.avg(F.when(F.col("part") == k, F.when(F.col("value") > F.col("threshold"), 1.0).otherwise(0.0)))
+    own = F.stddev_pop(F.when(F.col("part") == "train", F.col("value")))
+    sums = both.crossJoin(F.broadcast(marks)).agg(F.max("_mt").alias("_mt"), F.max("_mv").alias("_mv"), F.max("threshold").alias("threshold"), own.alias("_sd"), rate("valid").alias("alert_rate"), rate("train").alias("_train_rate"))
     drift = F.when(F.col("_sd") > 0, F.abs(F.col("_mv") - F.col("_mt")) / F.col("_sd")).otherwise(0.0)
-    return out.select(drift.alias("drift"), "threshold", "alert_rate", (F.col("alert_rate") - F.col("_train_rate")).alias("alert_delta"))
+    return sums.select(drift.alias("drift"), "threshold", "alert_rate", (F.col("alert_rate") - F.col("_train_rate")).alias("alert_delta"))
 
 
 def gates(metrics: DataFrame, limits: Mapping[str, float]) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from hostscope.functions import net
 from hostscope.operators import baselines as bl
 from hostscope.operators import forest
+from hostscope.operators import gram
 from hostscope.operators import prep
 from hostscope.operators import quality as q
 from hostscope.plans.base_sql import counters
@@ -53,14 +54,14 @@ def _scaling_sql() -> str:
 
 @query(f"WITH {_scaling_sql()} SELECT metric, round(median, 6) AS median, round(iqr, 6) AS iqr, round(mad, 6) AS mad FROM sc")
 def mlp_fit_scaling(spark, d):
-    s = prep.fit_scaling(features(spark, d), FEATURES, exact=True)
+    s = prep.fit_scaling(features(spark, d), FEATURES)
     return s.select("metric", *[F.round(c, 6).alias(c) for c in ("median", "iqr", "mad")])
 
 
 @query(f"WITH {_scaling_sql()} SELECT l_orderkey, l_linenumber, {', '.join(f'''round(greatest(least(({f} - (SELECT median FROM sc WHERE metric = '{f}')) / ((SELECT CASE WHEN mad > 0 THEN mad WHEN iqr > 0 THEN iqr ELSE 1.0 END FROM sc WHERE metric = '{f}') + 1e-6), 6.0), -6.0), 5) AS {f}''' for f in FEATURES)} FROM lineitem")
 def mlp_apply_scaling(spark, d):
     f = features(spark, d).select(*KEYS, *FEATURES)
-    out = prep.apply_scaling(f, prep.fit_scaling(f, FEATURES, exact=True), FEATURES)
+    out = prep.apply_scaling(f, prep.fit_scaling(f, FEATURES), FEATURES)
     return out.select(*KEYS, *[F.round(c, 5).alias(c) for c in FEATURES])
 
 
@@ -86,13 +87,38 @@ def mlp_correlations(spark, d):
     return prep.correlations(features(spark, d), _C).select("a", "b", F.round("r", 6).alias("r"))
 
 
-@query("SELECT l_returnflag, feature, count(*) AS n FROM lineitem, (VALUES ('l_quantity'), ('l_extendedprice'), ('l_discount'), ('l_tax')) f(feature) GROUP BY ALL")
+def _pruned_sql(most: float = 0.95) -> str:
+    """Keeps feature after feature: one that no kept one before is too close to."""
+    rs = " UNION ALL ".join(f"SELECT '{_C[i]}' AS a, '{_C[j]}' AS b, corr({_E[_C[i]]}, {_E[_C[j]]}) AS r FROM lineitem" for j in range(len(_C)) for i in range(j))
+    steps = [f"k{j + 1} AS (SELECT CASE WHEN (SELECT count(*) FROM r, k{j} WHERE b = '{f}' AND list_contains(kept, a) AND abs(r) > {most}) > 0 THEN kept ELSE list_append(kept, '{f}') END AS kept FROM k{j})" for j, f in enumerate(_C)]
+    return f"WITH r AS MATERIALIZED ({rs}), k0 AS (SELECT []::VARCHAR[] AS kept), {', '.join(steps)} SELECT l_returnflag, feature, count(*) AS n FROM lineitem, (SELECT unnest(kept) AS feature FROM k{len(_C)}) GROUP BY ALL"
+
+
+@query(_pruned_sql())
 def mlp_prune_correlated(spark, d):
     f = features(spark, d)
     kept = prep.prune_correlated(f, _C)
     return f.groupBy("l_returnflag").agg(F.count(F.lit(1)).alias("n")).select("l_returnflag", F.explode(F.array(*map(F.lit, kept))).alias("feature"), "n")
 
 
+#: Features of the wide table, as many as a full catalogue of metrics has; pairs with the first ones are compared with SQL.
+WIDE, AGAINST = 440, 2
+_W = [f"m{j:03d}" for j in range(WIDE)]
+
+
+def _wide(j: int) -> str:
+    """A feature that leans on one of four, by a share that falls with its number; the same text in both engines."""
+    return f"{FEATURES[j % 4]} * {('2e-2', '2e-5', '1e1', '1e1')[j % 4]} + ((l_orderkey * {j + 7} + l_linenumber * 13) % {j + 11}) / {1 + (440 - j) // 20}e0"
+
+
+@query(f"""WITH w AS (SELECT {', '.join(f'CAST({_wide(j)} AS DOUBLE) AS {m}' for j, m in enumerate(_W))} FROM lineitem), c AS (SELECT {', '.join(f'corr({_W[i]}, {_W[j]}) AS c{i}_{j}' for i in range(AGAINST) for j in range(i + 1, WIDE))} FROM w)
+ SELECT CAST(split_part(substr(name, 2), '_', 1) AS INTEGER) AS i, CAST(split_part(name, '_', 2) AS INTEGER) AS j, round(r, 5) AS r FROM (UNPIVOT c ON COLUMNS(*) INTO NAME name VALUE r)""")
+def mlp_wide_correlations(spark, d):
+    """All pairs of 440 features from one pass; those with the first two features are returned."""
+    f = table(spark, d, "lineitem").select(*[F.expr(f"CAST({_wide(j)} AS DOUBLE)").alias(m) for j, m in enumerate(_W)])
+    return gram.correlations(f, _W).where(F.col("i") < AGAINST).select("i", "j", F.round("r", 5).alias("r"))
+
+
 _DRAWN = f"""b AS (SELECT {', '.join(FEATURES)}, l_extendedprice / 1000 + l_quantity AS score, concat_ws('|', l_orderkey, l_linenumber, strftime(l_shipdate, '%Y-%m-%d')) AS id FROM lineitem),
  u AS (SELECT b.*, run, CAST('0x' || substr(md5(id || '|' || run), 1, 8) AS BIGINT) / 4294967296.0 AS u FROM b, range(10) r(run)), w AS (SELECT *, CASE WHEN u >= 0.981012 THEN 4 WHEN u >= 0.919699 THEN 3 WHEN u >= 0.735759 THEN 2 WHEN u >= 0.367879 THEN 1 ELSE 0 END AS w FROM u)"""
 
@@ -123,7 +149,7 @@ _SM = f"{_SC}, m AS (SELECT abs((SELECT quantile_cont(score, 0.5) FROM s WHERE N
 def _metrics(spark, d):
     s = table(spark, d, "lineitem").select(F.col("l_shipdate").alias("ts"), F.col("l_extendedprice").alias("score"))
     cut = F.lit("1999-01-01 00:00:00").cast("timestamp_ntz")
-    return prep.score_metrics(s.where(F.col("ts") < cut), s.where(F.col("ts") >= cut), exact=True)
+    return prep.score_metrics(s.where(F.col("ts") < cut), s.where(F.col("ts") >= cut))
 
 
 @query(f"WITH {_SM} SELECT round(drift, 6) AS drift, round(threshold, 6) AS threshold, round(alert_rate, 6) AS alert_rate, round(alert_delta, 6) AS alert_delta FROM m")
