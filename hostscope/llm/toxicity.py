@@ -6,12 +6,13 @@ import math
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hostscope.llm.arrays import SPACES, bounded_batches, text_slices, tidy, word_hashes, word_spans
-from hostscope.llm.common import holdout, ship, shipped, written
+from hostscope.llm.common import holdout, ship, shipped, with_small, written
 
 #: The classifier is fitted on at most about so many labelled rows of each class.
 EXAMPLES_PER_CLASS = 4000
@@ -35,17 +36,14 @@ _EDGE[[*range(33, 48), *range(58, 65), *range(91, 97), *range(123, 127)]] = True
 def counted(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """The distinct terms of some whole texts, sorted; and (text, place of the term, 1 + log count), once a text and term, by text.
 
-    A term is a word (A-Z lower-cased, up to eight ASCII marks at each end cut), named by a 64-bit hash.
+    A term is a word (A-Z lower-cased, ASCII marks at both ends cut), named by a 64-bit hash.
     """
     starts, ends, first = word_spans(data, offsets)
     text = np.repeat(np.arange(len(offsets) - 1), np.diff(first))
-    edge = np.concatenate((_EDGE[data], [True]))
-    for _ in range(8):  # a mark at a time
-        front, back = edge[starts] & (starts < ends), edge[ends - 1]
-        if not (front.any() or back.any()):
-            break
-        starts = starts + front
-        ends = ends - (back & (starts < ends))
+    inner = np.append(np.flatnonzero(~_EDGE[data]), len(data))  # bytes that no word begins or ends without
+    last = inner[np.searchsorted(inner, ends) - 1] + 1
+    starts = inner[np.searchsorted(inner, starts)]
+    ends = np.where(starts < ends, last, starts)
     on = starts < ends
     if not on.all():
         starts, ends, text = starts[on], ends[on], text[on]
@@ -73,8 +71,18 @@ def _example_terms(batches):
             )
 
 
+_COUNTED = "task long, n long, df binary, key long, term long, tf double"
+
+
+def _text_keys(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """A 64-bit name of each whole text."""
+    raw, cut = data.tobytes(), offsets.tolist()
+    return np.array([xxhash.xxh3_64_intdigest(raw[a:b]) for a, b in zip(cut[:-1], cut[1:], strict=True)], np.uint64).view(np.int64)
+
+
 def _frequencies(model):
-    """Documents of this task, and how many of them hold each term of the vocabulary."""
+    """Documents of this task, and how many of them hold each term of the vocabulary; and, as rows of their own, the
+    terms of each text that the vocabulary lacks (key, term, tf)."""
 
     def run(batches):
         vocabulary = shipped(model)
@@ -82,15 +90,30 @@ def _frequencies(model):
         for batch in batches:
             n += batch.num_rows
             for *_, data, offsets in text_slices(batch):
-                found, _, place, _ = counted(data, offsets)
+                found, doc, place, tf = counted(data, offsets)
                 at, known = _lookup(vocabulary, found)
                 df[at[known]] += np.bincount(place, minlength=len(found))[known]
+                other = np.flatnonzero(~known[place])
+                if len(other):
+                    key, term = _text_keys(data, offsets)[doc[other]], found[place[other]].view(np.int64)
+                    none = pa.nulls(len(other), pa.int64())
+                    yield pa.RecordBatch.from_arrays([none, none, pa.nulls(len(other), pa.binary()), pa.array(key), pa.array(term), pa.array(tf[other])], ["task", "n", "df", "key", "term", "tf"])
         if n:
-            yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId()], pa.int64()), pa.array([n], pa.int64()), pa.array([df.tobytes()], pa.binary())], ["task", "n", "df"])
+            last = [pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.float64())]
+            yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId()], pa.int64()), pa.array([n], pa.int64()), pa.array([df.tobytes()], pa.binary()), *last], ["task", "n", "df", "key", "term", "tf"])
 
     return run
 
 
+def _other_norms(terms: DataFrame, n_all: int) -> DataFrame:
+    """(key, other): of each text, the squared weights of the terms that no example holds; copies of a text are counted
+    before they are sent, and a term's documents are counted over the whole table."""
+    own = written(terms.groupBy("key", "term").agg(F.count(F.lit(1)).alias("copies"), F.max("tf").alias("tf")), "toxicity-terms")
+    many = own.groupBy("term").agg(F.sum("copies").alias("df"))
+    weight = F.col("tf") * (F.log(F.lit(1.0 + n_all) / (1 + F.col("df"))) + 1)
+    return written(own.join(many, "term").groupBy("key").agg(F.sum(weight * weight).alias("other")), "toxicity-norms")
+
+
 def _summed(batches):
     total, n = None, 0
     for batch in batches:
@@ -237,23 +260,29 @@ def _lists(values: np.ndarray, owner: np.ndarray, n: int, kind: pa.DataType) ->
     return pa.ListArray.from_arrays(pa.array(np.searchsorted(owner, np.arange(n + 1)), pa.int32()), pa.array(values, kind))
 
 
-def _nearest(batch, model, skip: bool):
-    """(ids, texts so many, text, example, cosine) of pieces of a batch: the nearest examples of each text."""
-    vocabulary, weigh, index, ids = model
-    number = {d: i for i, d in enumerate(ids.tolist())} if skip else {}
+def _nearest(batch, model, number: dict[int, int]):
+    """(ids, key of each text, norm of its known terms, squares of its others, text, example, cosine) of pieces of a
+    batch: the nearest examples of each text, itself left out, by the cosine of its known terms."""
+    vocabulary, weigh, index, _ = model
     docs = batch.column("doc_id").to_pylist()
     for at, end, data, offsets in text_slices(batch):
         for a in range(0, end - at, AT_ONCE):
             b = min(a + AT_ONCE, end - at)
-            found, doc, place, tf = counted(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
+            piece, cuts = data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]
+            found, doc, place, tf = counted(piece, cuts)
             where, known = _lookup(vocabulary, found)
             on = known[place]
             text, term = doc[on], where[place[on]]
             weight = tf[on] * weigh[term]
             norm = np.sqrt(np.bincount(text, weight * weight, b - a))
             own = docs[at + a : at + b]
-            not_seen = np.array([number.get(d, -1) for d in own], np.int64) if skip else None
-            yield own, b - a, *index.nearest_of(text, term, weight / norm[text], b - a, NEIGHBOURS, not_seen)
+            not_seen = np.array([number.get(d, -1) for d in own], np.int64)
+            near = index.nearest_of(text, term, weight / norm[text], b - a, NEIGHBOURS, not_seen)
+            yield own, _text_keys(piece, cuts), norm, np.bincount(doc[~on], tf[~on] ** 2, b - a), *near
+
+
+def _numbers(model) -> dict[int, int]:
+    return {d: i for i, d in enumerate(model[3].tolist())}
 
 
 def _left_out(model):
@@ -261,26 +290,27 @@ def _left_out(model):
 
     def run(batches):
         model_ = shipped(model)
+        number = _numbers(model_)
         for batch in batches:
-            for own, n, text, example, cosine in _nearest(batch, model_, True):
-                yield pa.RecordBatch.from_arrays([pa.array(own, pa.int64()), _lists(example, text, n, pa.int32()), _lists(cosine, text, n, pa.float64())], ["doc_id", "near", "cosine"])
+            for own, *_, text, example, cosine in _nearest(batch, model_, number):
+                yield pa.RecordBatch.from_arrays([pa.array(own, pa.int64()), _lists(example, text, len(own), pa.int32()), _lists(cosine, text, len(own), pa.float64())], ["doc_id", "near", "cosine"])
 
     return run
 
 
 def _scored(model, judged):
+    """Each document's votes for either side, by the cosine of its known terms, and what is needed to put its norm right."""
+
     def run(batches):
-        model_, (labels, worth, prior, (slope, offset)) = shipped(model), judged
-        ids = model_[3]
+        model_, (labels, worth, *_) = shipped(model), judged
+        ids, number = model_[3], _numbers(model_)
+        names = ["doc_id", "key", "norm", "alone", "toxic", "all", "evidence", "cosines"]
         for batch in batches:
-            for own, n, text, example, cosine in _nearest(batch, model_, False):
-                raw = np.clip(votes(text, example, cosine, n, labels, worth, prior), 1e-4, 1 - 1e-4)
-                score = 1 / (1 + np.exp(-np.clip(slope * np.log(raw / (1 - raw)) + offset, -30, 30)))
+            for own, key, norm, alone, text, example, cosine in _nearest(batch, model_, number):
+                n, w = len(own), cosine**POWER * worth[example]
                 shown = np.arange(len(text)) - np.searchsorted(text, text) < 5
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(own, pa.int64()), pa.array(score, pa.float64()), _lists(ids[example[shown]], text[shown], n, pa.int64()), _lists(cosine[shown], text[shown], n, pa.float64())],
-                    ["doc_id", "score", "evidence", "cosines"],
-                )
+                sums = [pa.array(x, pa.float64()) for x in (norm, alone, np.bincount(text, w * labels[example], n), np.bincount(text, w, n))]
+                yield pa.RecordBatch.from_arrays([pa.array(own, pa.int64()), pa.array(key), *sums, _lists(ids[example[shown]], text[shown], n, pa.int64()), _lists(cosine[shown], text[shown], n, pa.float64())], names)
 
     return run
 
@@ -290,7 +320,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 
     Rows are chosen by a hash of their id at a rate from the class's count, so the sample does not grow with the table.
     The index holds all terms of these rows. A term weighs its idf, from document frequencies over all documents, times
-    its relevance to the label. None without both classes.
+    its relevance to the label (1 for terms of no example). The norms that terms of no example add to the documents are
+    a table. None without both classes.
     """
     spark = docs.sparkSession
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
@@ -316,12 +347,14 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     places = [np.searchsorted(vocabulary, h).astype(np.int32) for h in hashes]
     del got, hashes
     texts = docs.select(text.alias("text"))
-    kind = "task long, n long, df binary"
+    counts = written(texts.mapInArrow(tidy(_frequencies(ship(spark, vocabulary))), _COUNTED), "toxicity-counts")
     groups = max(1, math.isqrt(texts.rdd.getNumPartitions()))
-    sums = texts.mapInArrow(tidy(_frequencies(ship(spark, vocabulary))), kind).repartition(groups, F.col("task")).mapInArrow(tidy(_summed), kind).toLocalIterator()
+    parts = counts.where("task is not null").select("task", "n", "df")
+    sums = parts.repartition(groups, F.col("task")).mapInArrow(tidy(_summed), parts.schema).toLocalIterator()
     n_all, df = 0, np.zeros(len(vocabulary), np.int64)
     for r in sums:
         n_all, df = n_all + r[1], df + np.frombuffer(r[2], np.int64)
+    other = _other_norms(counts.where("term is not null").select("key", "term", "tf"), n_all)
     held = [np.bincount(np.concatenate([p for p, y in zip(places, label, strict=True) if y == side]), minlength=len(vocabulary)) for side in (1, 0)]
     weigh = (np.log((1 + n_all) / (1 + df)) + 1) * relevance(*held, int(label.sum()), int((1 - label).sum()))
     vectors = []
@@ -338,18 +371,20 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     of = np.repeat(np.arange(len(ids)), [len(near[d][0]) for d in ids.tolist()])
     example, cosine = (np.concatenate([np.array(near[d][j], kind) for d in ids.tolist()]) for j, kind in ((0, np.int64), (1, np.float64)))
     raw = votes(of, example, cosine, len(ids), label, worth, prior)
-    return searched, (label, worth, prior, calibrate(raw, label, worth))
+    return searched, (label, worth, prior, calibrate(raw, label, worth)), other, n_all
 
 
 def score(docs: DataFrame, labels: DataFrame, model=None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The toxicity of every document: doc_id, held_out, score, predicted, evidence, cosines.
 
-    Vectors are of whole texts, over all terms of the labelled examples; terms that no example holds are outside of the
-    space. The 32 nearest examples vote by their cosine, calibrated on examples that do not see themselves. evidence:
-    ids of the five nearest labelled examples, nearest first, with their cosines. Null, blank and termless texts, and
-    those without a term of any example, have no neighbours and get the calibrated prior; without learnable examples of
-    both classes all scores are 0; of rows with one id and different texts one is the example; repeated rows score
-    alike; ties go to the lower id; an empty table gives an empty result; other columns are ignored.
+    Vectors are of whole texts and all their terms: those that no example holds can't match, but lengthen the text by
+    their idf. A document that is an example itself is not among its own neighbours. The 32 nearest examples vote by
+    their cosine, calibrated on examples that do not see themselves. evidence: ids of the five nearest labelled
+    examples, nearest first, with their cosines. Null, blank and termless texts, and those without a term of any
+    example, have no neighbours and get the calibrated prior; without learnable examples of both classes all scores
+    are 0; of rows with one id and different texts one is the example; repeated rows score alike; ties go to the lower
+    id; an empty table gives an empty result; other columns are ignored. Under a model of other documents, a term that
+    neither they nor the examples hold counts as one of a single document.
     """
     spark = docs.sparkSession
     bounded_batches(spark)
@@ -358,5 +393,17 @@ def score(docs: DataFrame, labels: DataFrame, model=None, id_col: str = "doc_id"
     held = holdout(F.col("doc_id"))
     if model is None:
         return rows.select("doc_id", held.alias("held_out"), F.lit(0.0).alias("score"), F.lit(0).alias("predicted"), F.array().cast("array<bigint>").alias("evidence"), F.array().cast("array<double>").alias("cosines"))
-    out = rows.mapInArrow(tidy(_scored(*model)), "doc_id long, score double, evidence array<long>, cosines array<double>")
-    return out.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "evidence", "cosines")
+    searched, judged, other, n_all = model
+    kind = "doc_id long, key long, norm double, alone double, toxic double, all double, evidence array<long>, cosines array<double>"
+    found = with_small(written(rows.mapInArrow(tidy(_scored(searched, judged)), kind), "toxicity-votes"), other, "key", "left", 32)
+    single = (math.log((1 + n_all) / 2) + 1) ** 2
+    square = F.col("norm") * F.col("norm")
+    share = F.when(square > 0, F.sqrt(square / (square + F.coalesce("other", F.col("alone") * single)))).otherwise(0.0)
+    found = found.withColumn("share", share)
+    _, _, prior, (slope, offset) = judged
+    own, by = PRIOR_COSINE**POWER, F.pow("share", F.lit(POWER))
+    raw = F.greatest(F.least((by * F.col("toxic") + own * prior) / (by * F.col("all") + own), F.lit(1 - 1e-4)), F.lit(1e-4))
+    logit = F.greatest(F.least(slope * F.log(raw / (1 - raw)) + offset, F.lit(30.0)), F.lit(-30.0))
+    out = found.withColumn("score", 1 / (1 + F.exp(-logit)))
+    cosines = F.transform("cosines", lambda c: c * F.col("share"))
+    return out.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "evidence", cosines.alias("cosines"))
