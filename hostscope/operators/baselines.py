@@ -119,6 +119,23 @@ def has_prefix(name: Column, prefixes: Sequence[str]) -> Column:
     return F.coalesce(found, F.lit(False))
 
 
+def with_any_prefix(df: DataFrame, name: str, prefixes: DataFrame, prefix: str = "prefix") -> DataFrame:
+    """Rows whose name starts with any of a table of prefixes, in either case, each once.
+
+    Each distinct name offers its beginnings of the lengths that prefixes have (a few, counted first), and these meet
+    the prefixes in an equality join. So the cost is names times lengths, not names times prefixes.
+    """
+    p = prefixes.select(F.lower(prefix).alias("_prefix")).where("_prefix is not null").distinct()
+    lengths = sorted(r[0] for r in p.select(F.length("_prefix")).distinct().collect())
+    if not lengths:
+        return df.limit(0)
+    names = df.select(F.lower(name).alias("_name")).where("_name is not null").distinct()
+    starts = F.filter(F.array(*[F.lit(n) for n in lengths]), lambda n: n <= F.length("_name"))
+    offered = names.select("_name", F.explode(starts).alias("_n")).select("_name", F.substring("_name", F.lit(1), F.col("_n")).alias("_prefix"))
+    found = offered.join(p, "_prefix", "left_semi").select("_name").distinct()
+    return df.join(found, F.lower(F.col(name)) == F.col("_name"), "left_semi")
+
+
 def host_flags(support: DataFrame, machines: DataFrame, prefixes: Sequence[str], keys: Sequence[str], column: str = "sessions_cnt_support_count", min_support: int = MIN_SUPPORT) -> DataFrame:
     """is_full_history, is_non_persistent_machine and is_cold_start of each host: cold if either speaks for it.
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
@@ -43,22 +44,37 @@ def grow_tree(x: np.ndarray, rng: np.random.Generator) -> dict[str, list]:
     return out
 
 
+def _trees_of(key: str, rate: float, trees: int, seed: int):
+    """The trees that a row serves: each of them with the same probability, whatever the table's size.
+
+    Trees are reached by geometric steps over hashed draws, so a row that serves none costs a single draw.
+    """
+    def step(k):
+        u = (F.pmod(F.xxhash64(key, k, F.lit(seed)), F.lit(1 << 52)) + 1) / float(1 << 52)
+        return F.floor(F.log(u) / F.lit(math.log1p(-rate))) if rate < 1 else F.lit(0).cast("long")
+
+    first = step(F.lit(0))
+    start = F.struct(first.alias("at"), F.array(first).alias("found"))
+
+    def more(s, k):
+        at = s["at"] + 1 + step(k)
+        return F.when(s["at"] >= trees, s).otherwise(F.struct(at.alias("at"), F.concat(s["found"], F.array(at)).alias("found")))
+
+    walked = F.aggregate(F.sequence(F.lit(1), F.lit(trees)), start, more)
+    return F.when(first >= trees, F.array().cast("array<bigint>")).otherwise(F.filter(walked["found"], lambda t: t < trees))
+
+
 def fit(df: DataFrame, features: Sequence[str], key: str, trees: int = 100, sample: int = 256, seed: int = 0) -> DataFrame:
     """The trees, a row each. A tree's rows are the ``sample`` with the least hashes of those drawn for it (fewer if fewer are).
 
-    Twice the sample is drawn for a tree on average, so its group stays small whatever the table. In a large table one
-    hash of a row decides which single tree it serves, if any; only small tables offer each row to every tree.
+    Twice the sample is drawn for a tree on average, so its group stays small whatever the table. Trees draw rows
+    independently, in small tables as in large ones.
     """
     n = df.count()
     rate = min(1.0, 2.0 * sample / max(n, 1))
     filled = [F.coalesce(F.col(f).cast("double"), F.lit(0.0)).alias(f) for f in features]
     rows = df.select(F.col(key).alias("_key"), *filled)
-    if rate * trees <= 1:
-        slots = int(1 / rate)
-        rows = rows.withColumn("tree_id", F.pmod(F.xxhash64("_key", F.lit(seed)), F.lit(slots)).cast("int")).where(F.col("tree_id") < trees).withColumn("_h", F.xxhash64("_key", "tree_id", F.lit(seed)))
-    else:
-        rows = rows.withColumn("tree_id", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
-        rows = rows.withColumn("_h", F.xxhash64("_key", "tree_id", F.lit(seed))).where(F.pmod(F.col("_h"), F.lit(1 << 30)) < int(rate * (1 << 30)) + 1)
+    rows = rows.withColumn("tree_id", F.explode(_trees_of("_key", rate, trees, seed).cast("array<int>"))).withColumn("_h", F.xxhash64("_key", "tree_id", F.lit(seed)))
 
     def grow(group: pd.DataFrame) -> pd.DataFrame:
         some = group.sort_values("_h").head(sample)

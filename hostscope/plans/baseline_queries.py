@@ -15,7 +15,7 @@ from hostscope.plans.registry import query
 from hostscope.plans.slice_queries import MACHINES, slice_table, t
 from hostscope.sources import sinks
 from hostscope.sources.scratch import scratch_dir, written
-from hostscope.sources.sessions import machines, sessions
+from hostscope.sources.sessions import machines, sessions, table
 
 METRICS = ["sessions_cnt", "bytes_sent_sum", "duration_sum", "bytes_recv_sum", "admin_port_sessions_cnt"]
 REFERENCE = "2024-01-31 00:00:00"
@@ -136,6 +136,14 @@ def jon_prefix_match(spark, d):
     return machines(spark, d).where(bl.has_prefix(F.col("machine_name"), ["VDI-", "SERVER-1"])).select("ip_address", "machine_name")
 
 
+@query("""WITH p AS (SELECT DISTINCT upper(substr(c_name, 1, length(c_name) - CAST(c_custkey % 2 AS INTEGER))) AS prefix FROM customer WHERE c_custkey % 31 = 0) SELECT c_custkey, c_name FROM customer WHERE EXISTS (SELECT 1 FROM p WHERE starts_with(lower(c_name), lower(prefix)))""")
+def jon_prefix_table(spark, d):
+    """Names that start with any of a long table of prefixes, by equality of beginnings."""
+    c = table(spark, d, "customer")
+    prefixes = c.where("c_custkey % 31 = 0").select(F.upper(F.substring("c_name", F.lit(1), (F.length("c_name") - F.col("c_custkey") % 2).cast("int"))).alias("prefix"))
+    return bl.with_any_prefix(c, "c_name", prefixes).select("c_custkey", "c_name")
+
+
 @query(f"WITH {BASE}, {MACHINES}, names AS (SELECT ip_address AS host_ip, min(machine_name) AS machine_name FROM machines GROUP BY 1) SELECT host_ip, machine_name, count(*) AS n FROM base LEFT JOIN names USING (host_ip) GROUP BY ALL")
 def jon_machine_names(spark, d):
     hosts = daily(spark, d).groupBy("host_ip").agg(F.count(F.lit(1)).alias("n"))

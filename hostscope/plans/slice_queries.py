@@ -15,6 +15,7 @@ from hostscope.plans.base_sql import ANCHOR, CLEAN, LONG_WINDOWS, PAIRS, ROLES,
 from hostscope.plans.registry import query
 from hostscope.sources import readers
 from hostscope.sources import sinks
+from hostscope.sources.bucketed_index import BucketedIndex
 from hostscope.sources.scratch import scratch_dir
 from hostscope.sources.sessions import PORT_SETS, SESSION_SCHEMA, machines, sessions, table
 
@@ -54,9 +55,14 @@ def src_json_lines(spark, d):
     return out.withColumn("event_start", t("event_start"))
 
 
-@query("SELECT event_type, count(*) AS n, round(sum(value), 6) AS total FROM events GROUP BY ALL")
+@query("SELECT event_type, count(*) AS n, round(sum(value) FILTER (event_id % 2 = 0), 6) AS total, count(*) FILTER (event_id % 3 <> 0 AND event_id % 2 = 1) AS propertied FROM events GROUP BY ALL")
 def src_merged_scan(spark, d):
-    return readers.read_merged(spark, f"{d}/events.parquet").groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("value"), 6).alias("total"))
+    """Files of differing columns under one schema: what a file lacks is null."""
+    path, e = scratch_dir(spark, "merged"), table(spark, d, "events")
+    e.where("event_id % 2 = 0").select("event_id", "event_type", "value").write.parquet(f"{path}/a")
+    e.where("event_id % 2 = 1").select("event_type", "event_id", F.when(F.col("event_id") % 3 != 0, F.col("props")).alias("props")).write.parquet(f"{path}/b")
+    out = readers.read_merged(spark, f"{path}/a", f"{path}/b")
+    return out.groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("value"), 6).alias("total"), F.count("props").alias("propertied"))
 
 
 @query("SELECT o_orderkey, o_custkey FROM orders WHERE o_orderstatus = 'F' AND o_orderpriority = '1-URGENT'")
@@ -77,6 +83,14 @@ def src_first_available(spark, d):
     return df.select(F.col("event_type").alias("kind"), "source_mode").distinct()
 
 
+@query("""WITH r AS (SELECT * FROM (VALUES ('2024-01-05', '2024-01-08'), ('2024-01-07', '2024-01-09'), ('2024-01-20', '2024-01-21')) v(range_start, range_end))
+ SELECT range_start, range_end, event_type, count(*) AS n FROM events JOIN r ON ts >= range_start::TIMESTAMP AND ts < range_end::TIMESTAMP GROUP BY ALL""")
+def src_range_scan(spark, d):
+    """Three ranges, two of which overlap, from one scan."""
+    ranges = [("2024-01-20", "2024-01-21"), ("2024-01-05", "2024-01-08"), ("2024-01-07", "2024-01-09")]
+    return readers.scan_ranges(table(spark, d, "events"), ranges, "ts").groupBy("range_start", "range_end", "event_type").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query("""SELECT '2024-01-05' AS range_start, '2024-01-08' AS range_end, count(*) AS n FROM events WHERE ts >= TIMESTAMP '2024-01-05' AND ts < TIMESTAMP '2024-01-08'
  UNION ALL SELECT '2024-01-20', '2024-01-21', count(*) FROM events WHERE ts >= TIMESTAMP '2024-01-20' AND ts < TIMESTAMP '2024-01-21'""")
 def src_range_extract(spark, d):
@@ -143,6 +157,20 @@ def snk_batch_index_upsert(spark, d):
     return sinks.merge_batch_index(old, new, ["batch_id"], ["first_key"])
 
 
+@query("""WITH o AS (SELECT o_custkey AS batch_id, min(o_orderkey) AS first_key, 'NEW' AS status, 1 AS status_seq FROM orders WHERE o_custkey % 2 = 0 GROUP BY 1),
+ n AS (SELECT o_custkey AS batch_id, max(o_orderkey) AS first_key, 'DONE' AS status, CASE WHEN o_custkey % 3 = 0 THEN 0 ELSE 2 END AS status_seq FROM orders WHERE o_custkey % 40 < 2 GROUP BY 1)
+ SELECT batch_id, coalesce(o.first_key, n.first_key) AS first_key, CASE WHEN coalesce(n.status_seq, -1) > coalesce(o.status_seq, -1) THEN n.status ELSE o.status END AS status, CAST(greatest(o.status_seq, n.status_seq) AS INTEGER) AS status_seq FROM o FULL JOIN n USING (batch_id)""")
+def snk_index_commit(spark, d):
+    """The upsert into a table of key buckets: a first version, then one that rewrites the touched buckets only."""
+    o = table(spark, d, "orders")
+    old = o.where("o_custkey % 2 = 0").groupBy(F.col("o_custkey").alias("batch_id")).agg(F.min("o_orderkey").alias("first_key")).withColumns({"status": F.lit("NEW"), "status_seq": F.lit(1)})
+    new = o.where("o_custkey % 40 < 2").groupBy(F.col("o_custkey").alias("batch_id")).agg(F.max("o_orderkey").alias("first_key")).withColumns({"status": F.lit("DONE"), "status_seq": F.when(F.col("batch_id") % 3 == 0, 0).otherwise(2)})
+    index = BucketedIndex(spark, scratch_dir(spark, "index"), old.schema, ["batch_id"])
+    for rows in (old, new):
+        index.upsert(rows, lambda a, b: sinks.merge_batch_index(a, b, ["batch_id"], ["first_key"]))
+    return index.read()
+
+
 @query("SELECT l_orderkey AS order_id, l_partkey AS part_id, count(*) AS n FROM lineitem GROUP BY ALL")
 def prj_map_fields(spark, d):
     li = q.map_fields(table(spark, d, "lineitem"), {"l_orderkey": "order_id", "l_partkey": "part_id"}, ["order_id", "part_id"])
@@ -250,14 +278,29 @@ def prj_reference_days(spark, d):
     return out.select(t("start_ts").alias("start_ts"), t("end_ts").alias("end_ts"))
 
 
-@query(f"WITH {CLEAN} SELECT count(*) AS n FROM clean")
+@query(f"WITH {CLEAN} SELECT network_transport, count(*) AS n FROM clean WHERE session_id % 13 NOT IN (0, 1, 2) AND session_id % 17 <> 0 GROUP BY ALL")
 def prj_malformed_ips(spark, d):
-    return q.drop_malformed_ips(cleaned(spark, d)).agg(F.count(F.lit(1)).alias("n"))
+    """Some sessions' addresses are broken in different ways; these go."""
+    i = F.col("session_id")
+    broken = F.when(i % 13 == 0, F.concat("source_ip", F.lit(".7"))).when(i % 13 == 1, F.lit("unknown")).when(i % 13 == 2, F.regexp_replace("source_ip", "[.]", "-")).otherwise(F.col("source_ip"))
+    rows = cleaned(spark, d).withColumns({"source_ip": broken, "destination_ip": F.when(i % 17 == 0, F.lit("10.0.0")).otherwise(F.col("destination_ip"))})
+    return q.drop_malformed_ips(rows).groupBy("network_transport").agg(F.count(F.lit(1)).alias("n"))
 
 
 _SLICE_OUT = "host_ip, role, sessions_cnt, bytes_sent_sum, bytes_recv_sum, duration_sum, allow_cnt, drop_cnt, alert_cnt, rst_cnt, aged_out_cnt, threat_cnt, traffic_cnt, tcp_cnt, udp_cnt, icmp_cnt, high_risk_port_sessions_cnt, admin_port_sessions_cnt, fileshare_port_sessions_cnt, directory_port_sessions_cnt, db_port_sessions_cnt"
 
 
+_EMPTY = {"session_id": "bigint", "role": "string", "host_ip": "string", "peer_ip": "string", "peer_port": "int", "bytes_sent": "double", "bytes_recv": "double", "slice_start_ts": "timestamp", "slice_end_ts": "timestamp", "dt": "string", "hh": "string", "mm": "string"}
+
+
+@query(f"WITH {ROLES}, n AS (SELECT count(*) AS n FROM roles WHERE event_start < TIMESTAMP '2000-01-01') SELECT name, kind, place, n AS \"rows\" FROM n, (VALUES " + ", ".join(f"('{c}', '{k}', {i})" for i, (c, k) in enumerate(_EMPTY.items())) + ") v(name, kind, place)")
+def ord_empty_contract(spark, d):
+    """Role views and slices of a time without sessions: no rows, and every column in its place with its type."""
+    none = sl.stamp_slice(sl.role_views(q.in_slice(cleaned(spark, d), "1999-01-01 00:00:00", "2000-01-01 00:00:00"))).select(*_EMPTY)
+    there = F.array(*[F.struct(F.lit(c).alias("name"), F.lit(k).alias("kind"), F.lit(i).alias("place")) for i, (c, k) in enumerate(none.dtypes)])
+    return none.agg(F.count(F.lit(1)).alias("rows")).select(F.inline(there), "rows")
+
+
 @query(f"WITH {counters(60)} SELECT {_SLICE_OUT}, {text('slice_start_ts')} AS slice_start FROM slices")
 def agg_slice_counters(spark, d):
     return slice_table(spark, d).select(*_SLICE_OUT.split(", "), t("slice_start_ts").alias("slice_start"))

@@ -67,10 +67,34 @@ def render_range_query(template: str, start: str, end: str) -> str:
 
 def read_ranges_jdbc(spark: SparkSession, url: str, table: str, ts: str, ranges: Sequence[tuple[str, str]], properties: dict[str, str]) -> DataFrame:
     """One extract a sorted half-open range from a warehouse, each a partition of the scan."""
-    wheres = [f"{ts} >= TIMESTAMP '{a}' AND {ts} < TIMESTAMP '{b}'" for a, b in sorted(ranges)]
+    stamp = lambda x: f"{{ts '{x if len(x) > 10 else x + ' 00:00:00'}'}}"  # noqa: E731  as every JDBC driver reads it
+    wheres = [f"{ts} >= {stamp(a)} AND {ts} < {stamp(b)}" for a, b in sorted(ranges)]
     return spark.read.jdbc(url, table, predicates=wheres, properties=properties)
 
 
+def scan_ranges(df: DataFrame, ranges: Sequence[tuple[str, str]], ts: str = "slice_end_ts", day: str = "dt") -> DataFrame:
+    """Rows of half-open ranges with range_start and range_end, from one scan; a row of overlapping ranges is there once for each.
+
+    The filter that reaches the scan is a choice of time bounds over merged ranges, and of days where the table is
+    partitioned by day, so that files outside of all ranges are not opened.
+    """
+    merged: list[list[str]] = []
+    for a, b in sorted(ranges):
+        if merged and a <= merged[-1][1]:
+            merged[-1][1] = max(merged[-1][1], b)
+        else:
+            merged.append([a, b])
+    kind = df.schema[ts].dataType.simpleString()
+    at = lambda x: F.lit(x).cast(kind)
+    held = F.lit(False)
+    for a, b in merged:
+        one = (F.col(ts) >= at(a)) & (F.col(ts) < at(b))
+        held = held | (one & (F.col(day) >= a[:10]) & (F.col(day) <= b[:10]) if day in df.columns else one)
+    named = F.array(*[F.struct(F.lit(a).alias("range_start"), F.lit(b).alias("range_end")) for a, b in sorted(ranges)])
+    hit = F.filter(named, lambda r: (F.col(ts) >= r["range_start"].cast(kind)) & (F.col(ts) < r["range_end"].cast(kind)))
+    return df.where(held).select("*", F.inline(hit))
+
+
 def extract_ranges(spark: SparkSession, template: str, ranges: Sequence[tuple[str, str]]) -> DataFrame:
     """The same through SQL over registered tables: one rendered query a sorted range, with the range in the rows."""
     parts = [

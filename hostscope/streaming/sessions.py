@@ -48,19 +48,20 @@ def split_late(batch: DataFrame, seen_until: Column, lateness: str = LATENESS, t
 def late_splitter(path: str, lateness: str = LATENESS, ts: str = "event_start") -> Callable[[DataFrame, int], None]:
     """A foreachBatch sink that writes rows under (batch, late); late rows are a side output, not lost.
 
-    The greatest time of each batch is kept beside it. A replayed batch compares with the batches before it only, and
-    replaces what it wrote, so it splits its rows the same way again.
+    The greatest time up to each batch is kept beside it, one row a batch. A batch reads that of the batch before it
+    only, so a replayed one splits its rows the same way again and replaces what it wrote.
     """
     def write(batch: DataFrame, n: int) -> None:
         spark = batch.sparkSession
         seen = None
         if n:
-            seen = spark.read.schema("seen timestamp, batch long").parquet(f"{path}/seen").where(F.col("batch") < n).agg(F.max("seen")).first()[0]
+            seen = spark.read.schema("seen timestamp").parquet(f"{path}/seen/batch={n - 1}").agg(F.max("seen")).first()[0]
         here = Observation()
         out = split_late(batch, F.lit(seen).cast("timestamp"), lateness, ts).observe(here, F.max(ts).alias("seen"))
         replace = lambda df: df.withColumn("batch", F.lit(n).cast("long")).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         replace(out).partitionBy("batch", "late").parquet(f"{path}/rows")
-        replace(spark.createDataFrame([(here.get["seen"],)], "seen timestamp")).partitionBy("batch").parquet(f"{path}/seen")
+        now = max((x for x in (seen, here.get["seen"]) if x is not None), default=None)
+        replace(spark.createDataFrame([(now,)], "seen timestamp")).partitionBy("batch").parquet(f"{path}/seen")
 
     return write
 
