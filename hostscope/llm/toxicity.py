@@ -21,8 +21,8 @@ NEIGHBOURS = 32
 DENSE_SHARE = 0.05
 #: Examples in a block, and blocks that each text looks into before bounds decide.
 BLOCK, FIRST_BLOCKS = 64, 3
-#: Texts searched at once.
-AT_ONCE = 256
+#: Texts, and bytes of texts, searched at once (one longer text by itself): they bound the postings that are held.
+AT_ONCE, AT_ONCE_BYTES = 256, 1 << 18
 #: Pseudo-examples that draw a term's relevance to 1.
 SMOOTH = 10.0
 #: Votes of neighbours count by cosine to this power; the prior has the weight of one vote at PRIOR_COSINE.
@@ -265,7 +265,7 @@ def _nearest(batch, model, number: dict[int, int]):
     batch: the nearest examples of each text, itself left out, by the cosine of its known terms."""
     vocabulary, weigh, index, _ = model
     docs = batch.column("doc_id").to_pylist()
-    for at, end, data, offsets in text_slices(batch):
+    for at, end, data, offsets in text_slices(batch, size=AT_ONCE_BYTES):
         for a in range(0, end - at, AT_ONCE):
             b = min(a + AT_ONCE, end - at)
             piece, cuts = data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]
