@@ -7,9 +7,11 @@ from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from hostscope.operators.permutation import permuted
+
 TREE_SCHEMA = "tree_id int, feature array<int>, threshold array<double>, left array<int>, right array<int>, size array<int>"
 
 
@@ -123,13 +125,10 @@ def score_batches(df: DataFrame, score: Callable[[pd.DataFrame], np.ndarray], id
 def permutation_impact(df: DataFrame, score: Callable[[pd.DataFrame], np.ndarray], features: Sequence[str], key: str, seed: int = 0) -> DataFrame:
     """(metric, impact): mean absolute change of the score when one feature takes another row's value.
 
-    The other row is the next in an order hashed from the key, found inside hashed buckets of some ten thousand rows, so
-    no feature is gathered.
+    The other row is the one that a keyed permutation of the whole table puts in a row's place (see ``permutation``);
+    rows are numbered by key, which has to tell them apart.
     """
-    buckets = max(64, df.count() // 10_000)
-    base = df.select(F.col(key), *features).withColumn("_b", F.pmod(F.xxhash64(key, F.lit(seed)), F.lit(buckets)))
-    ring = Window.partitionBy("_b").orderBy(F.xxhash64(key, F.lit(seed + 1)))
-    moved = base.select("*", *[F.coalesce(F.lead(f).over(ring), F.col(f)).alias(f"_m_{f}") for f in features])
+    moved = permuted(df.select(F.col(key), *features), [key], features, seed)
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in frames:

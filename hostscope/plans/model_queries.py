@@ -209,6 +209,28 @@ def mlp_permutation_impact(spark, d):
     return forest.permutation_impact(s, forest.scorer(forest.fit(s, f, "id", trees=16, sample=128), f, 128), f, "id")
 
 
+def _feistel_sql(p: str, step: int) -> str:
+    """One walk of the permutation over the grid (a, b) of table g, as nested subqueries of its four rounds."""
+    noise = lambda v, r, most: f"CAST('0x' || substr(md5({v} || '|{r}|0'), 1, 12) AS BIGINT) % {most}"
+    return f"""w{step} AS (SELECT place, CASE WHEN inside THEN p ELSE x * b + y END AS p FROM (SELECT place, p, inside, b, x, (y + {noise('x', 3, 'b')}) % b AS y FROM (SELECT place, p, inside, a, b, (x + {noise('y', 2, 'a')}) % a AS x, y FROM (SELECT place, p, inside, a, b, x, (y + {noise('x', 1, 'b')}) % b AS y
+ FROM (SELECT place, p, inside, a, b, (x + {noise('y', 0, 'a')}) % a AS x, y FROM (SELECT place, p, {'false' if step == 0 else 'p < n'} AS inside, a, b, p // b AS x, p % b AS y FROM {p}, g))))))"""
+
+
+_IMPACT = {"sessions_cnt": 0.5, "bytes_sent_sum": 0.001, "bytes_recv_sum": -0.002, "duration_sum": 0.01}
+_STEPS = 8  # after some steps all places are inside, whatever the number of rows here
+
+
+@query(f"""WITH {counters(1440)}, f AS (SELECT {', '.join(_IMPACT)}, row_number() OVER (ORDER BY host_ip || '|' || role || '|' || strftime(slice_start_ts, '%Y-%m-%d')) - 1 AS place FROM slices), n AS (SELECT count(*) AS n FROM f),
+ g0 AS (SELECT n, CAST(floor(sqrt(n - 1)) AS BIGINT) + 1 AS a FROM n), g AS (SELECT n, a, (n + a - 1) // a AS b FROM g0), w AS (SELECT place, place AS p FROM f), {_feistel_sql('w', 0)}, {', '.join(_feistel_sql(f'w{k - 1}', k) for k in range(1, _STEPS))},
+ j AS (SELECT h.*, {', '.join(f'o.{c} AS o_{c}' for c in _IMPACT)} FROM w{_STEPS - 1} w JOIN f o ON o.place = w.place JOIN f h ON h.place = w.p)
+ {' UNION ALL '.join(f"SELECT '{c}' AS metric, round(avg(abs(({c} - o_{c}) * {k})), 6) AS impact FROM j" for c, k in _IMPACT.items())}""")
+def mlp_linear_impact(spark, d):
+    """Permutation impact of a model that is known in full, so that SQL can repeat the permutation and the scores."""
+    s, f = hosts_features(spark, d)
+    out = forest.permutation_impact(s, lambda p: sum(p[c].astype(float) * k for c, k in _IMPACT.items()), f, "id")
+    return out.select("metric", F.round("impact", 6).alias("impact"))
+
+
 _LIN = "sessions_cnt * 0.5 + bytes_sent_sum / 1000"
 
 

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from hostscope.plans.base_sql import ROLES, counters
+from hostscope.plans.base_sql import ROLES, counters, sliced, text
 from hostscope.plans.registry import query
 from hostscope.plans.slice_queries import t
 from hostscope.sources.scratch import scratch_dir
 from hostscope.sources.sessions import sessions
 from hostscope.streaming import sessions as st
+from hostscope.streaming import stateful
 
 #: Arrivals of the month, each drained before the next comes.
 CUTS = ("2024-01-11", "2024-01-21")
@@ -83,3 +84,29 @@ def str_late_rows(spark, d):
 def str_role_hosts(spark, d):
     """Hosts by role in the drained stream: nothing is lost on the way."""
     return str_slices(spark, d).groupBy("role").agg(F.count_distinct("host_ip").alias("hosts"))
+
+
+_PARTS = " + ".join(f"CAST(event_start >= TIMESTAMP '{c}' OR (session_id % 20 = 0 AND event_start >= TIMESTAMP '{c}' - INTERVAL 8 DAYS) AS INTEGER)" for c in CUTS)
+
+
+@query(f"""WITH {sliced(15)}, a AS (SELECT *, {_PARTS} AS part FROM sliced), seen AS (SELECT part, max(epoch_ms(event_start)) AS ms FROM (SELECT event_start, {_PARTS} AS part FROM clean) GROUP BY 1),
+ l AS (SELECT a.*, coalesce(epoch_ms(slice_end_ts) <= (SELECT max(ms) FROM seen s WHERE s.part < a.part) - 600000, false) AS late FROM a)
+ SELECT 'slice' AS kind, host_ip, role, {text('slice_start_ts')} AS slice_start, NULL::BIGINT AS session_id, count(*) AS sessions_cnt, sum(coalesce(bytes_sent, 0)) AS bytes_sent_sum, count(*) FILTER (event_action = 'drop') AS drop_cnt FROM l WHERE NOT late GROUP BY ALL
+ UNION ALL SELECT 'late', host_ip, role, {text('slice_start_ts')}, session_id, 1, coalesce(bytes_sent, 0), CAST(event_action = 'drop' AS BIGINT) FROM l WHERE late""")
+def str_slices_and_late(spark, d):
+    """One stateful operator over arrivals of which some are late, stopped and taken up again at each cut: closed slices
+    and late rows together are all the input."""
+    stateful.keyed_state(spark)
+    base = scratch_dir(spark, "stateful")
+    s, at = sessions(spark, d), F.col("event_start")
+    delayed = F.when(F.col("session_id") % 20 == 0, F.expr("INTERVAL 8 DAYS")).otherwise(F.expr("INTERVAL 0 DAYS"))
+    part = sum((F.when(at >= F.lit(c).cast("timestamp") - delayed, 1).otherwise(0) for c in CUTS), F.lit(0))
+    run = lambda: st.drain(stateful.slices_and_late_rows(_source(spark, d, f"{base}/in")), f"{base}/out", f"{base}/check")
+    for n in range(len(CUTS) + 1):
+        s.where(part == n).write.mode("append").parquet(f"{base}/in")
+        run()
+    moved = {c: F.timestamp_add("DAY", F.lit(60), F.col(c)) for c in ("event_start", "event_end")}
+    s.orderBy(F.desc("event_start")).limit(1).withColumns(moved).write.mode("append").parquet(f"{base}/in")
+    run()
+    out = spark.read.parquet(f"{base}/out")
+    return out.select("kind", "host_ip", "role", t("slice_start_ts").alias("slice_start"), "session_id", "sessions_cnt", "bytes_sent_sum", "drop_cnt")
