@@ -14,6 +14,7 @@ from hostscope.plans.base_sql import SEGMENT, counters
 from hostscope.plans.registry import query
 from hostscope.plans.slice_queries import MACHINES, slice_table, t
 from hostscope.sources import sinks
+from hostscope.sources.copartitioned import bucketed, meet
 from hostscope.sources.scratch import scratch_dir, written
 from hostscope.sources.sessions import machines, sessions, table
 
@@ -173,6 +174,20 @@ def jon_cold_start_routing(spark, d):
     return _rounded(routed(spark, d).select("host_ip", "role", "baseline_horizon", t("slice_start_ts").alias("slice_start"), "is_cold_start", "baseline_source", "sessions_cnt_median", "bytes_sent_sum_mad", "duration_sum_support_count"))
 
 
+def copartitioned(spark: SparkSession, d: str) -> DataFrame:
+    """Windows with the baselines of their own host: windows are dealt into buckets once; statistics, their wide form and
+    the join keep to these."""
+    keys = [*HOST, "baseline_horizon"]
+    w = bucketed(weighted(spark, d), keys, "windows")
+    return meet(w, bl.wide_baselines(bl.baselines(w, METRICS, HOST, SUPPORT), keys, METRICS, _STAT), keys, "left")
+
+
+@query(f"WITH {WEIGHTS}{HOSTS}, hw AS (SELECT host_ip, role, time_band, baseline_horizon, {_CAST('hosts')} FROM hosts GROUP BY ALL) SELECT host_ip, role, baseline_horizon, strftime(slice_start_ts, '%Y-%m-%d %H:%M:%S') AS slice_start, {', '.join(f'round({m}_median, 6) AS {m}_median, round({m}_mad, 6) AS {m}_mad, {m}_support_count' for m in METRICS)} FROM w LEFT JOIN hw USING (host_ip, role, time_band, baseline_horizon)")
+def jon_copartitioned_baselines(spark, d):
+    out = copartitioned(spark, d)
+    return _rounded(out.select("host_ip", "role", "baseline_horizon", t("slice_start_ts").alias("slice_start"), *[f"{m}_{s}" for m in METRICS for s in ("median", "mad", "support_count")]))
+
+
 @query(f"WITH {ROUTE_SQL} SELECT baseline_horizon, baseline_source, count(*) AS \"rows\" FROM routed GROUP BY ALL")
 def agg_value_counts(spark, d):
     return routed(spark, d).groupBy("baseline_horizon", "baseline_source").agg(F.count(F.lit(1)).alias("rows"))

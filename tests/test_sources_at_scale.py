@@ -131,3 +131,12 @@ def test_late_rows_are_told_by_the_last_batch(spark, tmp_path):
             write(frame, n)
     late = {r.n: r.late for r in spark.read.parquet(f"file://{tmp_path}/rows").collect()}
     assert late == {1: 0, 2: 1, 3: 0, 4: 1, 5: 0, 6: 1}
+
+
+def test_tables_of_equal_buckets_meet_without_a_shuffle(spark, sf):
+    from hostscope.plans.baseline_queries import copartitioned
+
+    out = copartitioned(spark, sf)
+    assert out.count() > 0
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Bucketed: true" in plan and "Exchange" not in plan.replace("ReusedExchange", "Exchange")
