@@ -202,8 +202,9 @@ def _predictor(model):
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", chains_per_lang: int = CHAINS_PER_LANG):
     """Fits the field on at most chains_per_lang chains of each language of the learnable rows; None without any.
 
-    Documents are chosen by a hash of their text at a rate that gives about the wanted chains, so the sample stays the
-    same size whatever the table; it alone goes to the driver (chains of at most 64 words).
+    Documents are chosen by a hash of id and text at a rate that gives about the wanted chains, so the sample stays the
+    same size whatever the table and however many copies a text has; equal chains count once. The sample alone goes to
+    the driver (chains of at most 64 words).
     """
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"))
     rows = rows.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~holdout(F.col("doc_id")))
@@ -211,8 +212,8 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     if not counts:
         return None
     rate = F.element_at(F.create_map(*[x for k, n in counts.items() for x in (F.lit(k), F.lit(min(1.0, chains_per_lang / (4 * n))))]), F.col("lang"))
-    chosen = rows.where(F.pmod(F.xxhash64("text"), F.lit(1_000_000)) < rate * 1_000_000)
-    sample = chosen.select("lang", "text").mapInArrow(tidy(_sample_chains), "lang string, ord long, words binary")
+    chosen = rows.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(1_000_000)) < rate * 1_000_000)
+    sample = chosen.select("lang", "text").mapInArrow(tidy(_sample_chains), "lang string, ord long, words binary").dropDuplicates(["lang", "words"])
     got: dict[str, list] = {}
     for lang, _, raw in sorted(map(tuple, sample.collect()), key=lambda r: (r[0], r[1], bytes(r[2]))):
         if len(held := got.setdefault(lang, [])) < chains_per_lang:

@@ -298,6 +298,60 @@ def test_language_on_held_out_rows(spark, sf):
     assert all(0 <= r.score <= 1 for r in out)
 
 
+def test_language_query_by_plain_loops(spark, sf):
+    """Votes and scores of whole documents: marginals of each chain by sums over states in plain Python."""
+    from math import exp, log
+
+    docs = queries.table(spark, sf, "documents")
+    langs, weights, trans, begin = langid.fit(docs)
+    many = range(len(langs))
+    lse = lambda xs: (m := max(xs)) + log(sum(exp(x - m) for x in xs))
+
+    def vote(text):
+        words = (text or "").encode().translate(None, b"")
+        words = [w for w in __import__("re").split(rb"[ \t\n\x0b\x0c\r]+", words) if w]
+        total = [0.0] * len(langs)
+        for c in range(0, len(words), langid.CHAIN):
+            chain = words[c : c + langid.CHAIN]
+            e = []
+            for w in chain:
+                rows, _ = langid.features(np.frombuffer(w, np.uint8), np.array([0]), np.array([len(w)]))
+                e.append([float(sum(weights[r, k] for r in rows)) for k in many])
+            fwd = [[begin[k] + e[0][k] for k in many]]
+            for x in e[1:]:
+                fwd.append([x[k] + lse([fwd[-1][j] + trans[j, k] for j in many]) for k in many])
+            bwd = [[0.0] * len(langs)]
+            for x in reversed(e[1:]):
+                bwd.insert(0, [lse([trans[j, k] + x[k] + bwd[0][k] for k in many]) for j in many])
+            z = lse(fwd[-1])
+            for w, a, b in zip(chain, fwd, bwd, strict=True):
+                if any(chr(x).isalpha() if x < 128 else True for x in w):
+                    for k in many:
+                        total[k] += exp(a[k] + b[k] - z)
+        if not any(ch.isalpha() for ch in text or "") or not sum(total):
+            return "und", 0.0
+        best = max(many, key=lambda k: total[k])
+        return langs[best], total[best] / sum(total)
+
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    out = queries.op8_language_id(spark, sf).collect()
+    assert len(out) == len(texts)
+    short = [r for r in out if len(texts[r.doc_id] or "") < 3000]
+    assert len(short) > 100
+    for r in short:
+        lang, score = vote(texts[r.doc_id])
+        assert r.score == pytest.approx(score, abs=1e-4) and (r.lang_pred == lang or abs(score - 0.5) < 1e-3), r.doc_id
+
+
+def test_a_hot_text_does_not_flood_the_sample(spark, make, monkeypatch):
+    """Half of the rows are copies of one text: its chains are learnt once, and the sample stays as small as asked for."""
+    seen = []
+    monkeypatch.setattr(langid, "train", lambda chains, n: seen.append(chains) or (np.zeros((1 << langid.FEATURE_BITS, n), np.float32), np.zeros((n, n)), np.zeros(n)))
+    rows = [(i, "same words again " * 30 if i % 2 else f"text number {i} of its own kind", "en") for i in range(4000)]
+    langid.fit(make(rows, clash=False), chains_per_lang=400)
+    assert 20 < len(seen[0]) < 200 and len({b" ".join(w) for w, _ in seen[0]}) == len(seen[0])
+
+
 def test_language_of_odd_rows(make, odd):
     out = {r.doc_id: r for r in langid.identify(make(odd)).collect()}
     assert all(out[k].lang_pred == "und" and out[k].score == 0 for k in (1, 2, 3))
