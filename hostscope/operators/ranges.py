@@ -151,10 +151,21 @@ def readiness(missing: DataFrame, families: Sequence[str]) -> DataFrame:
     return want.join(counts, "family", "left").select("family", F.coalesce("_n", F.lit(0)).alias("missing_ranges"), F.when(F.coalesce("_n", F.lit(0)) == 0, "READY").otherwise("MISSING_DEPENDENCIES").alias("verdict"))
 
 
-def grouped_entries(entries: DataFrame) -> DataFrame:
-    """Missing entries by family: sorted distinct batch ids and reasons, joined by commas, and the number of ranges."""
-    joined = lambda c: F.array_join(F.sort_array(F.collect_set(c)), ",")
-    return entries.groupBy("family").agg(joined("batch_id").alias("batch_ids"), joined("reason").alias("reasons"), F.count_distinct("start_ts", "end_ts").alias("ranges"))
+def grouped_entries(entries: DataFrame, page: int = 10_000) -> DataFrame:
+    """Missing entries by family: sorted distinct batch ids in pages of at most ``page``, joined by commas; the family's
+    reasons, and its number of ranges.
+
+    Ids are numbered in ranges of their order, so a family of any size is neither gathered nor sorted in one task; the
+    reasons are a closed list. A family without batch ids has one page without any.
+    """
+    per = entries.groupBy("family").agg(F.array_join(F.sort_array(F.collect_set("reason")), ",").alias("reasons"))
+    spans = entries.where("start_ts is not null and end_ts is not null").select("family", "start_ts", "end_ts").distinct().groupBy("family").agg(F.count(F.lit(1)).alias("ranges"))
+    ids = written(numbered(entries.where("batch_id is not null").select("family", "batch_id").distinct(), ["family", "batch_id"], "_place"), "entries")
+    first = ids.groupBy("family").agg(F.min("_place").alias("_first"))
+    pages = ids.join(first, "family").groupBy("family", F.floor((F.col("_place") - F.col("_first")) / page).cast("int").alias("page"))
+    lines = pages.agg(F.array_join(F.sort_array(F.collect_list("batch_id")), ",").alias("batch_ids"))
+    out = per.join(spans, "family", "left").join(lines, "family", "left")
+    return out.select("family", F.coalesce("page", F.lit(0)).alias("page"), F.coalesce("batch_ids", F.lit("")).alias("batch_ids"), "reasons", F.coalesce("ranges", F.lit(0)).alias("ranges"))
 
 
 def missing_manifest(slices: DataFrame, days: DataFrame, slice_families: Sequence[str], day_families: Sequence[str]) -> DataFrame:

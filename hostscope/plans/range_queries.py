@@ -153,11 +153,12 @@ def set_readiness(spark, d):
     return rg.readiness(rg.merge_ranges(family_ranges(spark, d)), ["click", "error", "none"])
 
 
-@query("SELECT event_type AS family, string_agg(DISTINCT 'b' || (event_id % 11), ',' ORDER BY 'b' || (event_id % 11)) AS batch_ids, string_agg(DISTINCT 'r' || (user_id % 3), ',' ORDER BY 'r' || (user_id % 3)) AS reasons, count(DISTINCT (date_trunc('day', ts), date_trunc('hour', ts))) AS ranges FROM events GROUP BY ALL")
+@query("""WITH i AS (SELECT DISTINCT event_type AS family, 'b' || (event_id % 611) AS batch_id FROM events), p AS (SELECT family, batch_id, CAST((row_number() OVER (PARTITION BY family ORDER BY batch_id) - 1) // 50 AS INTEGER) AS page FROM i),
+ l AS (SELECT family, page, string_agg(batch_id, ',' ORDER BY batch_id) AS batch_ids FROM p GROUP BY ALL), r AS (SELECT event_type AS family, string_agg(DISTINCT 'r' || (user_id % 3), ',' ORDER BY 'r' || (user_id % 3)) AS reasons, count(DISTINCT (date_trunc('day', ts), date_trunc('hour', ts))) AS ranges FROM events GROUP BY ALL) SELECT * FROM l JOIN r USING (family)""")
 def set_grouped_entries(spark, d):
     e = table(spark, d, "events")
-    entries = e.select(F.col("event_type").alias("family"), F.concat(F.lit("b"), (F.col("event_id") % 11).cast("string")).alias("batch_id"), F.concat(F.lit("r"), (F.col("user_id") % 3).cast("string")).alias("reason"), F.date_trunc("day", "ts").alias("start_ts"), F.date_trunc("hour", "ts").alias("end_ts"))
-    return rg.grouped_entries(entries)
+    entries = e.select(F.col("event_type").alias("family"), F.concat(F.lit("b"), (F.col("event_id") % 611).cast("string")).alias("batch_id"), F.concat(F.lit("r"), (F.col("user_id") % 3).cast("string")).alias("reason"), F.date_trunc("day", "ts").alias("start_ts"), F.date_trunc("hour", "ts").alias("end_ts"))
+    return rg.grouped_entries(entries, 50)
 
 
 @query(f"""WITH {_GAPS}, days AS (SELECT CAST(unnest(generate_series(TIMESTAMP '2023-12-28', TIMESTAMP '2024-02-03', INTERVAL 1 DAY)) AS DATE) AS day), md AS (SELECT day::TIMESTAMP AS start_ts, day::TIMESTAMP + INTERVAL 1 DAY AS end_ts FROM days WHERE day NOT IN (SELECT event_start::DATE FROM sessions)),

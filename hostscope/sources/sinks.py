@@ -7,14 +7,19 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from hostscope.sources.scratch import written
+
 
 def write_partitioned(df: DataFrame, path: str, by: Sequence[str] = (), mode: str = "overwrite", dynamic: bool = True, files_per_partition: int | None = None, records_per_file: int = 5_000_000) -> int:
     """Writes Parquet, replacing only the partitions present (dynamic overwrite), and returns the rows written.
 
-    Rows are dealt out by the partition columns and a salt as wide as the largest partition needs (counted first, unless
-    files_per_partition says it), so one large day is not one task; files are bounded in rows.
+    Rows are dealt out by the partition columns and a salt as wide as the largest partition needs, so one large day is
+    not one task; files are bounded in rows. Unless files_per_partition says how wide, the rows are written as they come
+    first and counted there, so that they are computed once.
     """
     check_columns(df, by)
+    if by and files_per_partition is None:
+        df = written(df, "unsorted")
     seen = Observation()
     out = df.observe(seen, F.count(F.lit(1)).alias("n"))
     if by:

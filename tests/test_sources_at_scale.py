@@ -140,3 +140,15 @@ def test_tables_of_equal_buckets_meet_without_a_shuffle(spark, sf):
     assert out.count() > 0
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" in plan and "Bucketed: true" in plan and "Exchange" not in plan.replace("ReusedExchange", "Exchange")
+
+
+def test_entries_come_in_pages(spark):
+    from hostscope.operators.ranges import grouped_entries
+
+    rows = [("a", f"b{i % 23:02d}", f"r{i % 2}", i % 5, i % 5 + 1) for i in range(100)] + [("b", "only", "r0", 1, 2), ("c", None, "r9", None, None), ("b", "only", "r0", 1, 2)]
+    df = spark.createDataFrame(rows, "family string, batch_id string, reason string, start_ts int, end_ts int").repartition(5)
+    out = {(r.family, r.page): r for r in grouped_entries(df, 10).collect()}
+    assert sorted(out) == [("a", 0), ("a", 1), ("a", 2), ("b", 0), ("c", 0)]
+    assert ",".join(out["a", k].batch_ids for k in range(3)) == ",".join(f"b{i:02d}" for i in range(23)) and out["a", 0].batch_ids.count(",") == 9
+    assert (out["a", 1].reasons, out["a", 1].ranges, out["b", 0].ranges, out["b", 0].batch_ids) == ("r0,r1", 5, 1, "only")
+    assert (out["c", 0].batch_ids, out["c", 0].reasons, out["c", 0].ranges) == ("", "r9", 0)
