@@ -97,16 +97,21 @@ def str_slices_and_late(spark, d):
     """One stateful operator over arrivals of which some are late, stopped and taken up again at each cut: closed slices
     and late rows together are all the input."""
     stateful.keyed_state(spark)
+    parts = spark.conf.get("spark.sql.shuffle.partitions")
     base = scratch_dir(spark, "stateful")
     s, at = sessions(spark, d), F.col("event_start")
     delayed = F.when(F.col("session_id") % 20 == 0, F.expr("INTERVAL 8 DAYS")).otherwise(F.expr("INTERVAL 0 DAYS"))
     part = sum((F.when(at >= F.lit(c).cast("timestamp") - delayed, 1).otherwise(0) for c in CUTS), F.lit(0))
     run = lambda: st.drain(stateful.slices_and_late_rows(_source(spark, d, f"{base}/in")), f"{base}/out", f"{base}/check")
-    for n in range(len(CUTS) + 1):
-        s.where(part == n).write.mode("append").parquet(f"{base}/in")
+    spark.conf.set("spark.sql.shuffle.partitions", str(min(8, int(parts))))  # each keeps a store on disk and a Python worker
+    try:
+        for n in range(len(CUTS) + 1):
+            s.where(part == n).write.mode("append").parquet(f"{base}/in")
+            run()
+        moved = {c: F.timestamp_add("DAY", F.lit(60), F.col(c)) for c in ("event_start", "event_end")}
+        s.orderBy(F.desc("event_start")).limit(1).withColumns(moved).write.mode("append").parquet(f"{base}/in")
         run()
-    moved = {c: F.timestamp_add("DAY", F.lit(60), F.col(c)) for c in ("event_start", "event_end")}
-    s.orderBy(F.desc("event_start")).limit(1).withColumns(moved).write.mode("append").parquet(f"{base}/in")
-    run()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", parts)
     out = spark.read.parquet(f"{base}/out")
     return out.select("kind", "host_ip", "role", t("slice_start_ts").alias("slice_start"), "session_id", "sessions_cnt", "bytes_sent_sum", "drop_cnt")

@@ -48,15 +48,17 @@ class SliceProcessor(StatefulProcessor):
             else:
                 total = [total[0] + len(pdf), total[1] + float(pdf["bytes_sent"].fillna(0.0).sum()), total[2] + int((pdf["event_action"] == "drop").sum())]
         if not closed and total[0]:
-            if self.held.exists():
-                total = [a + b for a, b in zip(total, self.held.get(), strict=True)]
-            else:
+            before = self.held.get()  # None if there is none; each call asks the JVM, so there are few
+            if before is None:
                 self.handle.registerTimer(end)
+            else:
+                total = [a + b for a, b in zip(total, before, strict=True)]
             self.held.update(tuple(total))
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        if self.held.exists():
-            yield self._rows(key, "slice", [None], [tuple(self.held.get())])
+        total = self.held.get()
+        if total is not None:
+            yield self._rows(key, "slice", [None], [tuple(total)])
             self.held.clear()
 
     def close(self) -> None:
