@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import math
 from collections.abc import Callable, Iterator, Sequence
 
@@ -22,37 +23,52 @@ def _average_path(n):
     return np.where(n > 2, 2 * (np.log(safe - 1) + 0.5772156649) - 2 * (safe - 1) / safe, np.where(n == 2, 1.0, 0.0))
 
 
-def grow_tree(x: np.ndarray, rng: np.random.Generator) -> dict[str, list]:
-    """Arrays of one tree: random splits down to single rows or the height limit."""
+def draw(tree: int, node: int, what: str, seed: int = 0) -> float:
+    """A uniform number inside (0, 1), from the MD5 of its name; SQL can repeat it."""
+    return (int(hashlib.md5(f"{tree}|{node}|{what}|{seed}".encode()).hexdigest()[:12], 16) + 0.5) / float(1 << 48)
+
+
+def grow_tree(x: np.ndarray, tree: int = 0, seed: int = 0) -> dict[str, list]:
+    """Arrays of one tree: random splits down to single rows or the height limit; the rows' order does not matter.
+
+    A split's feature and cut are drawn by the node's place in the tree (1 for the root, 2n and 2n + 1 below n).
+    """
     out = {"feature": [], "threshold": [], "left": [], "right": [], "size": []}
     limit = int(np.ceil(np.log2(max(len(x), 2))))
 
-    def node(rows: np.ndarray, depth: int) -> int:
+    def node(rows: np.ndarray, depth: int, name: int) -> int:
         at = len(out["feature"])
         for k, v in (("feature", -1), ("threshold", 0.0), ("left", -1), ("right", -1), ("size", len(rows))):
             out[k].append(v)
-        low, high = (x[rows].min(axis=0), x[rows].max(axis=0)) if len(rows) else (0, 0)
-        splits = np.flatnonzero(high > low) if len(rows) > 1 else []
+        low, high = x[rows].min(axis=0), x[rows].max(axis=0)
+        splits = np.flatnonzero(high > low)
         if depth < limit and len(splits):
-            f = int(rng.choice(splits))
-            cut = float(rng.uniform(low[f], high[f]))
+            f = int(splits[int(draw(tree, name, "feature", seed) * len(splits))])
+            cut = float(low[f] + draw(tree, name, "cut", seed) * (high[f] - low[f]))
+            cut = cut if low[f] < cut <= high[f] else float(high[f])  # rounding; a child is never empty
             goes = x[rows, f] < cut
             out["feature"][at], out["threshold"][at] = f, cut
-            out["left"][at] = node(rows[goes], depth + 1)
-            out["right"][at] = node(rows[~goes], depth + 1)
+            out["left"][at] = node(rows[goes], depth + 1, 2 * name)
+            out["right"][at] = node(rows[~goes], depth + 1, 2 * name + 1)
         return at
 
-    node(np.arange(len(x)), 0)
+    if len(x):
+        node(np.arange(len(x)), 0, 1)
     return out
 
 
+def _hashed(value):
+    """48 bits of a string's MD5."""
+    return F.conv(F.substring(F.md5(value), 1, 12), 16, 10).cast("long")
+
+
 def _trees_of(key: str, rate: float, trees: int, seed: int):
     """The trees that a row serves: each of them with the same probability, whatever the table's size.
 
     Trees are reached by geometric steps over hashed draws, so a row that serves none costs a single draw.
     """
     def step(k):
-        u = (F.pmod(F.xxhash64(key, k, F.lit(seed)), F.lit(1 << 52)) + 1) / float(1 << 52)
+        u = (_hashed(F.concat_ws("|", F.col(key), k, F.lit(seed))) + 0.5) / float(1 << 48)
         return F.floor(F.log(u) / F.lit(math.log1p(-rate))) if rate < 1 else F.lit(0).cast("long")
 
     first = step(F.lit(0))
@@ -70,18 +86,20 @@ def fit(df: DataFrame, features: Sequence[str], key: str, trees: int = 100, samp
     """The trees, a row each. A tree's rows are the ``sample`` with the least hashes of those drawn for it (fewer if fewer are).
 
     Twice the sample is drawn for a tree on average, so its group stays small whatever the table. Trees draw rows
-    independently, in small tables as in large ones.
+    independently, in small tables as in large ones. All draws are MD5 of names (of keys, trees and nodes), so the forest
+    is the same on every run and layout, and an oracle in SQL can grow it.
     """
     n = df.count()
     rate = min(1.0, 2.0 * sample / max(n, 1))
     filled = [F.coalesce(F.col(f).cast("double"), F.lit(0.0)).alias(f) for f in features]
     rows = df.select(F.col(key).alias("_key"), *filled)
-    rows = rows.withColumn("tree_id", F.explode(_trees_of("_key", rate, trees, seed).cast("array<int>"))).withColumn("_h", F.xxhash64("_key", "tree_id", F.lit(seed)))
+    rows = rows.withColumn("tree_id", F.explode(_trees_of("_key", rate, trees, seed).cast("array<int>")))
+    rows = rows.withColumn("_h", _hashed(F.concat_ws("|", "_key", "tree_id", F.lit(seed), F.lit("sample"))))
 
     def grow(group: pd.DataFrame) -> pd.DataFrame:
-        some = group.sort_values("_h").head(sample)
+        some = group.sort_values(["_h", "_key"]).head(sample)
         tree = int(some["tree_id"].iloc[0])
-        t = grow_tree(some[list(features)].to_numpy(), np.random.default_rng(seed * 1_000_003 + tree))
+        t = grow_tree(some[list(features)].to_numpy(), tree, seed)
         return pd.DataFrame([{"tree_id": tree, **t}])
 
     return rows.groupBy("tree_id").applyInPandas(grow, TREE_SCHEMA)

@@ -196,12 +196,58 @@ def hosts_features(spark, d):
     return s.withColumn("id", F.concat_ws("|", "host_ip", "role", F.date_format("slice_start_ts", "yyyy-MM-dd"))), ["sessions_cnt", "bytes_sent_sum", "bytes_recv_sum", "duration_sum"]
 
 
-@query()
+def _forest_sql(trees: int, sample: int, x: list[str], seed: int = 0) -> str:
+    """Tables of a forest in SQL, from rows f(id, and a column a feature) on: ``splits`` are the trees, ``leaves`` the way of every row through each."""
+    places = range(1, len(x) + 1)
+    bits = lambda name: f"CAST('0x' || substr(md5({name}), 1, 12) AS BIGINT)"
+    u = lambda what: f"(({bits(f"tree || '|' || node || '|{what}|{seed}'")} + 0.5) / 281474976710656.0::DOUBLE)"
+    step = lambda k: f"(CASE WHEN rate >= 1 THEN 0 ELSE CAST(floor(ln(({bits(f"id || '|' || {k} || '|{seed}'")} + 0.5) / 281474976710656.0::DOUBLE) / ln(1 - rate)) AS BIGINT) END)"
+    bounds = lambda over: f"[{', '.join(f'min(x[{i}]) {over}' for i in places)}] AS lo, [{', '.join(f'max(x[{i}]) {over}' for i in places)}] AS hi"
+
+    def split(rows: str, keep: str) -> str:
+        some = f"SELECT *, [i FOR i IN {list(places)} IF hi[i] > lo[i]] AS v FROM ({rows})"
+        one = f"SELECT *, v[1 + CAST(floor({u('feature')} * len(v)) AS BIGINT)] AS feature FROM ({some}) WHERE len(v) > 0 AND depth < lim"
+        cut = f"SELECT *, lo[feature] + {u('cut')} * (hi[feature] - lo[feature]) AS c FROM ({one})"
+        return f"SELECT {keep}, feature, CASE WHEN c > lo[feature] AND c <= hi[feature] THEN c ELSE hi[feature] END AS cut FROM ({cut})"
+
+    mean = lambda n: f"CASE WHEN {n} > 2 THEN 2 * (ln({n} - 1.0::DOUBLE) + 0.5772156649::DOUBLE) - 2 * ({n} - 1.0::DOUBLE) / {n} WHEN {n} = 2 THEN 1.0 ELSE 0.0 END"
+    whole = "OVER (PARTITION BY tree, node)"
+    return f"""xs AS (SELECT id, [{', '.join(f'coalesce({c}, 0)::DOUBLE' for c in x)}] AS x, least(1.0, {2.0 * sample}::DOUBLE / (count(*) OVER ())) AS rate FROM f),
+ drawn AS (SELECT id, x, rate, 0 AS k, {step('0')} AS tree FROM xs UNION ALL SELECT id, x, rate, k + 1, tree + 1 + {step('(k + 1)')} FROM drawn WHERE tree < {trees}),
+ sampled AS (SELECT id, x, tree FROM drawn WHERE tree < {trees} QUALIFY row_number() OVER (PARTITION BY tree ORDER BY {bits(f"id || '|' || tree || '|{seed}|sample'")}, id) <= {sample}),
+ grown AS (SELECT id, x, tree, 1::BIGINT AS node, 0 AS depth, CAST(ceil(log2(greatest(count(*) OVER (PARTITION BY tree), 2))) AS INTEGER) AS lim FROM sampled
+ UNION ALL SELECT id, x, tree, CASE WHEN x[feature] < cut THEN 2 * node ELSE 2 * node + 1 END, depth + 1, lim FROM ({split(f'SELECT *, {bounds(whole)} FROM grown', 'id, x, tree, node, depth, lim')})),
+ nodes AS (SELECT tree, node, depth, any_value(lim) AS lim, count(*) AS size, {bounds('')} FROM grown GROUP BY ALL), splits AS ({split('SELECT * FROM nodes', 'tree, node')}),
+ walk AS (SELECT id, x, tree, 1::BIGINT AS node FROM xs, (SELECT DISTINCT tree FROM nodes) UNION ALL SELECT id, x, w.tree, CASE WHEN x[feature] < cut THEN 2 * w.node ELSE 2 * w.node + 1 END FROM walk w JOIN splits s ON s.tree = w.tree AND s.node = w.node),
+ leaves AS (SELECT w.id, depth + {mean('size')} AS path FROM walk w JOIN nodes n ON n.tree = w.tree AND n.node = w.node ANTI JOIN splits s ON s.tree = w.tree AND s.node = w.node),
+ root AS (SELECT {mean(f'least({sample}, size)')} AS expect FROM nodes WHERE node = 1 ORDER BY tree LIMIT 1),
+ scored AS (SELECT id, power(2.0, -(sum(path) / (SELECT count(DISTINCT tree) FROM nodes)) / (SELECT greatest(expect, 1e-9) FROM root)) AS score FROM leaves GROUP BY id)"""
+
+
+_HOST_FEATURES = ["sessions_cnt", "bytes_sent_sum", "bytes_recv_sum", "duration_sum"]
+_HOST_ROWS = f"f AS (SELECT host_ip || '|' || role || '|' || strftime(slice_start_ts, '%Y-%m-%d') AS id, host_ip, role, {', '.join(_HOST_FEATURES)} FROM slices)"
+
+
+@query(f"WITH RECURSIVE {counters(1440)}, {_HOST_ROWS}, {_forest_sql(32, 128, _HOST_FEATURES)} SELECT id, host_ip, role, round(score, 9) AS score, 'forest-v1' AS model_version FROM scored JOIN f USING (id)")
 def mlp_isolation_forest(spark, d):
+    """Scores of all host days by a forest whose draws SQL repeats: samples, splits and the way of each row."""
     s, f = hosts_features(spark, d)
     trees = forest.fit(s, f, "id", trees=32, sample=128)
-    return forest.score_batches(s, forest.scorer(trees, f, 128), ["id", "host_ip", "role"], f, "forest-v1").withColumn("prediction_id", net.prediction_id("id", "model_version"))
+    out = forest.score_batches(s, forest.scorer(trees, f, 128), ["id", "host_ip", "role"], f, "forest-v1")
+    return out.withColumn("score", F.round("score", 9))
+
 
+@query(f"WITH RECURSIVE {counters(1440)}, {_HOST_ROWS}, {_forest_sql(16, 64, _HOST_FEATURES)} SELECT tree::INTEGER AS tree_id, count(*) AS nodes, (sum(size) FILTER (node = 1))::BIGINT AS sampled, count(feature) AS splits, round(coalesce(sum(cut * feature), 0), 3) AS cuts FROM nodes LEFT JOIN splits USING (tree, node) GROUP BY tree")
+def mlp_forest_trees(spark, d):
+    """The trees themselves: their nodes, sampled rows and cuts."""
+    s, f = hosts_features(spark, d)
+    trees = forest.fit(s, f, "id", trees=16, sample=64)
+    node = F.explode(F.arrays_zip("feature", "threshold", "size"))
+    nodes = trees.select("tree_id", F.element_at("size", 1).cast("long").alias("sampled"), node.alias("n"))
+    at_split = F.col("n.feature") >= 0
+    return nodes.groupBy("tree_id", "sampled").agg(
+        F.count(F.lit(1)).alias("nodes"), F.count_if(at_split).alias("splits"), F.round(F.coalesce(F.sum(F.when(at_split, F.col("n.threshold") * (F.col("n.feature") + 1))), F.lit(0.0)), 3).alias("cuts"),
+    )
 
 @query()
 def mlp_permutation_impact(spark, d):

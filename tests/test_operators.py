@@ -230,8 +230,11 @@ def test_forest_finds_the_outlier_and_scores_each_row_once(spark):
 
 
 def test_forest_split_keeps_children_apart():
-    tree = forest.grow_tree(np.arange(16.0).reshape(-1, 1), np.random.default_rng(0))
+    tree = forest.grow_tree(np.arange(16.0).reshape(-1, 1))
     assert tree["size"][0] == 16 and sum(s for s, f in zip(tree["size"], tree["feature"]) if f < 0) == 16
+    near = forest.grow_tree(np.array([[1.0], [np.nextafter(1.0, 2)]]))  # neighbouring floats still part
+    assert near["size"] == [2, 1, 1] and near["threshold"][0] == np.nextafter(1.0, 2)
+    assert forest.grow_tree(np.zeros((4, 2)))["size"] == [4] and forest.grow_tree(np.zeros((0, 2)))["size"] == []
 
 
 def test_family_plan_follows_dependencies_of_dependencies(spark):
