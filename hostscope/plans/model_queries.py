@@ -196,8 +196,8 @@ def hosts_features(spark, d):
     return s.withColumn("id", F.concat_ws("|", "host_ip", "role", F.date_format("slice_start_ts", "yyyy-MM-dd"))), ["sessions_cnt", "bytes_sent_sum", "bytes_recv_sum", "duration_sum"]
 
 
-def _forest_sql(trees: int, sample: int, x: list[str], seed: int = 0) -> str:
-    """Tables of a forest in SQL, from rows f(id, and a column a feature) on: ``splits`` are the trees, ``leaves`` the way of every row through each."""
+def _forest_sql(trees: int, sample: int, x: list[str], seed: int = 0, ask: str = "SELECT id, x FROM xs") -> str:
+    """Tables of a forest in SQL, from rows f(id, and a column a feature) on: ``splits`` are its trees, ``scored`` the scores of the rows asked for."""
     places = range(1, len(x) + 1)
     bits = lambda name: f"CAST('0x' || substr(md5({name}), 1, 12) AS BIGINT)"
     u = lambda what: f"(({bits(f"tree || '|' || node || '|{what}|{seed}'")} + 0.5) / 281474976710656.0::DOUBLE)"
@@ -218,7 +218,7 @@ def _forest_sql(trees: int, sample: int, x: list[str], seed: int = 0) -> str:
  grown AS (SELECT id, x, tree, 1::BIGINT AS node, 0 AS depth, CAST(ceil(log2(greatest(count(*) OVER (PARTITION BY tree), 2))) AS INTEGER) AS lim FROM sampled
  UNION ALL SELECT id, x, tree, CASE WHEN x[feature] < cut THEN 2 * node ELSE 2 * node + 1 END, depth + 1, lim FROM ({split(f'SELECT *, {bounds(whole)} FROM grown', 'id, x, tree, node, depth, lim')})),
  nodes AS (SELECT tree, node, depth, any_value(lim) AS lim, count(*) AS size, {bounds('')} FROM grown GROUP BY ALL), splits AS ({split('SELECT * FROM nodes', 'tree, node')}),
- walk AS (SELECT id, x, tree, 1::BIGINT AS node FROM xs, (SELECT DISTINCT tree FROM nodes) UNION ALL SELECT id, x, w.tree, CASE WHEN x[feature] < cut THEN 2 * w.node ELSE 2 * w.node + 1 END FROM walk w JOIN splits s ON s.tree = w.tree AND s.node = w.node),
+ walk AS (SELECT id, x, tree, 1::BIGINT AS node FROM ({ask}), (SELECT DISTINCT tree FROM nodes) UNION ALL SELECT id, x, w.tree, CASE WHEN x[feature] < cut THEN 2 * w.node ELSE 2 * w.node + 1 END FROM walk w JOIN splits s ON s.tree = w.tree AND s.node = w.node),
  leaves AS (SELECT w.id, depth + {mean('size')} AS path FROM walk w JOIN nodes n ON n.tree = w.tree AND n.node = w.node ANTI JOIN splits s ON s.tree = w.tree AND s.node = w.node),
  root AS (SELECT {mean(f'least({sample}, size)')} AS expect FROM nodes WHERE node = 1 ORDER BY tree LIMIT 1),
  scored AS (SELECT id, power(2.0, -(sum(path) / (SELECT count(DISTINCT tree) FROM nodes)) / (SELECT greatest(expect, 1e-9) FROM root)) AS score FROM leaves GROUP BY id)"""
@@ -249,12 +249,6 @@ def mlp_forest_trees(spark, d):
         F.count(F.lit(1)).alias("nodes"), F.count_if(at_split).alias("splits"), F.round(F.coalesce(F.sum(F.when(at_split, F.col("n.threshold") * (F.col("n.feature") + 1))), F.lit(0.0)), 3).alias("cuts"),
     )
 
-@query()
-def mlp_permutation_impact(spark, d):
-    s, f = hosts_features(spark, d)
-    return forest.permutation_impact(s, forest.scorer(forest.fit(s, f, "id", trees=16, sample=128), f, 128), f, "id")
-
-
 def _feistel_sql(p: str, step: int) -> str:
     """One walk of the permutation over the grid (a, b) of table g, as nested subqueries of its four rounds."""
     noise = lambda v, r, most: f"CAST('0x' || substr(md5({v} || '|{r}|0'), 1, 12) AS BIGINT) % {most}"
@@ -266,9 +260,12 @@ _IMPACT = {"sessions_cnt": 0.5, "bytes_sent_sum": 0.001, "bytes_recv_sum": -0.00
 _STEPS = 8  # after some steps all places are inside, whatever the number of rows here
 
 
-@query(f"""WITH {counters(1440)}, f AS (SELECT {', '.join(_IMPACT)}, row_number() OVER (ORDER BY host_ip || '|' || role || '|' || strftime(slice_start_ts, '%Y-%m-%d')) - 1 AS place FROM slices), n AS (SELECT count(*) AS n FROM f),
+_MOVED = f"""n AS (SELECT count(*) AS n FROM f),
  g0 AS (SELECT n, CAST(floor(sqrt(n - 1)) AS BIGINT) + 1 AS a FROM n), g AS (SELECT n, a, (n + a - 1) // a AS b FROM g0), w AS (SELECT place, place AS p FROM f), {_feistel_sql('w', 0)}, {', '.join(_feistel_sql(f'w{k - 1}', k) for k in range(1, _STEPS))},
- j AS (SELECT h.*, {', '.join(f'o.{c} AS o_{c}' for c in _IMPACT)} FROM w{_STEPS - 1} w JOIN f o ON o.place = w.place JOIN f h ON h.place = w.p)
+ j AS (SELECT h.*, {', '.join(f'o.{c} AS o_{c}' for c in _IMPACT)} FROM w{_STEPS - 1} w JOIN f o ON o.place = w.place JOIN f h ON h.place = w.p)"""
+
+
+@query(f"""WITH {counters(1440)}, f AS (SELECT {', '.join(_IMPACT)}, row_number() OVER (ORDER BY host_ip || '|' || role || '|' || strftime(slice_start_ts, '%Y-%m-%d')) - 1 AS place FROM slices), {_MOVED}
  {' UNION ALL '.join(f"SELECT '{c}' AS metric, round(avg(abs(({c} - o_{c}) * {k})), 6) AS impact FROM j" for c, k in _IMPACT.items())}""")
 def mlp_linear_impact(spark, d):
     """Permutation impact of a model that is known in full, so that SQL can repeat the permutation and the scores."""
@@ -277,6 +274,18 @@ def mlp_linear_impact(spark, d):
     return out.select("metric", F.round("impact", 6).alias("impact"))
 
 
+_ASK = " UNION ALL ".join(f"SELECT '{m}#' || id AS id, [{', '.join(f'coalesce({("o_" if c == m else "") + c}, 0)::DOUBLE' for c in _HOST_FEATURES)}] AS x FROM j" for m in ("plain", *_HOST_FEATURES))
+
+
+@query(f"""WITH RECURSIVE {counters(1440)}, {_HOST_ROWS.replace(' FROM slices', ", row_number() OVER (ORDER BY host_ip || '|' || role || '|' || strftime(slice_start_ts, '%Y-%m-%d')) - 1 AS place FROM slices")}, {_MOVED},
+ {_forest_sql(16, 128, _HOST_FEATURES, ask=_ASK)}
+ SELECT metric, round(avg(abs(m.score - p.score)), 9) AS impact FROM (SELECT split_part(id, '#', 1) AS metric, split_part(id, '#', 2) AS id, score FROM scored) m JOIN scored p ON p.id = 'plain#' || m.id WHERE metric <> 'plain' GROUP BY metric""")
+def mlp_permutation_impact(spark, d):
+    """How much a forest's scores move when a feature takes another row's value; SQL repeats the forest and the permutation."""
+    s, f = hosts_features(spark, d)
+    return forest.permutation_impact(s, forest.scorer(forest.fit(s, f, "id", trees=16, sample=128), f, 128), f, "id").withColumn("impact", F.round("impact", 9))
+
+
 _LIN = "sessions_cnt * 0.5 + bytes_sent_sum / 1000"
 
 
