@@ -3,26 +3,32 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import os
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hostscope.llm.arrays import bounded_batches, text_slices, tidy, word_hashes, worker_memo
-from hostscope.llm.common import new_dir, with_small
+from hostscope.llm.common import new_dir, with_small, written
 
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 1
 #: A chunk ends where the low CUT_BITS bits of a hash of the last WINDOW ids are zero, or after LONGEST ids.
 WINDOW, CUT_BITS, LONGEST = 8, 8, 1024
 GEAR = np.random.default_rng(20240131).integers(0, 1 << 32, 1 << 16, dtype=np.uint32)
-CACHE_WORDS = 1_200_000
+#: Memory of encoded words in a Python worker, and what a word takes there beside its bytes and its ids'.
+CACHE_BYTES, WORD_BYTES = 224 << 20, 170
 #: Bytes of texts encoded at once.
 SLICE_BYTES = 4 << 20
 
+#: Addresses that a task remembers to have sent; then it forgets them all and may send some again.
+SENT_CHUNKS = 1 << 18
+#: Addresses in a bucket of the manifest on average, and how many bits of a prefix one node folds.
+LEAVES, LEVEL_BITS = 1 << 15, 12
+
 POLY = np.uint64(0xEDB88320)
 
 
@@ -33,7 +39,7 @@ class Encoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        memo = worker_memo(f"words {path}")
+        self.memo = memo = worker_memo(f"words {path}")
         self.cache = memo.setdefault("cache", {})
         self.tokenizer = memo.get("tokenizer") or memo.setdefault("tokenizer", Tokenizer.from_file(path))
         vocab = self.tokenizer.get_vocab()
@@ -57,18 +63,18 @@ class Encoder:
         """The ids of each text (UTF-8 bytes between offsets)."""
         data, starts, ends, first, plain = plain_words(data, offsets)
         raw = data.tobytes()
-        h = word_hashes(data, starts, ends)
-        names, one, back = np.unique(h, return_index=True, return_inverse=True)
-        keys = names.tolist()
-        new = [i for i, k in enumerate(keys) if k not in self.cache]
+        one, back = same_words(data, starts, ends)
+        keys = [raw[a:b] for a, b in zip(starts[one].tolist(), ends[one].tolist(), strict=True)]
+        new = [k for k in keys if k not in self.cache]
         found = {}
         for x in range(0, len(new), 20_000):
             some = new[x : x + 20_000]
-            at = one[some]
-            words = [raw[a:b].decode() for a, b in zip(starts[at].tolist(), ends[at].tolist(), strict=True)]
-            found.update(zip([keys[i] for i in some], self._words(words), strict=True))
-        if len(self.cache) + len(found) <= CACHE_WORDS:
+            found.update(zip(some, self._words([k.decode() for k in some]), strict=True))
+        room = CACHE_BYTES - self.memo.get("bytes", 0)
+        cost = sum(map(len, found)) + sum(map(len, found.values())) + WORD_BYTES * len(found)
+        if cost <= room:
             self.cache.update(found)
+            self.memo["bytes"] = CACHE_BYTES - room + cost
             ids = [self.cache[k] for k in keys]
         else:  # a full memory holds what was frequent enough to be met early
             ids = [found[k] if k in found else self.cache[k] for k in keys]
@@ -86,6 +92,31 @@ class Encoder:
         return out
 
 
+def same_words(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(one place of each distinct word, each word's number among them).
+
+    Words meet by a 64-bit hash and are then compared byte for byte with the one that stands for them; a word that
+    differs from it (two words of one hash) is a distinct word of its own.
+    """
+    _, one, back = np.unique(word_hashes(data, starts, ends), return_index=True, return_inverse=True)
+    if not len(starts):
+        return one, back
+    size = ends - starts
+    other = size != size[one][back]
+    size = np.where(other, 0, size)
+    first = np.cumsum(size) - size
+    step = np.arange(int(size.sum()), dtype=np.int32)
+    here = step + np.repeat((starts - first).astype(np.int32), size)
+    there = step + np.repeat((starts[one][back] - first).astype(np.int32), size)
+    wrong = np.flatnonzero(data[here] != data[there])
+    other[np.searchsorted(first + size, wrong, "right")] = True
+    odd = np.flatnonzero(other)
+    if len(odd):
+        back[odd] = len(one) + np.arange(len(odd))
+        one = np.concatenate([one, odd])
+    return one, back
+
+
 _LETTER, _DIGIT, _OTHER = 1, 2, 3
 _CLASS = np.full(256, _OTHER, np.uint8)
 _CLASS[[*range(65, 91), *range(97, 123), *range(128, 256)]] = _LETTER
@@ -163,8 +194,8 @@ def merkle_root(leaves: list[bytes]) -> bytes:
     return level[0]
 
 
-_ROWS = pa.schema([("kind", pa.string()), ("doc_id", pa.int64()), ("address", pa.binary()), ("n_tokens", pa.int64()), ("payload", pa.binary()), ("root", pa.binary()), ("part", pa.int64())])
-_ROWS_SQL = "kind string, doc_id long, address binary, n_tokens long, payload binary, root binary, part long"
+_ROWS = pa.schema([("kind", pa.string()), ("doc_id", pa.int64()), ("address", pa.binary()), ("n_tokens", pa.int64()), ("payload", pa.binary()), ("root", pa.binary())])
+_ROWS_SQL = "kind string, doc_id long, address binary, n_tokens long, payload binary, root binary"
 
 
 def _rows(rows: list[tuple]) -> pa.RecordBatch:
@@ -172,10 +203,10 @@ def _rows(rows: list[tuple]) -> pa.RecordBatch:
 
 
 def _encode(path: str):
-    """Chunk rows (each once a batch) and recipe rows; a recipe's address is that of its addresses and id, to spread them."""
+    """Chunk rows (each once a task, as far as SENT_CHUNKS remembers) and recipe rows; a recipe's address is that of its addresses and id, to spread them."""
 
     def run(batches):
-        encoder = Encoder(path)
+        encoder, sent = Encoder(path), set()
         wide = encoder.kind.itemsize
         end_id = np.array([END_ID], encoder.kind).tobytes()
         for batch in batches:
@@ -190,37 +221,62 @@ def _encode(path: str):
                 chunks = [blob[a * wide : b * wide] for a, b in zip(begins.tolist(), ends.tolist(), strict=True)]
                 names = [address(c) for c in chunks]
                 own = dict(zip(names, chunks, strict=True))
-                rows = [("chunk", None, k, len(c) // wide, c, None, None) for k, c in own.items()]
+                rows = [("chunk", None, k, len(c) // wide, c, None) for k, c in own.items() if k not in sent]
+                if len(sent) > SENT_CHUNKS:
+                    sent.clear()
+                sent.update(own)
                 first = np.searchsorted(begins, np.cumsum(sizes) - sizes)
                 for i, (a, b, doc) in enumerate(zip(first, [*first[1:], len(begins)], some.column("doc_id").to_pylist(), strict=True)):
                     recipe = b"".join(names[a:b])
-                    rows.append(("recipe", doc, address(recipe + str(doc).encode()), int(sizes[i]), recipe, merkle_root(names[a:b]), None))
+                    rows.append(("recipe", doc, address(recipe + str(doc).encode()), int(sizes[i]), recipe, merkle_root(names[a:b])))
                 yield _rows(rows)
 
     return run
 
 
-def _store(batches):
-    """One row a chunk address, and the manifest of this part: the Merkle root of its addresses in order."""
-    part, seen = TaskContext.get().partitionId(), set()
+def _roots(batches):
+    """Roots of groups of (name, node) pairs, in the order of names: bucket, n and root."""
     for batch in batches:
-        keep = []
-        for i, (kind, name) in enumerate(zip(batch.column("kind").to_pylist(), batch.column("address").to_pylist(), strict=True)):
-            if kind == "recipe" or name not in seen:
-                keep.append(i)
-                if kind == "chunk":
-                    seen.add(name)
-        kept = batch.take(pa.array(keep, pa.int64())).cast(_ROWS) if keep else None
-        if kept is not None:
-            yield kept.set_column(6, _ROWS.field("part"), pa.array([part] * len(kept), pa.int64()))
-    yield _rows([("manifest", None, None, len(seen), None, merkle_root(sorted(seen)), part)])
+        roots = [merkle_root([m["node"] for m in sorted(g, key=lambda m: m["name"])]) for g in batch.column("members").to_pylist()]
+        yield pa.RecordBatch.from_arrays([batch.column("bucket"), batch.column("n"), pa.array(roots, pa.binary())], ["bucket", "n", "root"])
+
+
+def _folded(nodes: DataFrame, n: Column) -> DataFrame:
+    """The Merkle roots of nodes (bucket, name, node) by bucket."""
+    groups = nodes.groupBy("bucket").agg(n.alias("n"), F.collect_list(F.struct("name", "node")).alias("members"))
+    return groups.mapInArrow(tidy(_roots), "bucket long, n long, root binary")
+
+
+def _bucket(name: Column, bits: int) -> Column:
+    """The first bits (48 at most) of an address."""
+    return F.shiftright(F.conv(F.substring(F.hex(name), 1, 12), 16, 10).cast("long"), 48 - bits)
+
+
+def manifest(chunks: DataFrame, n: int) -> DataFrame:
+    """A tree of Merkle roots over all chunk addresses (bits, bucket, n, root): a row a bucket, up to one root for all.
+
+    The lowest buckets are prefixes of the addresses, which are hashes, so that a bucket has LEAVES of n addresses on
+    average; LEVEL_BITS of a prefix go at each level. No task sees more than a bucket.
+    """
+    bits = max(0, math.ceil(math.log2(max(n, 1) / LEAVES)))
+    level = written(_folded(chunks.select(_bucket(F.col("address"), bits).alias("bucket"), F.col("address").alias("name"), F.col("address").alias("node")), F.count(F.lit(1))), "manifest")
+    out = level.select(F.lit(bits).alias("bits"), "*")
+    while bits:
+        drop = min(bits, LEVEL_BITS)
+        bits -= drop
+        nodes = level.select(F.shiftright("bucket", drop).alias("bucket"), F.col("bucket").alias("name"), F.col("root").alias("node"), "n")
+        level = written(_folded(nodes, F.sum("n")), "manifest")
+        out = out.unionByName(level.select(F.lit(bits).alias("bits"), "*"))
+    return out
 
 
 def write(docs: DataFrame, path: str | None = None, id_col: str = "doc_id", text_col: str = "text", store: str | None = None) -> str:
     """Encodes whole texts and writes chunks, recipes and manifests; returns the store's folder.
 
     chunk: each distinct chunk once, by content address. recipe: for each row, in ascending id order over the files,
-    its chunk addresses, count of ids and Merkle root. manifest: a Merkle root for each part of the chunks.
+    its chunk addresses, count of ids and Merkle root. manifest: a tree of Merkle roots over the chunks' addresses.
+    Chunks meet by address in a shuffle, and one of each is kept after a sort that spills; parts are as many as
+    spark.sql.shuffle.partitions, of any size.
     """
     import public_tokenizers
 
@@ -233,8 +289,11 @@ def write(docs: DataFrame, path: str | None = None, id_col: str = "doc_id", text
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
     encoded = rows.mapInArrow(tidy(_encode(path)), _ROWS_SQL).repartition(parts, "address")
-    encoded.mapInArrow(tidy(_store), _ROWS_SQL).write.option("compression", "zstd").partitionBy("kind").parquet(f"{store}/raw")
+    nth = F.row_number().over(Window.partitionBy("address", "kind").orderBy("kind"))
+    encoded.withColumn("_nth", nth).where("kind = 'recipe' or _nth = 1").drop("_nth").write.option("compression", "zstd").partitionBy("kind").parquet(f"{store}/raw")
     raw = spark.read.schema(_ROWS_SQL).parquet(f"{store}/raw")
+    chunks = raw.where("kind = 'chunk'").select("address")
+    manifest(chunks, chunks.count()).write.parquet(f"{store}/manifest")
     recipes = raw.where("kind = 'recipe'").select("doc_id", "n_tokens", "payload", "root")
     ordered = recipes.repartitionByRange(parts, F.asc_nulls_first("doc_id"), "root").sortWithinPartitions(F.asc_nulls_first("doc_id"), "root")
     ordered.select("*", F.spark_partition_id().alias("part"), F.monotonically_increasing_id().alias("nth")).write.option("compression", "zstd").parquet(f"{store}/recipes")
@@ -273,7 +332,7 @@ def _checked(wide: str):
                 if address(raw) != name:
                     raise ValueError("a stored chunk does not have its content's address")
                 crc.append(zlib.crc32(np.frombuffer(raw, wide).astype("<u4").tobytes()))
-            yield pa.RecordBatch.from_arrays([batch.column("address"), batch.column("part"), batch.column("n_tokens"), pa.array(crc, pa.int64())], ["address", "part", "n_chunk", "crc"])
+            yield pa.RecordBatch.from_arrays([batch.column("address"), batch.column("n_tokens"), pa.array(crc, pa.int64())], ["address", "n_chunk", "crc"])
 
     return run
 
@@ -301,26 +360,21 @@ def _rebuilt(shifts: np.ndarray):
     return run
 
 
-def _roots(batches):
-    for batch in batches:
-        yield pa.RecordBatch.from_arrays([batch.column("part"), pa.array([merkle_root(sorted(x)) for x in batch.column("addresses").to_pylist()], pa.binary())], ["part", "found"])
-
-
 def read(spark, store: str, wide: str = "<u2") -> DataFrame:
     """Reads a store back: doc_id, start, n_tokens, ids_crc32 for every recipe; raises if anything does not fit."""
     raw = spark.read.schema(_ROWS_SQL).parquet(f"{store}/raw")
-    chunks = raw.where("kind = 'chunk'").select("address", "part", "n_tokens", "payload").mapInArrow(tidy(_checked(wide)), "address binary, part long, n_chunk long, crc long")
+    chunks = raw.where("kind = 'chunk'").select("address", "n_tokens", "payload").mapInArrow(tidy(_checked(wide)), "address binary, n_chunk long, crc long")
     checked = f"{store}/checked-{os.urandom(8).hex()}"
     chunks.write.parquet(checked)  # without payloads; used twice below
-    chunks = spark.read.schema("address binary, part long, n_chunk long, crc long").parquet(checked)
-    found = chunks.groupBy("part").agg(F.collect_list("address").alias("addresses")).mapInArrow(tidy(_roots), "part long, found binary")
-    manifest = raw.where("kind = 'manifest' and n_tokens > 0").select("part", "root")
-    if not manifest.join(found, "part", "full").where("root is null or found is null or root <> found").isEmpty():
-        raise ValueError("a part of the store does not have its manifest's root")
+    chunks = spark.read.schema("address binary, n_chunk long, crc long").parquet(checked)
+    kept = spark.read.schema("bits int, bucket long, n long, root binary").parquet(f"{store}/manifest")
+    found = manifest(chunks, chunks.count()).select("bits", "bucket", F.col("n").alias("_n"), F.col("root").alias("_root"))
+    if not kept.join(found, ["bits", "bucket"], "full").where("not (n <=> _n and root <=> _root)").isEmpty():
+        raise ValueError("the store's chunks do not have its manifest's roots")
     recipes = spark.read.schema("doc_id long, n_tokens long, payload binary, root binary, part int, nth long").parquet(f"{store}/recipes")
     n = (F.octet_length("payload") / 16).cast("int")
     lines = recipes.select("nth", F.posexplode(F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.substring(F.col("payload"), i * 16 + 1, F.lit(16)))).alias("i", "address"))
-    joined = lines.join(chunks.drop("part"), "address", "left")
+    joined = lines.join(chunks, "address", "left")
     by_doc = joined.groupBy("nth").agg(F.collect_list(F.struct("i", F.coalesce("n_chunk", F.lit(-1)).alias("n_chunk"), F.coalesce("crc", F.lit(0)).alias("crc"), "address")).alias("chunks"))
     sums = by_doc.join(recipes.select("nth", "doc_id", "n_tokens", "root"), "nth").mapInArrow(tidy(_rebuilt(_shifts(LONGEST))), "nth long, ids_crc32 long")
     totals = recipes.groupBy("part").agg(F.sum("n_tokens").alias("_n"))
@@ -336,7 +390,7 @@ def write_and_read(docs: DataFrame, path: str | None = None, id_col: str = "doc_
 
     Each text is encoded whole and ends with id 1. Chunks are cut where a rolling hash of the last ids says so, so
     copies and shared passages share chunks, and each distinct chunk is stored once whatever its number of uses.
-    Reading checks every chunk against its address, every part against its manifest and every recipe against its root;
+    Reading checks every chunk against its address, all addresses against the manifest and every recipe against its root;
     a document's checksum is combined from its chunks' (the checksum of joined strings follows from those of the
     parts), so payloads are not moved to the documents. Null or empty text has the end id alone; null ids come first;
     rows with equal ids stand side by side, ordered by content; an empty table gives an empty result; other columns

@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from hostscope.llm import common, components, langid, lm, ngram_join, pieces, queries, token_store, toxicity
+from hostscope.llm import arrays, common, components, langid, lm, ngram_join, pieces, queries, token_store, toxicity
 from hostscope.llm.arrays import word_hashes, word_spans
 
 PIECES = [("<unk>", 0.0, "unknown"), ("<s>", 0.0, "control"), *[(f"<0x{b:02X}>", -100.0, "byte") for b in range(256)], ("▁", -4.0, "normal"), ("▁▁", -5.0, "normal"), ("a", -3.0, "normal"), ("b", -3.5, "normal"), ("ab", -4.1, "normal"), ("▁a", -2.5, "normal"), ("abab", -7.0, "normal"), ("é", -6.0, "normal")]
@@ -232,15 +232,47 @@ def test_store_holds_chunks_once_and_notices_damage(spark, make):
     bad = store + "-bad"
     raw = spark.read.schema(token_store._ROWS_SQL).parquet(f"{store}/raw")
     raw.withColumn("payload", F.when(F.col("kind") == "chunk", F.concat(F.col("payload"), F.lit(b"\0\0"))).otherwise(F.col("payload"))).write.partitionBy("kind").parquet(f"{bad}/raw")
-    spark.read.parquet(f"{store}/recipes").write.parquet(f"{bad}/recipes")
+    for to in (bad, bad + "2"):
+        for part in ("recipes", "manifest"):
+            spark.read.parquet(f"{store}/{part}").write.parquet(f"{to}/{part}")
     with pytest.raises(Exception, match="address"):
         token_store.read(spark, bad).count()
     raw.where("kind <> 'chunk' or n_tokens < 100").write.partitionBy("kind").parquet(f"{bad}2/raw")
-    spark.read.parquet(f"{store}/recipes").write.parquet(f"{bad}2/recipes")
     with pytest.raises(Exception, match="manifest"):
         token_store.read(spark, bad + "2").count()
 
 
+def test_manifest_is_a_tree_whatever_the_buckets(spark, monkeypatch):
+    """The one root on top is that of the roots below it, and small buckets hold every address once."""
+    import hashlib
+
+    names = [hashlib.sha256(bytes([k % 256, k // 256])).digest()[:16] for k in range(700)]
+    df = spark.createDataFrame([(n,) for n in names], "address binary").repartition(3)
+    monkeypatch.setattr(token_store, "LEAVES", 10)
+    monkeypatch.setattr(token_store, "LEVEL_BITS", 3)
+    rows = token_store.manifest(df, len(names)).collect()
+    bits = sorted({r.bits for r in rows})
+    assert bits == [0, 1, 4, 7] and all(sum(r.n for r in rows if r.bits == b) == 700 for b in bits)
+    root = {(r.bits, r.bucket): bytes(r.root) for r in rows}
+    lowest = {}
+    for n in sorted(names):
+        lowest.setdefault(n[0] >> 1, []).append(n)
+    assert {b: token_store.merkle_root(g) for b, g in lowest.items()} == {b: r for (at, b), r in root.items() if at == 7}
+    below = sorted((b, r) for (at, b), r in root.items() if at == 1)
+    assert root[0, 0] == token_store.merkle_root([r for _, r in below])
+    assert token_store.manifest(df.limit(0), 0).count() == 0
+
+
+def test_words_of_one_hash_stay_two_words(monkeypatch):
+    text = np.frombuffer(b"aa b ab aa b ccc ab c aa", np.uint8)
+    starts, ends, _ = arrays.word_spans(text, np.array([0, len(text)]))
+    words = bytes(text).split()
+    for hashes in (token_store.word_hashes, lambda d, s, e: np.zeros(len(s), np.uint64), lambda d, s, e: (e - s).astype(np.uint64)):
+        monkeypatch.setattr(token_store, "word_hashes", hashes)
+        one, back = token_store.same_words(text, starts, ends)
+        assert [words[one[k]] for k in back] == words
+
+
 def test_store_refuses_other_vocabularies(make):
     with pytest.raises(ValueError, match="vocabulary"):
         token_store.write(make([(1, "a")]), path="/somewhere/other.json")
