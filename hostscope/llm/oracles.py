@@ -51,7 +51,8 @@ def quality_sql() -> str:
         "dup_lines_per_word": "CASE WHEN n_words > 0 THEN n_dup_lines / n_words ELSE 0 END", "chars_per_word": "CASE WHEN n_words > 0 THEN word_chars / n_words ELSE 0 END",
     }
     p = quality.RISK / len(quality.RULES)
-    grid = " UNION ALL ".join(f"SELECT stratum, '{r}' AS rule, {j} AS nth, {c}::DOUBLE AS cut, count(*) AS n, count(*) FILTER ({rate[r]} > {c}) AS k FROM good GROUP BY stratum" for r, cs in quality.RULES.items() for j, c in enumerate(cs))
+    rates = " UNION ALL ".join(f"SELECT stratum, '{r}' AS rule, ({rate[r]})::DOUBLE AS v, q = 1 AS good FROM known" for r in quality.RULES)
+    levels = [1 - p * j / quality.STEPS for j in range(quality.STEPS + 1)]
     tail = f"CASE WHEN k > n * {p} THEN 1 ELSE list_sum(list_transform(range(k + 1), lambda i: exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln({p}) + (n - i) * ln(1 - {p})))) END"
     over = " OR ".join(f"coalesce({rate[r]} > (SELECT cut FROM best b WHERE b.stratum = s.stratum AND rule = '{r}'), false)" for r in quality.RULES)
     return f"""WITH w AS (SELECT doc_id, coalesce(lang, '') AS stratum, coalesce(text, '') AS text, {WORDS} AS ws FROM documents),
@@ -59,9 +60,12 @@ def quality_sql() -> str:
  rep AS (SELECT doc_id, i FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, g) AS c FROM tri) WHERE c > 1), cov AS (SELECT doc_id, count(DISTINCT i + k) AS n_repeat_words FROM rep, range(3) x(k) GROUP BY 1),
  ln AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS l FROM w), dl AS (SELECT doc_id, count(*) - count(DISTINCT l) AS n_dup_lines FROM ln WHERE regexp_matches(l, '[^\\x20\\x09-\\x0D]') GROUP BY 1),
  s0 AS (SELECT w.doc_id, stratum, text, CAST(len(ws) AS BIGINT) AS n_words, CAST(length(array_to_string(ws, '')) AS BIGINT) AS word_chars, CAST(len(regexp_extract_all(text, '[#*$%&|<>]')) AS BIGINT) AS n_symbols, coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words FROM w LEFT JOIN cov USING (doc_id) LEFT JOIN dl USING (doc_id)),
- s AS (SELECT *, n_words < {quality.MIN_WORDS} OR n_repeat_words * 100 > n_words * {quality.REPEAT_PERCENT} AS base_failed FROM s0), lab AS (SELECT doc_id FROM labels GROUP BY 1 HAVING min(quality) = 1), good AS (SELECT DISTINCT ON (stratum, text) * FROM s WHERE NOT base_failed AND doc_id IN (SELECT doc_id FROM lab)),
- grid AS ({grid}), alpha AS (SELECT {1 - quality.CONFIDENCE} / (count(DISTINCT stratum) * {len(quality.RULES)}) AS a FROM good), tests AS (SELECT *, {tail} <= (SELECT a FROM alpha) AS safe FROM grid),
- upto AS (SELECT *, bool_and(safe) OVER (PARTITION BY stratum, rule ORDER BY nth ROWS UNBOUNDED PRECEDING) AS ok FROM tests), best AS (SELECT stratum, rule, min(cut) AS cut FROM upto WHERE ok GROUP BY ALL)
+ s AS (SELECT *, n_words < {quality.MIN_WORDS} OR n_repeat_words * 100 > n_words * {quality.REPEAT_PERCENT} AS base_failed FROM s0), lab AS (SELECT doc_id, min(quality) AS q FROM labels GROUP BY 1 HAVING min(quality) IS NOT NULL),
+ known AS (SELECT * FROM (SELECT s.* EXCLUDE (text), min(l.q) OVER same AS q, row_number() OVER same AS nth FROM s JOIN lab l ON l.doc_id = s.doc_id WHERE NOT base_failed WINDOW same AS (PARTITION BY stratum, text)) WHERE nth = 1), rates AS ({rates}),
+ cuts AS (SELECT DISTINCT stratum, rule, unnest(cs) AS cut FROM (SELECT stratum, rule, quantile_disc(v, {levels}) AS cs FROM rates WHERE good GROUP BY ALL)), alpha AS (SELECT {1 - quality.CONFIDENCE} / (count(DISTINCT stratum) * {len(quality.RULES)}) AS a FROM cuts),
+ tests AS (SELECT c.stratum, c.rule, cut, count(*) FILTER (good) AS n, count(*) FILTER (good AND v > cut) AS k, count(*) FILTER (NOT good) AS m, count(*) FILTER (NOT good AND v > cut) AS b FROM cuts c JOIN rates r ON r.stratum = c.stratum AND r.rule = c.rule GROUP BY ALL),
+ gains AS (SELECT *, CASE WHEN m > 0 THEN b / m - {quality.COST}::DOUBLE * (k / n) ELSE 0 END AS gain, {tail} <= (SELECT a FROM alpha) AS safe FROM tests),
+ best AS (SELECT stratum, rule, cut FROM gains WHERE safe AND gain > 0 QUALIFY row_number() OVER (PARTITION BY stratum, rule ORDER BY gain DESC, cut DESC) = 1)
  SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND NOT ({over}) AS kept FROM s"""
 
 

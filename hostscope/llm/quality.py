@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -14,13 +15,14 @@ REPEAT_PERCENT = 50
 #: At most this share of good documents of a stratum may be rejected by all rules together, with this confidence.
 RISK = 0.05
 CONFIDENCE = 0.95
-#: Signal -> cutoffs from loose to strict; a document above the chosen cutoff is rejected.
-RULES = {
-    "symbols_per_char": (0.5, 0.4, 0.3, 0.2, 0.15, 0.1, 0.07, 0.05, 0.03, 0.02),
-    "repeats_per_word": (0.45, 0.4, 0.35, 0.3, 0.25, 0.2, 0.15, 0.1),
-    "dup_lines_per_word": (0.2, 0.15, 0.1, 0.07, 0.05, 0.03, 0.02, 0.01),
-    "chars_per_word": (20.0, 15.0, 12.0, 11.0, 10.0, 9.0, 8.0, 7.5),
-}
+#: Signals; a document above its stratum's cutoff of any of them is rejected.
+RULES = ("symbols_per_char", "repeats_per_word", "dup_lines_per_word", "chars_per_word")
+#: Cutoffs that are tried lie at this many equal steps of the share of good documents that a rule may reject.
+STEPS = 20
+#: Rejecting a share of the good documents has to reject at least this many times that share of the bad ones.
+COST = 2.0
+#: A cutoff that is tried is off by a share of 1 / ACCURACY in rank at most; what it rejects is counted exactly.
+ACCURACY = 100_000
 
 
 def _windows(w: Column) -> Column:
@@ -97,26 +99,35 @@ def binomial_tail(k: Column, n: Column, p: float) -> Column:
     return F.when(k > n * F.lit(p), F.lit(1.0)).otherwise(F.aggregate(F.sequence(F.lit(0).cast("long"), k), start, add, lambda s: s["sum"]))
 
 
-def cutoffs(holdout: DataFrame, rules: dict = RULES, risk: float = RISK, confidence: float = CONFIDENCE) -> DataFrame:
-    """The strictest safe cutoff of each rule in each stratum: stratum and a column a rule (null: the rule stays off).
+def cutoffs(holdout: DataFrame, rules: Sequence[str] = RULES, risk: float = RISK, confidence: float = CONFIDENCE, cost: float = COST) -> DataFrame:
+    """The best safe cutoff of each rule in each stratum: stratum and a column a rule (null: the rule stays off).
 
-    holdout: the signals of documents known to be good that pass the base rules, each text once (copies are no
-    independent draws). A cutoff is safe if the exact
-    (Clopper-Pearson) upper bound of its false-rejection rate is at most risk / rules, that is, if so few rejections
-    have a binomial tail probability of at most (1 - confidence) / (rules * strata) (Bonferroni). The cutoffs of a rule
-    are tried from loose to strict up to the first unsafe one, which needs no further correction. A row a stratum.
+    holdout: the signals of labelled documents that pass the base rules and good (true or false), each text once (copies
+    are no independent draws). Cutoffs are tried at quantiles of the good ones. One is safe if the exact
+    (Clopper-Pearson) upper bound of its false-rejection rate is at most risk / rules, that is, if as few rejections
+    have a binomial tail probability of at most (1 - confidence) / (rules * strata) (Bonferroni). A cutoff that k of n
+    draws exceed is at least their (k + 1)-th greatest, whose true rate of rejections follows the same law (a
+    distribution-free tolerance bound), and looser cutoffs reject less: so the promise holds for all safe cutoffs of a
+    rule at once, and choosing among them by the data needs no further correction. Of them, the one is taken that
+    rejects most of the bad, where a share of the good counts ``cost`` times; rules that gain nothing stay off.
     """
     names = list(rules)
-    above = [F.count_if(_rate(r) > c) for r in names for c in rules[r]]
-    tried = [(i, j, float(c)) for i, r in enumerate(names) for j, c in enumerate(rules[r])]
-    counts = holdout.groupBy("stratum").agg(F.count(F.lit(1)).alias("_n"), F.array(*above).alias("_k"))
-    counts = counts.withColumn("_alpha", F.lit(1 - confidence) / (F.count(F.lit(1)).over(Window.partitionBy()) * len(rules)))
-    grid = F.array(*[F.struct(F.lit(i).alias("rule"), F.lit(j).alias("nth"), F.lit(c).alias("cut"), F.get("_k", F.lit(m)).alias("k")) for m, (i, j, c) in enumerate(tried)])
-    tests = counts.select("stratum", "_n", "_alpha", F.inline(grid))
-    safe = binomial_tail(F.col("k"), F.col("_n"), risk / len(rules)) <= F.col("_alpha")
-    upto = Window.partitionBy("stratum", "rule").orderBy("nth").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    tests = tests.withColumn("_safe", safe).withColumn("_safe", F.min("_safe").over(upto))
-    best = [F.min(F.when(F.col("_safe") & (F.col("rule") == i), F.col("cut"))).alias(f"cut_{r}") for i, r in enumerate(names)]
+    levels = [1 - risk / len(names) * j / STEPS for j in range(STEPS + 1)]
+    good = F.col("good")
+    tried = F.array(*[F.percentile_approx(F.when(good, _rate(r)), levels, ACCURACY) for r in names])
+    marks = written(holdout.groupBy("stratum").agg(F.count_if(good).alias("_n"), F.count_if(~good).alias("_m"), tried.alias("_cuts")).where("_n > 0"), "quality-marks")
+    held = with_small(holdout, marks.select("stratum", "_cuts"), "stratum", "inner", 2000)
+    places = [(i, j) for i in range(len(names)) for j in range(STEPS + 1)]
+    above = lambda i, j, which: F.count_if(which & (_rate(names[i]) > F.get(F.get("_cuts", F.lit(i)), F.lit(j))))
+    counts = held.groupBy("stratum").agg(F.array(*[above(i, j, good) for i, j in places]).alias("_k"), F.array(*[above(i, j, ~good) for i, j in places]).alias("_b"))
+    counts = counts.join(marks, "stratum").withColumn("_alpha", F.lit(1 - confidence) / (F.count(F.lit(1)).over(Window.partitionBy()) * len(names)))
+    grid = F.array(*[
+        F.struct(F.lit(i).alias("rule"), F.get(F.get("_cuts", F.lit(i)), F.lit(j)).alias("cut"), F.get("_k", F.lit(at)).alias("k"), F.get("_b", F.lit(at)).alias("b")) for at, (i, j) in enumerate(places)
+    ])
+    tests = counts.select("stratum", "_n", "_m", "_alpha", F.inline(grid))
+    gain = F.when(F.col("_m") > 0, F.col("b") / F.col("_m") - F.lit(float(cost)) * (F.col("k") / F.col("_n"))).otherwise(F.lit(0.0))
+    safe = (binomial_tail(F.col("k"), F.col("_n"), risk / len(names)) <= F.col("_alpha")) & (gain > 0)
+    best = [F.max(F.when(safe & (F.col("rule") == i), F.struct(gain.alias("gain"), F.col("cut")))).getField("cut").alias(f"cut_{r}") for i, r in enumerate(names)]
     return tests.groupBy("stratum").agg(F.max("_n").alias("n_holdout"), *best)
 
 
@@ -124,7 +135,7 @@ def quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col
     """Signals, base rules and the risk-controlled verdict of every document.
 
     Returns doc_id, stratum, the signals, base_failed, n_holdout, the cutoffs and kept. labels: doc_id and quality (1
-    good; null or other ids do nothing; several labels of an id count as their least). Signals are computed once, in
+    good, others bad; null or other ids do nothing; several labels of an id, or of equal texts, count as their least). Signals are computed once, in
     one pass over the whole texts without a shuffle, and written; only these numbers meet the labels. Null or blank
     text has no words and fails the base rules; a null stratum is the stratum ''; strata without enough good labels
     reject nothing beyond the base rules; repeated rows are judged alike and count once in the holdout, as do equal
@@ -132,9 +143,11 @@ def quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col
     columns are ignored.
     """
     rows = written(signals(docs, id_col, text_col, stratum_col).withColumn("base_failed", base_failed()), "quality")
-    good = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").alias("_q")).groupBy("doc_id").agg(F.min("_q").alias("_q")).where("_q = 1")
-    known = rows.where(~F.col("base_failed")).join(good, "doc_id", "left_semi").dropDuplicates(["stratum", "text_key"])
-    cuts = written(cutoffs(known, **how), "quality-cutoffs")
+    marked = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").alias("_q")).groupBy("doc_id").agg(F.min("_q").alias("_q")).where("_q is not null")
+    counted = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+    known = rows.where(~F.col("base_failed")).join(marked, "doc_id")
+    known = known.groupBy("stratum", "text_key").agg((F.min("_q") == 1).alias("good"), *[F.max(c).alias(c) for c in counted])
+    cuts = written(cutoffs(written(known, "quality-holdout"), **how), "quality-cutoffs")
     names = how.get("rules", RULES)
     over = F.lit(False)
     for r in names:

@@ -81,6 +81,46 @@ def test_cutoffs_reject_little_of_the_good(spark, make):
     assert all(r.kept != r.base_failed for r in few)  # too few labels to promise anything
 
 
+def test_cutoffs_are_tolerance_bounds_of_the_holdout(spark):
+    """The cutoff is the strictest that its own rejections allow by the exact tail, and rules without gain stay off."""
+    from math import comb
+
+    n, p, alpha = 3000, quality.RISK / 4, (1 - quality.CONFIDENCE) / 4
+    most = max(k for k in range(60) if sum(comb(n, i) * p**i * (1 - p) ** (n - i) for i in range(k + 1)) <= alpha)
+    rows = [("en", i, 100, 500, 10 * i if i < n else 29_400 + (i * 7) % 600, 0, 0, i < n) for i in range(n + 500)]
+    rows += [("fr", i, 100, 500, i % 2, 0, 0, i % 5 > 0) for i in range(300)]
+    df = spark.createDataFrame(rows, "stratum string, text_key long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, good boolean")
+    df = df.withColumn("word_chars", F.lit(30_000))
+    out = {r.stratum: r for r in quality.cutoffs(df, confidence=1 - 2 * (1 - quality.CONFIDENCE)).collect()}  # two strata, so alpha as above
+    assert out["en"].n_holdout == n and out["fr"].n_holdout == 240
+    cut = out["en"].cut_symbols_per_char
+    rejected = sum(r[7] and r[1] * 10 / 30_000 > cut for r in rows if r[0] == "en")
+    step = n * p / quality.STEPS
+    assert most - step - 1 <= rejected <= most  # bad ones lie among the greatest 60 of the good ones
+    assert out["en"].cut_dup_lines_per_word is None and out["en"].cut_chars_per_word is None  # nothing to gain
+    assert out["fr"].cut_symbols_per_char is None  # too few labels
+
+
+def test_binding_cutoffs_equal_the_sql(spark, make, tmp_path):
+    """Query and SQL on a table in which cutoffs reject documents of two languages."""
+    import duckdb
+
+    noise = lambda i, m: (i * 2654435761 >> 7) % m
+    rows = [(i, " ".join(f"w{(i * 7 + k) % 997}" for k in range(60 + noise(i, 9))) + " #" * (noise(i, 12) + (9 if i % 5 == 0 else 0)), ("en", "fr", None)[(i % 7 > 3) + (i % 100 == 0)]) for i in range(5000)]
+    make(rows).write.parquet(f"file://{tmp_path}/documents.parquet")
+    labels = spark.createDataFrame([(i, 0 if i % 5 == 0 else 1) for i in range(5000) if i % 11], "doc_id long, quality int")
+    labels.write.parquet(f"file://{tmp_path}/labels.parquet")
+    con = duckdb.connect()
+    for t in ("documents", "labels"):
+        con.sql(f"create view {t} as select * from '{tmp_path}/{t}.parquet/*.parquet'")
+    want = con.sql(queries.oracle_sql()["op3_quality_rules"]).df().sort_values("doc_id").reset_index(drop=True)
+    got = queries.queries()["op3_quality_rules"](spark, f"file://{tmp_path}").toPandas().sort_values("doc_id").reset_index(drop=True)[list(want.columns)]
+    assert got.astype(want.dtypes.to_dict()).equals(want)
+    lang = {r[0]: r[2] for r in rows}
+    over = got[~got.base_failed & ~got.kept]
+    assert {"en", "fr"} == {lang[i] for i in over.doc_id} and (over.doc_id % 5 == 0).mean() > 0.9
+
+
 def test_quality_of_odd_rows(spark, make, odd):
     labels = spark.createDataFrame([(5, 1), (None, 1), (6, None), (777, 1)], "doc_id long, quality int")
     out = quality.quality(make(odd), labels)
