@@ -16,7 +16,7 @@ OPERATORS: dict[str, Callable[..., DataFrame]] = {
         slices.stamp_slice, slices.stamp_fixed_slice, slices.role_views, slices.burst, slices.slice_metrics, slices.pair_context, slices.pair_counts,
         windows.in_windows, windows.window_sums, windows.with_ratios, windows.pair_windows, windows.rolling, windows.wide_by_role, windows.long_by_role, windows.stamp,
         baselines.anomaly_weights, baselines.long_metrics, baselines.baselines, baselines.pair_rarity, deviation.transforms, deviation.scores, deviation.rarity_weighted,
-        baselines.with_any_prefix, selection.quantiles, sketches.metric_sketches, sketches.daily_sketches, sketches.merged, sketches.sketched_baselines,
+        baselines.with_any_prefix, selection.quantiles, selection.discrete, sketches.metric_sketches, sketches.daily_sketches, sketches.merged, sketches.sketched_baselines,
         item_windows.slice_items, item_windows.window_items, item_windows.advance, item_windows.window_shapes, item_windows.slice_distincts, item_windows.window_distincts,
         novelty.lookback, novelty.novelty, novelty.high_risk_segments, novelty.day_ring, novelty.advance_ring, novelty.ring_lookback,
         packed.pack, packed.packed_statistics, packed.route, packed.group_scores, permutation.permuted, gram.correlations,

@@ -82,12 +82,12 @@ def agg_anomaly_weights(spark, d):
 
 @query(f"WITH {WEIGHTS}{HOSTS} SELECT * EXCLUDE (median, p25, p75, p95, p99, iqr, mad), {_R} FROM hosts")
 def agg_host_baselines(spark, d):
-    return _rounded(bl.baselines(weighted(spark, d), METRICS, HOST, SUPPORT))
+    return _rounded(host_stats(spark, d))
 
 
 @query(f"WITH {WEIGHTS}{SEGMENTS} SELECT * EXCLUDE (median, p25, p75, p95, p99, iqr, mad), {_R} FROM segments")
 def agg_segment_baselines(spark, d):
-    return _rounded(bl.baselines(weighted(spark, d), METRICS, SEGMENT_KEYS, SUPPORT))
+    return _rounded(bl.baselines(written(weighted(spark, d), "windows"), METRICS, SEGMENT_KEYS, SUPPORT))
 
 
 _PAIR = f""", pc AS (SELECT source_ip AS src_ip, destination_ip AS dst_ip, destination_port AS dst_port, {SEGMENT.format(ip='source_ip')} AS segment_id, event_start, date_trunc('hour', event_start) AS h FROM sessions WHERE destination_port > 0 AND event_name = 'TRAFFIC'),
@@ -118,7 +118,7 @@ FLAGS = f""", {MACHINES}, names AS (SELECT ip_address AS host_ip, min(machine_na
 
 
 def host_stats(spark, d):
-    return bl.baselines(weighted(spark, d), METRICS, HOST, SUPPORT)
+    return bl.baselines(written(weighted(spark, d), "windows"), METRICS, HOST, SUPPORT)
 
 
 def flags(spark, d, stats=None):
@@ -175,11 +175,12 @@ def jon_cold_start_routing(spark, d):
 
 
 def copartitioned(spark: SparkSession, d: str) -> DataFrame:
-    """Windows with the baselines of their own host: windows are dealt into buckets once; statistics, their wide form and
-    the join keep to these."""
+    """Windows with the baselines of their own host: windows and the wide statistics are dealt into buckets once, and the
+    join keeps to these."""
     keys = [*HOST, "baseline_horizon"]
     w = bucketed(weighted(spark, d), keys, "windows")
-    return meet(w, bl.wide_baselines(bl.baselines(w, METRICS, HOST, SUPPORT), keys, METRICS, _STAT), keys, "left")
+    stats = bucketed(bl.wide_baselines(bl.baselines(w, METRICS, HOST, SUPPORT), keys, METRICS, _STAT), keys, "statistics")
+    return meet(w, stats, keys, "left")
 
 
 @query(f"WITH {WEIGHTS}{HOSTS}, hw AS (SELECT host_ip, role, time_band, baseline_horizon, {_CAST('hosts')} FROM hosts GROUP BY ALL) SELECT host_ip, role, baseline_horizon, strftime(slice_start_ts, '%Y-%m-%d %H:%M:%S') AS slice_start, {', '.join(f'round({m}_median, 6) AS {m}_median, round({m}_mad, 6) AS {m}_mad, {m}_support_count' for m in METRICS)} FROM w LEFT JOIN hw USING (host_ip, role, time_band, baseline_horizon)")
@@ -313,7 +314,7 @@ _ALL_STATS = ", ".join(f"count({s}) AS {s}" for s in dv.STATISTICS)
 @query(f"WITH {WEIGHTS}{HOSTS} SELECT baseline_horizon, {_ALL_STATS} FROM hosts WHERE metric = '{_M}' GROUP BY ALL")
 def dev_baseline_contract(spark, d):
     """Wide baselines that pass the column contract: how many hosts have each statistic."""
-    stats = written(bl.baselines(weighted(spark, d), METRICS, HOST, SUPPORT), "baselines")
+    stats = written(host_stats(spark, d), "baselines")
     wide = bl.wide_baselines(stats, [*HOST, "baseline_horizon"], METRICS)
     dv.check_statistics(wide.columns, METRICS)
     return wide.groupBy("baseline_horizon").agg(*[F.count(f"{_M}_{s}").alias(s) for s in dv.STATISTICS])

@@ -165,3 +165,59 @@ def test_packed_plan_does_not_grow(spark):
         return len(out._jdf.queryExecution().optimizedPlan().toString())
 
     assert size(440) < size(10) + 50
+
+
+def _least(values, p: str):
+    """The least value that holds a share p of the rows."""
+    from fractions import Fraction
+
+    ordered = np.sort(np.array(values, float))
+    return ordered[max(1, -(-len(ordered) * Fraction(p).numerator // Fraction(p).denominator)) - 1]
+
+
+SHARES = ("0.25", "0.5", "0.75", "0.95", "0.99")
+
+
+def _large_and_small(seed: int) -> list[tuple[str, float]]:
+    rng = np.random.default_rng(seed)
+    return [("big", float(v)) for v in rng.exponential(1000, 25_000)] + [("ties", float(v)) for v in rng.integers(0, 40, 12_000)] + [("small", float(v)) for v in rng.normal(0, 1, 333)]
+
+
+def test_weights_of_large_segments_are_exact(spark):
+    rows = _large_and_small(11)
+    out = bl.anomaly_weights(spark.createDataFrame(rows, "g string, m double").repartition(5), ["m"], keys=["g"]).collect()
+    assert len(out) == len(rows)
+    want = {}
+    for g in {g for g, _ in rows}:
+        x = np.array([v for k, v in rows if k == g])
+        want[g] = _least(x, "0.5"), _least(abs(x - _least(x, "0.5")), "0.5")
+    for r in out:
+        assert r.max_abs_z == pytest.approx(abs((r.m - want[r.g][0]) / (want[r.g][1] + 1e-6)), rel=1e-12)
+
+
+def test_baselines_of_large_groups_are_exact(spark):
+    rows = [(g, v, 1.0) for g, v in _large_and_small(12)] + [("big", 1e12, 0.2), ("small", None, 1.0), (None, 4.0, 1.0), ("unclean", 5.0, 0.2)]
+    df = spark.createDataFrame(rows, "g string, m double, anomaly_weight double").repartition(5)
+    out = {r.g: r for r in bl.baselines(df, ["m"], ["g"]).collect()}
+    assert out.keys() == {"big", "ties", "small", None, "unclean"} and out["unclean"].median is None and out["unclean"].support_count == 1
+    for g in ("big", "ties", "small", None):
+        x = [v for k, v, w in rows if k == g and v is not None and w >= 1]
+        assert [out[g][c] for c in ("p25", "median", "p75", "p95", "p99")] == [_least(x, p) for p in SHARES]
+    assert out["big"].support_count == 25_001 and out["small"].support_count == 333
+
+
+@pytest.mark.parametrize("accuracy", [10_000, 20])
+def test_discrete_quantiles_are_exact(spark, accuracy):
+    rows = _large_and_small(13) + [("one", 7.0), ("none", None), ("none", float("nan"))]
+    out = {r.k: (r.q, r.rows) for r in selection.discrete(spark.createDataFrame(rows, "k string, value double").repartition(3), ["k"], [float(p) for p in SHARES], accuracy=accuracy).collect()}
+    assert out.pop("none") == (None, 0)
+    for k, (q, n) in out.items():
+        x = [v for g, v in rows if g == k]
+        assert q == [_least(x, p) for p in SHARES] and n == len(x)
+
+
+def test_a_rank_outside_of_its_bracket_is_found(spark):
+    """Brackets that miss on either side, and one that holds its rank."""
+    rows = spark.range(1000).select(F.struct(F.lit("a").alias("k")).alias("_key"), F.col("id").cast("double").alias("_v"))
+    marks = spark.range(1).select(F.struct(F.lit("a").alias("k")).alias("_key"), F.array(*map(F.lit, (0.0, 0.0, 0.0))).alias("_q"), F.array(*map(F.lit, (600.0, 700.0, 10.0, 20.0, 740.0, 760.0))).alias("_b"), F.lit(1000).alias("_all"))
+    assert selection.refined(marks, rows, [0.25, 0.5, 0.75], 100).first()._q == [249.0, 499.0, 749.0]
