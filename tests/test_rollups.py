@@ -221,3 +221,13 @@ def test_a_rank_outside_of_its_bracket_is_found(spark):
     rows = spark.range(1000).select(F.struct(F.lit("a").alias("k")).alias("_key"), F.col("id").cast("double").alias("_v"))
     marks = spark.range(1).select(F.struct(F.lit("a").alias("k")).alias("_key"), F.array(*map(F.lit, (0.0, 0.0, 0.0))).alias("_q"), F.array(*map(F.lit, (600.0, 700.0, 10.0, 20.0, 740.0, 760.0))).alias("_b"), F.lit(1000).alias("_all"))
     assert selection.refined(marks, rows, [0.25, 0.5, 0.75], 100).first()._q == [249.0, 499.0, 749.0]
+
+
+def test_sketched_baselines_of_large_groups_are_exact(spark):
+    rows = _large_and_small(14)
+    df = spark.createDataFrame([(g, v, i % 5) for i, (g, v) in enumerate(rows)], "host string, m double, d int").repartition(4).select("host", "m", F.timestamp_seconds(1704067200 + F.col("d") * 86400 + 60).alias("window_end_ts"))
+    bounds = bl.horizon_bounds(spark, "2024-01-06 00:00:00", [bl.Horizon("5d", 5)])
+    out = {r.host: r for r in sk.sketched_baselines(sk.daily_sketches(df, ["m"], ["host"]), bounds, ["host"], rows=bl.long_metrics(df, ["m"])).collect()}
+    for g in ("big", "ties", "small"):
+        x = [v for k, v in rows if k == g]
+        assert [out[g][c] for c in ("p25", "median", "p75", "p95", "p99")] == [_least(x, p) for p in SHARES] and out[g].support_count == len(x)
