@@ -83,3 +83,26 @@ def test_slices_and_late_rows_are_all_rows(spark, tmp_path):
     assert {(int(r.session_id), r.role, r.host_ip, r.slice_start_ts) for r in late.itertuples()} == want_late and len(late) == len(want_late) > 50
     slices = {(r.host_ip, r.role, r.slice_start_ts): [r.sessions_cnt, r.bytes_sent_sum, r.drop_cnt] for r in out[out.kind == "slice"].itertuples()}
     assert slices == want and sum(v[0] for v in slices.values()) + len(late) == 600
+
+
+def test_many_hosts_of_a_slice_cost_one_call_to_the_state():
+    from unittest import mock
+
+    held, handle, timers = mock.Mock(), mock.Mock(), mock.Mock()
+    handle.getValueState.return_value = held
+    timers.getCurrentWatermarkInMs.return_value = 0
+    held.get.return_value = None
+    p = stateful.SliceProcessor(15)
+    p.init(handle)
+    pdf = pd.DataFrame({"host_ip": [f"h{i % 50}" for i in range(200)], "role": "outbound", "session_id": range(200), "bytes_sent": [1.0, np.nan] * 100, "event_action": ["drop", "allow"] * 100})
+    assert not list(p.handleInputRows((0, 1), iter([pdf[:120], pdf[120:]]), timers))
+    assert (held.get.call_count, held.update.call_count, handle.registerTimer.call_count) == (1, 1, 1)
+    held.get.return_value = held.update.call_args.args[0]
+    assert not list(p.handleInputRows((0, 1), iter([pdf]), timers)) and handle.registerTimer.call_count == 1
+    held.get.return_value = held.update.call_args.args[0]
+    (out,) = p.handleExpiredTimer((0, 1), timers, None)
+    assert len(out) == 50 and (out.kind == "slice").all() and (out.sessions_cnt == 8).all()
+    assert out.bytes_sent_sum.tolist() == [8.0 if int(h[1:]) % 2 == 0 else 0.0 for h in out.host_ip] and out.drop_cnt.sum() == 200
+    timers.getCurrentWatermarkInMs.return_value = 15 * 60_000
+    (late,) = p.handleInputRows((0, 1), iter([pdf]), timers)
+    assert (late.kind == "late").all() and late.session_id.tolist() == list(range(200)) and held.update.call_count == 2
