@@ -179,8 +179,7 @@ def prj_split_columns(spark, d):
     """The feature columns of every row in long form, by order; metadata columns stay out."""
     f = features(spark, d)
     _, feats = q.split_columns(f, KEYS)
-    long = bl.long_metrics(f.select("l_orderkey", *feats), feats)
-    return long.groupBy("l_orderkey", F.col("metric").alias("feature")).agg(F.count("value").alias("n"), F.round(F.sum("value"), 4).alias("total"))
+    return bl.long_totals(f, feats, ["l_orderkey"]).select("l_orderkey", F.col("metric").alias("feature"), "n", F.round("total", 4).alias("total"))
 
 
 @query("SELECT event_id, CASE event_id % 4 WHEN 0 THEN 0.0 WHEN 1 THEN event_id / 10 WHEN 2 THEN event_id / 10 ELSE event_id END::DOUBLE AS prediction FROM events")

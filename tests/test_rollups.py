@@ -231,3 +231,32 @@ def test_sketched_baselines_of_large_groups_are_exact(spark):
     for g in ("big", "ties", "small"):
         x = [v for k, v in rows if k == g]
         assert [out[g][c] for c in ("p25", "median", "p75", "p95", "p99")] == [_least(x, p) for p in SHARES] and out[g].support_count == len(x)
+
+
+def test_totals_turn_long_after_their_shuffle(spark):
+    df = spark.createDataFrame([(1, 2.0, None), (1, 3.0, 5.0), (2, None, None)], "k int, a double, b double")
+    out = bl.long_totals(df, ["a", "b"], ["k"])
+    assert {(r.k, r.metric): (r.n, r.total) for r in out.collect()} == {(1, "a"): (2, 5.0), (1, "b"): (1, 5.0), (2, "a"): (0, None), (2, "b"): (0, None)}
+    from hostscope.plans import QUERIES
+
+    plan = QUERIES["prj_split_columns"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().sparkPlan().toString()
+    assert plan.index("Generate inline") < plan.index("HashAggregate")
+
+
+def test_cross_products_with_and_without_gaps(monkeypatch):
+    """Batches of which some features have gaps in some rows, all or none, against numpy; features in no batch have no pair."""
+    import pyarrow as pa
+
+    monkeypatch.setattr(gram.TaskContext, "get", lambda: type("Task", (), {"partitionId": lambda self: 0})())
+    rng = np.random.default_rng(21)
+    x = rng.normal(5, 2, (900, 70))
+    x[:300, 3] = np.nan
+    x[350:360, [4, 69]] = np.inf
+    x[600:][rng.random((300, 70)) < 0.2] = np.nan
+    cuts = [x[:300], x[300:600], x[600:600], x[600:]]
+    sent = list(gram._products(70, np.where(np.isfinite(x[0]), x[0], 0.0))(pa.RecordBatch.from_arrays([pa.array(c[:, i]) for i in range(70)], [str(i) for i in range(70)]) for c in cuts))
+    got = {(i, j): (n, r) for b in gram._pairs(70)(sent) for i, j, n, r in zip(*(b.column(c).to_pylist() for c in ("i", "j", "n", "r")), strict=True)}
+    assert len(got) == 70 * 69 // 2
+    for (i, j), (n, r) in got.items():
+        both = np.isfinite(x[:, i]) & np.isfinite(x[:, j])
+        assert n == both.sum() and r == pytest.approx(np.corrcoef(x[both, i], x[both, j])[0, 1], abs=1e-9)
