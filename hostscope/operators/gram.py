@@ -28,15 +28,27 @@ def _products(k: int, shift: np.ndarray):
         n, s, q, c = (np.zeros((k, k)) for _ in range(4))
         seen = False
         for batch in batches:
-            x = np.column_stack([batch.column(i).to_numpy(zero_copy_only=False).astype(float) for i in range(k)]) if len(batch) else np.zeros((0, k))
+            if not len(batch):
+                continue
+            x = np.empty((k, len(batch)))
+            for i in range(k):
+                x[i] = batch.column(i).to_numpy(zero_copy_only=False)
             has = np.isfinite(x)
-            x = np.where(has, x - shift, 0.0)
-            m = has.astype(float)
-            n += m.T @ m
-            s += x.T @ m
-            q += (x * x).T @ m
-            c += x.T @ x
-            seen = seen or len(x) > 0
+            gaps = np.flatnonzero(~has.all(axis=1))
+            x -= shift[:, None]
+            x[gaps] = np.where(has[gaps], x[gaps], 0.0)
+            c += x @ x.T
+            # a partner without gaps takes no rows away, so only those with gaps need products
+            square, whole = x * x, np.setdiff1d(np.arange(k), gaps)
+            n[:, whole] += has.sum(axis=1)[:, None]
+            s[:, whole] += x.sum(axis=1)[:, None]
+            q[:, whole] += square.sum(axis=1)[:, None]
+            if len(gaps):
+                m = has[gaps].T.astype(float)
+                n[:, gaps] += has.astype(float) @ m
+                s[:, gaps] += x @ m
+                q[:, gaps] += square @ m
+            seen = True
         if not seen:
             return
         blocks, lane = -(-k // BLOCK), TaskContext.get().partitionId() % LANES
